@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: Bytes of text hashed at once; memory is about 40 times as much.
+STEP = 1 << 21
 _U = np.uint64
+_GAP = np.zeros(256, bool)
+_GAP[[9, 10, 11, 12, 13, 32]] = True
+_PLACES = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -16,23 +23,57 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words, the same in every process: sums of mixed bytes with their places."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    data = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    starts = np.cumsum(lengths) - lengths
-    place = (np.arange(len(data)) - np.repeat(starts, lengths)).astype(np.uint64)
+with np.errstate(over="ignore"):
+    #: A random number for each byte at each place of a word.
+    _TABLE = mix(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+
+
+def _hash_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word in a buffer of bytes, where each begins)."""
+    full = ~_GAP[buf]
+    edge = np.diff(full.view(np.int8), prepend=np.int8(0), append=np.int8(0))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
+    lengths = ends - starts
+    at = np.flatnonzero(full)
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(len(at)) - np.repeat(first, lengths)
     with np.errstate(over="ignore"):
-        return mix(np.add.reduceat(mix((place + _U(1)) * _U(0x9E3779B97F4A7C15) + data), starts) + lengths.astype(np.uint64))
+        value = _TABLE[(place % _PLACES) * 256 + buf[at]]
+        if lengths.max() > _PLACES:
+            value = value * (_U(2) * mix((place // _PLACES).astype(np.uint64)) + _U(1))
+        return mix(np.add.reduceat(value, first) + lengths.astype(np.uint64)), starts
 
 
-def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all runs of k words."""
+def word_hashes(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """For each text the 64-bit hashes of its words (sums of random numbers by byte and place, mixed)."""
+    k = 0
+    while k < len(texts):
+        part, total = [], 0
+        while k < len(texts) and (not part or total + len(texts[k]) < STEP):
+            part.append(texts[k])
+            total += len(texts[k]) + 1
+            k += 1
+        hashes, starts = _hash_words(np.frombuffer(b"\n".join(part), np.uint8))
+        ends = np.cumsum([len(t) + 1 for t in part])
+        cuts = np.searchsorted(starts, ends)
+        for a, b in zip([0, *cuts[:-1]], cuts, strict=True):
+            yield hashes[a:b]
+
+
+def run_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of k words, from those of half as many."""
     n = len(hashes) - k + 1
-    out = np.zeros(max(n, 0), np.uint64)
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out, size, level, have = None, 0, hashes, 1
     with np.errstate(over="ignore"):
-        for i in range(k if n > 0 else 0):
-            out = mix(out * _U(3) + hashes[i : i + n] + _U(i + 1))
+        while size < k:
+            if k & have:
+                out = level[:n] if out is None else mix(out * _U(5) + level[size : size + n] + _U(have))
+                size += have
+            if size < k:
+                level = mix(level[:-have] * _U(3) + level[have:] + _U(have))
+                have *= 2
     return out

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from driftline.llm.common import cut
-from driftline.llm.hashing import gram_hashes, word_hashes
+from driftline.llm.hashing import run_hashes, word_hashes
 
 WINDOW, ANCHOR = 20, 8
 _NEVER = (1 << 63) - 1
@@ -40,7 +40,7 @@ def window_anchors(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """The anchor of each window of words."""
     if len(hashes) < window:
         return np.zeros(0, np.int64)
-    runs = gram_hashes(hashes, min(ANCHOR, window)) & _SHORT
+    runs = run_hashes(hashes, min(ANCHOR, window)) & _SHORT
     return _least_of(runs, window - min(ANCHOR, window) + 1).view(np.int64)
 
 
@@ -55,8 +55,10 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     return docs.select(F.coalesce(key, F.lit(_NEVER)).alias("id"), run(text).alias("packed"))
 
 
-def _unpacked(packed) -> list[bytes]:
-    return zstandard.ZstdDecompressor().decompress(packed).split()
+def unpacked(packed: pd.Series) -> list[bytes]:
+    """The texts of a batch."""
+    d = zstandard.ZstdDecompressor()
+    return [d.decompress(p) for p in packed]
 
 
 def anchors(docs: DataFrame, text: str, key: str, window: int) -> DataFrame:
@@ -65,8 +67,8 @@ def anchors(docs: DataFrame, text: str, key: str, window: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found, sizes, times = [], [], []
-            for t in b["text"]:
-                a = window_anchors(word_hashes((t or "").encode().split()), window)
+            for h in word_hashes([(t or "").encode() for t in b["text"]]):
+                a = window_anchors(h, window)
                 first = a[np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))] if len(a) else a
                 u, n = np.unique(first, return_counts=True)
                 found.append(u)
@@ -83,9 +85,8 @@ def repeated_edges(marked: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             edges, sizes = [], []
-            for packed, again in zip(b["packed"], b["anchors"], strict=True):
-                h = word_hashes(_unpacked(packed))
-                e = np.unique(gram_hashes(h, window)[np.isin(window_anchors(h, window), again)])
+            for h, again in zip(word_hashes(unpacked(b["packed"])), b["anchors"], strict=True):
+                e = np.unique(run_hashes(h, window)[np.isin(window_anchors(h, window), again)])
                 edges.append(e)
                 sizes.append(len(e))
             e = np.concatenate(edges) if edges else np.zeros(0, np.uint64)
@@ -101,7 +102,7 @@ def spans(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str =
     smallest key that has the window). Paths may overlap by less than a window.
     """
     packed = pack(docs, text, key)
-    found = anchors(docs, text, key, window)
+    found = cut(anchors(docs, text, key, window))
     again = found.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
     marks = found.select("anchor", "id").join(again, "anchor").groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
     edges = cut(repeated_edges(packed.join(marks, "id"), window))
@@ -111,9 +112,8 @@ def spans(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str =
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for key, packed, edges, sources in zip(b["id"], b["packed"], b["edges"], b["sources"], strict=True):
-                words = _unpacked(packed)
-                own = gram_hashes(word_hashes(words), window).view(np.int64)
+            for key, packed, edges, sources, h in zip(b["id"], b["packed"], b["edges"], b["sources"], word_hashes(unpacked(b["packed"])), strict=True):
+                own = run_hashes(h, window).view(np.int64)
                 source = np.full(len(own), -1, np.int64)
                 hit = np.zeros(len(own), bool)
                 if len(own):
@@ -128,14 +128,12 @@ def spans(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str =
                         far = e[at] == own
                         source[far] = s[at[far]]
                         hit |= far
-                begin = np.flatnonzero(hit & ~np.concatenate(([False], hit[:-1] & (source[:-1] == source[1:]))))[: len(own)] if len(own) else []
-                paths = []
-                for a in begin:
-                    stop = a + 1
-                    while stop < len(own) and hit[stop] and source[stop] == source[a]:
-                        stop += 1
-                    paths.append({"start": int(a), "length": int(stop - a + window - 1), "source": int(source[a])})
-                rows.append((key, packed, len(words), paths))
+                go = np.flatnonzero(hit)
+                first = np.ones(len(go), bool)
+                first[1:] = (np.diff(go) > 1) | (source[go[1:]] != source[go[:-1]])
+                begin, sizes = go[first], np.diff(np.flatnonzero(np.append(first, True)))
+                paths = [{"start": int(a), "length": int(n) + window - 1, "source": int(source[a])} for a, n in zip(begin, sizes, strict=True)]
+                rows.append((key, packed, len(h), paths))
             yield pd.DataFrame(rows, columns=["id", "packed", "n_words", "paths"])
 
     return packed.join(later, "id", "left").mapInPandas(run, "id long, packed binary, n_words long, paths array<struct<start:int,length:int,source:long>>")
@@ -153,8 +151,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", ke
     @F.pandas_udf("n_removed long, kept string")
     def run(packed: pd.Series, paths: pd.Series) -> pd.DataFrame:
         rows = []
-        for p, spans in zip(packed, paths, strict=True):
-            words, gone = _unpacked(p), 0
+        for t, spans in zip(unpacked(packed), paths, strict=True):
+            words, gone = t.split(), 0
             if spans is not None and len(spans):
                 keep = np.ones(len(words), bool)
                 for s in spans:
