@@ -19,24 +19,31 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from driftline.llm.common import cut
-from driftline.llm.hashing import FOLD, gram_hashes, mix, word_hashes
+from driftline.llm.hashing import FOLD, mix, run_hashes, word_hashes
 
-SHINGLE, LEAST, GROUPS = 4, 85, 32
+SHINGLE, LEAST, GROUPS = 4, 85, 64
 #: A shingle that more than this share of the documents has as a prefix is put last in the order of shingles.
-#: At most (prefix length) / HOT_SHARE shingles can be so common, however large the corpus.
+#: At most (mean prefix length) / HOT_SHARE shingles can be so common, however large the corpus.
 HOT_SHARE = 1 / 2000
+#: Prefix shingles keep so many bits of their hash; one too many that meets only costs a comparison.
+_SHORT = np.uint64((1 << 48) - 1)
 _U = np.uint64
 
 
-def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles, A-Z lower-cased; of a shorter text its words as one."""
-    h = word_hashes((text or "").encode().translate(FOLD).split())
-    return np.unique(gram_hashes(h, min(k, len(h)) or 1))
+def shingle_sets(texts: list[str | None], k: int = SHINGLE) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its k-word shingles, A-Z lower-cased; of a shorter text its words as one."""
+    for h in word_hashes([(t or "").encode().translate(FOLD) for t in texts]):
+        yield np.unique(run_hashes(h, min(k, len(h)))) if len(h) else h
 
 
-def group_counts(shingles: np.ndarray) -> np.ndarray:
-    """The point of a set: how many of its shingles fall into each group."""
-    return np.bincount((shingles % _U(GROUPS)).astype(np.int64), minlength=GROUPS)
+def group_counts(shingles: np.ndarray) -> bytes:
+    """The point of a set: how many of its shingles fall into each group, one byte each, or four if one needs more."""
+    n = np.bincount((shingles % _U(GROUPS)).astype(np.int64), minlength=GROUPS)
+    return n.astype(np.uint8 if n.max() < 256 else np.uint32).tobytes()
+
+
+def point(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint8 if len(packed) == GROUPS else np.uint32).astype(np.int64)
 
 
 def needed(total: int, least: int = LEAST) -> int:
@@ -49,86 +56,102 @@ def prefix_size(n: int, least: int = LEAST) -> int:
     return n - -(-least * n // 100) + 1
 
 
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
-
-
 def sets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, n_shingles, set_hash (null for an empty set), packed (the compressed text)."""
+    """id, n (shingles), set_hash (null for an empty set), point."""
 
-    @F.pandas_udf("n_shingles long, set_hash string, packed binary")
+    @F.pandas_udf("n long, set_hash string, point binary")
     def run(texts: pd.Series) -> pd.DataFrame:
-        pack, rows = zstandard.ZstdCompressor(level=3), []
-        for t in texts:
-            s = shingle_set(t)
+        rows = []
+        for s in shingle_sets(list(texts)):
             a, b = (int(mix(s * _U(2 * i + 1) + _U(i)).sum(dtype=np.uint64)) for i in (1, 2))
-            rows.append((len(s), f"{a:016x}{b:016x}{len(s):x}" if len(s) else None, pack.compress(t.encode()) if len(s) else None))
-        return pd.DataFrame(rows, columns=["n_shingles", "set_hash", "packed"])
+            rows.append((len(s), f"{a:016x}{b:016x}{len(s):x}" if len(s) else None, group_counts(s)))
+        return pd.DataFrame(rows, columns=["n", "set_hash", "point"])
+
+    return docs.select(F.col(key).alias("id"), run(text).alias("s")).select("id", "s.*")
+
+
+def prefixes(docs: DataFrame, hot: np.ndarray, text: str, key: str) -> DataFrame:
+    """token, id for the first shingles of each set: in the order of their hashes, hot ones last."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        common = shared.value
+        for b in batches:
+            tokens, sizes = [np.zeros(0, np.int64)], []
+            for s in shingle_sets(list(b["text"])):
+                order = np.sort((mix(s + _U(7)) & _SHORT).view(np.int64))
+                size = prefix_size(len(s)) if len(s) else 0
+                if len(common) and len(order):
+                    late = common[np.minimum(np.searchsorted(common, order), len(common) - 1)] == order
+                    order = np.concatenate((order[~late], order[late]))
+                tokens.append(np.unique(order[:size]))
+                sizes.append(len(tokens[-1]))
+            yield pd.DataFrame({"token": np.concatenate(tokens), "id": np.repeat(b["id"].to_numpy(), sizes)})
+
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
+    return rows.mapInPandas(run, "token long, id long")
 
-    return docs.select(key, run(text).alias("s")).select(key, "s.*")
 
+def hot_tokens(docs: DataFrame, n_docs: int, text: str, key: str) -> np.ndarray:
+    """Shingles that are prefixes of too many documents, counted over all of them. Only the speed depends on them."""
+    counts = prefixes(docs, np.zeros(0, np.int64), text, key).groupBy("token").agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") > max(64, int(n_docs * HOT_SHARE))).select("token").toPandas()["token"].to_numpy()
 
-def prefixes(reps: DataFrame, hot: np.ndarray | None = None) -> DataFrame:
-    """rep, n, token for the first shingles of each set: in the order of their hashes, hot ones last."""
-    spark = reps.sparkSession
-    shared = spark.sparkContext.broadcast(np.sort(hot) if hot is not None else np.zeros(0, np.int64))
+
+def packed(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """id, packed: the compressed text, which is what is shuffled of a document."""
+
+    @F.pandas_udf("binary")
+    def run(texts: pd.Series) -> pd.Series:
+        c = zstandard.ZstdCompressor(level=3)
+        return pd.Series([c.compress((t or "").encode()) for t in texts], dtype=object)
+
+    return docs.select(F.col(key).alias("id"), run(text).alias("packed"))
+
+
+def bounded(pairs: DataFrame, points: DataFrame, least: int = LEAST) -> DataFrame:
+    """The pairs (a, b) that the bound lets through: no overlap exceeds the sum of the minima of two points' coordinates."""
+    left = pairs.join(points.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a")
+    both = left.join(points.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b")
+    both = both.where(F.lit(100) * F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unpack, common = zstandard.ZstdDecompressor(), shared.value
         for b in batches:
-            reps, tokens = [], []
-            for packed in b["packed"]:
-                s = shingle_set(unpack.decompress(packed).decode())
-                order = _signed(mix(s + _U(7)))
-                size = prefix_size(len(s))
-                late = np.isin(order, common) if len(common) else np.zeros(len(s), bool)
-                tokens.append(order[np.lexsort((order, late))[:size]])
-                reps.append(size)
-            yield pd.DataFrame({"rep": np.repeat(b["rep"].to_numpy(), reps), "n": np.repeat(b["n"].to_numpy(), reps), "token": np.concatenate(tokens) if tokens else np.zeros(0, np.int64)})
-
-    return reps.select("rep", "n", "packed").mapInPandas(run, "rep long, n long, token long")
-
-
-def hot_tokens(reps: DataFrame, n_reps: int) -> np.ndarray:
-    """Shingles that are prefixes of too many documents, over all documents; repeated until no new one turns up."""
-    most = max(64, int(n_reps * HOT_SHARE))
-    hot = np.zeros(0, np.int64)
-    for _ in range(4):
-        found = prefixes(reps, hot).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > most).select("token").toPandas()["token"].to_numpy()
-        new = np.setdiff1d(found, hot)
-        if not len(new):
-            break
-        hot = np.union1d(hot, new)
-    return hot
-
-
-def verify(pairs: DataFrame, reps: DataFrame, least: int = LEAST) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough: the bound on coordinate minima first, then the exact overlap."""
-    left = pairs.join(reps.select(F.col("rep").alias("a"), F.col("packed").alias("pa")), "a")
-    both = left.join(reps.select(F.col("rep").alias("b"), F.col("packed").alias("pb")), "b").select("a", "b", "pa", "pb")
+            keep = [np.minimum(point(x), point(y)).sum() >= needed(n + m, least) for x, y, n, m in zip(b["pa"], b["pb"], b["na"], b["nb"], strict=True)]
+            yield b.loc[np.array(keep, bool), ["a", "b"]]
+
+    return both.select("a", "b", "na", "nb", "pa", "pb").mapInPandas(run, "a long, b long")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, least: int = LEAST) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, by the exact overlap."""
+    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("packed").alias("pa")), "a")
+    both = left.join(texts.select(F.col("id").alias("b"), F.col("packed").alias("pb")), "b").select("a", "b", "pa", "pb")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack, last = zstandard.ZstdDecompressor(), {}
 
-        def point(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+        def shingles(packed: bytes) -> np.ndarray:
             if packed not in last:
                 if len(last) >= 64:
                     last.clear()
-                s = shingle_set(unpack.decompress(packed).decode())
-                last[packed] = s, group_counts(s)
+                last[packed] = next(shingle_sets([unpack.decompress(packed).decode()]))
             return last[packed]
 
         for b in batches:
             keep = []
             for pa, pb in zip(b["pa"], b["pb"], strict=True):
-                (x, cx), (y, cy) = point(pa), point(pb)
-                need = needed(len(x) + len(y), least)
-                keep.append(np.minimum(cx, cy).sum() >= need and len(np.intersect1d(x, y, assume_unique=True)) >= need)
+                x, y = shingles(pa), shingles(pb)
+                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= needed(len(x) + len(y), least))
             yield b.loc[np.array(keep, bool), ["a", "b"]]
 
     return both.mapInPandas(run, "a long, b long")
 
 
+def _state(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (least node reachable) for edges (a, b): each round, all learn their neighbourhood's least, then its own.
 
@@ -136,18 +159,18 @@ def components(edges: DataFrame) -> DataFrame:
     of rounds grows with the logarithm of a component's size.
     """
     edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
+    before = _state(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        star = cut(large.distinct())
-        low = star.groupBy("u").agg(F.min("v").alias("m"))
-        small = star.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
-        new = cut(small.where("u != v").distinct())
-        same = new.join(edges, ["u", "v"], "left_semi").count()
-        if same == new.count() == edges.count():
-            return new.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        edges = new
+        large = cut(both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
+        edges = cut(small.where("u != v").distinct())
+        after = _state(edges)
+        if after == before:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        before = after
 
 
 def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int = LEAST) -> DataFrame:
@@ -158,27 +181,27 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int =
     rows give repeated rows; rows with a null key each get a null component. Nothing is sampled or capped: pairs that
     share a leaf are either verified or known to be in one component already.
     """
-    each = cut(sets(docs, text, key).select(F.col(key).alias("id"), "n_shingles", "set_hash", "packed"))
-    classes = each.where("set_hash is not null and id is not null").groupBy("set_hash").agg(F.min("id").alias("rep"))
-    named = each.select("id", "n_shingles", "set_hash")
-    reps = cut(each.where("id is not null").join(classes, [each["set_hash"] == classes["set_hash"], each["id"] == classes["rep"]], "left_semi").select(F.col("id").alias("rep"), F.col("n_shingles").alias("n"), "packed").dropDuplicates(["rep", "n"]))
-    hot = hot_tokens(reps, reps.count())
-    tokens = prefixes(reps, hot)
-    leaves = tokens.groupBy("token").agg(F.count("*").alias("size"), F.min("rep").alias("leader")).where("size > 1")
-    shared = cut(tokens.join(leaves, "token").select("token", "rep", "n", "leader"))
-    fits = lambda x, y: (F.lit(100) * F.least(x, y) >= F.lit(least) * F.greatest(x, y))
-    sizes = reps.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n"))
-    stars = shared.where("rep != leader").select("leader", "rep", "n").distinct().join(sizes, "leader").where(fits(F.col("n"), F.col("leader_n")))
-    links = cut(verify(stars.select(F.col("leader").alias("a"), F.col("rep").alias("b")), reps, least))
+    each = cut(sets(docs, text, key))
+    filled = each.where("set_hash is not null and id is not null")
+    classes = filled.groupBy("set_hash").agg(F.min("id").alias("rep"))
+    reps = cut(filled.join(classes, "set_hash").where("id = rep").select("id", "n", "point").dropDuplicates(["id"]))
+    tokens = cut(prefixes(docs, hot_tokens(docs, reps.count(), text, key), text, key))
+    leaves = tokens.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1")
+    shared = cut(tokens.join(leaves, "token").select("token", "id", "leader"))
+    fits = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(least) * F.greatest(x, y)
+    stars = cut(bounded(shared.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), reps, least))
+    texts = cut(packed(docs, text, key).join(shared.select("id").distinct().join(reps, "id", "left_semi"), "id", "left_semi").dropDuplicates(["id"]))
+    links = cut(verify(stars, texts, least))
     known = components(links)
     # Pairs of a leaf in different components are all that is left to verify.
-    own = shared.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    own = cut(shared.select("token", "id").join(reps.select("id", "n"), "id").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     mixed = own.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
-    rest = own.join(mixed, "token", "left_semi").select("token", "rep", "n", "component")
-    x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component"))) for s in "xy")
-    pairs = x.join(y, "token").where((F.col("rep_x") < F.col("rep_y")) & (F.col("component_x") != F.col("component_y")) & fits(F.col("n_x"), F.col("n_y")))
-    more = cut(verify(pairs.select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct(), reps, least))
+    rest = own.join(mixed, "token", "left_semi").select("token", "id", "n", "component")
+    x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "component"))) for s in "xy")
+    pairs = x.join(y, "token").where((F.col("id_x") < F.col("id_y")) & (F.col("component_x") != F.col("component_y")) & fits(F.col("n_x"), F.col("n_y")))
+    close = bounded(pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct(), reps, least)
+    more = cut(verify(close, texts, least))
     if not more.isEmpty():
         known = components(links.union(more))
     final = classes.join(known, classes["rep"] == known["node"], "left").select("set_hash", F.coalesce("component", "rep").alias("component"))
-    return named.join(final, "set_hash", "left").select(F.col("id").alias(key), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    return each.join(final, "set_hash", "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
