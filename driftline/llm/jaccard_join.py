@@ -22,9 +22,11 @@ from driftline.llm.common import cut
 from driftline.llm.hashing import FOLD, mix, run_hashes, word_hashes
 
 SHINGLE, LEAST, GROUPS = 4, 85, 64
-#: A shingle that more than this share of the documents has as a prefix is put last in the order of shingles.
-#: At most (mean prefix length) / HOT_SHARE shingles can be so common, however large the corpus.
+#: A shingle of more than this share of the documents is put last in the order of shingles. At most (mean set
+#: size) / HOT_SHARE shingles can be so common, however large the corpus: a few MB to broadcast.
 HOT_SHARE = 1 / 2000
+#: Shingles counted at once by a task, and the least count of them that it reports.
+COUNTED, REPORTED = 1 << 22, 3
 #: Prefix shingles keep so many bits of their hash; one too many that meets only costs a comparison.
 _SHORT = np.uint64((1 << 48) - 1)
 _U = np.uint64
@@ -51,9 +53,18 @@ def needed(total: int, least: int = LEAST) -> int:
     return -(-least * total // (100 + least))
 
 
-def prefix_size(n: int, least: int = LEAST) -> int:
-    """So many first shingles, in any order common to all, of which linked sets share one: n - ceil(least * n / 100) + 1."""
-    return n - -(-least * n // 100) + 1
+def prefix_sizes(n: int, least: int = LEAST) -> tuple[int, int]:
+    """(short, long): in any order common to all, a set shares one of its first `short` shingles with the first `long`
+    of each set linked to it that is no smaller.
+
+    Of n shingles the overlap with such a set is at least needed(2 * n), with a smaller one at least `least` per cent of n.
+    """
+    return n - needed(2 * n, least) + 1, n - -(-least * n // 100) + 1
+
+
+def ordered(shingles: np.ndarray) -> np.ndarray:
+    """The shingles in the order of a hash."""
+    return np.sort((mix(shingles + _U(7)) & _SHORT).view(np.int64))
 
 
 def sets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -70,32 +81,55 @@ def sets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     return docs.select(F.col(key).alias("id"), run(text).alias("s")).select("id", "s.*")
 
 
-def prefixes(docs: DataFrame, hot: np.ndarray, text: str, key: str) -> DataFrame:
-    """token, id for the first shingles of each set: in the order of their hashes, hot ones last."""
+def prefixes(docs: DataFrame, hot: np.ndarray, text: str, key: str, least: int) -> DataFrame:
+    """token, id, short for the first shingles of each set: in the order of their hashes, hot ones last."""
     shared = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common = shared.value
         for b in batches:
-            tokens, sizes = [np.zeros(0, np.int64)], []
+            tokens, short, sizes = [np.zeros(0, np.int64)], [np.zeros(0, bool)], []
             for s in shingle_sets(list(b["text"])):
-                order = np.sort((mix(s + _U(7)) & _SHORT).view(np.int64))
-                size = prefix_size(len(s)) if len(s) else 0
+                order = ordered(s)
                 if len(common) and len(order):
                     late = common[np.minimum(np.searchsorted(common, order), len(common) - 1)] == order
                     order = np.concatenate((order[~late], order[late]))
-                tokens.append(np.unique(order[:size]))
+                first, size = prefix_sizes(len(s), least) if len(s) else (0, 0)
+                tokens.append(order[:size])
+                short.append(np.arange(len(order[:size])) < first)
                 sizes.append(len(tokens[-1]))
-            yield pd.DataFrame({"token": np.concatenate(tokens), "id": np.repeat(b["id"].to_numpy(), sizes)})
+            yield pd.DataFrame({"token": np.concatenate(tokens), "id": np.repeat(b["id"].to_numpy(), sizes), "short": np.concatenate(short)})
 
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "token long, id long")
+    return rows.mapInPandas(run, "token long, id long, short boolean")
 
 
 def hot_tokens(docs: DataFrame, n_docs: int, text: str, key: str) -> np.ndarray:
-    """Shingles that are prefixes of too many documents, counted over all of them. Only the speed depends on them."""
-    counts = prefixes(docs, np.zeros(0, np.int64), text, key).groupBy("token").agg(F.count("*").alias("n"))
-    return counts.where(F.col("n") > max(64, int(n_docs * HOT_SHARE))).select("token").toPandas()["token"].to_numpy()
+    """Shingles of too many documents, by lossy counting over all texts; only the speed depends on which are found.
+
+    Each task counts its shingles and reports those it met a few times; a shingle as common as that in the whole
+    corpus is met so often in most tasks.
+    """
+
+    def counts(tokens: list[np.ndarray]) -> pd.DataFrame:
+        u, n = np.unique(np.concatenate(tokens), return_counts=True)
+        return pd.DataFrame({"token": u[n >= REPORTED], "n": n[n >= REPORTED]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tokens, total = [], 0
+        for b in batches:
+            for s in shingle_sets(list(b["text"])):
+                tokens.append(ordered(s))
+                total += len(s)
+                if total >= COUNTED:
+                    yield counts(tokens)
+                    tokens, total = [], 0
+        if tokens:
+            yield counts(tokens)
+
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(text).alias("text")).mapInPandas(run, "token long, n long")
+    most = max(64, int(n_docs * HOT_SHARE))
+    return rows.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > most).select("token").toPandas()["token"].to_numpy()
 
 
 def packed(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -179,27 +213,28 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int =
     Documents link when 100 * common shingles >= least * all shingles of both. Without words a document links
     with none. Equal sets are one class with one representative, whose pairs stand for all of them. Repeated
     rows give repeated rows; rows with a null key each get a null component. Nothing is sampled or capped: pairs that
-    share a leaf are either verified or known to be in one component already.
+    share a leaf are either verified or known to be in one component already. The leader of a leaf is compared with
+    all others of it first; what remains are pairs in different components.
     """
     each = cut(sets(docs, text, key))
     filled = each.where("set_hash is not null and id is not null")
     classes = filled.groupBy("set_hash").agg(F.min("id").alias("rep"))
     reps = cut(filled.join(classes, "set_hash").where("id = rep").select("id", "n", "point").dropDuplicates(["id"]))
-    tokens = cut(prefixes(docs, hot_tokens(docs, reps.count(), text, key), text, key))
-    leaves = tokens.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1")
-    shared = cut(tokens.join(leaves, "token").select("token", "id", "leader"))
+    tokens = cut(prefixes(docs, hot_tokens(docs, reps.count(), text, key), text, key, least))
+    leaves = tokens.groupBy("token").agg(F.count("*").alias("size"), F.min(F.when(F.col("short"), F.col("id"))).alias("leader")).where("size > 1 and leader is not null").drop("size")
+    shared = cut(tokens.join(leaves, "token").select("token", "id", "short", "leader"))
     fits = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(least) * F.greatest(x, y)
     stars = cut(bounded(shared.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), reps, least))
     texts = cut(packed(docs, text, key).join(shared.select("id").distinct().join(reps, "id", "left_semi"), "id", "left_semi").dropDuplicates(["id"]))
     links = cut(verify(stars, texts, least))
     known = components(links)
     # Pairs of a leaf in different components are all that is left to verify.
-    own = cut(shared.select("token", "id").join(reps.select("id", "n"), "id").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    own = cut(shared.select("token", "id", "short").join(reps.select("id", "n"), "id").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     mixed = own.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
-    rest = own.join(mixed, "token", "left_semi").select("token", "id", "n", "component")
-    x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "component"))) for s in "xy")
-    pairs = x.join(y, "token").where((F.col("id_x") < F.col("id_y")) & (F.col("component_x") != F.col("component_y")) & fits(F.col("n_x"), F.col("n_y")))
-    close = bounded(pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct(), reps, least)
+    rest = own.join(mixed, "token", "left_semi").select("token", "id", "short", "n", "component")
+    x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "short", "n", "component"))) for s in "xy")
+    pairs = x.where("short_x").join(y, "token").where((F.col("component_x") != F.col("component_y")) & (F.col("n_x") <= F.col("n_y")) & fits(F.col("n_x"), F.col("n_y")))
+    close = bounded(pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct(), reps, least)
     more = cut(verify(close, texts, least))
     if not more.isEmpty():
         known = components(links.union(more))
