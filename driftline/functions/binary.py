@@ -50,18 +50,21 @@ def confluent_frame(schema_id: Column, body: Column) -> Column:
     return F.concat(F.unhex(F.lit("00")), big_endian(schema_id, 4), body)
 
 
-@F.pandas_udf("double")
-def double_of(values: pd.Series) -> pd.Series:
+def double_of(b: Column) -> Column:
     """A double of 8 sortable bytes."""
 
-    def one(v):
-        if v is None:
-            return None
-        n = int.from_bytes(v, "big")
-        n = n ^ (1 << 63) if n >> 63 else n ^ ((1 << 64) - 1)
-        return struct.unpack(">d", n.to_bytes(8, "big"))[0]
+    @F.pandas_udf("double")
+    def run(values: pd.Series) -> pd.Series:
+        def one(v):
+            if v is None:
+                return None
+            n = int.from_bytes(v, "big")
+            n = n ^ (1 << 63) if n >> 63 else n ^ ((1 << 64) - 1)
+            return struct.unpack(">d", n.to_bytes(8, "big"))[0]
 
-    return pd.Series([one(v) for v in values], dtype="float64")
+        return pd.Series([one(v) for v in values], dtype="float64")
+
+    return run(b)
 
 
 def _segments(key: bytes, salt: int, kinds: list[tuple[str, int]]) -> list[bytes | None]:
