@@ -82,13 +82,13 @@ def sets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
 
 
 def prefixes(docs: DataFrame, hot: np.ndarray, text: str, key: str, least: int) -> DataFrame:
-    """token, id, short for the first shingles of each set: in the order of their hashes, hot ones last."""
+    """token, id, short, rest (shingles from this one on) for the first shingles of each set: by their hashes, hot ones last."""
     shared = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common = shared.value
         for b in batches:
-            tokens, short, sizes = [np.zeros(0, np.int64)], [np.zeros(0, bool)], []
+            tokens, short, rest, sizes = [np.zeros(0, np.int64)], [np.zeros(0, bool)], [np.zeros(0, np.int64)], []
             for s in shingle_sets(list(b["text"])):
                 order = ordered(s)
                 if len(common) and len(order):
@@ -97,11 +97,12 @@ def prefixes(docs: DataFrame, hot: np.ndarray, text: str, key: str, least: int)
                 first, size = prefix_sizes(len(s), least) if len(s) else (0, 0)
                 tokens.append(order[:size])
                 short.append(np.arange(len(order[:size])) < first)
+                rest.append(len(s) - np.arange(len(order[:size])))
                 sizes.append(len(tokens[-1]))
-            yield pd.DataFrame({"token": np.concatenate(tokens), "id": np.repeat(b["id"].to_numpy(), sizes), "short": np.concatenate(short)})
+            yield pd.DataFrame({"token": np.concatenate(tokens), "id": np.repeat(b["id"].to_numpy(), sizes), "short": np.concatenate(short), "rest": np.concatenate(rest)})
 
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "token long, id long, short boolean")
+    return rows.mapInPandas(run, "token long, id long, short boolean, rest int")
 
 
 def hot_tokens(docs: DataFrame, n_docs: int, text: str, key: str) -> np.ndarray:
@@ -222,18 +223,20 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int =
     reps = cut(filled.join(classes, "set_hash").where("id = rep").select("id", "n", "point").dropDuplicates(["id"]))
     tokens = cut(prefixes(docs, hot_tokens(docs, reps.count(), text, key), text, key, least))
     leaves = tokens.groupBy("token").agg(F.count("*").alias("size"), F.min(F.when(F.col("short"), F.col("id"))).alias("leader")).where("size > 1 and leader is not null").drop("size")
-    shared = cut(tokens.join(leaves, "token").select("token", "id", "short", "leader"))
+    shared = cut(tokens.join(leaves, "token").select("token", "id", "short", "rest", "leader"))
     fits = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(least) * F.greatest(x, y)
     stars = cut(bounded(shared.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), reps, least))
     texts = cut(packed(docs, text, key).join(shared.select("id").distinct().join(reps, "id", "left_semi"), "id", "left_semi").dropDuplicates(["id"]))
     links = cut(verify(stars, texts, least))
     known = components(links)
     # Pairs of a leaf in different components are all that is left to verify.
-    own = cut(shared.select("token", "id", "short").join(reps.select("id", "n"), "id").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    own = cut(shared.select("token", "id", "short", "rest").join(reps.select("id", "n"), "id").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     mixed = own.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
-    rest = own.join(mixed, "token", "left_semi").select("token", "id", "short", "n", "component")
-    x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "short", "n", "component"))) for s in "xy")
+    rest = own.join(mixed, "token", "left_semi").select("token", "id", "short", "rest", "n", "component")
+    x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "short", "rest", "n", "component"))) for s in "xy")
     pairs = x.where("short_x").join(y, "token").where((F.col("component_x") != F.col("component_y")) & (F.col("n_x") <= F.col("n_y")) & fits(F.col("n_x"), F.col("n_y")))
+    # In the first shingle that a linked pair has in common, all that they share is still ahead of both.
+    pairs = pairs.where(F.least("rest_x", "rest_y") * (100 + least) >= F.lit(least) * (F.col("n_x") + F.col("n_y")))
     close = bounded(pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct(), reps, least)
     more = cut(verify(close, texts, least))
     if not more.isEmpty():
