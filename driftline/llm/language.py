@@ -41,6 +41,8 @@ class Trees:
 
     def __init__(self, languages: list[str], symbol_of: np.ndarray, grams: pd.DataFrame) -> None:
         self.languages, self.symbol_of = languages, symbol_of
+        if not languages:
+            return
         contexts = np.unique(grams["gram"].to_numpy() >> 6) if len(grams) else np.zeros(0, np.int64)
         self.row_of = (np.arange(SYMBOLS**3) & (SYMBOLS**2 - 1)).astype(np.int32)
         self.row_of[contexts] = SYMBOLS**2 + np.arange(len(contexts), dtype=np.int32)
