@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Bytes of text hashed at once; memory is about 40 times as much.
-STEP = 1 << 21
+STEP = 1 << 19
 _U = np.uint64
 _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True
@@ -46,20 +46,23 @@ def _hash_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return mix(np.add.reduceat(value, first) + lengths.astype(np.uint64)), starts
 
 
-def word_hashes(texts: list[bytes]) -> Iterator[np.ndarray]:
+def word_hashes(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
     """For each text the 64-bit hashes of its words (sums of random numbers by byte and place, mixed)."""
-    k = 0
-    while k < len(texts):
-        part, total = [], 0
-        while k < len(texts) and (not part or total + len(texts[k]) < STEP):
-            part.append(texts[k])
-            total += len(texts[k]) + 1
-            k += 1
-        hashes, starts = _hash_words(np.frombuffer(b"\n".join(part), np.uint8))
-        ends = np.cumsum([len(t) + 1 for t in part])
-        cuts = np.searchsorted(starts, ends)
-        for a, b in zip([0, *cuts[:-1]], cuts, strict=True):
-            yield hashes[a:b]
+    part, total = [], 0
+    for t in texts:
+        if part and total + len(t) >= STEP:
+            yield from _hash_texts(part)
+            part, total = [], 0
+        part.append(t)
+        total += len(t) + 1
+    yield from _hash_texts(part)
+
+
+def _hash_texts(texts: list[bytes]) -> Iterator[np.ndarray]:
+    hashes, starts = _hash_words(np.frombuffer(b"\n".join(texts), np.uint8))
+    cuts = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+    for a, b in zip([0, *cuts[:-1]], cuts, strict=True) if texts else ():
+        yield hashes[a:b]
 
 
 def run_hashes(hashes: np.ndarray, k: int) -> np.ndarray:

@@ -11,7 +11,7 @@ coordinate minima works inside the leaves.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,15 +26,15 @@ SHINGLE, LEAST, GROUPS = 4, 85, 64
 #: size) / HOT_SHARE shingles can be so common, however large the corpus: a few MB to broadcast.
 HOT_SHARE = 1 / 2000
 #: Shingles counted at once by a task, and the least count of them that it reports.
-COUNTED, REPORTED = 1 << 22, 3
+COUNTED, REPORTED = 1 << 21, 3
 #: Prefix shingles keep so many bits of their hash; one too many that meets only costs a comparison.
 _SHORT = np.uint64((1 << 48) - 1)
 _U = np.uint64
 
 
-def shingle_sets(texts: list[str | None], k: int = SHINGLE) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[str | None], k: int = SHINGLE) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its k-word shingles, A-Z lower-cased; of a shorter text its words as one."""
-    for h in word_hashes([(t or "").encode().translate(FOLD) for t in texts]):
+    for h in word_hashes((t or "").encode().translate(FOLD) for t in texts):
         yield np.unique(run_hashes(h, min(k, len(h)))) if len(h) else h
 
 
@@ -73,7 +73,7 @@ def sets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     @F.pandas_udf("n long, set_hash string, point binary")
     def run(texts: pd.Series) -> pd.DataFrame:
         rows = []
-        for s in shingle_sets(list(texts)):
+        for s in shingle_sets(texts):
             a, b = (int(mix(s * _U(2 * i + 1) + _U(i)).sum(dtype=np.uint64)) for i in (1, 2))
             rows.append((len(s), f"{a:016x}{b:016x}{len(s):x}" if len(s) else None, group_counts(s)))
         return pd.DataFrame(rows, columns=["n", "set_hash", "point"])
@@ -89,7 +89,7 @@ def prefixes(docs: DataFrame, hot: np.ndarray, text: str, key: str, least: int)
         common = shared.value
         for b in batches:
             tokens, short, rest, sizes = [np.zeros(0, np.int64)], [np.zeros(0, bool)], [np.zeros(0, np.int64)], []
-            for s in shingle_sets(list(b["text"])):
+            for s in shingle_sets(b["text"]):
                 order = ordered(s)
                 if len(common) and len(order):
                     late = common[np.minimum(np.searchsorted(common, order), len(common) - 1)] == order
@@ -119,7 +119,7 @@ def hot_tokens(docs: DataFrame, n_docs: int, text: str, key: str) -> np.ndarray:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens, total = [], 0
         for b in batches:
-            for s in shingle_sets(list(b["text"])):
+            for s in shingle_sets(b["text"]):
                 tokens.append(ordered(s))
                 total += len(s)
                 if total >= COUNTED:

@@ -55,10 +55,9 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     return docs.select(F.coalesce(key, F.lit(_NEVER)).alias("id"), run(text).alias("packed"))
 
 
-def unpacked(packed: pd.Series) -> list[bytes]:
-    """The texts of a batch."""
-    d = zstandard.ZstdDecompressor()
-    return [d.decompress(p) for p in packed]
+def unpacked(packed: pd.Series) -> Iterator[bytes]:
+    """The texts of a batch, one by one."""
+    return map(zstandard.ZstdDecompressor().decompress, packed)
 
 
 def anchors(docs: DataFrame, text: str, key: str, window: int) -> DataFrame:
@@ -67,7 +66,7 @@ def anchors(docs: DataFrame, text: str, key: str, window: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found, sizes, times = [], [], []
-            for h in word_hashes([(t or "").encode() for t in b["text"]]):
+            for h in word_hashes((t or "").encode() for t in b["text"]):
                 a = window_anchors(h, window)
                 first = a[np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))] if len(a) else a
                 u, n = np.unique(first, return_counts=True)
