@@ -132,7 +132,16 @@ class Encoder:
                     self[text] = ids
                 return ids
 
-        self.cache = Cache()
+        class Counts(dict):
+            def __missing__(self, text: str) -> int:
+                n = 1 if text in bpe.special else len(encode(text))
+                if len(text) <= CACHED_CHARS:
+                    if len(self) >= CACHE:
+                        self.clear()
+                    self[text] = n
+                return n
+
+        self.cache, self.counts = Cache(), Counts()
         self.bytes_of = {str(i): t for i, t in bpe.token.items()}
 
     def ids(self, text: str) -> str:

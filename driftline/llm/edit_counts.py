@@ -7,10 +7,9 @@ pre-tokens it touches and the context that can change with them, then updates th
 from __future__ import annotations
 
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm.bpe import _PATTERN, Bpe, Encoder, encoder
+from driftline.llm.bpe import Bpe, Encoder, encoder
 
 #: Pre-tokens in a leaf when the tree is built.
 LEAF = 64
@@ -20,22 +19,19 @@ class CountTree:
     """Leaves hold runs of pre-tokens with their counts; inner nodes hold sums of characters and tokens."""
 
     def __init__(self, text: str, enc: Encoder) -> None:
-        self.enc, self.match = enc, regex.compile(_PATTERN).match
+        self.enc, self.count = enc, enc.counts.__getitem__
         self.reencoded = 0
         self._build(self._split(text))
 
     def _split(self, text: str) -> list[str]:
         return [p for special, part in self.enc.bpe.pieces(text) for p in ([part] if special else self.enc.find(part))]
 
-    def _count(self, piece: str) -> int:
-        return 1 if piece in self.enc.bpe.special else self.enc.cache[piece].count(",") + 1
-
     def _build(self, pieces: list[str]) -> None:
         self.leaves = [pieces[k : k + LEAF] for k in range(0, len(pieces), LEAF)] or [[]]
         self.width = 1 << (len(self.leaves) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.width), [0] * (2 * self.width)
         for k, leaf in enumerate(self.leaves):
-            self.chars[self.width + k], self.tokens[self.width + k] = sum(map(len, leaf)), sum(map(self._count, leaf))
+            self.chars[self.width + k], self.tokens[self.width + k] = sum(map(len, leaf)), sum(map(self.count, leaf))
         for k in range(self.width - 1, 0, -1):
             self._sum(k)
 
@@ -119,7 +115,7 @@ class CountTree:
         for k in range(n):
             self.leaves[a + k] = merged[k * len(merged) // n : (k + 1) * len(merged) // n]
             self.chars[self.width + a + k] = sum(map(len, self.leaves[a + k]))
-            self.tokens[self.width + a + k] = sum(map(self._count, self.leaves[a + k]))
+            self.tokens[self.width + a + k] = sum(map(self.count, self.leaves[a + k]))
         for node in sorted({(self.width + a + k) >> up for k in range(n) for up in range(1, self.width.bit_length())} - {0}, reverse=True):
             self._sum(node)
 
