@@ -5,7 +5,7 @@ in which a summed bound on coordinate minima prunes pairs before the sets are co
 
 A tree over the whole space would not do: the counts of long documents differ too little in each single
 coordinate for boxes to exclude each other, and all boxes would meet. So leaves are keyed by the prefix
-shingles of a point (see prefixes()), of which two linked documents share one at least, and the bound on
+shingles of a point (see prefix_sizes()), of which two linked documents share one at least, and the bound on
 coordinate minima works inside the leaves.
 """
 
@@ -27,6 +27,8 @@ SHINGLE, LEAST, GROUPS = 4, 85, 64
 HOT_SHARE = 1 / 2000
 #: Shingles counted at once by a task, and the least count of them that it reports.
 COUNTED, REPORTED = 1 << 21, 3
+#: Bits of the bitmap of documents whose texts are compared (8 MB).
+MEMBERS = 1 << 26
 #: Prefix shingles keep so many bits of their hash; one too many that meets only costs a comparison.
 _SHORT = np.uint64((1 << 48) - 1)
 _U = np.uint64
@@ -67,42 +69,33 @@ def ordered(shingles: np.ndarray) -> np.ndarray:
     return np.sort((mix(shingles + _U(7)) & _SHORT).view(np.int64))
 
 
-def sets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """id, n (shingles), set_hash (null for an empty set), point."""
+def profiles(docs: DataFrame, hot: np.ndarray, text: str, key: str, least: int) -> DataFrame:
+    """id, n (shingles), set_hash (null for an empty set), point, short (prefix shingles), prefix.
 
-    @F.pandas_udf("n long, set_hash string, point binary")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for s in shingle_sets(texts):
-            a, b = (int(mix(s * _U(2 * i + 1) + _U(i)).sum(dtype=np.uint64)) for i in (1, 2))
-            rows.append((len(s), f"{a:016x}{b:016x}{len(s):x}" if len(s) else None, group_counts(s)))
-        return pd.DataFrame(rows, columns=["n", "set_hash", "point"])
-
-    return docs.select(F.col(key).alias("id"), run(text).alias("s")).select("id", "s.*")
-
-
-def prefixes(docs: DataFrame, hot: np.ndarray, text: str, key: str, least: int) -> DataFrame:
-    """token, id, short, rest (shingles from this one on) for the first shingles of each set: by their hashes, hot ones last."""
+    The prefix is the first shingles of the set by their hashes, hot ones last; equal sets have equal ones.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common = shared.value
         for b in batches:
-            tokens, short, rest, sizes = [np.zeros(0, np.int64)], [np.zeros(0, bool)], [np.zeros(0, np.int64)], []
+            rows = []
             for s in shingle_sets(b["text"]):
+                if not len(s):
+                    rows.append((0, None, group_counts(s), 0, s.view(np.int64)))
+                    continue
                 order = ordered(s)
-                if len(common) and len(order):
+                if len(common):
                     late = common[np.minimum(np.searchsorted(common, order), len(common) - 1)] == order
                     order = np.concatenate((order[~late], order[late]))
-                first, size = prefix_sizes(len(s), least) if len(s) else (0, 0)
-                tokens.append(order[:size])
-                short.append(np.arange(len(order[:size])) < first)
-                rest.append(len(s) - np.arange(len(order[:size])))
-                sizes.append(len(tokens[-1]))
-            yield pd.DataFrame({"token": np.concatenate(tokens), "id": np.repeat(b["id"].to_numpy(), sizes), "short": np.concatenate(short), "rest": np.concatenate(rest)})
+                x, y = (int(mix(s * _U(2 * i + 1) + _U(i)).sum(dtype=np.uint64)) for i in (1, 2))
+                short, long = prefix_sizes(len(s), least)
+                rows.append((len(s), f"{x:016x}{y:016x}{len(s):x}", group_counts(s), short, order[:long]))
+            out = pd.DataFrame(rows, columns=["n", "set_hash", "point", "short", "prefix"])
+            yield out.assign(id=b["id"].array)[["id", *out.columns]]
 
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "token long, id long, short boolean, rest int")
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    return rows.mapInPandas(run, "id long, n long, set_hash string, point binary, short int, prefix array<long>")
 
 
 def hot_tokens(docs: DataFrame, n_docs: int, text: str, key: str) -> np.ndarray:
@@ -133,15 +126,34 @@ def hot_tokens(docs: DataFrame, n_docs: int, text: str, key: str) -> np.ndarray:
     return rows.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > most).select("token").toPandas()["token"].to_numpy()
 
 
-def packed(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """id, packed: the compressed text, which is what is shuffled of a document."""
+def bitmap(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of each id: MEMBERS bits, whatever the number of ids."""
+    place = F.pmod(F.xxhash64("id"), F.lit(MEMBERS))
+    bits = ids.select(F.floor(place / 64).cast("int").alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int")).alias("bit"))
+    rows = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(MEMBERS // 64, np.int64)
+    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return out
+
 
-    @F.pandas_udf("binary")
-    def run(texts: pd.Series) -> pd.Series:
-        c = zstandard.ZstdCompressor(level=3)
-        return pd.Series([c.compress((t or "").encode()) for t in texts], dtype=object)
+def packed(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> DataFrame:
+    """id, packed: the compressed texts of the documents in pairs (a, b).
 
-    return docs.select(F.col(key).alias("id"), run(text).alias("packed"))
+    A bitmap of bounded size, which only ever lets too many through, keeps most others out of the shuffle.
+    """
+    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    members = docs.sparkSession.sparkContext.broadcast(bitmap(ids))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c, table = zstandard.ZstdCompressor(level=3), members.value
+        for b in batches:
+            place = b["place"].to_numpy(np.int64)
+            b = b[(table[place >> 6] >> (place & 63)) & 1 == 1]
+            yield pd.DataFrame({"id": b["id"], "packed": pd.Series([c.compress((t or "").encode()) for t in b["text"]], b.index, object)})
+
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
+    rows = rows.withColumn("place", F.pmod(F.xxhash64("id"), F.lit(MEMBERS))).mapInPandas(run, "id long, packed binary")
+    return cut(rows.join(ids, "id", "left_semi").dropDuplicates(["id"]))
 
 
 def bounded(pairs: DataFrame, points: DataFrame, least: int = LEAST) -> DataFrame:
@@ -213,21 +225,23 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int =
 
     Documents link when 100 * common shingles >= least * all shingles of both. Without words a document links
     with none. Equal sets are one class with one representative, whose pairs stand for all of them. Repeated
-    rows give repeated rows; rows with a null key each get a null component. Nothing is sampled or capped: pairs that
+    rows give repeated rows (of different texts under one key, one is compared); rows with a null key each get a null component. Nothing is sampled or capped: pairs that
     share a leaf are either verified or known to be in one component already. The leader of a leaf is compared with
     all others of it first; what remains are pairs in different components.
     """
-    each = cut(sets(docs, text, key))
+    docs = docs.withColumn(key, F.col(key).cast("long"))
+    each = cut(profiles(docs, hot_tokens(docs, docs.count(), text, key), text, key, least))
     filled = each.where("set_hash is not null and id is not null")
-    classes = filled.groupBy("set_hash").agg(F.min("id").alias("rep"))
-    reps = cut(filled.join(classes, "set_hash").where("id = rep").select("id", "n", "point").dropDuplicates(["id"]))
-    tokens = cut(prefixes(docs, hot_tokens(docs, reps.count(), text, key), text, key, least))
+    first = (F.first(c).alias(c) for c in ("n", "point", "short", "prefix"))
+    classes = cut(filled.groupBy("set_hash").agg(F.min("id").alias("id"), *first))
+    reps = classes.select("id", "n", "point").dropDuplicates(["id"])
+    tokens = classes.select("id", "n", F.col("short").alias("first"), F.posexplode("prefix").alias("place", "token"))
+    tokens = tokens.select("token", "id", (F.col("place") < F.col("first")).alias("short"), (F.col("n") - F.col("place")).cast("int").alias("rest"))
     leaves = tokens.groupBy("token").agg(F.count("*").alias("size"), F.min(F.when(F.col("short"), F.col("id"))).alias("leader")).where("size > 1 and leader is not null").drop("size")
     shared = cut(tokens.join(leaves, "token").select("token", "id", "short", "rest", "leader"))
     fits = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(least) * F.greatest(x, y)
     stars = cut(bounded(shared.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), reps, least))
-    texts = cut(packed(docs, text, key).join(shared.select("id").distinct().join(reps, "id", "left_semi"), "id", "left_semi").dropDuplicates(["id"]))
-    links = cut(verify(stars, texts, least))
+    links = cut(verify(stars, packed(docs, stars, text, key), least))
     known = components(links)
     # Pairs of a leaf in different components are all that is left to verify.
     own = cut(shared.select("token", "id", "short", "rest").join(reps.select("id", "n"), "id").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
@@ -237,9 +251,8 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int =
     pairs = x.where("short_x").join(y, "token").where((F.col("component_x") != F.col("component_y")) & (F.col("n_x") <= F.col("n_y")) & fits(F.col("n_x"), F.col("n_y")))
     # In the first shingle that a linked pair has in common, all that they share is still ahead of both.
     pairs = pairs.where(F.least("rest_x", "rest_y") * (100 + least) >= F.lit(least) * (F.col("n_x") + F.col("n_y")))
-    close = bounded(pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct(), reps, least)
-    more = cut(verify(close, texts, least))
-    if not more.isEmpty():
-        known = components(links.union(more))
-    final = classes.join(known, classes["rep"] == known["node"], "left").select("set_hash", F.coalesce("component", "rep").alias("component"))
+    close = cut(bounded(pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct(), reps, least))
+    if not close.isEmpty():
+        known = components(links.union(verify(close, packed(docs, close, text, key), least)))
+    final = classes.join(known, classes["id"] == known["node"], "left").select("set_hash", F.coalesce("component", "id").alias("component"))
     return each.join(final, "set_hash", "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
