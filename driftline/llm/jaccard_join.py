@@ -29,6 +29,8 @@ HOT_SHARE = 1 / 2000
 COUNTED, REPORTED = 1 << 21, 3
 #: Bits of the bitmap of documents whose texts are compared (8 MB).
 MEMBERS = 1 << 26
+#: Texts of each side that are compared at once.
+BLOCK = 64
 #: Prefix shingles keep so many bits of their hash; one too many that meets only costs a comparison.
 _SHORT = np.uint64((1 << 48) - 1)
 _U = np.uint64
@@ -157,7 +159,7 @@ def packed(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def bounded(pairs: DataFrame, points: DataFrame, least: int = LEAST) -> DataFrame:
-    """The pairs (a, b) that the bound lets through: no overlap exceeds the sum of the minima of two points' coordinates."""
+    """The pairs (a, b, hub) that the bound lets through: no overlap exceeds the sum of the minima of two points' coordinates."""
     left = pairs.join(points.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a")
     both = left.join(points.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b")
     both = both.where(F.lit(100) * F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb"))
@@ -165,34 +167,33 @@ def bounded(pairs: DataFrame, points: DataFrame, least: int = LEAST) -> DataFram
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             keep = [np.minimum(point(x), point(y)).sum() >= needed(n + m, least) for x, y, n, m in zip(b["pa"], b["pb"], b["na"], b["nb"], strict=True)]
-            yield b.loc[np.array(keep, bool), ["a", "b"]]
+            yield b.loc[np.array(keep, bool), ["a", "b", "hub"]]
 
-    return both.select("a", "b", "na", "nb", "pa", "pb").mapInPandas(run, "a long, b long")
+    return both.select("a", "b", "hub", "na", "nb", "pa", "pb").mapInPandas(run, "a long, b long, hub long")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, least: int = LEAST) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, by the exact overlap."""
-    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("packed").alias("pa")), "a")
-    both = left.join(texts.select(F.col("id").alias("b"), F.col("packed").alias("pb")), "b").select("a", "b", "pa", "pb")
+def verify(pairs: DataFrame, texts: DataFrame, star: bool, least: int = LEAST) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, by the exact overlap.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unpack, last = zstandard.ZstdDecompressor(), {}
-
-        def shingles(packed: bytes) -> np.ndarray:
-            if packed not in last:
-                if len(last) >= 64:
-                    last.clear()
-                last[packed] = next(shingle_sets([unpack.decompress(packed).decode()]))
-            return last[packed]
+    Pairs of one hub are compared together, so a text is sent once for many of them. A hub with many pairs is dealt
+    into cells by the hashes of both ends: a cell holds about BLOCK texts of each, whatever the size of the hub.
+    star says that all pairs of a hub have the same a.
+    """
+    sizes = pairs.groupBy("hub").agg(F.count("*").alias("m"))
+    wide = F.ceil((F.col("m") if star else F.sqrt(F.col("m") * 2)) / BLOCK).cast("int")
+    end = lambda c: F.pmod(F.xxhash64(c), F.col("wide")).cast("int")
+    dealt = pairs.join(sizes.select("hub", wide.alias("wide")), "hub")
+    dealt = cut(dealt.select("hub", (F.lit(0) if star else end("a")).alias("row"), end("b").alias("col"), "a", "b"))
+    cell = ["hub", "row", "col"]
+    sent = dealt.select(*cell, F.explode(F.array("a", "b")).alias("id")).distinct().join(texts, "id").select(*(F.col(c).alias(f"{c}_") for c in cell), "id", "packed")
 
-        for b in batches:
-            keep = []
-            for pa, pb in zip(b["pa"], b["pb"], strict=True):
-                x, y = shingles(pa), shingles(pb)
-                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= needed(len(x) + len(y), least))
-            yield b.loc[np.array(keep, bool), ["a", "b"]]
+    def run(own: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        unpack = zstandard.ZstdDecompressor()
+        each = dict(zip(held["id"], shingle_sets(unpack.decompress(p).decode() for p in held["packed"]), strict=True))
+        keep = [len(np.intersect1d(each[a], each[b], assume_unique=True)) >= needed(len(each[a]) + len(each[b]), least) for a, b in zip(own["a"], own["b"], strict=True)]
+        return own.loc[np.array(keep, bool), ["a", "b"]]
 
-    return both.mapInPandas(run, "a long, b long")
+    return dealt.groupBy(*cell).cogroup(sent.groupBy(*(f"{c}_" for c in cell))).applyInPandas(run, "a long, b long")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -240,8 +241,8 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int =
     leaves = tokens.groupBy("token").agg(F.count("*").alias("size"), F.min(F.when(F.col("short"), F.col("id"))).alias("leader")).where("size > 1 and leader is not null").drop("size")
     shared = cut(tokens.join(leaves, "token").select("token", "id", "short", "rest", "leader"))
     fits = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(least) * F.greatest(x, y)
-    stars = cut(bounded(shared.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), reps, least))
-    links = cut(verify(stars, packed(docs, stars, text, key), least))
+    stars = cut(bounded(shared.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b"), F.col("leader").alias("hub")).distinct(), reps, least))
+    links = cut(verify(stars, packed(docs, stars, text, key), True, least))
     known = components(links)
     # Pairs of a leaf in different components are all that is left to verify.
     own = cut(shared.select("token", "id", "short", "rest").join(reps.select("id", "n"), "id").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
@@ -251,8 +252,8 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int =
     pairs = x.where("short_x").join(y, "token").where((F.col("component_x") != F.col("component_y")) & (F.col("n_x") <= F.col("n_y")) & fits(F.col("n_x"), F.col("n_y")))
     # In the first shingle that a linked pair has in common, all that they share is still ahead of both.
     pairs = pairs.where(F.least("rest_x", "rest_y") * (100 + least) >= F.lit(least) * (F.col("n_x") + F.col("n_y")))
-    close = cut(bounded(pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct(), reps, least))
+    close = cut(bounded(pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"), "token").groupBy("a", "b").agg(F.min("token").alias("hub")), reps, least))
     if not close.isEmpty():
-        known = components(links.union(verify(close, packed(docs, close, text, key), least)))
+        known = components(links.union(verify(close, packed(docs, close, text, key), False, least)))
     final = classes.join(known, classes["id"] == known["node"], "left").select("set_hash", F.coalesce("component", "id").alias("component"))
     return each.join(final, "set_hash", "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
