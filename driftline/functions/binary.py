@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import struct
-from decimal import Decimal
+from decimal import Context, Decimal
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
+_WIDE = Context(prec=38)
+
 
 def hex_lower(b: Column) -> Column:
     return F.lower(F.hex(b))
@@ -67,6 +69,97 @@ def double_of(b: Column) -> Column:
     return run(b)
 
 
+def _decimal(b: bytes) -> Decimal:
+    """Digits to the base 100 after an exponent byte; of a negative number each byte runs the other way, with an end byte.
+
+    A positive number's exponent byte is its exponent + 65 with the high bit set, its digits are stored plus 1; a
+    negative one's is 62 - exponent, its digits are 101 minus the digit. Zero is the exponent byte 0x80 alone.
+    """
+    if b == b"\x80":
+        return Decimal(0)
+    positive = bool(b) and b[0] >= 0x80
+    digits = [d - 1 for d in b[1:]] if positive else [101 - d for d in (b[1:-1] if b[-1:] == b"\x66" else b[1:])]
+    if not digits or not all(0 <= d < 100 for d in digits):
+        raise ValueError(f"not a decimal: {b.hex()}")
+    exponent = (b[0] & 0x7F) - 65 if positive else 62 - b[0]
+    whole = "".join(f"{d:02d}" for d in digits)
+    return Decimal(f"{'' if positive else '-'}{whole}E{2 * (exponent - len(digits) + 1)}")
+
+
+def decimal_of(b: Column, scale: int = 18) -> Column:
+    """decimal(38, scale) of a variable-length decimal; one that does not fit exactly fails."""
+
+    @F.pandas_udf(f"decimal(38,{scale})")
+    def run(values: pd.Series) -> pd.Series:
+        def one(v):
+            if v is None:
+                return None
+            exact = _decimal(bytes(v))
+            fitted = _WIDE.quantize(exact, Decimal(1).scaleb(-scale))
+            if fitted != exact:
+                raise ValueError(f"{exact} has more than {scale} decimal places")
+            return fitted
+
+        return pd.Series([one(v) for v in values], dtype=object)
+
+    return run(b)
+
+
+def decimal_bytes(n: Column) -> Column:
+    """The variable-length form of a decimal column, without trailing zero digits."""
+
+    @F.pandas_udf("binary")
+    def run(values: pd.Series) -> pd.Series:
+        def one(v):
+            if v is None:
+                return None
+            sign, digits, places = v.as_tuple()
+            text = "".join(map(str, digits)).lstrip("0")
+            if not text:
+                return b"\x80"
+            if places % 2:
+                text, places = text + "0", places - 1
+            text = text.zfill(len(text) + len(text) % 2)
+            exponent = places // 2 + len(text) // 2 - 1
+            text = text.rstrip("0")
+            pairs = [int(text[k : k + 2].ljust(2, "0")) for k in range(0, len(text), 2)]
+            if sign:
+                return bytes([62 - exponent, *(101 - d for d in pairs), 0x66])
+            return bytes([(exponent + 65) | 0x80, *(d + 1 for d in pairs)])
+
+        return pd.Series([one(v) for v in values], dtype=object)
+
+    return run(n)
+
+
+def _texts(b: bytes) -> list[str | None]:
+    """Elements of an array of texts by its trailer: place of the offsets (4 bytes), count (4, negative with wide offsets), version (1)."""
+    if not b:
+        return []
+    if len(b) < 9:
+        raise ValueError("an array ends with 9 bytes")
+    at, count = struct.unpack(">ii", b[-9:-1])
+    wide, count = count < 0, abs(count)
+    size = 4 if wide else 2
+    if not 0 <= at <= at + size * count <= len(b) - 9:
+        raise ValueError("the offsets of an array lie outside of it")
+    starts = struct.unpack(f">{count}{'i' if wide else 'h'}", b[at : at + size * count])
+    starts = [abs(s if wide else s + 0x7FFF) for s in starts]
+    # Each element ends with a zero byte, two more close the array.
+    ends = [*(s - 1 for s in starts[1:]), at - 3][:count]
+    return [b[s:e].decode() if e > s and b[s] else None for s, e in zip(starts, ends, strict=True)]
+
+
+def texts_of(b: Column) -> Column:
+    """array<string> of an array of texts; null elements (a zero byte and how many there are in a row) stay null, which empty texts are, broken offsets fail."""
+
+    @F.pandas_udf("array<string>")
+    def run(values: pd.Series) -> pd.Series:
+        return pd.Series([None if v is None else _texts(bytes(v)) for v in values], dtype=object)
+
+    return run(b)
+
+
 def _segments(key: bytes, salt: int, kinds: list[tuple[str, int]]) -> list[bytes | None]:
     """The bytes of each key column: (kind, width), width 0 for delimited text; None from the first that can't be cut."""
     out, at = [], salt

@@ -32,3 +32,12 @@ def upsert(state: DataFrame, news: DataFrame, key: str = "process") -> DataFrame
     rest = [c for c in state.columns if c != key]
     both = state.alias("s").join(news.alias("n"), key, "full")
     return both.select(key, *(F.coalesce(F.col(f"n.{c}"), F.col(f"s.{c}")).alias(c) for c in rest))
+
+
+def expired_partitions(partitions: DataFrame, now: Column, days: int, last_cleaned: Column | None = None) -> DataFrame:
+    """Journal partitions (name, part_end) to drop: those that ended more than `days` days before now.
+
+    None on a day on which the last cleaning took place already; a partition without an end stays.
+    """
+    due = F.lit(True) if last_cleaned is None else F.coalesce(F.to_date(last_cleaned) < F.to_date(now), F.lit(True))
+    return partitions.where(due & (F.col("part_end") < now - F.make_dt_interval(days=F.lit(days))))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import struct
+from numbers import Integral
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.column import Column
@@ -32,25 +34,87 @@ def _long(n: int) -> bytes:
 
 
 _AVRO = {
+    "null": lambda v: b"",
     "string": lambda v: _long(len(b := str(v).encode())) + b,
-    "long": lambda v: _long(int(v)),
+    "bytes": lambda v: _long(len(v)) + bytes(v),
+    "int": lambda v: _long(_within(int(v), 32)),
+    "long": lambda v: _long(_within(int(v), 64)),
+    "float": lambda v: struct.pack("<f", float(v)),
     "double": lambda v: struct.pack("<d", float(v)),
     "boolean": lambda v: b"\1" if v else b"\0",
 }
-
-
-def avro_record(fields: list[tuple[str, str, bool]]) -> Column:
-    """Avro's binary form of a record, from columns: (name, type, nullable); a null in a field that has none fails."""
+#: What a value must be to take a branch of a union.
+_TAKES = {"string": str, "bytes": (bytes, bytearray), "int": Integral, "long": Integral, "float": float, "double": float, "boolean": (bool, np.bool_), "enum": str, "fixed": (bytes, bytearray), "array": (list, np.ndarray), "map": dict, "record": dict}
+
+
+def _within(n: int, bits: int) -> int:
+    if not -(1 << bits - 1) <= n < 1 << bits - 1:
+        raise ValueError(f"{n} does not fit into {bits} bits")
+    return n
+
+
+def _missing(v) -> bool:
+    return v is None or v is pd.NaT or v is pd.NA
+
+
+def _blocks(items: list[bytes]) -> bytes:
+    """Items of an array or map: one block with its count, if there are any, and an empty one."""
+    return (_long(len(items)) + b"".join(items) if items else b"") + b"\0"
+
+
+def _takes(kind, v) -> bool:
+    name = kind["type"] if isinstance(kind, dict) else kind
+    if _missing(v) or name == "null":
+        return _missing(v) and name == "null"
+    truth = isinstance(v, (bool, np.bool_))
+    return isinstance(v, _TAKES[name]) and truth == (name == "boolean")
+
+
+def _avro(kind, v) -> bytes:
+    """The binary form of a value by its Avro type as in a schema: a name, an object, or a list for a union (first branch that takes it)."""
+    if isinstance(kind, list):
+        branch = next((k for k, x in enumerate(kind) if _takes(x, v)), None)
+        if branch is None:
+            raise ValueError(f"no branch of {kind} takes {v!r}")
+        return _long(branch) + _avro(kind[branch], v)
+    if isinstance(kind, str):
+        if _missing(v) and kind != "null":
+            raise ValueError(f"a value of type {kind} is required")
+        return _AVRO[kind](v)
+    if _missing(v):
+        raise ValueError(f"a value of type {kind['type']} is required")
+    match kind["type"]:
+        case "array":
+            return _blocks([_avro(kind["items"], x) for x in v])
+        case "map":
+            return _blocks([_AVRO["string"](k) + _avro(kind["values"], x) for k, x in dict(v).items()])
+        case "record":
+            return b"".join(_avro(f["type"], v.get(f["name"], f.get("default")) if _missing(v.get(f["name"])) else v[f["name"]]) for f in kind["fields"])
+        case "enum":
+            return _long(kind["symbols"].index(v))
+        case "fixed":
+            if len(v) != kind["size"]:
+                raise ValueError(f"expected {kind['size']} bytes")
+            return bytes(v)
+        case other:
+            return _avro(other, v)
+
+
+def avro_record(fields: list[tuple[str, str | dict | list, bool]]) -> Column:
+    """Avro's binary form of a record, from columns: (name, type, nullable); a null in a field that has none fails.
+
+    The type is a name, or an object or union as in an Avro schema; nullable stands for a union with null first.
+    """
 
     @F.pandas_udf("binary")
     def run(rows: pd.DataFrame) -> pd.Series:
         def one(row) -> bytes:
             out = b""
             for v, (name, kind, nullable) in zip(row, fields, strict=True):
-                missing = v is None or v is pd.NaT or (isinstance(v, float) and v != v and kind != "double")
-                if missing and not nullable:
+                missing = _missing(v) or (isinstance(v, float) and v != v and kind not in ("float", "double"))
+                if missing and not nullable and not isinstance(kind, list):
                     raise ValueError(f"{name} is required")
-                out += b"\0" if missing else (b"\2" if nullable else b"") + _AVRO[kind](v)
+                out += b"\0" if missing and nullable else (b"\2" if nullable else b"") + _avro(kind, v)
             return out
 
         return pd.Series([one(r) for r in rows.itertuples(index=False)], dtype=object)

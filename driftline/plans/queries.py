@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -205,6 +206,46 @@ def typed_value_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", binary.unsigned(binary.big_endian(F.col("o_orderkey"), 8), 8).alias("plain"), binary.signed(flipped, 8).alias("signed_value"))
 
 
+@query("SELECT n_nationkey, CASE WHEN n_nationkey = 0 THEN '80' WHEN n_nationkey % 2 = 0 THEN 'C1' || printf('%02X', n_nationkey + 1) ELSE '3E' || printf('%02X', 101 - n_nationkey) || '66' END AS bytes FROM nation")
+def decimal_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.when(F.col("n_nationkey") % 2 == 0, F.col("n_nationkey")).otherwise(-F.col("n_nationkey")).cast("decimal(10,0)")
+    return table(spark, sf_dir, "nation").select("n_nationkey", F.hex(binary.decimal_bytes(n)).alias("bytes"))
+
+
+@query("SELECT o_orderkey, o_orderkey * 7 - 10000 AS cents FROM orders")
+def decimal_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = ((F.col("o_orderkey") * 7 - 10000).cast("decimal(20,0)") / F.lit(Decimal(100))).cast("decimal(38,2)")
+    decoded = binary.decimal_of(binary.decimal_bytes(n), 2)
+    return table(spark, sf_dir, "orders").select("o_orderkey", (decoded * 100).cast("long").alias("cents"))
+
+
+@query("SELECT c_custkey, c_name AS first, c_mktsegment AS second, CAST(2 AS INTEGER) AS n FROM customer")
+def text_array_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two texts, each closed by a zero byte, one more, then offsets, their place, the count and a version."""
+    zero, a, b = F.unhex(F.lit("00")), F.col("c_name").cast("binary"), F.col("c_mktsegment").cast("binary")
+    offset = lambda n: binary.big_endian(n + 0x8001, 2)
+    at = F.length(a) + F.length(b) + 4
+    packed = F.concat(a, zero, b, zero, zero, zero, offset(F.lit(0)), offset(F.length(a) + 1), binary.big_endian(at, 4), binary.big_endian(F.lit(2), 4), F.unhex(F.lit("01")))
+    parts = table(spark, sf_dir, "customer").select("c_custkey", binary.texts_of(packed).alias("p"))
+    return parts.select("c_custkey", F.col("p")[0].alias("first"), F.col("p")[1].alias("second"), F.size("p").alias("n"))
+
+
+@query("SELECT n_nationkey, '04' || printf('%02X', n_nationkey * 2) || '01' || '00' || CASE WHEN n_nationkey % 2 = 0 THEN '00' ELSE '02' || printf('%02X', strlen(n_name) * 2) || hex(n_name) END || '01' AS record FROM nation")
+def avro_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("n_nationkey")
+    rows = table(spark, sf_dir, "nation").select(n, F.array(n.cast("long"), F.lit(-1).cast("long")).alias("xs"), F.when(n % 2 != 0, F.col("n_name")).alias("name"), F.lit(True).alias("ok"))
+    fields = [("xs", {"type": "array", "items": "long"}, False), ("name", ["null", "string"], False), ("ok", "boolean", False)]
+    return rows.select("n_nationkey", F.hex(serialize.avro_record(fields)).alias("record"))
+
+
+@query("SELECT DISTINCT strftime(ts, '%Y%m%d') AS name, CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) AS part_end FROM events WHERE CAST(ts AS DATE) + 1 < TIMESTAMP '2024-01-20 06:00:00' - INTERVAL 14 DAYS")
+def journal_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    end = (F.date_trunc("day", "ts") + F.make_dt_interval(days=F.lit(1))).cast("timestamp_ntz")
+    parts = events(spark, sf_dir).select(F.date_format("ts", "yyyyMMdd").alias("name"), end.alias("part_end")).distinct()
+    now = F.to_timestamp_ntz(F.lit("2024-01-20 06:00:00"))
+    return journal.expired_partitions(parts, now, 14, now - F.make_dt_interval(days=F.lit(1)))
+
+
 @query("SELECT n_nationkey, '{\"n_nationkey\":' || n_nationkey || CASE WHEN n_nationkey % 3 <> 0 THEN ',\"n_name\":\"' || n_name || '\"' ELSE '' END || '}' || chr(10) AS line FROM nation")
 def json_each_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 3 != 0, F.col("n_name")).alias("n_name"))
