@@ -1,7 +1,9 @@
 """Operator 10: quality rules with distribution divergence.
 
 A document's histograms of character classes and of common words are compared to those of its language in the
-whole corpus, by Jensen-Shannon distance; short texts are not judged that way.
+whole corpus, by Jensen-Shannon distance; short texts are not judged that way. Every language that the corpus names
+has a reference of character classes, those of COMMON one of words too. A document whose language has no reference
+is never compared to another language: only the base rules can reject it.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Common words of the languages with a reference.
+#: Common words of the languages that are also judged by words.
 COMMON = {
     "de": "der die das und in den von zu mit sich des auf für ist im dem nicht ein eine als auch es an er aus bei nach wie".split(),
     "en": "the of and to in is that for was on are with as by this from it be or an at have which not you he his but".split(),
@@ -23,6 +25,8 @@ COMMON = {
 CLASSES = 9
 #: Verdict of the method: least characters and words for a judgement, greatest distances (0 to 1).
 MIN_CHARS, MIN_WORDS, MAX_CHAR_JSD, MAX_WORD_JSD = 200, 50, 0.31, 0.42
+#: Languages that a task sums up before it sends them; bounds its memory if `lang` holds arbitrary values.
+HELD = 1000
 
 
 def _class_of() -> np.ndarray:
@@ -88,37 +92,48 @@ def measure(text: str) -> tuple[int, int, int, int, int, np.ndarray, list[bytes]
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """(character classes, common words) of each language of COMMON, over all documents of the corpus.
+    """(character classes, common words) of each language named in the corpus, over all its documents with a text.
 
-    Each task sends its sums only: a few numbers for each language.
+    A language outside COMMON has no common words: its second histogram is empty. Each task sends its sums only: a few
+    numbers for each language.
     """
-    names = sorted(COMMON)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chars = {k: np.zeros(CLASSES) for k in names}
-        common = {k: np.zeros(len(COMMON[k]) + 1) for k in names}
-        places = {k: {w.encode(): i for i, w in enumerate(COMMON[k])} for k in names}
+        chars: dict[str, np.ndarray] = {}
+        common = {k: np.zeros(len(ws) + 1) for k, ws in COMMON.items()}
+        places = {k: {w.encode(): i for i, w in enumerate(ws)} for k, ws in COMMON.items()}
+
+        def sent(kind: str, found: dict[str, np.ndarray]) -> pd.DataFrame:
+            rows = [(k, kind, i, n) for k, h in found.items() for i, n in enumerate(h)]
+            return pd.DataFrame(rows, columns=["lang", "kind", "i", "n"])
+
         for b in batches:
             for k, t in zip(b["lang"], b["text"], strict=True):
                 data = t.encode()
-                chars[k] += np.bincount(CLASS_OF, weights=np.bincount(np.frombuffer(data, np.uint8), minlength=256), minlength=CLASSES)
-                common[k] += _word_histogram(data.split(), places[k], len(COMMON[k]))
-        for k in names:
-            for kind, h in (("c", chars[k]), ("w", common[k])):
-                yield pd.DataFrame({"lang": k, "kind": kind, "i": np.arange(len(h)), "n": h})
-
-    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isin(names)).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    out = {k: (np.zeros(CLASSES), np.zeros(len(COMMON[k]) + 1)) for k in names}
+                if k not in chars and len(chars) >= HELD:
+                    yield sent("c", chars)
+                    chars = {}
+                each = np.bincount(CLASS_OF, weights=np.bincount(np.frombuffer(data, np.uint8), minlength=256), minlength=CLASSES)
+                chars[k] = chars[k] + each if k in chars else each
+                if k in common:
+                    common[k] += _word_histogram(data.split(), places[k], len(COMMON[k]))
+        yield sent("c", chars)
+        yield sent("w", common)
+
+    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    out: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for r in rows.mapInPandas(sums, "lang string, kind string, i int, n double").groupBy("lang", "kind", "i").agg(F.sum("n").alias("n")).collect():
-        out[r["lang"]][r["kind"] == "w"][r["i"]] = r["n"]
-    return out
+        own = out.setdefault(r["lang"], (np.zeros(CLASSES), np.zeros(len(COMMON[r["lang"]]) + 1 if r["lang"] in COMMON else 0)))
+        own[r["kind"] == "w"][r["i"]] = r["n"]
+    return {k: own for k, own in out.items() if own[0].any()}
 
 
 def judge(spark: SparkSession, docs: DataFrame, refs: dict | None = None, text: str = "text", lang: str = "lang") -> DataFrame:
     """docs with a struct column `quality`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_jsd, word_jsd, kept.
 
-    A document of a language without a reference (or null) is compared to the nearest one. A null text counts as
-    empty (fails the base rule). Whole texts; repeated rows are judged each, alike; an existing column `quality`
+    A document without language or of one without a reference (given refs can lack some) has distances 0 and is kept
+    unless the base rules fail; so has one outside COMMON a word_jsd of 0. A null text counts as empty (fails the base
+    rule). A language written in two scripts has one reference; its rarer script may lie far from it. Whole texts; repeated rows are judged each, alike; an existing column `quality`
     is replaced. Two passes over the texts (references, verdicts), no shuffle of texts.
     """
     refs = references(docs, text, lang) if refs is None else refs
@@ -126,7 +141,7 @@ def judge(spark: SparkSession, docs: DataFrame, refs: dict | None = None, text:
 
     def near(k: str, classes: np.ndarray, words: list[bytes]) -> tuple[float, float]:
         chars, common = refs[k]
-        return distance(classes, chars), distance(_word_histogram(words, places[k], len(COMMON[k])), common)
+        return distance(classes, chars), distance(_word_histogram(words, places[k], len(COMMON[k])), common) if k in places else 0.0
 
     @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, char_jsd double, word_jsd double, kept boolean")
     def run(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
@@ -134,8 +149,8 @@ def judge(spark: SparkSession, docs: DataFrame, refs: dict | None = None, text:
         for t, k in zip(texts, langs, strict=True):
             n, chars, symbols, dups, again, classes, words = measure(t or "")
             failed, far = n < 50 or 100 * again > 50 * n, (0.0, 0.0)
-            if n >= MIN_WORDS and chars >= MIN_CHARS:
-                far = near(k, classes, words) if k in refs else min((near(r, classes, words) for r in sorted(refs)), key=sum, default=far)
+            if n >= MIN_WORDS and chars >= MIN_CHARS and k in refs:
+                far = near(k, classes, words)
             rows.append((n, chars, symbols, dups, again, failed, *far, not failed and far[0] <= MAX_CHAR_JSD and far[1] <= MAX_WORD_JSD))
         return pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_jsd", "word_jsd", "kept"])
 

@@ -1,6 +1,7 @@
 """The ten operators against brute force on small tables with nulls, empty and long texts, ties and repeated rows."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -220,3 +221,57 @@ def test_quality(spark, docs, empty):
         assert tuple(got[k])[:6] == want, k
         assert not (want[-1] and got[k]["kept"])
     assert quality.judge(spark, empty).count() == 0
+
+
+def brute_distance(a, b):
+    total = sum(a.values()), sum(b.values())
+    p, q = ({k: n / t for k, n in c.items()} for c, t in ((a, total[0]), (b, total[1])))
+    kl = lambda x: sum(v * math.log2(v / ((p.get(k, 0) + q.get(k, 0)) / 2)) for k, v in x.items() if v)
+    return max(0.0, (kl(p) + kl(q)) / 2) ** 0.5
+
+
+def brute_classes(text):
+    kinds = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t", "\n\r\v\f", ".,;:?'\"()-", "#*$%&|<>!@^~_=+")
+    return Counter(next((i for i, kind in enumerate(kinds) if c < 128 and chr(c) in kind), 7 if c < 128 else 8) for c in text.encode())
+
+
+def brute_words(text, lang):
+    common = quality.COMMON[lang]
+    low = [re.sub("[.,;:?!]", "", w.translate(FOLD)) for w in WORD.findall(text)]
+    return Counter(w if w in common else None for w in low)
+
+
+def test_quality_divergence(spark):
+    """Each language is judged by its own reference; one without is not judged by a foreign one."""
+    rnd = random.Random(7)
+    prose = {
+        "en": "the of and to in house river walks slowly behind every garden morning paper".split(),
+        "ru": "и в не на я что тот быть с весна дорога медленно читает утром каждый человек".split(),
+        "el": "και το να του η της με που την από δρόμος πρωί διαβάζει αργά άνθρωπος".split(),
+    }
+    rows = []
+    for lang, ws in prose.items():
+        rows += [(" ".join(rnd.choice(ws) for _ in range(rnd.randrange(70, 120))) + ".", lang) for _ in range(12)]
+        rows.append((" ".join("".join(rnd.choice("#*$%&|<>") for _ in range(rnd.randrange(3, 9))) for _ in range(80)), lang))
+    rows += [(" ".join(rnd.choice(prose["ru"]) for _ in range(90)), None), ("коротко", "ru"), (None, "ru"), ("б " * 100, "only here")]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    by_lang = defaultdict(list)
+    for t, lang in rows:
+        by_lang[lang].append(t or "")
+    got = {r["doc_id"]: r["quality"] for r in quality.judge(spark, docs).collect()}
+    kept = set()
+    for i, (t, lang) in enumerate(rows):
+        t, far = t or "", (0.0, 0.0)
+        w = WORD.findall(t)
+        if lang and len(w) >= 50 and sum(map(len, w)) >= 200:
+            own = by_lang[lang]
+            far = brute_distance(brute_classes(t), sum(map(brute_classes, own), Counter())), 0.0
+            if lang in quality.COMMON:
+                far = far[0], brute_distance(brute_words(t, lang), sum((brute_words(x, lang) for x in own), Counter()))
+        assert (got[i]["char_jsd"], got[i]["word_jsd"]) == pytest.approx(far, abs=1e-9), i
+        assert got[i]["kept"] == (not got[i]["base_failed"] and far[0] <= 0.31 and far[1] <= 0.42), i
+        kept |= {i} if got[i]["kept"] else set()
+    prose_rows = {i for i, (t, lang) in enumerate(rows) if t and len(WORD.findall(t)) >= 50 and "#" not in t and lang != "only here"}
+    assert kept == prose_rows and None in {rows[i][1] for i in kept}
+    few = {r["doc_id"] for r in quality.judge(spark, docs, {k: v for k, v in quality.references(docs).items() if k == "en"}).where("quality.kept").collect()}
+    assert prose_rows <= few
