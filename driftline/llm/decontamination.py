@@ -14,7 +14,8 @@ from pyspark.sql.column import Column
 from driftline.llm.common import ascii_lower, constant, let, words
 
 K, SIMILARITY = 5, 0.8
-#: Greatest Hamming distance of fingerprints. Similarity 0.8 means a cosine of 0.89 at least, 10 bits expected, deviation below 3.
+#: Greatest Hamming distance of fingerprints. Similarity 0.8 means a cosine of 0.89 at least, 10 bits expected, deviation below 3:
+#: votes are of distinct (shingle, occurrence) pairs, so this holds for repetitive windows too.
 RADIUS = 24
 #: radius + 1 blocks of bits: two fingerprints within the radius agree in one block at least. (first bit, bits)
 BLOCKS = tuple((64 * k // (RADIUS + 1), 64 * (k + 1) // (RADIUS + 1) - 64 * k // (RADIUS + 1)) for k in range(RADIUS + 1))
@@ -34,20 +35,26 @@ def roll(hashes: Column) -> Column:
     return F.when(n >= K, many).when(n > 0, F.array(F.xxhash64(hashes))).otherwise(F.expr("cast(array() as array<bigint>)"))
 
 
-def simhash(hashes: Column) -> Column:
-    """64-bit SimHash of a multiset of hashes: each occurrence votes, so that weights are counts.
+def simhash(hashes: Column, lane: int = 16) -> Column:
+    """64-bit SimHash of a multiset of hashes: the k-th occurrence of a hash has a vote of its own.
 
-    The votes are kept in 16 numbers of four 16-bit lanes; windows have fewer than 65,536 shingles.
+    So the votes are those of a set whose plain Jaccard is the weighted one of the multiset. They are kept in `lane`
+    numbers with lanes of as many bits (16 or 32), which hold fewer than 2 ** lane hashes.
     """
-    lanes = 0x0001000100010001
+    lanes, none = sum(1 << at for at in range(0, 64, lane)), F.lit(None).cast("long")
+    vote = lambda a, h: [(a[f"v{b}"] + F.shiftrightunsigned(h, b).bitwiseAND(F.lit(lanes))).alias(f"v{b}") for b in range(lane)]
+    # Sorted, equal hashes are neighbours. A step adds the vote of the one before, so that each is hashed once.
+    again = lambda a, h: F.when(h.eqNullSafe(a["last"]), a["k"] + 1).otherwise(F.lit(0).cast("long"))
+    last = lambda a, h: F.when(h.eqNullSafe(a["last"]), F.xxhash64(h, a["k"] + 1)).otherwise(h)
     votes = F.aggregate(
-        hashes,
-        F.struct(*(F.lit(0).cast("long").alias(f"v{b}") for b in range(16))),
-        lambda a, h: F.struct(*((a[f"v{b}"] + F.shiftrightunsigned(h, b).bitwiseAND(F.lit(lanes))).alias(f"v{b}") for b in range(16))),
+        F.sort_array(hashes),
+        F.struct(*(F.lit(0).cast("long").alias(f"v{b}") for b in range(lane)), none.alias("last"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("x")),
+        lambda a, h: F.struct(*vote(a, a["x"]), h.alias("last"), again(a, h).alias("k"), last(a, h).alias("x")),
+        lambda a: F.struct(*vote(a, a["x"])),
     )
-    n = F.size(hashes)
-    bit = lambda v, b, j: F.when(F.shiftrightunsigned(v[f"v{b}"], 16 * j).bitwiseAND(F.lit(0xFFFF)) * 2 > n, F.shiftleft(F.lit(1).cast("long"), b + 16 * j)).otherwise(F.lit(0).cast("long"))
-    return F.get(F.transform(F.array(votes), lambda v: reduce(lambda x, y: x.bitwiseOR(y), (bit(v, b, j) for b in range(16) for j in range(4)))), F.lit(0))
+    n, full = F.size(hashes), (1 << lane) - 1
+    bit = lambda v, b, j: F.when(F.shiftrightunsigned(v[f"v{b}"], lane * j).bitwiseAND(F.lit(full)) * 2 > n, F.shiftleft(F.lit(1).cast("long"), b + lane * j)).otherwise(F.lit(0).cast("long"))
+    return F.get(F.transform(F.array(votes), lambda v: reduce(lambda x, y: x.bitwiseOR(y), (bit(v, b, j) for b in range(lane) for j in range(64 // lane)))), F.lit(0))
 
 
 def block_keys(fingerprint: Column) -> Column:
@@ -82,16 +89,21 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, key:
     A window starts at a shingle that an item has too and is as long as the item, or reaches the document's end.
     No better window is missed: moved to the right until it starts at a common shingle, a window loses nothing.
     Candidate starts come from a bitmap of the items' shingles, which only ever lets too many through. Null and
-    empty texts and items match nothing; repeated rows of one key give one row a pair; of windows as good the
+    empty texts and items match nothing; an item of fewer than five words is one hash of all its words, found only in
+    a document of exactly these words, never inside a longer one; an item longer than a document matches what there
+    is of it, and a row of a document holds a window of the longest item's length for each candidate start, so very
+    long items cost memory in proportion; repeated rows of one key give one row a pair; of windows as good the
     first one stands; all benchmark items are used, with whole texts. Documents are read in one narrow pass: what is shuffled grows
     with the leaks, not with the corpus.
     """
     items = let(benchmark.where(F.col("text").isNotNull()), "hashes", word_hashes(F.col("text")))
     items = let(items, "item_shingles", roll(F.col("hashes"))).select("item_id", "item_shingles", F.size("hashes").alias("n_words"), F.size("item_shingles").alias("n"))
-    items = let(items.where(F.col("n") > 0), "item_print", simhash(F.col("item_shingles")))
+    items = items.where(F.col("n") > 0)
     longest = items.agg(F.max("n")).first()[0]
     if longest is None:
         return docs.where(F.lit(False)).select(key, F.lit(0).cast("long").alias("item_id"), F.lit(0).alias("start"), F.lit(0).alias("n_words"), F.lit(0.0).alias("similarity"))
+    lane = 16 if longest < 1 << 16 else 32
+    items = let(items, "item_print", simhash(F.col("item_shingles"), lane))
     table, bits = bitmap(items.select(F.col("item_shingles").alias("shingles")))
     is_set = lambda h: F.getbit(F.get(table, F.floor(F.pmod(h, F.lit(bits)) / 64).cast("int")), F.pmod(h, F.lit(64)).cast("int")) == 1
     hashed = let(let(docs.select(key, text), "_w", word_hashes(F.col(text))).select(key, "_w"), "_s", roll(F.col("_w"))).select(key, "_s")
@@ -100,7 +112,7 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, key:
     ahead = hashed.select(key, F.explode(starts).alias("w")).select(key, "w.*").withColumn("first", F.get("ahead", F.lit(0)))
     sizes = items.select(F.explode(F.array_distinct("item_shingles")).alias("first"), "n").distinct()
     windows = ahead.join(sizes, "first").select(key, "start", "n", F.slice("ahead", F.lit(1), F.col("n")).alias("window"))
-    prints = let(windows, "print", simhash(F.col("window")))
+    prints = let(windows, "print", simhash(F.col("window"), lane))
     indexed = items.select("item_id", "n", "n_words", "item_print", "item_shingles", F.explode(block_keys(F.col("item_print"))).alias("b")).select("*", "b.*").drop("b")
     close = prints.withColumn("b", F.explode(block_keys(F.col("print")))).select("*", "b.*").drop("b").join(indexed, ["n", "block", "value"])
     # A pair that agrees in several blocks is taken in the first of them.

@@ -275,3 +275,47 @@ def test_quality_divergence(spark):
     assert kept == prose_rows and None in {rows[i][1] for i in kept}
     few = {r["doc_id"] for r in quality.judge(spark, docs, {k: v for k, v in quality.references(docs).items() if k == "en"}).where("quality.kept").collect()}
     assert prose_rows <= few
+
+
+def brute_leaks(rows, items):
+    out = {}
+    for k, text in rows:
+        s = shingles(text, 5)
+        for item, t in items:
+            q, best = shingles(t, 5), 0
+            for i in range(len(s)) if q else []:
+                w = Counter(s[i : i + len(q)])
+                both = sum((w & Counter(q)).values())
+                best = max(best, both / (sum(w.values()) + len(q) - both))
+            if best >= 0.8:
+                out[k, item] = round(best, 9)
+    return out
+
+
+def test_decontamination_repetitive(spark):
+    """Items whose differing part is one repeated shingle: weighted similarity just above the least one."""
+    rnd, items, rows = random.Random(11), [], []
+    for k, n in enumerate((60, 90, 120, 150, 200, 250, 300, 350)):
+        head = [f"u{rnd.randrange(10**6)}" for _ in range(n)]
+        filler = n // 10
+        items.append((k, " ".join(head + ["row"] * filler)))
+        rows.append((k, " ".join(["start", *head, *["line"] * filler, "end"])))
+        rows.append((100 + k, " ".join(["start", *head[: n // 2], *["line"] * (n // 2), "end"])))
+    rows += [(200, "a b c"), (201, "x a b c y z"), (202, "row " * 60)]
+    items += [(50, "A b c"), (51, "row " * 40)]
+    want = brute_leaks(rows, items)
+    assert set(want) == {(k, k) for k in range(8)} | {(200, 50), (202, 51)} and sum(v < 0.85 for v in want.values()) == 8
+    found = decontamination.find(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in found.collect()} == want
+
+
+def test_simhash_lanes(spark):
+    """The wide lanes give the same bits, and hold more hashes than the narrow ones."""
+    both = spark.range(20).select(F.expr("transform(sequence(0, 200), i -> xxhash64(id, i % (id + 3)))").alias("h"))
+    assert all(a == b for a, b in both.select(decontamination.simhash(F.col("h")), decontamination.simhash(F.col("h"), 32)).collect())
+    long = spark.range(1).select(F.expr("transform(sequence(1, 70000), i -> CAST(-1 AS BIGINT) - i % 2)").alias("h"))
+    n, k = 70000, 2
+    h = long.select(F.expr("transform(sequence(0, 34999), k -> if(k = 0, -1L, xxhash64(-1L, CAST(k AS BIGINT))))").alias("a"), F.expr("transform(sequence(0, 34999), k -> if(k = 0, -2L, xxhash64(-2L, CAST(k AS BIGINT))))").alias("b")).first()
+    votes = [sum(x >> b & 1 for x in [*h["a"], *h["b"]]) for b in range(64)]
+    want = sum(1 << b for b in range(64) if votes[b] * k > n)
+    assert long.select(decontamination.simhash(F.col("h"), 32)).first()[0] % 2**64 == want
