@@ -19,9 +19,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays, once; rows without doc_id all stay."""
-    first = jaccard_join.link(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """Of each group of linked documents the one with the smallest key stays, once; rows without doc_id all stay.
+
+    The key is doc_id; if an id has several texts, all but one of them have a hash of id and text instead, so that
+    each is linked by its own words. Rows that share id and text are one.
+    """
+    named = docs.where("doc_id is not null").withColumn("_text", F.xxhash64("text"))
+    several = cut(named.groupBy("doc_id").agg(F.min("_text").alias("_own"), F.max("_text").alias("_last")).where("_own != _last").select("doc_id", "_own"))
+    if several.isEmpty():
+        keyed = named.withColumn("_key", F.col("doc_id").cast("long"))
+    else:
+        other = F.col("_text") != F.col("_own")
+        keyed = named.join(several, "doc_id", "left").withColumn("_key", F.when(other, F.xxhash64("doc_id", "_text")).otherwise(F.col("doc_id").cast("long")))
+    first = jaccard_join.link(keyed, key="_key").where("_key = component_id").select("_key").distinct()
+    kept = keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
     return kept.unionByName(docs.where("doc_id is null"))
 
 

@@ -125,6 +125,7 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, key:
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """docs without those that leak an item; rows with a null doc_id are judged together."""
-    leaks = find(docs, benchmark, least).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    """docs without those that leak an item; each is judged by its own text, whether its doc_id is null or repeated."""
+    keyed = docs.withColumn("_text", F.xxhash64("text"))
+    leaks = find(keyed.withColumn("_row", F.struct("doc_id", "_text")), benchmark, least, key="_row").select(F.col("_row.doc_id").alias("_leak"), F.col("_row._text").alias("_leak_text")).distinct()
+    return keyed.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")) & (F.col("_text") == F.col("_leak_text")), "left_anti").drop("_text")
