@@ -3,7 +3,9 @@
 The shingles of a document are hashed into groups; its group counts are a point. Points are dealt to leaves,
 in which a summed bound on coordinate minima prunes pairs before the sets are compared exactly.
 
-A tree over the whole space would not do: the counts of long documents differ too little in each single
+The components are exact. Links are not listed: a pair already known to be in one component is not compared.
+
+A tree over the whole space would not do (a reason, not a measurement): the counts of long documents differ too little in each single
 coordinate for boxes to exclude each other, and all boxes would meet. So leaves are keyed by the prefix
 shingles of a point (see prefix_sizes()), of which two linked documents share one at least, and the bound on
 coordinate minima works inside the leaves.
