@@ -60,7 +60,8 @@ STAGES = [
     ("BPE encoding", encode_tokens),
 ]
 
-#: Stages 1 to 3 and 5 can't be expressed in SQL; tests hold the pipeline against a brute-force version.
+#: Stages 1 to 3 and 5 can't be expressed in SQL. Tests hold the operators against brute force; of the pipeline as a
+#: whole they compare the near duplicates so, the other stages only by counts, patterns and the operators themselves.
 ORACLE_SQL = None
 
 
