@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from decimal import Decimal
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from driftline.functions import binary, naming, time
 from driftline.operators import cells, journal, publish, serialize
 from driftline.operators.dedup import latest_values
+from driftline.sources.folders import shared_folder
 from driftline.sources.window import window
 from driftline.streaming.ingest import ingest
 
@@ -296,8 +296,7 @@ def topic_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT part, user_id, event_type, arg_max(value, row(ts, event_id)) AS value FROM (SELECT *, {PART} AS part FROM events) GROUP BY 1, 2, 3")
 def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as a stream into RAW, each touched day published to CLEAN; the result is CLEAN."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
-    at = f"{base}/stream-{uuid.uuid4().hex}"
+    at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     source = events(spark, sf_dir)
     stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 8).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parque[t]")
     rows = stream.select("user_id", "event_type", "value", "ts", "event_id")
