@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.column import Column
 
+from driftline.sources.folders import shared_folder
+
 #: A word is a maximal run of anything but ASCII white space.
 WORD_GAP = r"[\x20\x09-\x0D]+"
+#: Characters of text (or bytes of packed text) of a batch that a Python worker handles at once.
+PORTION = 1 << 20
+#: Most bits of a bitmap of rows (8 MB), whatever the number of rows.
+MOST_BITS = 1 << 26
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,17 +46,81 @@ def let(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        named = spark.sparkContext.getCheckpointDir()
-    return named
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until df has no such column (Spark's names ignore case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared folder as Parquet and read again: what builds on it survives lost executors without recomputing it."""
     path = f"{shared_folder(df.sparkSession)}/driftline-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def spent(*cuts: DataFrame) -> None:
+    """Delete the folders of cut() results that nothing reads any more."""
+    for df in cuts:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.cut_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def portions(b: pd.DataFrame, column: str, most: int = PORTION) -> Iterator[pd.DataFrame]:
+    """The batch in slices of about `most` characters or bytes of the column; a longer value is a slice of its own."""
+    sizes = np.fromiter((0 if v is None else len(v) for v in b[column]), np.int64, len(b))
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+    for first, end in zip([0, *cuts], [*cuts, len(b)], strict=True):
+        if end > first:
+            yield b.iloc[first:end]
+
+
+def row_of(key: str, text: str) -> Column:
+    """A hash of key and text that tells rows apart, whether the key is null or repeated; equal rows share it."""
+    return F.xxhash64(F.col(key), F.col(text))
+
+
+class Members:
+    """A bitmap of row hashes of bounded size. It only ever lets too many through: at 10**9 rows nearly all, which costs shuffling but no result."""
+
+    def __init__(self, rows: DataFrame, column: str = "row") -> None:
+        self.bits = min(MOST_BITS, 1 << max(12, (rows.count() * 16).bit_length()))
+        place = F.pmod(F.col(column), F.lit(self.bits))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+        found = rows.groupBy(F.floor(place / 64).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits")).toPandas()
+        self.table = np.zeros(self.bits // 64, np.int64)
+        self.table[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+
+    def hold(self, rows: pd.Series) -> np.ndarray:
+        """Whether each row may be a member."""
+        place = rows.to_numpy(np.int64) & (self.bits - 1)
+        return (self.table[place >> 6] >> (place & 63)) & 1 == 1
+
+
+def unpacked(packed: pd.Series) -> Iterator[bytes]:
+    """The texts of packed rows, one by one."""
+    return map(zstandard.ZstdDecompressor().decompress, packed)
+
+
+def packed_texts(docs: DataFrame, members: DataFrame, key: str, text: str, shared=None) -> DataFrame:
+    """row, id, packed: the compressed texts of the rows of docs that may be in `members` (column row); a few too many.
+
+    Rows that are surely none are dropped before anything is shuffled; what is shuffled is compressed. `shared` is a
+    broadcast Members, where one is there already.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(Members(members)) if shared is None else shared
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            for part in portions(b[shared.value.hold(b["row"])], "text"):
+                packed = pd.Series([c.compress((t or "").encode()) for t in part["text"]], part.index, object)
+                yield pd.DataFrame({"row": part["row"], "id": part["id"].astype("Int64"), "packed": packed})
+
+    rows = docs.select(row_of(key, text).alias("row"), F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    return rows.mapInPandas(run, "row long, id long, packed binary")

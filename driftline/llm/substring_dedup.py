@@ -1,166 +1,203 @@
 """Operator 2: removal of repeated passages by a De Bruijn graph of words.
 
-The edges of the graph are the windows of 20 words, each from its first 19 words to its last 19. Only edges
-that occur again matter, so a document first names its anchors: the least hash of a run of 8 words in each
-window. Windows of equal words have equal anchors, hence an edge whose anchor occurs once is unique and is never
-shuffled. Edges left over meet in a join that gives each its first source; consecutive edges of one source
-compact to one path, a span with the document it repeats.
+The edges of the graph are the windows of 20 words, each from its first 19 words to its last 19. Edges are dealt by
+anchors: the anchor of an edge is the least hash of a run of 8 words in it, so equal edges have equal anchors.
+Consecutive edges of a document that share the place of their anchor are one piece, a path of the graph inside one
+bucket. Then, all by Spark joins:
+
+1. Anchors that occur once hold no repeated edge; only the others go on.
+2. Equal pieces meet. A bucket with one kind of piece does not branch: its later pieces repeat the first one whole.
+3. In a bucket that branches, the first piece of each kind is taken apart into edges, and equal edges meet.
+4. Pieces and edges that repeat consecutive places of one source join across bucket borders into paths.
+
+Pieces and edges are told apart by 128 bits of a BLAKE2b digest of their words, read at their coordinates in the document
+and in the source; the cheap hashes of anchors decide nothing. verify_paths() compares the words themselves.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
-
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from driftline.llm.common import cut
+from driftline.llm.common import Members, cut, packed_texts, portions, row_of, spent, unpacked
 from driftline.llm.hashing import run_hashes, word_hashes
 
 WINDOW, ANCHOR = 20, 8
-_NEVER = (1 << 63) - 1
-#: Anchors keep so many bits of their hash; one too many that meets only costs time.
-_SHORT = np.uint64((1 << 48) - 1)
-
-
-def _least_of(x: np.ndarray, k: int) -> np.ndarray:
-    """The least of each k consecutive numbers."""
-    out, done = x, 1
-    while done < k:
-        step = min(done, k - done)
-        out = np.minimum(out[: len(out) - step], out[step:])
-        done += step
-    return out
+#: Bits of an anchor. Two runs of words that share one by chance only cost time.
+ANCHOR_BITS = 48
+_PATHS = "array<struct<start:int,length:int,source:long,source_start:int>>"
 
 
-def window_anchors(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """The anchor of each window of words."""
+def pieces_of(hashes: np.ndarray, window: int = WINDOW, bits: int = ANCHOR_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, first window, number of windows) of each piece of a document, from the hashes of its words."""
+    size = min(ANCHOR, window)
+    none = np.zeros(0, np.int64)
     if len(hashes) < window:
-        return np.zeros(0, np.int64)
-    runs = run_hashes(hashes, min(ANCHOR, window)) & _SHORT
-    return _least_of(runs, window - min(ANCHOR, window) + 1).view(np.int64)
+        return none, none, none
+    runs = (run_hashes(hashes, size) & np.uint64((1 << bits) - 1)).view(np.int64)
+    at = np.lib.stride_tricks.sliding_window_view(runs, window - size + 1).argmin(1) + np.arange(len(hashes) - window + 1)
+    start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    return runs[at[start]], start, np.diff(np.append(start, len(at)))
 
 
-def pack(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """id (a null key last of all), packed: the compressed text, so that it is small where it is shuffled."""
+def digest(words: list[bytes]) -> tuple[int, int]:
+    """128 bits of a sequence of words, as two numbers."""
+    return struct.unpack("<qq", blake2b(b" ".join(words), digest_size=16).digest())
 
-    @F.pandas_udf("binary")
-    def run(texts: pd.Series) -> pd.Series:
-        c = zstandard.ZstdCompressor(level=3)
-        return pd.Series([c.compress((t or "").encode()) for t in texts], dtype=object)
 
-    return docs.select(F.coalesce(key, F.lit(_NEVER)).alias("id"), run(text).alias("packed"))
+def anchors(docs: DataFrame, text: str, key: str, window: int, bits: int) -> DataFrame:
+    """anchor, row, n: how many pieces of the document have this anchor."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for part in portions(b, "text"):
+                found = [np.unique(pieces_of(h, window, bits)[0], return_counts=True) for h in word_hashes((t or "").encode() for t in part["text"])]
+                yield pd.DataFrame({
+                    "anchor": np.concatenate([u for u, _ in found]),
+                    "row": np.repeat(part["row"].to_numpy(), [len(u) for u, _ in found]),
+                    "n": np.concatenate([n for _, n in found]),
+                })
 
-def unpacked(packed: pd.Series) -> Iterator[bytes]:
-    """The texts of a batch, one by one."""
-    return map(zstandard.ZstdDecompressor().decompress, packed)
+    rows = docs.select(row_of(key, text).alias("row"), F.col(text).alias("text"))
+    return rows.mapInPandas(run, "anchor long, row long, n long")
 
 
-def anchors(docs: DataFrame, text: str, key: str, window: int) -> DataFrame:
-    """anchor, id, n: how many windows of the document begin a run of windows with this anchor, at most counted up to 2."""
+def repeated_pieces(marked: DataFrame, window: int, bits: int) -> DataFrame:
+    """anchor, p1, p2 (digest), row, start, n: the pieces of each packed text whose anchor is in its column anchors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found, sizes, times = [], [], []
-            for h in word_hashes((t or "").encode() for t in b["text"]):
-                a = window_anchors(h, window)
-                first = a[np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))] if len(a) else a
-                u, n = np.unique(first, return_counts=True)
-                found.append(u)
-                times.append(n)
-                sizes.append(len(u))
-            yield pd.DataFrame({"anchor": np.concatenate(found) if found else [], "id": np.repeat(b["id"].to_numpy(), sizes), "n": np.concatenate(times) if times else []})
+            for part in portions(b, "packed", 1 << 18):
+                out = []
+                texts = list(unpacked(part["packed"]))
+                for row, again, data, h in zip(part["row"], part["anchors"], texts, word_hashes(iter(texts)), strict=True):
+                    anchor, start, n = pieces_of(h, window, bits)
+                    hit = np.isin(anchor, again)
+                    if hit.any():
+                        words = data.split()
+                        out += [(a, *digest(words[s : s + k + window - 1]), row, s, k) for a, s, k in zip(anchor[hit].tolist(), start[hit].tolist(), n[hit].tolist(), strict=True)]
+                yield pd.DataFrame(out, columns=["anchor", "p1", "p2", "row", "start", "n"])
 
-    return docs.select(F.coalesce(key, F.lit(_NEVER)).alias("id"), F.col(text).alias("text")).mapInPandas(run, "anchor long, id long, n long")
+    return marked.select("row", "packed", "anchors").mapInPandas(run, "anchor long, p1 long, p2 long, row long, start int, n int")
 
 
-def repeated_edges(marked: DataFrame, window: int) -> DataFrame:
-    """edge, id: the distinct windows of each document whose anchor occurs again (column anchors)."""
+def edges_of(marked: DataFrame, window: int) -> DataFrame:
+    """e1, e2 (digest), row, start: the single windows of the pieces (start, n) that column pieces lists for each packed text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            edges, sizes = [], []
-            for h, again in zip(word_hashes(unpacked(b["packed"])), b["anchors"], strict=True):
-                e = np.unique(run_hashes(h, window)[np.isin(window_anchors(h, window), again)])
-                edges.append(e)
-                sizes.append(len(e))
-            e = np.concatenate(edges) if edges else np.zeros(0, np.uint64)
-            yield pd.DataFrame({"edge": e.view(np.int64), "id": np.repeat(b["id"].to_numpy(), sizes)})
+            for part in portions(b, "packed", 1 << 18):
+                out = []
+                for row, listed, data in zip(part["row"], part["pieces"], unpacked(part["packed"]), strict=True):
+                    words = data.split()
+                    out += [(*digest(words[k : k + window]), row, k) for p in listed for k in range(p["start"], p["start"] + p["n"])]
+                yield pd.DataFrame(out, columns=["e1", "e2", "row", "start"])
 
-    return marked.select("id", "packed", "anchors").mapInPandas(run, "edge long, id long")
+    return marked.select("row", "packed", "pieces").mapInPandas(run, "e1 long, e2 long, row long, start int")
 
 
-def spans(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """id, packed, n_words, and paths array<struct<start, length, source>> of words to remove (start from 0).
+def place(ids: DataFrame, found: DataFrame) -> DataFrame:
+    """found with `at`: struct<late, id, row, start>, the order in which windows are earlier or later (a null id last)."""
+    return found.join(ids, "row").withColumn("at", F.struct(F.col("id").isNull().alias("late"), "id", "row", "start"))
 
-    A path is a run of windows that all repeat windows of `source` (the document itself, or the one with the
-    smallest key that has the window). Paths may overlap by less than a window.
+
+def repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id", bits: int = ANCHOR_BITS) -> DataFrame:
+    """row, paths: of each row of docs that repeats something, the paths to remove, array<struct<start, length, source, source_start>>.
+
+    Words `start` to `start + length` of the row are the words of the document `source` from `source_start` on (both
+    from 0), which is earlier. Paths may overlap by less than a window.
     """
-    packed = pack(docs, text, key)
-    found = cut(anchors(docs, text, key, window))
+    found = cut(anchors(docs, text, key, window, bits))
     again = found.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    marks = found.select("anchor", "id").join(again, "anchor").groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
-    edges = cut(repeated_edges(packed.join(marks, "id"), window))
-    first = edges.groupBy("edge").agg(F.min("id").alias("source"), F.max("id").alias("last")).where("source < last").select("edge", "source")
-    later = edges.join(first, "edge").where("source < id").groupBy("id").agg(F.collect_list("edge").alias("edges"), F.collect_list("source").alias("sources"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for key, packed, edges, sources, h in zip(b["id"], b["packed"], b["edges"], b["sources"], word_hashes(unpacked(b["packed"])), strict=True):
-                own = run_hashes(h, window).view(np.int64)
-                source = np.full(len(own), -1, np.int64)
-                hit = np.zeros(len(own), bool)
-                if len(own):
-                    u, start = np.unique(own, return_index=True)
-                    hit = np.ones(len(own), bool)
-                    hit[start] = False
-                    source[hit] = key
-                    if edges is not None and len(edges):
-                        order = np.argsort(edges)
-                        e, s = np.asarray(edges)[order], np.asarray(sources)[order]
-                        at = np.minimum(np.searchsorted(e, own), len(e) - 1)
-                        far = e[at] == own
-                        source[far] = s[at[far]]
-                        hit |= far
-                go = np.flatnonzero(hit)
-                first = np.ones(len(go), bool)
-                first[1:] = (np.diff(go) > 1) | (source[go[1:]] != source[go[:-1]])
-                begin, sizes = go[first], np.diff(np.flatnonzero(np.append(first, True)))
-                paths = [{"start": int(a), "length": int(n) + window - 1, "source": int(source[a])} for a, n in zip(begin, sizes, strict=True)]
-                rows.append((key, packed, len(h), paths))
-            yield pd.DataFrame(rows, columns=["id", "packed", "n_words", "paths"])
-
-    return packed.join(later, "id", "left").mapInPandas(run, "id long, packed binary, n_words long, paths array<struct<start:int,length:int,source:long>>")
-
-
-def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, n_words, n_removed, kept (the words left, joined by one space), paths.
+    marks = cut(found.select("anchor", "row").distinct().join(again, "anchor").groupBy("row").agg(F.collect_list("anchor").alias("anchors")))
+    spent(found)
+    pieces = cut(repeated_pieces(packed_texts(docs, marks, key, text).dropDuplicates(["row"]).join(marks, "row"), window, bits))
+    spent(marks)
+    ids = docs.select(row_of(key, text).alias("row"), F.col(key).cast("long").alias("id"))
+    # Only rows with pieces matter; equal rows are one.
+    ids = cut(ids.join(pieces.select("row").distinct(), "row", "left_semi").distinct())
+
+    placed = place(ids, pieces)
+    kinds = cut(placed.groupBy("anchor", "p1", "p2").agg(F.min("at").alias("source"), F.max("n").alias("n"), F.count("*").alias("times")))
+    branching = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    apart = kinds.join(branching, "anchor", "left_semi").select("source.row", F.struct("source.start", "n").alias("piece"))
+    apart = cut(apart.groupBy("row").agg(F.collect_list("piece").alias("pieces")))
+    edges = cut(edges_of(packed_texts(docs, apart, key, text).dropDuplicates(["row"]).join(apart, "row"), window))
+    first = place(ids, edges).groupBy("e1", "e2").agg(F.min("at").alias("source"), F.count("*").alias("times")).where("times > 1")
+
+    other = (F.col("row") != F.col("source.row")) | (F.col("start") != F.col("source.start"))
+    from_edges = edges.join(first, ["e1", "e2"]).where(other).select("row", "start", F.lit(1).alias("n"), "source")
+    from_pieces = pieces.join(kinds.where("times > 1").drop("n", "times"), ["anchor", "p1", "p2"]).where(other).select("row", "start", "n", "source")
+    hits = cut(from_pieces.unionByName(from_edges).distinct())
+    spent(pieces, kinds, apart, edges, ids)
+
+    in_order = Window.partitionBy("row").orderBy("start")
+    before = lambda c: F.lag(c).over(in_order)
+    goes_on = (F.col("start") == before("start") + before("n")) & (F.col("source.row") == before("source.row")) & (F.col("source.start") == before("source.start") + before("n"))
+    paths = hits.withColumn("begins", F.when(goes_on, 0).otherwise(1)).withColumn("path", F.sum("begins").over(in_order))
+    paths = paths.groupBy("row", "path").agg(F.min("start").alias("start"), F.sum("n").alias("n"), F.min(F.struct("start", "source")).alias("first"))
+    path = F.struct("start", (F.col("n") + window - 1).cast("int").alias("length"), F.col("first.source.id").alias("source"), F.col("first.source.start").alias("source_start"))
+    return paths.groupBy("row").agg(F.sort_array(F.collect_list(path)).alias("paths"))
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id", bits: int = ANCHOR_BITS) -> DataFrame:
+    """key, n_words, n_removed, kept (the words left, joined by one space), paths (see repeats()).
 
     A word goes if a window that covers it repeats an earlier one: of a smaller key, or earlier in the same
-    document; windows are those of the input. A null text has no words; texts shorter than a window keep all;
-    of repeated rows with one key none is earlier than the other; rows with a null key come last and count as one document. Whole
-    texts of any length. Other columns are not carried along: join by key.
+    document; windows are those of the input. A null text has no words; texts shorter than a window keep all. Rows with
+    a null key come last. Of rows that share a key (or have none) but not the text, the one with the smaller hash of key
+    and text is the earlier; equal rows are one document that is returned as often, none of them earlier. Whole texts of
+    any length; an empty table gives none. Other columns are not carried along: join by key.
     """
+    spark = docs.sparkSession
+    paths = cut(repeats(docs, window, text, key, bits))
+    members = spark.sparkContext.broadcast(Members(paths))
+    result = f"`{key}` long, n_words long, n_removed long, kept string, paths {_PATHS}"
 
-    @F.pandas_udf("n_removed long, kept string")
-    def run(packed: pd.Series, paths: pd.Series) -> pd.DataFrame:
+    def removed(part: pd.DataFrame, texts: Iterator[bytes], paths: list) -> pd.DataFrame:
         rows = []
-        for t, spans in zip(unpacked(packed), paths, strict=True):
-            words, gone = t.split(), 0
+        for key_value, data, spans in zip(part["id"], texts, paths, strict=True):
+            words = data.split()
+            n, gone = len(words), 0
             if spans is not None and len(spans):
-                keep = np.ones(len(words), bool)
+                keep = np.ones(n, bool)
                 for s in spans:
                     keep[s["start"] : s["start"] + s["length"]] = False
-                gone = int(len(words) - keep.sum())
-                words = [w for w, k in zip(words, keep, strict=True) if k]
-            rows.append((gone, b" ".join(words).decode()))
-        return pd.DataFrame(rows, columns=["n_removed", "kept"])
-
-    found = spans(docs, window, text, key)
-    out = found.select("id", "n_words", "paths", run("packed", "paths").alias("r"))
-    return out.select(F.when(F.col("id") != _NEVER, F.col("id")).alias(key), "n_words", "r.n_removed", "r.kept", "paths")
+                gone = int(n - keep.sum())
+                words = [words[k] for k in np.flatnonzero(keep)]
+            rows.append((key_value, n, gone, b" ".join(words).decode(), spans))
+        out = pd.DataFrame(rows, columns=[key, "n_words", "n_removed", "kept", "paths"])
+        return out.astype({key: "Int64"})
+
+    def untouched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for part in portions(b[~members.value.hold(b["row"])], "text"):
+                yield removed(part, ((t or "").encode() for t in part["text"]), [[] for _ in range(len(part))])
+
+    def touched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for part in portions(b, "packed", 1 << 18):
+                yield removed(part, unpacked(part["packed"]), list(part["paths"]))
+
+    rows = docs.select(row_of(key, text).alias("row"), F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    rest = rows.mapInPandas(untouched, result)
+    some = packed_texts(docs, paths, key, text, members).join(paths, "row", "left").mapInPandas(touched, result)
+    return rest.unionByName(some)
+
+
+def verify_paths(docs: DataFrame, found: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """key, start, source, source_start of each path in found (remove_repeats()) whose words are not those at its source coordinates.
+
+    None, if all is well. For tests and audits: docs needs unique keys. The texts of both ends meet by two joins.
+    """
+    words = lambda c: F.filter(F.split(F.coalesce(c, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    texts = docs.select(F.col(key).alias("k"), words(F.col(text)).alias("w"))
+    each = found.select(F.col(key).alias("id"), F.explode("paths").alias("p")).select("id", "p.*")
+    own = each.join(texts, F.col("id") == F.col("k")).select(each["*"], F.slice("w", F.col("start") + 1, F.col("length")).alias("own"))
+    both = own.join(texts, F.col("source") == F.col("k")).withColumn("other", F.slice("w", F.col("source_start") + 1, F.col("length")))
+    return both.where("own != other").select(F.col("id").alias(key), "start", "source", "source_start")
