@@ -85,6 +85,11 @@ def row_of(key: str, text: str) -> Column:
     return F.xxhash64(F.col(key), F.col(text))
 
 
+def identity(key: str, text: str) -> list[Column]:
+    """row, late (the key is null), id (0 for a null key): so that no null makes pandas turn keys into floats."""
+    return [row_of(key, text).alias("row"), F.col(key).isNull().alias("late"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id")]
+
+
 class Members:
     """A bitmap of row hashes of bounded size. It only ever lets too many through: at 10**9 rows nearly all, which costs shuffling but no result."""
 
@@ -108,7 +113,7 @@ def unpacked(packed: pd.Series) -> Iterator[bytes]:
 
 
 def packed_texts(docs: DataFrame, members: DataFrame, key: str, text: str, shared=None) -> DataFrame:
-    """row, id, packed: the compressed texts of the rows of docs that may be in `members` (column row); a few too many.
+    """row, late, id, packed: the compressed texts of the rows of docs that may be in `members` (column row); a few too many.
 
     Rows that are surely none are dropped before anything is shuffled; what is shuffled is compressed. `shared` is a
     broadcast Members, where one is there already.
@@ -120,7 +125,7 @@ def packed_texts(docs: DataFrame, members: DataFrame, key: str, text: str, share
         for b in batches:
             for part in portions(b[shared.value.hold(b["row"])], "text"):
                 packed = pd.Series([c.compress((t or "").encode()) for t in part["text"]], part.index, object)
-                yield pd.DataFrame({"row": part["row"], "id": part["id"].astype("Int64"), "packed": packed})
+                yield pd.DataFrame({"row": part["row"], "late": part["late"], "id": part["id"], "packed": packed})
 
-    rows = docs.select(row_of(key, text).alias("row"), F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "row long, id long, packed binary")
+    rows = docs.select(*identity(key, text), F.col(text).alias("text"))
+    return rows.mapInPandas(run, "row long, late boolean, id long, packed binary")

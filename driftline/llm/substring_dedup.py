@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from driftline.llm.common import Members, cut, packed_texts, portions, row_of, spent, unpacked
+from driftline.llm.common import Members, cut, identity, packed_texts, portions, row_of, spent, unpacked
 from driftline.llm.hashing import run_hashes, word_hashes
 
 WINDOW, ANCHOR = 20, 8
@@ -68,42 +68,42 @@ def anchors(docs: DataFrame, text: str, key: str, window: int, bits: int) -> Dat
 
 
 def repeated_pieces(marked: DataFrame, window: int, bits: int) -> DataFrame:
-    """anchor, p1, p2 (digest), row, start, n: the pieces of each packed text whose anchor is in its column anchors."""
+    """anchor, p1, p2 (digest), late, id, row, start, n: the pieces of each packed text whose anchor is in its column anchors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for part in portions(b, "packed", 1 << 18):
                 out = []
                 texts = list(unpacked(part["packed"]))
-                for row, again, data, h in zip(part["row"], part["anchors"], texts, word_hashes(iter(texts)), strict=True):
+                for late, key, row, again, data, h in zip(part["late"], part["id"], part["row"], part["anchors"], texts, word_hashes(iter(texts)), strict=True):
                     anchor, start, n = pieces_of(h, window, bits)
                     hit = np.isin(anchor, again)
                     if hit.any():
                         words = data.split()
-                        out += [(a, *digest(words[s : s + k + window - 1]), row, s, k) for a, s, k in zip(anchor[hit].tolist(), start[hit].tolist(), n[hit].tolist(), strict=True)]
-                yield pd.DataFrame(out, columns=["anchor", "p1", "p2", "row", "start", "n"])
+                        out += [(a, *digest(words[s : s + k + window - 1]), late, key, row, s, k) for a, s, k in zip(anchor[hit].tolist(), start[hit].tolist(), n[hit].tolist(), strict=True)]
+                yield pd.DataFrame(out, columns=["anchor", "p1", "p2", "late", "id", "row", "start", "n"])
 
-    return marked.select("row", "packed", "anchors").mapInPandas(run, "anchor long, p1 long, p2 long, row long, start int, n int")
+    return marked.select("late", "id", "row", "packed", "anchors").mapInPandas(run, "anchor long, p1 long, p2 long, late boolean, id long, row long, start int, n int")
 
 
 def edges_of(marked: DataFrame, window: int) -> DataFrame:
-    """e1, e2 (digest), row, start: the single windows of the pieces (start, n) that column pieces lists for each packed text."""
+    """e1, e2 (digest), late, id, row, start: the single windows of the pieces (start, n) that column pieces lists for each packed text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for part in portions(b, "packed", 1 << 18):
                 out = []
-                for row, listed, data in zip(part["row"], part["pieces"], unpacked(part["packed"]), strict=True):
+                for late, key, row, listed, data in zip(part["late"], part["id"], part["row"], part["pieces"], unpacked(part["packed"]), strict=True):
                     words = data.split()
-                    out += [(*digest(words[k : k + window]), row, k) for p in listed for k in range(p["start"], p["start"] + p["n"])]
-                yield pd.DataFrame(out, columns=["e1", "e2", "row", "start"])
+                    out += [(*digest(words[k : k + window]), late, key, row, k) for p in listed for k in range(p["start"], p["start"] + p["n"])]
+                yield pd.DataFrame(out, columns=["e1", "e2", "late", "id", "row", "start"])
 
-    return marked.select("row", "packed", "pieces").mapInPandas(run, "e1 long, e2 long, row long, start int")
+    return marked.select("late", "id", "row", "packed", "pieces").mapInPandas(run, "e1 long, e2 long, late boolean, id long, row long, start int")
 
 
-def place(ids: DataFrame, found: DataFrame) -> DataFrame:
+def placed(found: DataFrame) -> DataFrame:
     """found with `at`: struct<late, id, row, start>, the order in which windows are earlier or later (a null id last)."""
-    return found.join(ids, "row").withColumn("at", F.struct(F.col("id").isNull().alias("late"), "id", "row", "start"))
+    return found.withColumn("at", F.struct("late", "id", "row", "start"))
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id", bits: int = ANCHOR_BITS) -> DataFrame:
@@ -114,34 +114,30 @@ def repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str
     """
     found = cut(anchors(docs, text, key, window, bits))
     again = found.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    marks = cut(found.select("anchor", "row").distinct().join(again, "anchor").groupBy("row").agg(F.collect_list("anchor").alias("anchors")))
+    marks = cut(found.select("anchor", "row").join(again, "anchor").groupBy("row").agg(F.collect_list("anchor").alias("anchors")))
     spent(found)
     pieces = cut(repeated_pieces(packed_texts(docs, marks, key, text).dropDuplicates(["row"]).join(marks, "row"), window, bits))
     spent(marks)
-    ids = docs.select(row_of(key, text).alias("row"), F.col(key).cast("long").alias("id"))
-    # Only rows with pieces matter; equal rows are one.
-    ids = cut(ids.join(pieces.select("row").distinct(), "row", "left_semi").distinct())
 
-    placed = place(ids, pieces)
-    kinds = cut(placed.groupBy("anchor", "p1", "p2").agg(F.min("at").alias("source"), F.max("n").alias("n"), F.count("*").alias("times")))
+    kinds = cut(placed(pieces).groupBy("anchor", "p1", "p2").agg(F.min("at").alias("source"), F.max("n").alias("n"), F.count("*").alias("times")))
     branching = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     apart = kinds.join(branching, "anchor", "left_semi").select("source.row", F.struct("source.start", "n").alias("piece"))
     apart = cut(apart.groupBy("row").agg(F.collect_list("piece").alias("pieces")))
     edges = cut(edges_of(packed_texts(docs, apart, key, text).dropDuplicates(["row"]).join(apart, "row"), window))
-    first = place(ids, edges).groupBy("e1", "e2").agg(F.min("at").alias("source"), F.count("*").alias("times")).where("times > 1")
+    first = placed(edges).groupBy("e1", "e2").agg(F.min("at").alias("source"), F.count("*").alias("times")).where("times > 1")
 
     other = (F.col("row") != F.col("source.row")) | (F.col("start") != F.col("source.start"))
     from_edges = edges.join(first, ["e1", "e2"]).where(other).select("row", "start", F.lit(1).alias("n"), "source")
     from_pieces = pieces.join(kinds.where("times > 1").drop("n", "times"), ["anchor", "p1", "p2"]).where(other).select("row", "start", "n", "source")
     hits = cut(from_pieces.unionByName(from_edges).distinct())
-    spent(pieces, kinds, apart, edges, ids)
+    spent(pieces, kinds, apart, edges)
 
     in_order = Window.partitionBy("row").orderBy("start")
     before = lambda c: F.lag(c).over(in_order)
     goes_on = (F.col("start") == before("start") + before("n")) & (F.col("source.row") == before("source.row")) & (F.col("source.start") == before("source.start") + before("n"))
     paths = hits.withColumn("begins", F.when(goes_on, 0).otherwise(1)).withColumn("path", F.sum("begins").over(in_order))
     paths = paths.groupBy("row", "path").agg(F.min("start").alias("start"), F.sum("n").alias("n"), F.min(F.struct("start", "source")).alias("first"))
-    path = F.struct("start", (F.col("n") + window - 1).cast("int").alias("length"), F.col("first.source.id").alias("source"), F.col("first.source.start").alias("source_start"))
+    path = F.struct("start", (F.col("n") + window - 1).cast("int").alias("length"), F.when(~F.col("first.source.late"), F.col("first.source.id")).alias("source"), F.col("first.source.start").alias("source_start"))
     return paths.groupBy("row").agg(F.sort_array(F.collect_list(path)).alias("paths"))
 
 
@@ -157,11 +153,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", ke
     spark = docs.sparkSession
     paths = cut(repeats(docs, window, text, key, bits))
     members = spark.sparkContext.broadcast(Members(paths))
-    result = f"`{key}` long, n_words long, n_removed long, kept string, paths {_PATHS}"
+    result = f"late boolean, id long, n_words long, n_removed long, kept string, paths {_PATHS}"
 
     def removed(part: pd.DataFrame, texts: Iterator[bytes], paths: list) -> pd.DataFrame:
         rows = []
-        for key_value, data, spans in zip(part["id"], texts, paths, strict=True):
+        for late, key_value, data, spans in zip(part["late"], part["id"], texts, paths, strict=True):
             words = data.split()
             n, gone = len(words), 0
             if spans is not None and len(spans):
@@ -170,9 +166,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", ke
                     keep[s["start"] : s["start"] + s["length"]] = False
                 gone = int(n - keep.sum())
                 words = [words[k] for k in np.flatnonzero(keep)]
-            rows.append((key_value, n, gone, b" ".join(words).decode(), spans))
-        out = pd.DataFrame(rows, columns=[key, "n_words", "n_removed", "kept", "paths"])
-        return out.astype({key: "Int64"})
+            rows.append((late, key_value, n, gone, b" ".join(words).decode(), spans))
+        return pd.DataFrame(rows, columns=["late", "id", "n_words", "n_removed", "kept", "paths"])
 
     def untouched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -184,10 +179,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", ke
             for part in portions(b, "packed", 1 << 18):
                 yield removed(part, unpacked(part["packed"]), list(part["paths"]))
 
-    rows = docs.select(row_of(key, text).alias("row"), F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    rest = rows.mapInPandas(untouched, result)
+    rest = docs.select(*identity(key, text), F.col(text).alias("text")).mapInPandas(untouched, result)
     some = packed_texts(docs, paths, key, text, members).join(paths, "row", "left").mapInPandas(touched, result)
-    return rest.unionByName(some)
+    return rest.unionByName(some).select(F.when(~F.col("late"), F.col("id")).alias(key), "n_words", "n_removed", "kept", "paths")
 
 
 def verify_paths(docs: DataFrame, found: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
