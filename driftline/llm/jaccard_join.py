@@ -1,14 +1,20 @@
 """Operator 6: n-gram Jaccard join with components.
 
-The shingles of a document are hashed into groups; its group counts are a point. Points are dealt to leaves,
-in which a summed bound on coordinate minima prunes pairs before the sets are compared exactly.
+The shingles of a document are hashed into groups; its group counts are a point. No overlap of two sets exceeds the
+sum over the groups of the smaller count, so an R-tree over points tells which pairs can't link: what holds for two
+boxes (with the greatest counts in each) holds for all points in them.
 
-The components are exact. Links are not listed: a pair already known to be in one component is not compared.
+One tree over all points would not prune: in so many dimensions all boxes meet near its root. So points are dealt to
+hubs first. A document and another one that links with it share one of their first shingles in an order common to all
+(see prefix_sizes()); the hub of a shingle is the least set that has it there, and each set goes to the hubs of its
+first shingles. Then, by Spark joins:
+
+1. Each hub is compared with its sets; what links gives first components.
+2. In a hub whose sets are not all in one component yet, an R-tree is packed (sets sorted by size and counts, FANOUT
+   to a box, boxes again, until FANOUT are left) and joined with itself from the top down, by the bound.
+3. Pairs of points that pass are compared exactly, by the sets of their texts.
 
-A tree over the whole space would not do (a reason, not a measurement): the counts of long documents differ too little in each single
-coordinate for boxes to exclude each other, and all boxes would meet. So leaves are keyed by the prefix
-shingles of a point (see prefix_sizes()), of which two linked documents share one at least, and the bound on
-coordinate minima works inside the leaves.
+The components are exact. Links are not listed: a pair already known to be in one component is not compared.
 """
 
 from __future__ import annotations
@@ -17,20 +23,21 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from driftline.llm.common import cut
+from driftline.llm.common import cut, identity, packed_texts, portions, row_of, spent, unpacked
 from driftline.llm.hashing import FOLD, mix, run_hashes, word_hashes
 
-SHINGLE, LEAST, GROUPS = 4, 85, 64
+SHINGLE, LEAST = 4, 85
+#: Shingles a group, about, and the fewest and most groups of a point. Points of more groups fold to fewer by sums of neighbours.
+EACH_GROUP, FEWEST, MOST = 8, 16, 1024
+#: Entries of a box of the R-tree.
+FANOUT = 32
 #: A shingle of more than this share of the documents is put last in the order of shingles. At most (mean set
 #: size) / HOT_SHARE shingles can be so common, however large the corpus: a few MB to broadcast.
 HOT_SHARE = 1 / 2000
 #: Shingles counted at once by a task, and the least count of them that it reports.
 COUNTED, REPORTED = 1 << 21, 3
-#: Bits of the bitmap of documents whose texts are compared (8 MB).
-MEMBERS = 1 << 26
 #: Texts of each side that are compared at once.
 BLOCK = 64
 #: Prefix shingles keep so many bits of their hash; one too many that meets only costs a comparison.
@@ -38,23 +45,36 @@ _SHORT = np.uint64((1 << 48) - 1)
 _U = np.uint64
 
 
-def shingle_sets(texts: Iterable[str | None], k: int = SHINGLE) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[bytes], k: int = SHINGLE) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its k-word shingles, A-Z lower-cased; of a shorter text its words as one."""
-    for h in word_hashes((t or "").encode().translate(FOLD) for t in texts):
+    for h in word_hashes(t.translate(FOLD) for t in texts):
         yield np.unique(run_hashes(h, min(k, len(h)))) if len(h) else h
 
 
+def encoded(texts: Iterable[str | None]) -> Iterator[bytes]:
+    return ((t or "").encode() for t in texts)
+
+
 def group_counts(shingles: np.ndarray) -> bytes:
-    """The point of a set: how many of its shingles fall into each group, one byte each, or four if one needs more."""
-    n = np.bincount((shingles % _U(GROUPS)).astype(np.int64), minlength=GROUPS)
-    return n.astype(np.uint8 if n.max() < 256 else np.uint32).tobytes()
+    """The point of a set: how many of its shingles fall into each group, by the first bits of a hash; two bytes each."""
+    bits = min(MOST, max(FEWEST, len(shingles) // EACH_GROUP)).bit_length() - 1
+    n = np.bincount((mix(shingles * _U(3) + _U(11)) >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(n, 65535).astype(np.uint16).tobytes()
 
 
-def point(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, np.uint8 if len(packed) == GROUPS else np.uint32).astype(np.int64)
+def folded(point: bytes, groups: int) -> np.ndarray:
+    """The counts of a point in fewer groups. 65535 stands for that many or more (a set of far over MOST * 65535 / 2 shingles)."""
+    return np.frombuffer(point, np.uint16).reshape(groups, -1).sum(1, dtype=np.int64)
 
 
-def needed(total: int, least: int = LEAST) -> int:
+def most_common(a: bytes, b: bytes) -> int:
+    """A bound on the overlap of two sets, or of any two of two boxes: the sum of the minima of their counts."""
+    groups = min(len(a), len(b)) // 2
+    x, y = folded(a, groups), folded(b, groups)
+    return int(np.minimum(x, y).sum()) if max(x.max(), y.max()) < 65535 else 1 << 62
+
+
+def needed(total, least: int = LEAST):
     """The overlap that sets of this total size must have: 100 * both >= least * (total - both)."""
     return -(-least * total // (100 + least))
 
@@ -73,36 +93,40 @@ def ordered(shingles: np.ndarray) -> np.ndarray:
     return np.sort((mix(shingles + _U(7)) & _SHORT).view(np.int64))
 
 
-def profiles(docs: DataFrame, hot: np.ndarray, text: str, key: str, least: int) -> DataFrame:
-    """id, n (shingles), set_hash (null for an empty set), point, short (prefix shingles), prefix.
+def profiles(docs: DataFrame, hot: np.ndarray, text: str, key: str, least: int, bits: int = 64) -> DataFrame:
+    """row, late, id (see identity()), n (shingles), sid and check (hashes of the set, null for an empty one), point, short, usual, prefix.
 
-    The prefix is the first shingles of the set by their hashes, hot ones last; equal sets have equal ones.
+    The prefix is the first shingles of the set by their hashes, hot ones last; equal sets have equal ones. `short` of
+    them are its short prefix, `usual` are not hot. sid has `bits` bits.
     """
     shared = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
 
+    def one(s: np.ndarray, common: np.ndarray) -> tuple:
+        if not len(s):
+            return 0, None, None, group_counts(s), 0, 0, s.view(np.int64)
+        order, usual = ordered(s), len(s)
+        if len(common):
+            late = common[np.minimum(np.searchsorted(common, order), len(common) - 1)] == order
+            order, usual = np.concatenate((order[~late], order[late])), int(len(s) - late.sum())
+        x, y = (mix(mix(s * _U(2 * i + 1) + _U(i)).sum(dtype=np.uint64, keepdims=True) + _U(len(s)))[0] for i in (1, 2))
+        short, long = prefix_sizes(len(s), least)
+        return len(s), int((x >> _U(64 - bits)).astype(np.int64)), int(y.astype(np.int64)), group_counts(s), short, min(usual, long), order[:long]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common = shared.value
         for b in batches:
-            rows = []
-            for s in shingle_sets(b["text"]):
-                if not len(s):
-                    rows.append((0, None, group_counts(s), 0, s.view(np.int64)))
-                    continue
-                order = ordered(s)
-                if len(common):
-                    late = common[np.minimum(np.searchsorted(common, order), len(common) - 1)] == order
-                    order = np.concatenate((order[~late], order[late]))
-                x, y = (int(mix(s * _U(2 * i + 1) + _U(i)).sum(dtype=np.uint64)) for i in (1, 2))
-                short, long = prefix_sizes(len(s), least)
-                rows.append((len(s), f"{x:016x}{y:016x}{len(s):x}", group_counts(s), short, order[:long]))
-            out = pd.DataFrame(rows, columns=["n", "set_hash", "point", "short", "prefix"])
-            yield out.assign(id=b["id"].array)[["id", *out.columns]]
-
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "id long, n long, set_hash string, point binary, short int, prefix array<long>")
-
-
-def hot_tokens(docs: DataFrame, n_docs: int, text: str, key: str) -> np.ndarray:
+            for part in portions(b, "text"):
+                rows = [one(s, shared.value) for s in shingle_sets(encoded(part["text"]))]
+                out = pd.DataFrame(rows, columns=["n", "sid", "check", "point", "short", "usual", "prefix"]).astype({"sid": "Int64", "check": "Int64"})
+                # Built of whole numbers and nulls at once, pandas would make floats of the hashes.
+                for at, c in ((1, "sid"), (2, "check")):
+                    out[c] = pd.array([r[at] for r in rows], dtype="Int64")
+                yield out.assign(**{c: part[c].array for c in ("row", "late", "id")})[["row", "late", "id", *out.columns]]
+
+    rows = docs.select(*identity(key, text), F.col(text).alias("text"))
+    return rows.mapInPandas(run, "row long, late boolean, id long, n long, sid long, check long, point binary, short int, usual int, prefix array<long>")
+
+
+def hot_tokens(docs: DataFrame, n_docs: int, text: str) -> np.ndarray:
     """Shingles of too many documents, by lossy counting over all texts; only the speed depends on which are found.
 
     Each task counts its shingles and reports those it met a few times; a shingle as common as that in the whole
@@ -116,86 +140,184 @@ def hot_tokens(docs: DataFrame, n_docs: int, text: str, key: str) -> np.ndarray:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens, total = [], 0
         for b in batches:
-            for s in shingle_sets(b["text"]):
-                tokens.append(ordered(s))
-                total += len(s)
-                if total >= COUNTED:
-                    yield counts(tokens)
-                    tokens, total = [], 0
+            for part in portions(b, "text"):
+                for s in shingle_sets(encoded(part["text"])):
+                    tokens.append(ordered(s))
+                    total += len(s)
+                    if total >= COUNTED:
+                        yield counts(tokens)
+                        tokens, total = [], 0
         if tokens:
             yield counts(tokens)
 
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(text).alias("text")).mapInPandas(run, "token long, n long")
+    rows = docs.select(F.col(text).alias("text")).mapInPandas(run, "token long, n long")
     most = max(64, int(n_docs * HOT_SHARE))
     return rows.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > most).select("token").toPandas()["token"].to_numpy()
 
 
-def bitmap(ids: DataFrame) -> np.ndarray:
-    """A bit for the hash of each id: MEMBERS bits, whatever the number of ids."""
-    place = F.pmod(F.xxhash64("id"), F.lit(MEMBERS))
-    bits = ids.select(F.floor(place / 64).cast("int").alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int")).alias("bit"))
-    rows = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(MEMBERS // 64, np.int64)
-    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return out
+def told_apart(each: DataFrame) -> DataFrame:
+    """each, with another sid where sets that differ (by 128 bits) share one."""
+    wrong = each.where("sid is not null").groupBy("sid").agg(F.min("check").alias("c0"), F.max("check").alias("c1")).where("c0 != c1").select("sid")
+    wrong = cut(wrong)
+    if wrong.isEmpty():
+        spent(wrong)
+        return each
+    marked = each.join(wrong.withColumn("wrong", F.lit(True)), "sid", "left")
+    return cut(marked.withColumn("sid", F.when(F.col("wrong"), F.xxhash64("sid", "check")).otherwise(F.col("sid"))).drop("wrong"))
 
 
-def packed(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> DataFrame:
-    """id, packed: the compressed texts of the documents in pairs (a, b).
+def leaves(each: DataFrame) -> DataFrame:
+    """hub, sid: the sets of each hub but itself. Both are sids.
 
-    A bitmap of bounded size, which only ever lets too many through, keeps most others out of the shuffle.
+    Usual shingles, each in a bounded share of the sets, are dealt once; hot ones are few, so that their hubs are found by
+    partial aggregation and a small join.
     """
-    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    members = docs.sparkSession.sparkContext.broadcast(bitmap(ids))
+
+    def tokens(first: str, count: str) -> DataFrame:
+        part = each.where("sid is not null").select("sid", "short", F.expr(first).alias("skip"), F.posexplode(F.expr(f"slice(prefix, {first} + 1, {count})")).alias("place", "token"))
+        return part.select("token", "sid", (F.col("place") + F.col("skip") < F.col("short")).alias("first"))
+
+    hub = F.min(F.when(F.col("first"), F.col("sid")))
+    same = Window.partitionBy("token")
+    usual = tokens("0", "usual").withColumn("hub", hub.over(same))
+    hot = tokens("usual", "size(prefix) - usual")
+    hot = hot.join(hot.groupBy("token").agg(hub.alias("hub")), "token")
+    both = usual.select("hub", "sid").unionByName(hot.select("hub", "sid"))
+    return both.where("hub is not null and hub != sid").distinct()
+
+
+def fits(n: str, m: str, least: int):
+    """Whether sets of n shingles at least and m at most, or the other way round, can link by their sizes."""
+    return F.lit(100) * F.col(n) >= F.lit(least) * F.col(m)
+
+
+def bounded(pairs: DataFrame, columns: list[str], least: int) -> DataFrame:
+    """The rows of pairs whose points or boxes (lo_x, top_x, lo_y, top_y) may hold linked sets, by the bound."""
+    kind = ", ".join(f"{c} long" for c in columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c, table = zstandard.ZstdCompressor(level=3), members.value
         for b in batches:
-            place = b["place"].to_numpy(np.int64)
-            b = b[(table[place >> 6] >> (place & 63)) & 1 == 1]
-            yield pd.DataFrame({"id": b["id"], "packed": pd.Series([c.compress((t or "").encode()) for t in b["text"]], b.index, object)})
+            for part in portions(b, "top_x"):
+                keep = [most_common(x, y) >= needed(n + m, least) for x, y, n, m in zip(part["top_x"], part["top_y"], part["lo_x"], part["lo_y"], strict=True)]
+                yield part.loc[np.array(keep, bool), columns]
+
+    return pairs.select(*columns, "lo_x", "top_x", "lo_y", "top_y").mapInPandas(run, kind)
+
 
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    rows = rows.withColumn("place", F.pmod(F.xxhash64("id"), F.lit(MEMBERS))).mapInPandas(run, "id long, packed binary")
-    return cut(rows.join(ids, "id", "left_semi").dropDuplicates(["id"]))
+def boxed(entries: DataFrame) -> DataFrame:
+    """Entries (hub, item, lo, hi, top, c0, c1) with `parent`, the box of FANOUT of them that each is in, and the boxes as
+    entries of their own (parent null).
 
+    Entries are sorted by size and counts over all tasks, so that a hub of any size is dealt evenly.
+    """
+    columns = ["hub", "parent", "item", "lo", "hi", "top", "c0", "c1"]
+
+    def box(rows: list[tuple]) -> tuple:
+        groups = min(len(r[5]) for r in rows) // 2
+        top = np.minimum(np.max([folded(r[5], groups) for r in rows], 0), 65535).astype(np.uint16).tobytes()
+        return rows[0][0], None, rows[0][2], min(r[3] for r in rows), max(r[4] for r in rows), top, min(r[6] for r in rows), max(r[7] for r in rows)
 
-def bounded(pairs: DataFrame, points: DataFrame, least: int = LEAST) -> DataFrame:
-    """The pairs (a, b, hub) that the bound lets through: no overlap exceeds the sum of the minima of two points' coordinates."""
-    left = pairs.join(points.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a")
-    both = left.join(points.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b")
-    both = both.where(F.lit(100) * F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb"))
+    def sent(rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=columns)
+        out["parent"] = pd.array([r[1] for r in rows], dtype="Int64")
+        return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
         for b in batches:
-            keep = [np.minimum(point(x), point(y)).sum() >= needed(n + m, least) for x, y, n, m in zip(b["pa"], b["pb"], b["na"], b["nb"], strict=True)]
-            yield b.loc[np.array(keep, bool), ["a", "b", "hub"]]
-
-    return both.select("a", "b", "hub", "na", "nb", "pa", "pb").mapInPandas(run, "a long, b long, hub long")
+            out = []
+            for r in b[columns].itertuples(index=False, name=None):
+                if held and (held[0][0] != r[0] or len(held) == FANOUT):
+                    out.append(box(held))
+                    held = []
+                held.append(r)
+                out.append((r[0], held[0][2], *r[2:]))
+            yield sent(out)
+        if held:
+            yield sent([box(held)])
+
+    lead = F.substring("top", 1, 16)
+    dealt = entries.withColumn("parent", F.lit(0).cast("long")).select(columns).repartitionByRange("hub", "lo", lead, "item").sortWithinPartitions("hub", "lo", lead, "item")
+    return dealt.mapInPandas(run, "hub long, parent long, item long, lo long, hi long, top binary, c0 long, c1 long")
+
+
+def tree_join(points: DataFrame, least: int) -> DataFrame:
+    """hub, a, b (a < b): the pairs of points of a hub that may link and are not in one component yet, by an R-tree for each hub.
+
+    points: hub, sid, n, point, component. The tree has a level more for each factor of FANOUT in the largest hub.
+    """
+    top = points.select("hub", F.col("sid").alias("item"), F.col("n").alias("lo"), F.col("n").alias("hi"), F.col("point").alias("top"), F.col("component").alias("c0"), F.col("component").alias("c1"))
+    levels, held = [], []
+    while True:
+        sizes = top.groupBy("hub").agg(F.count("*").alias("m"))
+        large = cut(sizes.where(F.col("m") > FANOUT).select("hub"))
+        held.append(large)
+        if large.isEmpty():
+            levels.append(top.withColumn("parent", F.lit(0).cast("long")))
+            break
+        both = cut(boxed(top.join(large, "hub", "left_semi")))
+        held.append(both)
+        small = top.join(large, "hub", "left_anti")
+        levels.append(both.where("parent is not null").unionByName(small.withColumn("parent", F.lit(0).cast("long"))))
+        top = both.where("parent is null").drop("parent")
+    pairs = None
+    for k, level in reversed([*enumerate(levels)]):
+        # Hubs that end on this level start here, the others come from the level above.
+        start = level.where("parent = 0").select("hub").distinct().select("hub", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+        pairs = start if pairs is None else pairs.unionByName(start)
+        x, y = (level.select("hub", *(F.col(c).alias(f"{c}_{s}") for c in ("parent", "item", "lo", "hi", "top", "c0", "c1"))) for s in "xy")
+        met = pairs.join(x.withColumnRenamed("parent_x", "a"), ["hub", "a"]).join(y.withColumnRenamed("parent_y", "b"), ["hub", "b"])
+        met = met.where((F.col("a") != F.col("b")) | (F.col("item_x") <= F.col("item_y") if k else F.col("item_x") < F.col("item_y")))
+        met = met.where(fits("hi_x", "lo_y", least) & fits("hi_y", "lo_x", least))
+        met = met.where("not (c0_x = c1_x and c0_y = c1_y and c0_x = c0_y)")
+        pairs = bounded(met, ["hub", "item_x", "item_y"], least).select("hub", F.col("item_x").alias("a"), F.col("item_y").alias("b"))
+        if k:
+            pairs = cut(pairs)
+            held.append(pairs)
+    out = cut(pairs.select("hub", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).groupBy("a", "b").agg(F.min("hub").alias("hub")))
+    spent(*held)
+    return out
 
 
-def verify(pairs: DataFrame, texts: DataFrame, star: bool, least: int = LEAST) -> DataFrame:
+def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key: str, star: bool, least: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by the exact overlap.
 
     Pairs of one hub are compared together, so a text is sent once for many of them. A hub with many pairs is dealt
     into cells by the hashes of both ends: a cell holds about BLOCK texts of each, whatever the size of the hub.
-    star says that all pairs of a hub have the same a.
+    star says that all pairs of a hub have the same a. A task reads cell by cell, the texts of a cell before its pairs.
     """
     sizes = pairs.groupBy("hub").agg(F.count("*").alias("m"))
     wide = F.ceil((F.col("m") if star else F.sqrt(F.col("m") * 2)) / BLOCK).cast("int")
     end = lambda c: F.pmod(F.xxhash64(c), F.col("wide")).cast("int")
     dealt = pairs.join(sizes.select("hub", wide.alias("wide")), "hub")
-    dealt = cut(dealt.select("hub", (F.lit(0) if star else end("a")).alias("row"), end("b").alias("col"), "a", "b"))
-    cell = ["hub", "row", "col"]
-    sent = dealt.select(*cell, F.explode(F.array("a", "b")).alias("id")).distinct().join(texts, "id").select(*(F.col(c).alias(f"{c}_") for c in cell), "id", "packed")
-
-    def run(own: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        unpack = zstandard.ZstdDecompressor()
-        each = dict(zip(held["id"], shingle_sets(unpack.decompress(p).decode() for p in held["packed"]), strict=True))
-        keep = [len(np.intersect1d(each[a], each[b], assume_unique=True)) >= needed(len(each[a]) + len(each[b]), least) for a, b in zip(own["a"], own["b"], strict=True)]
-        return own.loc[np.array(keep, bool), ["a", "b"]]
+    dealt = cut(dealt.select("hub", (F.lit(0) if star else end("a")).alias("x"), end("b").alias("y"), "a", "b"))
+    cell = ["hub", "x", "y"]
+    wanted = cut(dealt.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(reps.select("sid", "row"), "sid"))
+    texts = packed_texts(docs, wanted, key, text).select("row", "packed").join(wanted, "row").dropDuplicates(["sid"]).select("sid", "packed")
+    ends = dealt.select(*cell, F.explode(F.array("a", "b")).alias("sid")).distinct()
+    sent = ends.join(texts, "sid").select(*cell, F.col("sid").alias("a"), F.lit(None).cast("long").alias("b"), "packed")
+    rows = dealt.select(*cell, "a", "b", F.lit(None).cast("binary").alias("packed")).unionByName(sent)
+    rows = rows.repartition(*cell).sortWithinPartitions(*cell, F.col("b").isNotNull(), "a").select(*cell, "a", F.coalesce("b", F.lit(0)).alias("b"), "packed")
 
-    return dealt.groupBy(*cell).cogroup(sent.groupBy(*(f"{c}_" for c in cell))).applyInPandas(run, "a long, b long")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, sets = None, {}
+        for b in batches:
+            for part in portions(b, "packed", 1 << 19):
+                packed = part["packed"]
+                new = shingle_sets(unpacked(packed[packed.notna()]))
+                out = []
+                for hub, x, y, a, c, data in part[[*cell, "a", "b", "packed"]].itertuples(index=False, name=None):
+                    if now != (hub, x, y):
+                        now, sets = (hub, x, y), {}
+                    if data is not None:
+                        sets[a] = next(new)
+                    elif len(np.intersect1d(sets[a], sets[c], assume_unique=True)) >= needed(len(sets[a]) + len(sets[c]), least):
+                        out.append((a, c))
+                yield pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    out = cut(rows.mapInPandas(run, "a long, b long"))
+    spent(dealt, wanted)
+    return out
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -216,46 +338,75 @@ def components(edges: DataFrame) -> DataFrame:
         large = cut(both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
-        edges = cut(small.where("u != v").distinct())
-        after = _state(edges)
+        after_edges = cut(small.where("u != v").distinct())
+        spent(edges, large)
+        edges, after = after_edges, _state(after_edges)
         if after == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         before = after
 
 
-def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int = LEAST) -> DataFrame:
-    """key, n_shingles, component_id (least key reachable by links, itself included) of each row.
+def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int = LEAST, bits: int = 64) -> DataFrame:
+    """row, late, id (see identity()), n (shingles), group: a number for each component, null for a row without words.
 
-    Documents link when 100 * common shingles >= least * all shingles of both. Without words a document links
-    with none. Equal sets are one class with one representative, whose pairs stand for all of them. Repeated
-    rows give repeated rows (of different texts under one key, one is compared); rows with a null key each get a null component. Nothing is sampled or capped: pairs that
-    share a leaf are either verified or known to be in one component already. The leader of a leaf is compared with
-    all others of it first; what remains are pairs in different components.
+    One row for each row of docs. Equal sets are one class, known by 128 bits, whose pairs stand for all of its rows;
+    rows that share a key but not the text are linked by their own texts.
     """
-    docs = docs.withColumn(key, F.col(key).cast("long"))
-    each = cut(profiles(docs, hot_tokens(docs, docs.count(), text, key), text, key, least))
-    filled = each.where("set_hash is not null and id is not null")
-    first = (F.first(c).alias(c) for c in ("n", "point", "short", "prefix"))
-    classes = cut(filled.groupBy("set_hash").agg(F.min("id").alias("id"), *first))
-    reps = classes.select("id", "n", "point").dropDuplicates(["id"])
-    tokens = classes.select("id", "n", F.col("short").alias("first"), F.posexplode("prefix").alias("place", "token"))
-    tokens = tokens.select("token", "id", (F.col("place") < F.col("first")).alias("short"), (F.col("n") - F.col("place")).cast("int").alias("rest"))
-    leaves = tokens.groupBy("token").agg(F.count("*").alias("size"), F.min(F.when(F.col("short"), F.col("id"))).alias("leader")).where("size > 1 and leader is not null").drop("size")
-    shared = cut(tokens.join(leaves, "token").select("token", "id", "short", "rest", "leader"))
-    fits = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(least) * F.greatest(x, y)
-    stars = cut(bounded(shared.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b"), F.col("leader").alias("hub")).distinct(), reps, least))
-    links = cut(verify(stars, packed(docs, stars, text, key), True, least))
-    known = components(links)
-    # Pairs of a leaf in different components are all that is left to verify.
-    own = cut(shared.select("token", "id", "short", "rest").join(reps.select("id", "n"), "id").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id")))
-    mixed = own.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
-    rest = own.join(mixed, "token", "left_semi").select("token", "id", "short", "rest", "n", "component")
-    x, y = (rest.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "short", "rest", "n", "component"))) for s in "xy")
-    pairs = x.where("short_x").join(y, "token").where((F.col("component_x") != F.col("component_y")) & (F.col("n_x") <= F.col("n_y")) & fits(F.col("n_x"), F.col("n_y")))
-    # In the first shingle that a linked pair has in common, all that they share is still ahead of both.
-    pairs = pairs.where(F.least("rest_x", "rest_y") * (100 + least) >= F.lit(least) * (F.col("n_x") + F.col("n_y")))
-    close = cut(bounded(pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"), "token").groupBy("a", "b").agg(F.min("token").alias("hub")), reps, least))
+    each = cut(profiles(docs, hot_tokens(docs, docs.count(), text), text, key, least, bits))
+    each = told_apart(each)
+    reps = cut(each.where("sid is not null").groupBy("sid").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("point").alias("point")))
+    members = cut(leaves(each.select("sid", "short", "usual", "prefix")))
+    ends = lambda s: reps.select(F.col("sid").alias(s), F.col("n").alias(f"lo_{s[-1]}"), F.col("point").alias(f"top_{s[-1]}"))
+    stars = members.join(ends("end_y"), F.col("sid") == F.col("end_y")).join(ends("end_x"), F.col("hub") == F.col("end_x"))
+    stars = bounded(stars.where(fits("lo_x", "lo_y", least) & fits("lo_y", "lo_x", least)), ["hub", "sid"], least)
+    stars = cut(stars.select(F.col("hub").alias("a"), F.col("sid").alias("b"), "hub"))
+    links = verify(stars, reps, docs, text, key, True, least)
+    spent(stars)
+    known = cut(components(links))
+
+    # In a hub whose sets are all in one component there is nothing left to find.
+    own = members.join(known, F.col("sid") == F.col("node"), "left").select("hub", "sid", F.coalesce("component", "sid").alias("component"))
+    mixed = own.groupBy("hub").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1").select("hub")
+    points = cut(own.join(mixed, "hub", "left_semi").join(reps.select("sid", "n", "point"), "sid"))
+    close = tree_join(points, least)
+    spent(points, members)
     if not close.isEmpty():
-        known = components(links.union(verify(close, packed(docs, close, text, key), False, least)))
-    final = classes.join(known, classes["id"] == known["node"], "left").select("set_hash", F.coalesce("component", "id").alias("component"))
-    return each.join(final, "set_hash", "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+        more = verify(close, reps, docs, text, key, False, least)
+        known = cut(components(links.unionByName(more)))
+        spent(more)
+    spent(close, links)
+    return each.select("row", "late", "id", "n", "sid").join(known, F.col("sid") == F.col("node"), "left").select("row", "late", "id", "n", F.coalesce("component", "sid").alias("group"))
+
+
+def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int = LEAST, bits: int = 64) -> DataFrame:
+    """key, n_shingles, component_id (least key reachable by links, itself included) of each row.
+
+    Documents link when 100 * common shingles >= least * all shingles of both. Without words, null or empty, a document
+    links with none. Repeated rows give repeated rows; of rows that share a key each is linked by its own text; a row with
+    a null key links as any other, and has a null component only if no row of it has a key. Other columns are not carried
+    along. Nothing is sampled or capped: all pairs of linked sets meet in a hub, where they are compared exactly or known
+    to be in one component already. An empty table gives none.
+    """
+    rows = grouped(docs, text, key, least, bits)
+    own = F.when(~F.col("late"), F.col("id"))
+    least_id = rows.where("group is not null").groupBy("group").agg(F.min(own).alias("component_id"))
+    out = rows.join(least_id, "group", "left")
+    return out.select(own.alias(key), F.col("n").alias("n_shingles"), F.when(F.col("group").isNull(), own).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int = LEAST) -> DataFrame:
+    """docs without near duplicates: of each group of linked rows the one with the smallest key stays, once.
+
+    A null key is the greatest; of rows with one key the smaller hash of key and text decides; rows without words all stay.
+    """
+    rows = cut(grouped(docs, text, key, least))
+    first = rows.where("group is not null").groupBy("group").agg(F.min(F.struct("late", "id", "row"))["row"].alias("first"))
+    gone = cut(rows.join(first, "group").where("row != first").select(F.col("row").alias("gone")).distinct())
+    several = rows.where("group is not null").groupBy("row").agg(F.count("*").alias("times")).where("times > 1")
+    spare = cut(several.select(F.col("row").alias("spare")))
+    left = docs.join(gone, row_of(key, text) == F.col("gone"), "left_anti")
+    if spare.isEmpty():
+        return left
+    # Equal rows: all but one go. Only they are brought together.
+    alone = left.join(spare, row_of(key, text) == F.col("spare"), "left_anti")
+    return alone.unionByName(left.join(spare, row_of(key, text) == F.col("spare"), "left_semi").dropDuplicates([key, text]))
