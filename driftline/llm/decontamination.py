@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.column import Column
 
-from driftline.llm.common import ascii_lower, constant, let, words
+from driftline.llm.common import ascii_lower, constant, let, row_of, unused, words
 
 K, SIMILARITY = 5, 0.8
 #: Greatest Hamming distance of fingerprints. Similarity 0.8 means a cosine of 0.89 at least, 10 bits expected, deviation below 3:
@@ -125,7 +125,8 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, key:
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """docs without those that leak an item; each is judged by its own text, whether its doc_id is null or repeated."""
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    leaks = find(keyed.withColumn("_row", F.struct("doc_id", "_text")), benchmark, least, key="_row").select(F.col("_row.doc_id").alias("_leak"), F.col("_row._text").alias("_leak_text")).distinct()
-    return keyed.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")) & (F.col("_text") == F.col("_leak_text")), "left_anti").drop("_text")
+    """docs without those that leak an item; each is judged by its own text, whether its doc_id is null or repeated. All columns stay."""
+    keyed = docs.select(row_of("doc_id", "text").alias("row"), "text")
+    leaks = find(keyed, benchmark, least, key="row").select(F.col("row").alias("leak")).distinct()
+    leak = unused(docs, "leak")
+    return docs.join(leaks.withColumnRenamed("leak", leak), row_of("doc_id", "text") == F.col(leak), "left_anti")

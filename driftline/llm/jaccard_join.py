@@ -11,7 +11,7 @@ first shingles. Then, by Spark joins:
 
 1. Each hub is compared with its sets; what links gives first components.
 2. In a hub whose sets are not all in one component yet, an R-tree is packed (sets sorted by size and counts, FANOUT
-   to a box, boxes again, until FANOUT are left) and joined with itself from the top down, by the bound.
+   to a box, boxes again, until few are left) and joined with itself from the top down, by the bound.
 3. Pairs of points that pass are compared exactly, by the sets of their texts.
 
 The components are exact. Links are not listed: a pair already known to be in one component is not compared.
@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from driftline.llm.common import cut, identity, packed_texts, portions, row_of, spent, unpacked
+from driftline.llm.common import cut, identity, packed_texts, portions, row_of, spent, unpacked, unused
 from driftline.llm.hashing import FOLD, mix, run_hashes, word_hashes
 
 SHINGLE, LEAST = 4, 85
@@ -244,15 +244,17 @@ def boxed(entries: DataFrame) -> DataFrame:
 def tree_join(points: DataFrame, least: int) -> DataFrame:
     """hub, a, b (a < b): the pairs of points of a hub that may link and are not in one component yet, by an R-tree for each hub.
 
-    points: hub, sid, n, point, component. The tree has a level more for each factor of FANOUT in the largest hub.
+    points: hub, sid, n, point, component. The tree gets another level as long as one makes far fewer boxes: a task packs
+    its own rows, so each of the shuffle's partitions adds a box at most.
     """
+    partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     top = points.select("hub", F.col("sid").alias("item"), F.col("n").alias("lo"), F.col("n").alias("hi"), F.col("point").alias("top"), F.col("component").alias("c0"), F.col("component").alias("c1"))
     levels, held = [], []
     while True:
         sizes = top.groupBy("hub").agg(F.count("*").alias("m"))
-        large = cut(sizes.where(F.col("m") > FANOUT).select("hub"))
+        large = cut(sizes.where(F.col("m") > FANOUT))
         held.append(large)
-        if large.isEmpty():
+        if (large.agg(F.sum("m")).first()[0] or 0) <= 4 * partitions:
             levels.append(top.withColumn("parent", F.lit(0).cast("long")))
             break
         both = cut(boxed(top.join(large, "hub", "left_semi")))
@@ -401,12 +403,13 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", least:
     """
     rows = cut(grouped(docs, text, key, least))
     first = rows.where("group is not null").groupBy("group").agg(F.min(F.struct("late", "id", "row"))["row"].alias("first"))
-    gone = cut(rows.join(first, "group").where("row != first").select(F.col("row").alias("gone")).distinct())
+    name = unused(docs, "near")
+    gone = cut(rows.join(first, "group").where("row != first").select(F.col("row").alias(name)).distinct())
     several = rows.where("group is not null").groupBy("row").agg(F.count("*").alias("times")).where("times > 1")
-    spare = cut(several.select(F.col("row").alias("spare")))
-    left = docs.join(gone, row_of(key, text) == F.col("gone"), "left_anti")
+    spare = cut(several.select(F.col("row").alias(name)))
+    left = docs.join(gone, row_of(key, text) == F.col(name), "left_anti")
     if spare.isEmpty():
         return left
     # Equal rows: all but one go. Only they are brought together.
-    alone = left.join(spare, row_of(key, text) == F.col("spare"), "left_anti")
-    return alone.unionByName(left.join(spare, row_of(key, text) == F.col("spare"), "left_semi").dropDuplicates([key, text]))
+    alone = left.join(spare, row_of(key, text) == F.col(name), "left_anti")
+    return alone.unionByName(left.join(spare, row_of(key, text) == F.col(name), "left_semi").dropDuplicates([key, text]))

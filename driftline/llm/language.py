@@ -13,7 +13,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm.common import cut
+from driftline.llm.common import cut, unused
 
 #: Byte symbols: 0 is the start of a text (and NUL), 1 to 62 the commonest bytes of the sample, 63 all others.
 SYMBOLS, OTHER = 64, 63
@@ -148,4 +148,5 @@ def identify(spark: SparkSession, docs: DataFrame, trees: Trees, text: str = "te
         names = np.array(trees.languages, object)
         return pd.DataFrame({"lang_pred": np.where(known, names[best], "und"), "score": np.where(known, share, 0.0)})
 
-    return docs.withColumn("_r", run(text)).withColumns({"lang_pred": F.col("_r.lang_pred"), "score": F.col("_r.score")}).drop("_r")
+    r = unused(docs, "r")
+    return docs.withColumn(r, run(text)).withColumns({"lang_pred": F.col(f"{r}.lang_pred"), "score": F.col(f"{r}.score")}).drop(r)

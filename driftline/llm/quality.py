@@ -128,12 +128,12 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
     return {k: own for k, own in out.items() if own[0].any()}
 
 
-def judge(spark: SparkSession, docs: DataFrame, refs: dict | None = None, text: str = "text", lang: str = "lang") -> DataFrame:
-    """docs with a struct column `quality`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_jsd, word_jsd, kept.
+def judge(spark: SparkSession, docs: DataFrame, refs: dict | None = None, text: str = "text", lang: str = "lang", out: str = "quality") -> DataFrame:
+    """docs with a struct column `out` (quality): n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_jsd, word_jsd, kept.
 
     A document without language or of one without a reference (given refs can lack some) has distances 0 and is kept
     unless the base rules fail; so has one outside COMMON a word_jsd of 0. A null text counts as empty (fails the base
-    rule). A language written in two scripts has one reference; its rarer script may lie far from it. Whole texts; repeated rows are judged each, alike; an existing column `quality`
+    rule). A language written in two scripts has one reference; its rarer script may lie far from it. Whole texts; repeated rows are judged each, alike; an existing column `out`
     is replaced. Two passes over the texts (references, verdicts), no shuffle of texts.
     """
     refs = references(docs, text, lang) if refs is None else refs
@@ -154,4 +154,4 @@ def judge(spark: SparkSession, docs: DataFrame, refs: dict | None = None, text:
             rows.append((n, chars, symbols, dups, again, failed, *far, not failed and far[0] <= MAX_CHAR_JSD and far[1] <= MAX_WORD_JSD))
         return pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_jsd", "word_jsd", "kept"])
 
-    return docs.withColumn("quality", run(F.col(text), F.col(lang)))
+    return docs.withColumn(out, run(F.col(text), F.col(lang)))

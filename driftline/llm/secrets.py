@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.column import Column
 
+from driftline.llm.common import unused
+
 #: The base patterns. Group 2 of `assign` is the value.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: A run that is long enough is matched whole from its start, so the least length can stand in the pattern.
@@ -91,14 +93,14 @@ def digest(scanned: DataFrame, spans: str = "secrets") -> DataFrame:
 
 def mask(docs: DataFrame, text: str = "text", by: str = "[SECRET]") -> DataFrame:
     """docs with each secret's span replaced by `by`; overlapping spans are replaced once. Other texts stay as they are."""
-    t = F.col(text)
+    t, own = F.col(text), unused(docs, "spans")
     built = F.aggregate(
-        "_spans",
+        own,
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda a, s: F.when(s["end"] <= a["at"], a)
         .when(s["start"] < a["at"], F.struct(a["out"].alias("out"), s["end"].alias("at")))
         .otherwise(F.struct(F.concat(a["out"], F.substr(t, a["at"] + 1, s["start"] - a["at"]), F.lit(by)).alias("out"), s["end"].alias("at"))),
         lambda a: F.concat(a["out"], F.substr(t, a["at"] + 1)),
     )
-    scanned = scan(docs, text, "_spans")
-    return scanned.withColumn(text, F.when(F.size("_spans") > 0, built).otherwise(t)).drop("_spans")
+    scanned = scan(docs, text, own)
+    return scanned.withColumn(text, F.when(F.size(own) > 0, built).otherwise(t)).drop(own)
