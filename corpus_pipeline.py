@@ -10,30 +10,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driftline.llm import bpe, decontamination, jaccard_join, quality, secrets
-from driftline.llm.common import cut, table
+from driftline.llm.common import cut, table, unused
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or the divergence of their distributions reject go."""
-    return quality.judge(spark, docs).where("quality.kept").select(docs.columns)
+    verdict = unused(docs, "verdict")
+    return quality.judge(spark, docs, out=verdict).where(F.col(f"{verdict}.kept")).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest key stays, once; rows without doc_id all stay.
+    """Of each group of linked documents the one with the smallest doc_id stays, once.
 
-    The key is doc_id; if an id has several texts, all but one of them have a hash of id and text instead, so that
-    each is linked by its own words. Rows that share id and text are one.
+    A null doc_id counts as the greatest; of rows that share a doc_id but not the text, each is linked by its own text,
+    and the one with the smaller hash of both stays if they link. Rows without words all stay.
     """
-    named = docs.where("doc_id is not null").withColumn("_text", F.xxhash64("text"))
-    several = cut(named.groupBy("doc_id").agg(F.min("_text").alias("_own"), F.max("_text").alias("_last")).where("_own != _last").select("doc_id", "_own"))
-    if several.isEmpty():
-        keyed = named.withColumn("_key", F.col("doc_id").cast("long"))
-    else:
-        other = F.col("_text") != F.col("_own")
-        keyed = named.join(several, "doc_id", "left").withColumn("_key", F.when(other, F.xxhash64("doc_id", "_text")).otherwise(F.col("doc_id").cast("long")))
-    first = jaccard_join.link(keyed, key="_key").where("_key = component_id").select("_key").distinct()
-    kept = keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
-    return kept.unionByName(docs.where("doc_id is null"))
+    return jaccard_join.one_of_each(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +39,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each whole text."""
+    """The columns of documents with `ids`, the token ids of each whole text, and their number `n_tokens`; columns of these names are replaced."""
     out = bpe.encode(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
     return out.withColumn("n_tokens", F.size("ids").cast("long"))
 
