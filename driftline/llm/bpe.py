@@ -11,6 +11,7 @@ import heapq
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,7 +21,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: White space as Unicode lists it; Python's own \s also counts the separators U+001C to U+001F.
 _PATTERN = PATTERN.replace(r"[^\s\p{L}", r"[^\p{White_Space}\p{L}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
 #: Pre-tokens kept encoded in each worker; the memory of a worker is bounded by it.
-CACHE = 300_000
+CACHE = 100_000
 #: Ranks behind every merge.
 NONE = (1 << 60, -1)
 #: Longer pre-tokens are not worth keeping.
@@ -180,7 +181,8 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer_path: str, text: str
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series) -> pd.Series:
         enc = encoder(shared)
-        return pd.Series([[int(i) for i in s.split(",")] if (s := enc.ids(t or "")) else [] for t in texts], dtype=object)
+        # Arrays of numbers: lists of Python's own would take ten times the memory for a batch of long texts.
+        return pd.Series([np.fromstring(enc.ids(t or ""), np.int32, sep=",") for t in texts], dtype=object)
 
     return docs.withColumn(out, run(F.col(text)))
 

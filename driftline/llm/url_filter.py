@@ -20,9 +20,9 @@ RULES = (
     ("example.net", "/de/8", "block"),
     ("org", "/es/", "block"),
 )
-#: Words of hosts that advertise, and of hosts that don't, for the labelled table.
-BAD = ("casino", "casino-win", "free-bets", "bets", "poker", "slots", "jackpot", "cheap-pills", "pills", "viagra", "xxx", "porn", "adult", "payday-loans", "win-cash", "ads", "ad-track")
-GOOD = ("news", "blog", "docs", "library", "school", "museum", "weather", "recipes", "travel", "history", "science", "garden", "music", "forum", "wiki", "thread", "other", "there", "than", "national", "north", "earth", "action", "station", "theory", "hand", "weekend", "shelter", "thing", "author", "brother", "mother", "then", "option", "edition")
+#: Words of addresses that advertise, gamble or sell what is unwanted, and of ordinary ones, for the labelled table.
+BAD = "casino poker betting slots jackpot roulette blackjack lottery sweepstakes viagra pills pharmacy payday loans porn xxx adult escort adserver banner popup clickbait warez replica giveaway".split()
+GOOD = "news blog docs library school museum weather recipes travel history science garden music forum wiki sports culture politics economy research university hospital council theatre cinema books poetry maps archive journal magazine letters photos gallery tutorial manual reference support contact team careers events calendar community help".split()
 BUCKETS, SIZES = 1 << 14, (3, 4)
 
 
@@ -56,8 +56,9 @@ def grams(host: Column, path: Column) -> Column:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The small labelled table: url, label (1 to block)."""
-    rows = [(f"https://{pre}{w}.{site}.{tld}/{lang}/{k}", label) for label, ws in ((1, BAD), (0, GOOD)) for k, w in enumerate(ws) for pre, site, tld, lang in (("", "site", "com", "en"), ("m.", "page", "net", "fr"), ("www.", "home", "org", "es"))]
+    """The small labelled table: url, label (1 to block). Each word stands in hosts and in paths, among neutral parts."""
+    forms = ("https://{w}.site.com/a/{k}", "http://www.my{w}.net/en/{k}", "https://page{k}.org/{w}/index.html", "https://m.home.info/list/{k}/{w}")
+    rows = [(form.format(w=w, k=k), label) for label, ws in ((1, BAD), (0, GOOD)) for k, w in enumerate(ws) for form in forms]
     return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{u}', {y})" for u, y in rows) + " AS t(url, label)")
 
 
@@ -78,13 +79,13 @@ def judge(pages: DataFrame, labelled: DataFrame, url: str = "url", threshold: fl
     """pages with host, path, rule, verdict (allow or block) and p_block.
 
     The longest rule that fits decides, else whether p_block reaches the threshold. A null url, or one without
-    ://, has an empty host and path and is allowed. Repeated rows are judged each; existing columns of these
+    ://, has an empty host and path and is allowed; one with an empty host and a path is judged by the path. Repeated rows are judged each; existing columns of these
     names are replaced; no shuffle of pages.
     """
     weights, intercept = train(labelled)
     table, h, p = constant(weights, "double"), F.col("host"), F.col("path")
     rule, verdict = rule_of(h, p, rules)
     score = F.aggregate(buckets(h, p), F.lit(intercept), lambda a, k: a + F.get(table, k))
-    prob = F.when(h == "", 0.0).otherwise(1 / (1 + F.exp(-score)))
+    prob = F.when((h == "") & (p == ""), 0.0).otherwise(1 / (1 + F.exp(-score)))
     split = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
     return split.withColumn("rule", rule).withColumn("p_block", prob).withColumn("verdict", F.coalesce(verdict, F.when(F.col("p_block") >= threshold, "block").otherwise("allow")))
