@@ -8,7 +8,7 @@ import numpy as np
 
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Bytes of text hashed at once; memory is about 40 times as much.
-STEP = 1 << 19
+STEP = 1 << 18
 _U = np.uint64
 _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True

@@ -12,7 +12,7 @@ first shingles. Then, by Spark joins:
 1. Each hub is compared with its sets; what links gives first components.
 2. In a hub whose sets are not all in one component yet, an R-tree is packed (sets sorted by size and counts, FANOUT
    to a box, boxes again, until few are left) and joined with itself from the top down, by the bound.
-3. Pairs of points that pass are compared exactly, by the sets of their texts.
+3. In two boxes that pass, the points that pass are compared exactly, by the sets of their texts; no pair is a row.
 
 The components are exact. Links are not listed: a pair already known to be in one component is not compared.
 """
@@ -32,7 +32,7 @@ SHINGLE, LEAST = 4, 85
 #: Shingles a group, about, and the fewest and most groups of a point. Points of more groups fold to fewer by sums of neighbours.
 EACH_GROUP, FEWEST, MOST = 8, 16, 1024
 #: Entries of a box of the R-tree.
-FANOUT = 32
+FANOUT = 64
 #: A shingle of more than this share of the documents is put last in the order of shingles. At most (mean set
 #: size) / HOT_SHARE shingles can be so common, however large the corpus: a few MB to broadcast.
 HOT_SHARE = 1 / 2000
@@ -242,10 +242,12 @@ def boxed(entries: DataFrame) -> DataFrame:
 
 
 def tree_join(points: DataFrame, least: int) -> DataFrame:
-    """hub, a, b (a < b): the pairs of points of a hub that may link and are not in one component yet, by an R-tree for each hub.
+    """hub, a, b, sid, n, point, component: for each two boxes a and b of a hub (or one with itself) that may hold links,
+    their points that may link with one of the other box and are not in one component with it yet.
 
-    points: hub, sid, n, point, component. The tree gets another level as long as one makes far fewer boxes: a task packs
-    its own rows, so each of the shuffle's partitions adds a box at most.
+    points: hub, sid, n, point, component. Large hubs are boxed; their tree gets another level as long as one makes far
+    fewer boxes: a task packs its own rows, so each of the shuffle's partitions adds a box at most. Pairs of points are
+    never rows: a row of the last step is a pair of boxes, with FANOUT points each.
     """
     partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     top = points.select("hub", F.col("sid").alias("item"), F.col("n").alias("lo"), F.col("n").alias("hi"), F.col("point").alias("top"), F.col("component").alias("c0"), F.col("component").alias("c1"))
@@ -254,7 +256,8 @@ def tree_join(points: DataFrame, least: int) -> DataFrame:
         sizes = top.groupBy("hub").agg(F.count("*").alias("m"))
         large = cut(sizes.where(F.col("m") > FANOUT))
         held.append(large)
-        if (large.agg(F.sum("m")).first()[0] or 0) <= 4 * partitions:
+        entries = large.agg(F.sum("m")).first()[0] or 0
+        if entries == 0 or (levels and entries <= 4 * partitions):
             levels.append(top.withColumn("parent", F.lit(0).cast("long")))
             break
         both = cut(boxed(top.join(large, "hub", "left_semi")))
@@ -262,37 +265,115 @@ def tree_join(points: DataFrame, least: int) -> DataFrame:
         small = top.join(large, "hub", "left_anti")
         levels.append(both.where("parent is not null").unionByName(small.withColumn("parent", F.lit(0).cast("long"))))
         top = both.where("parent is null").drop("parent")
+    start = lambda level: level.where("parent = 0").select("hub").distinct().select("hub", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
     pairs = None
-    for k, level in reversed([*enumerate(levels)]):
+    for level in reversed(levels[1:]):
         # Hubs that end on this level start here, the others come from the level above.
-        start = level.where("parent = 0").select("hub").distinct().select("hub", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
-        pairs = start if pairs is None else pairs.unionByName(start)
+        pairs = start(level) if pairs is None else pairs.unionByName(start(level))
         x, y = (level.select("hub", *(F.col(c).alias(f"{c}_{s}") for c in ("parent", "item", "lo", "hi", "top", "c0", "c1"))) for s in "xy")
         met = pairs.join(x.withColumnRenamed("parent_x", "a"), ["hub", "a"]).join(y.withColumnRenamed("parent_y", "b"), ["hub", "b"])
-        met = met.where((F.col("a") != F.col("b")) | (F.col("item_x") <= F.col("item_y") if k else F.col("item_x") < F.col("item_y")))
+        met = met.where((F.col("a") != F.col("b")) | (F.col("item_x") <= F.col("item_y")))
         met = met.where(fits("hi_x", "lo_y", least) & fits("hi_y", "lo_x", least))
         met = met.where("not (c0_x = c1_x and c0_y = c1_y and c0_x = c0_y)")
         pairs = bounded(met, ["hub", "item_x", "item_y"], least).select("hub", F.col("item_x").alias("a"), F.col("item_y").alias("b"))
-        if k:
-            pairs = cut(pairs)
-            held.append(pairs)
-    out = cut(pairs.select("hub", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).groupBy("a", "b").agg(F.min("hub").alias("hub")))
+        pairs = cut(pairs)
+        held.append(pairs)
+    pairs = start(levels[0]) if pairs is None else pairs.unionByName(start(levels[0]))
+    # A box holds FANOUT points at most, a hub that is not boxed as well.
+    member = F.struct(F.col("item").alias("sid"), F.col("lo").alias("n"), F.col("top").alias("point"), F.col("c0").alias("component"))
+    boxes = cut(levels[0].groupBy("hub", "parent").agg(F.collect_list(member).alias("points")))
+    held.append(boxes)
+    x, y = (boxes.select("hub", F.col("parent").alias(p), F.col("points").alias(f"points_{p}")) for p in "ab")
+    met = pairs.join(x, ["hub", "a"]).join(y, ["hub", "b"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for hub, first, second, xs, ys in b[["hub", "a", "b", "points_a", "points_b"]].itertuples(index=False, name=None):
+                may = may_link([(p["n"], p["point"], p["component"]) for p in xs], [(p["n"], p["point"], p["component"]) for p in ys], first == second, least)
+                chosen = {p["sid"]: p for p in [*(p for p, m in zip(xs, may.any(1), strict=True) if m), *(p for p, m in zip(ys, may.any(0), strict=True) if m)]}
+                out += [(hub, first, second, k, p["n"], p["point"], p["component"], any(k == q["sid"] for q in xs)) for k, p in chosen.items()]
+            yield pd.DataFrame(out, columns=["hub", "a", "b", "sid", "n", "point", "component", "left"])
+
+    out = cut(met.mapInPandas(run, "hub long, a long, b long, sid long, n long, point binary, component long, left boolean"))
     spent(*held)
     return out
 
 
-def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key: str, star: bool, least: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, by the exact overlap.
+def may_link(xs: list[tuple], ys: list[tuple], same: bool, least: int) -> np.ndarray:
+    """A matrix: whether the bound and the sizes let (n, point, component) of xs and ys link, in different components; of one box with itself each pair once."""
+    groups = min(len(p) for _, p, _ in [*xs, *ys]) // 2
+    px, py = (np.array([folded(p, groups) for _, p, _ in ps]) for ps in (xs, ys))
+    n, m = (np.array([k for k, _, _ in ps]) for ps in (xs, ys))
+    total = n[:, None] + m
+    # Half the sum less half the distance is the sum of the minima.
+    common = (px.sum(1)[:, None] + py.sum(1) - np.array([np.abs(py - row).sum(1) for row in px])) // 2
+    full = (px.max(1) >= 65535)[:, None] | (py.max(1) >= 65535)
+    may = (full | (common >= needed(total, least))) & (100 * np.minimum(n[:, None], m) >= least * np.maximum(n[:, None], m))
+    may &= np.array([c for _, _, c in xs])[:, None] != np.array([c for _, _, c in ys])
+    return np.triu(may, 1) if same else may
+
+
+def compare(members: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key: str, least: int) -> DataFrame:
+    """Links (a, b) between the members (see tree_join()) of each two boxes, by the exact overlap of their sets.
+
+    A pair that links found before have put into one component is skipped, so that two boxes give fewer links than they have points.
+    """
+    cell = ["hub", "a", "b"]
+    wanted = cut(members.select("sid").distinct().join(reps.select("sid", "row"), "sid"))
+    texts = packed_texts(docs, wanted, key, text).select("row", "packed").join(wanted, "row").dropDuplicates(["sid"]).select("sid", "packed")
+    rows = members.join(texts, "sid").repartition(*cell).sortWithinPartitions(*cell)
+
+    def linked(held: list[tuple], same: bool) -> list[tuple[int, int]]:
+        xs, ys = ([h for h in held if same or h[4] == side] for side in (True, False))
+        if not xs or not ys:
+            return []
+        may = may_link([h[1:4] for h in xs], [h[1:4] for h in ys], same, least)
+        over = {h[3]: h[3] for h in held}
+
+        def root(c: int) -> int:
+            while over[c] != c:
+                over[c] = c = over[over[c]]
+            return c
+
+        out = []
+        for i, j in np.argwhere(may):
+            x, y = xs[i], ys[j]
+            if root(x[3]) != root(y[3]) and len(np.intersect1d(x[5], y[5], assume_unique=True)) >= needed(x[1] + y[1], least):
+                over[root(x[3])] = root(y[3])
+                out.append((x[0], y[0]))
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = None, []
+        for b in batches:
+            for part in portions(b, "packed", 1 << 18):
+                out = []
+                sets = shingle_sets(unpacked(part["packed"]))
+                for hub, first, second, *rest in part[[*cell, "sid", "n", "point", "component", "left"]].itertuples(index=False, name=None):
+                    if now != (hub, first, second):
+                        out += linked(held, now[1] == now[2]) if now else []
+                        now, held = (hub, first, second), []
+                    held.append((*rest, next(sets)))
+                yield pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+        if now:
+            yield pd.DataFrame(linked(held, now[1] == now[2]), columns=["a", "b"], dtype=np.int64)
+
+    out = cut(rows.mapInPandas(run, "a long, b long"))
+    spent(wanted)
+    return out
+
+
+def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key: str, least: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, by the exact overlap; a is the hub.
 
-    Pairs of one hub are compared together, so a text is sent once for many of them. A hub with many pairs is dealt
-    into cells by the hashes of both ends: a cell holds about BLOCK texts of each, whatever the size of the hub.
-    star says that all pairs of a hub have the same a. A task reads cell by cell, the texts of a cell before its pairs.
+    Pairs of one hub are compared together, so a text is sent once for many of them. A hub with many pairs is dealt into
+    cells by the hash of b: a cell holds about BLOCK texts beside the hub's, whatever the size of the hub. A task reads
+    cell by cell, the texts of a cell before its pairs.
     """
-    sizes = pairs.groupBy("hub").agg(F.count("*").alias("m"))
-    wide = F.ceil((F.col("m") if star else F.sqrt(F.col("m") * 2)) / BLOCK).cast("int")
-    end = lambda c: F.pmod(F.xxhash64(c), F.col("wide")).cast("int")
-    dealt = pairs.join(sizes.select("hub", wide.alias("wide")), "hub")
-    dealt = cut(dealt.select("hub", (F.lit(0) if star else end("a")).alias("x"), end("b").alias("y"), "a", "b"))
+    sizes = pairs.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("wide"))
+    dealt = pairs.join(sizes, "hub").withColumn("y", F.pmod(F.xxhash64("b"), F.col("wide")).cast("int"))
+    dealt = cut(dealt.select("hub", F.lit(0).alias("x"), "y", "a", "b"))
     cell = ["hub", "x", "y"]
     wanted = cut(dealt.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(reps.select("sid", "row"), "sid"))
     texts = packed_texts(docs, wanted, key, text).select("row", "packed").join(wanted, "row").dropDuplicates(["sid"]).select("sid", "packed")
@@ -362,7 +443,7 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int
     stars = members.join(ends("end_y"), F.col("sid") == F.col("end_y")).join(ends("end_x"), F.col("hub") == F.col("end_x"))
     stars = bounded(stars.where(fits("lo_x", "lo_y", least) & fits("lo_y", "lo_x", least)), ["hub", "sid"], least)
     stars = cut(stars.select(F.col("hub").alias("a"), F.col("sid").alias("b"), "hub"))
-    links = verify(stars, reps, docs, text, key, True, least)
+    links = verify(stars, reps, docs, text, key, least)
     spent(stars)
     known = cut(components(links))
 
@@ -373,7 +454,7 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int
     close = tree_join(points, least)
     spent(points, members)
     if not close.isEmpty():
-        more = verify(close, reps, docs, text, key, False, least)
+        more = compare(close, reps, docs, text, key, least)
         known = cut(components(links.unionByName(more)))
         spent(more)
     spent(close, links)
