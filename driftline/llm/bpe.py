@@ -13,15 +13,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from driftline.llm.common import unused
 
 #: The pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space as Unicode lists it; Python's own \s also counts the separators U+001C to U+001F.
 _PATTERN = PATTERN.replace(r"[^\s\p{L}", r"[^\p{White_Space}\p{L}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
 #: Pre-tokens kept encoded in each worker; the memory of a worker is bounded by it.
-CACHE = 100_000
+CACHE = 200_000
+#: Rows that encode() handles at once.
+SLICE = 256
 #: Ranks behind every merge.
 NONE = (1 << 60, -1)
 #: Longer pre-tokens are not worth keeping.
@@ -170,21 +175,28 @@ def encoder(shared) -> Encoder:
 
 
 def encode(spark: SparkSession, docs: DataFrame, tokenizer_path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """docs with a column of token ids (array<int>) of each whole text.
+    """docs with a column of token ids (array<int>) of each whole text, the last one.
 
     Special tokens in a text become their ids, as the tokenizers library does. A null text counts as
     empty, an empty one has no ids; repeated rows are encoded each; other columns pass unchanged, an
-    existing column named `out` is replaced. One pass, no shuffle; nothing is cut off.
+    existing column named `out` is replaced. One pass, no shuffle; nothing is cut off. A worker holds the ids of SLICE
+    rows at once.
     """
     shared = spark.sparkContext.broadcast(Bpe(tokenizer_path))
+    rest = docs.drop(out)
+    whole = rest.withColumn(unused(rest, "text"), F.col(text))  # the text under a name of its own, last
 
-    @F.pandas_udf("array<int>")
-    def run(texts: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared)
-        # Arrays of numbers: lists of Python's own would take ten times the memory for a batch of long texts.
-        return pd.Series([np.fromstring(enc.ids(t or ""), np.int32, sep=",") for t in texts], dtype=object)
-
-    return docs.withColumn(out, run(F.col(text)))
+        for b in batches:
+            for first in range(0, b.num_rows, SLICE):
+                part = b.slice(first, SLICE)
+                ids = [np.fromstring(enc.ids(t or ""), np.int32, sep=",") for t in part.column(part.num_columns - 1).to_pylist()]
+                offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*part.schema.names[:-1], out])
+
+    return whole.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(spark: SparkSession, df: DataFrame, tokenizer_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

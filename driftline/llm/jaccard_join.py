@@ -33,6 +33,8 @@ SHINGLE, LEAST = 4, 85
 EACH_GROUP, FEWEST, MOST = 8, 16, 1024
 #: Entries of a box of the R-tree.
 FANOUT = 64
+#: Pairs for each point of two boxes up to which the pairs themselves go on.
+SPARSE = 2
 #: A shingle of more than this share of the documents is put last in the order of shingles. At most (mean set
 #: size) / HOT_SHARE shingles can be so common, however large the corpus: a few MB to broadcast.
 HOT_SHARE = 1 / 2000
@@ -242,12 +244,14 @@ def boxed(entries: DataFrame) -> DataFrame:
 
 
 def tree_join(points: DataFrame, least: int) -> DataFrame:
-    """hub, a, b, sid, n, point, component: for each two boxes a and b of a hub (or one with itself) that may hold links,
-    their points that may link with one of the other box and are not in one component with it yet.
+    """What may link, for each two boxes a and b of a hub (or one with itself): hub, a, b, sid, n, point, component, left, other.
+
+    If few pairs of points pass the bound and are not in one component yet (SPARSE for each point), a row is a pair (sid,
+    other; point is null). Else it is a point (other is null) that may link with one of the other box, so that a large
+    group of near copies does not become all its pairs.
 
     points: hub, sid, n, point, component. Large hubs are boxed; their tree gets another level as long as one makes far
-    fewer boxes: a task packs its own rows, so each of the shuffle's partitions adds a box at most. Pairs of points are
-    never rows: a row of the last step is a pair of boxes, with FANOUT points each.
+    fewer boxes: a task packs its own rows, so each of the shuffle's partitions adds a box at most.
     """
     partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     top = points.select("hub", F.col("sid").alias("item"), F.col("n").alias("lo"), F.col("n").alias("hi"), F.col("point").alias("top"), F.col("component").alias("c0"), F.col("component").alias("c1"))
@@ -291,11 +295,16 @@ def tree_join(points: DataFrame, least: int) -> DataFrame:
             out = []
             for hub, first, second, xs, ys in b[["hub", "a", "b", "points_a", "points_b"]].itertuples(index=False, name=None):
                 may = may_link([(p["n"], p["point"], p["component"]) for p in xs], [(p["n"], p["point"], p["component"]) for p in ys], first == second, least)
+                if may.sum() <= SPARSE * (len(xs) + len(ys)):
+                    out += [(hub, first, second, xs[i]["sid"], 0, None, 0, True, ys[j]["sid"]) for i, j in np.argwhere(may)]
+                    continue
                 chosen = {p["sid"]: p for p in [*(p for p, m in zip(xs, may.any(1), strict=True) if m), *(p for p, m in zip(ys, may.any(0), strict=True) if m)]}
-                out += [(hub, first, second, k, p["n"], p["point"], p["component"], any(k == q["sid"] for q in xs)) for k, p in chosen.items()]
-            yield pd.DataFrame(out, columns=["hub", "a", "b", "sid", "n", "point", "component", "left"])
+                out += [(hub, first, second, k, p["n"], p["point"], p["component"], any(k == q["sid"] for q in xs), None) for k, p in chosen.items()]
+            found = pd.DataFrame(out, columns=["hub", "a", "b", "sid", "n", "point", "component", "left", "other"])
+            yield found.assign(other=pd.array([r[8] for r in out], dtype="Int64"))
 
-    out = cut(met.mapInPandas(run, "hub long, a long, b long, sid long, n long, point binary, component long, left boolean"))
+    kind = "hub long, a long, b long, sid long, n long, point binary, component long, left boolean, other long"
+    out = cut(met.mapInPandas(run, kind))
     spent(*held)
     return out
 
@@ -364,16 +373,18 @@ def compare(members: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key
     return out
 
 
-def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key: str, least: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, by the exact overlap; a is the hub.
+def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key: str, star: bool, least: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, by the exact overlap.
 
-    Pairs of one hub are compared together, so a text is sent once for many of them. A hub with many pairs is dealt into
-    cells by the hash of b: a cell holds about BLOCK texts beside the hub's, whatever the size of the hub. A task reads
-    cell by cell, the texts of a cell before its pairs.
+    Pairs of one hub are compared together, so a text is sent once for many of them. A hub with many pairs is dealt
+    into cells by the hashes of both ends: a cell holds about BLOCK texts of each, whatever the size of the hub.
+    star says that all pairs of a hub have the same a. A task reads cell by cell, the texts of a cell before its pairs.
     """
-    sizes = pairs.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("wide"))
-    dealt = pairs.join(sizes, "hub").withColumn("y", F.pmod(F.xxhash64("b"), F.col("wide")).cast("int"))
-    dealt = cut(dealt.select("hub", F.lit(0).alias("x"), "y", "a", "b"))
+    sizes = pairs.groupBy("hub").agg(F.count("*").alias("m"))
+    wide = F.ceil((F.col("m") if star else F.sqrt(F.col("m") * 2)) / BLOCK).cast("int")
+    end = lambda c: F.pmod(F.xxhash64(c), F.col("wide")).cast("int")
+    dealt = pairs.join(sizes.select("hub", wide.alias("wide")), "hub")
+    dealt = cut(dealt.select("hub", (F.lit(0) if star else end("a")).alias("x"), end("b").alias("y"), "a", "b"))
     cell = ["hub", "x", "y"]
     wanted = cut(dealt.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(reps.select("sid", "row"), "sid"))
     texts = packed_texts(docs, wanted, key, text).select("row", "packed").join(wanted, "row").dropDuplicates(["sid"]).select("sid", "packed")
@@ -443,7 +454,7 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int
     stars = members.join(ends("end_y"), F.col("sid") == F.col("end_y")).join(ends("end_x"), F.col("hub") == F.col("end_x"))
     stars = bounded(stars.where(fits("lo_x", "lo_y", least) & fits("lo_y", "lo_x", least)), ["hub", "sid"], least)
     stars = cut(stars.select(F.col("hub").alias("a"), F.col("sid").alias("b"), "hub"))
-    links = verify(stars, reps, docs, text, key, least)
+    links = verify(stars, reps, docs, text, key, True, least)
     spent(stars)
     known = cut(components(links))
 
@@ -454,9 +465,15 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int
     close = tree_join(points, least)
     spent(points, members)
     if not close.isEmpty():
-        more = compare(close, reps, docs, text, key, least)
+        # One pair may be in many hubs; it is compared in one of them.
+        a, b = F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")
+        sparse = cut(close.where("other is not null").groupBy(a, b).agg(F.min("hub").alias("hub")))
+        more = verify(sparse, reps, docs, text, key, False, least)
+        spent(sparse)
+        dense = close.where("other is null").drop("other")
+        if not dense.isEmpty():
+            more = more.unionByName(compare(dense, reps, docs, text, key, least))
         known = cut(components(links.unionByName(more)))
-        spent(more)
     spent(close, links)
     return each.select("row", "late", "id", "n", "sid").join(known, F.col("sid") == F.col("node"), "left").select("row", "late", "id", "n", F.coalesce("component", "sid").alias("group"))
 
