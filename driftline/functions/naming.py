@@ -51,7 +51,7 @@ def salt_map(csv: str) -> dict[str, int]:
 
 
 def type_name(raw: str) -> str:
-    """A column type's canonical name: upper case, no (...), X[] and ARRAY<X> as X ARRAY, single spaces for _ and runs."""
+    """A column type's canonical name: upper case, no (...), X[] and ARRAY<X> as X ARRAY, single spaces for _ and runs; VARCHAR for an empty name."""
     import re
 
     t = re.sub(r"\([^)]*\)", "", raw.strip().upper()).strip()
@@ -59,4 +59,4 @@ def type_name(raw: str) -> str:
         t = t[:-2] + " ARRAY"
     elif m := re.fullmatch(r"ARRAY\s*<(.*)>", t):
         t = m[1] + " ARRAY"
-    return " ".join(t.replace("_", " ").split())
+    return " ".join(t.replace("_", " ").split()) or "VARCHAR"

@@ -45,7 +45,7 @@ def part_of(ts: Column) -> Column:
     return (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int")
 
 
-def local_date(ts: Column, zone: str = "Asia/Almaty") -> Column:
+def local_date(ts: Column, zone: str) -> Column:
     """The date in a business zone of a UTC timestamp without zone."""
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), ts))
 

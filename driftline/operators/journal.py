@@ -14,9 +14,18 @@ def allowed(old: Column, new: Column) -> Column:
 
 
 def transition(runs: DataFrame, events: DataFrame) -> DataFrame:
-    """runs after events (run_id, new_status): those allowed take effect, others leave a run as it is."""
-    both = runs.join(events, "run_id", "left")
-    return both.withColumn("status", F.when(allowed(F.col("status"), F.col("new_status")), F.col("new_status")).otherwise(F.col("status"))).select(runs.columns)
+    """runs after events (run_id, new_status): those allowed take effect, others leave a run as it is.
+
+    Several events of one run count together, in the order of NEXT: running and ok lead from planned to ok. A run stays one row.
+    """
+    news = events.groupBy("run_id").agg(F.collect_set("new_status").alias("news"))
+
+    def step(status: Column) -> Column:
+        moves = [F.when((status == a) & F.array_contains("news", b), b) for a, bs in NEXT.items() for b in bs]
+        return F.coalesce(*moves, status)
+
+    both = runs.join(news, "run_id", "left")
+    return both.withColumn("status", step(F.col("status"))).withColumn("status", step(F.col("status"))).select(runs.columns)
 
 
 def without_stale(runs: DataFrame, now: Column, planned_minutes: int = 60, silent_minutes: int = 45, hard_hours: int = 12) -> DataFrame:

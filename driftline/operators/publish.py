@@ -26,10 +26,11 @@ def replaced(clean: DataFrame, new: DataFrame, parts: DataFrame) -> DataFrame:
 def publish(raw: DataFrame, clean_path: str, keys: list[str], order: list[str], parts: list[int]) -> None:
     """Write the deduplicated rows of these partitions of RAW over those of CLEAN.
 
-    Dynamic overwrite replaces only partitions that have rows: a partition that is empty in RAW stays as it is.
+    Dynamic overwrite replaces only partitions that have rows: a partition that is empty in RAW stays as it is. Rows are
+    dealt by ranges of day and keys, so that a large day is written by many tasks.
     """
     rows = latest_values(raw.where(F.col("part").isin(parts)), ["part", *keys], order)
-    rows.repartition("part").sortWithinPartitions("part", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(clean_path)
+    rows.repartitionByRange("part", *keys).sortWithinPartitions("part", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(clean_path)
 
 
 def retained(df: DataFrame, ts: str, now: str, days: int) -> DataFrame:

@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
+import json
 import struct
 from numbers import Integral
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.column import Column
 
 
 def json_line(df: DataFrame, columns: list[str]) -> Column:
-    """A JSON object and a line feed: nulls left out, numbers that are none left out, bytes as arrays of signed numbers."""
+    """A JSON object and a line feed: nulls left out, NaN and the infinities written as null, bytes as arrays of signed numbers."""
 
-    def plain(c: str) -> Column:
+    def field(c: str) -> Column:
         kind = df.schema[c].dataType.simpleString()
-        if kind in ("double", "float"):
-            return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), F.col(c)).alias(c)
+        value = F.col(c)
         if kind == "binary":
-            return F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.conv(F.hex(F.substr(F.col(c), i, F.lit(1))), 16, 10).cast("tinyint")).alias(c)
-        return F.col(c)
+            byte = lambda i: F.conv(F.hex(F.substr(F.col(c), i, F.lit(1))), 16, 10).cast("int")
+            value = F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: byte(i) - F.when(byte(i) > 127, 256).otherwise(0))
+            value = F.when(F.length(c) > 0, value).when(F.col(c).isNotNull(), F.expr("cast(array() as array<int>)"))
+        inside = F.to_json(F.struct(value.alias(c)))
+        text = F.substr(inside, F.lit(2), F.length(inside) - 2)
+        if kind in ("double", "float"):
+            text = F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(f"{json.dumps(c)}:null")).otherwise(text)
+        return F.when(F.col(c).isNotNull(), text)
 
-    return F.concat(F.to_json(F.struct(*map(plain, columns))), F.lit("\n"))
+    return F.concat(F.lit("{"), F.concat_ws(",", *map(field, columns)), F.lit("}\n"))
 
 
 def _long(n: int) -> bytes:
@@ -66,6 +73,8 @@ def _takes(kind, v) -> bool:
     name = kind["type"] if isinstance(kind, dict) else kind
     if _missing(v) or name == "null":
         return _missing(v) and name == "null"
+    if isinstance(v, list) and v and all(isinstance(x, tuple) for x in v):  # a map, as Arrow gives it
+        v = dict(v)
     truth = isinstance(v, (bool, np.bool_))
     return isinstance(v, _TAKES[name]) and truth == (name == "boolean")
 
@@ -106,17 +115,18 @@ def avro_record(fields: list[tuple[str, str | dict | list, bool]]) -> Column:
     The type is a name, or an object or union as in an Avro schema; nullable stands for a union with null first.
     """
 
-    @F.pandas_udf("binary")
-    def run(rows: pd.DataFrame) -> pd.Series:
-        def one(row) -> bytes:
+    @F.arrow_udf("binary")
+    def run(rows: pa.Array) -> pa.Array:
+        # From Arrow, not pandas: beside a null, pandas would make floats of long numbers.
+        def one(row: dict) -> bytes:
             out = b""
-            for v, (name, kind, nullable) in zip(row, fields, strict=True):
-                missing = _missing(v) or (isinstance(v, float) and v != v and kind not in ("float", "double"))
-                if missing and not nullable and not isinstance(kind, list):
+            for name, kind, nullable in fields:
+                v = row[name]
+                if v is None and not nullable and not isinstance(kind, list):
                     raise ValueError(f"{name} is required")
-                out += b"\0" if missing and nullable else (b"\2" if nullable else b"") + _avro(kind, v)
+                out += b"\0" if v is None and nullable else (b"\2" if nullable else b"") + _avro(kind, v)
             return out
 
-        return pd.Series([one(r) for r in rows.itertuples(index=False)], dtype=object)
+        return pa.array([one(r) for r in rows.to_pylist()], pa.binary())
 
     return run(F.struct(*(F.col(n) for n, _, _ in fields)))

@@ -117,7 +117,7 @@ def parse_ts_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, CAST(ts + INTERVAL 6 HOURS AS DATE) AS local_day FROM events WHERE ts < TIMESTAMP '2024-02-01'")
 def local_date_almaty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).where(F.col("ts") < F.to_timestamp_ntz(F.lit("2024-02-01"))).select("event_id", time.local_date(F.col("ts")).alias("local_day"))
+    return events(spark, sf_dir).where(F.col("ts") < F.to_timestamp_ntz(F.lit("2024-02-01"))).select("event_id", time.local_date(F.col("ts"), "Asia/Almaty").alias("local_day"))
 
 
 @query(f"SELECT {PART} AS part, count(*) AS n_rows FROM events WHERE event_type <> 'purchase' GROUP BY 1 HAVING count(*) >= 20")
@@ -252,6 +252,23 @@ def json_each_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("n_nationkey", serialize.json_line(rows, ["n_nationkey", "n_name"]).alias("line"))
 
 
+@query("SELECT n_nationkey, '{\"n_nationkey\":' || n_nationkey || CASE n_nationkey % 5 WHEN 0 THEN ',\"x\":null' WHEN 1 THEN ',\"x\":null' WHEN 2 THEN ',\"x\":null' WHEN 3 THEN ',\"x\":1.5' ELSE '' END || ',\"b\":[1,-1]}' || chr(10) AS line FROM nation")
+def nan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN and the infinities are null, a missing number is left out, bytes are signed numbers."""
+    k = F.col("n_nationkey") % 5
+    x = F.when(k == 0, float("nan")).when(k == 1, float("inf")).when(k == 2, float("-inf")).when(k == 3, 1.5)
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", x.alias("x"), F.unhex(F.lit("01FF")).alias("b"))
+    return rows.select("n_nationkey", serialize.json_line(rows, ["n_nationkey", "x", "b"]).alias("line"))
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN '00' ELSE '028280808080808020' END AS record FROM nation")
+def avro_wide_longs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A long beyond 2**53 beside nulls keeps its last digit."""
+    wide = F.when(F.col("n_nationkey") % 2 != 0, F.lit(9007199254740993).cast("long"))
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", wide.alias("wide"))
+    return rows.select("n_nationkey", F.hex(serialize.avro_record([("wide", "long", True)])).alias("record"))
+
+
 @query("SELECT n_nationkey, printf('%02X', n_nationkey * 2) || CASE WHEN n_nationkey % 3 <> 0 THEN '02' || printf('%02X', strlen(n_name) * 2) || hex(n_name) ELSE '00' END AS record FROM nation")
 def avro_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 3 != 0, F.col("n_name")).alias("n_name"))

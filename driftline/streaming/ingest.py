@@ -10,17 +10,18 @@ from driftline.operators.publish import publish
 
 
 def ingest(stream: DataFrame, raw_path: str, clean_path: str, checkpoint: str, keys: list[str], order: list[str], ts: str) -> StreamingQuery:
-    """Append each micro-batch to RAW and publish the day partitions it touched; runs until nothing new is there.
+    """Write each micro-batch to RAW and publish the day partitions it touched; runs until nothing new is there.
 
-    A replayed batch appends again; publication is by latest value and idempotent, so CLEAN stays right. The
-    number of days a batch touches is small, and only their numbers reach the driver.
+    RAW is partitioned by part and batch: a replayed batch replaces its own folders, so nothing is doubled. A batch is
+    computed once; its days, a small number, are read from what was written.
     """
 
-    def step(batch: DataFrame, _: int) -> None:
-        rows = batch.withColumn("part", part_of(F.col(ts)))
-        rows.write.mode("append").partitionBy("part").parquet(raw_path)
-        parts = [r["part"] for r in rows.select("part").distinct().collect()]
+    def step(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("part", part_of(F.col(ts))).withColumn("batch", F.lit(batch_id).cast("long"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch").parquet(raw_path)
+        raw = batch.sparkSession.read.parquet(raw_path)
+        parts = [r["part"] for r in raw.where(F.col("batch") == batch_id).select("part").distinct().collect()]
         if parts:
-            publish(batch.sparkSession.read.parquet(raw_path), clean_path, keys, order, parts)
+            publish(raw.drop("batch"), clean_path, keys, order, parts)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
