@@ -83,7 +83,14 @@ def test_edit_counts(spark, docs, empty):
             assert tree.text() == text[:start] + new + text[start + length :]
             assert tree.n_tokens == len(t.encode(tree.text(), add_special_tokens=False).ids)
     rows = edit_counts.count_after_edits(spark, edit_counts.sample_edits(docs), PATH).collect()
-    assert len(rows) == len(corpus()) and all(r["n_tokens_after"] > 0 for r in rows)
+    assert len(rows) == len(corpus())
+    edits = {r["doc_id"]: (r["text"] or "", r["edits"]) for r in edit_counts.sample_edits(docs).collect()}
+    for r in rows:
+        text, changes = edits[r["doc_id"]]
+        for c in changes:
+            at = min(c["start"], len(text))
+            text = text[:at] + c["new"] + text[at + c["length"] :]
+        assert (r["n_tokens_after"], r["n_chars_after"]) == (len(t.encode(text, add_special_tokens=False).ids), len(text))
     assert edit_counts.count_after_edits(spark, edit_counts.sample_edits(empty), PATH).count() == 0
 
 
@@ -101,9 +108,12 @@ def brute_repeats(rows):
     return out
 
 
-def test_substring_dedup(docs, empty):
-    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup.remove_repeats(docs).collect()}
-    assert got == brute_repeats(corpus())
+@pytest.mark.parametrize("bits", [48, 12])
+def test_substring_dedup(docs, empty, bits):
+    """With 12 bits most anchors are shared by chance; paths name the place of the same words in their source."""
+    found = substring_dedup.remove_repeats(docs, bits=bits).cache()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in found.collect()} == brute_repeats(corpus())
+    assert found.where("size(paths) > 0").count() > 10 and substring_dedup.verify_paths(docs, found).count() == 0
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
@@ -130,12 +140,63 @@ def brute_components(rows):
     return {k: (len(sets[k]), find(k)) for k in keys}
 
 
-def test_jaccard_join(docs, empty):
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.link(docs).collect()}
+@pytest.mark.parametrize("bits", [64, 3])
+def test_jaccard_join(docs, empty, bits):
+    """With 3 bits most sets share their first hash and are told apart by the second."""
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.link(docs, bits=bits).collect()}
     assert got == brute_components(corpus())
     assert jaccard_join.link(empty).count() == 0
 
 
+@pytest.mark.parametrize("sparse", [2, 0])
+def test_jaccard_tree(spark, monkeypatch, sparse):
+    """A large group of near copies, chained so that most don't link with their hub, in boxes of 16."""
+    monkeypatch.setattr(jaccard_join, "FANOUT", 16)
+    monkeypatch.setattr(jaccard_join, "SPARSE", sparse)
+    rnd = random.Random(4)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(150)]
+    chained, rows = list(base), []
+    for k in range(400):
+        w = list(base if k % 3 else chained)
+        for _ in range(rnd.randrange(0, 7)):
+            w[rnd.randrange(150)] = f"x{rnd.randrange(10**6)}"
+        if k % 40 == 0:
+            chained[rnd.randrange(150)] = f"y{k}"
+        rows.append((k, " ".join(w)))
+    got = jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows)
+
+
+def brute_entropy(v, window=20):
+    counts = (Counter(v[i : i + window]) for i in range(len(v) - window + 1))
+    return max((-sum(n / window * math.log2(n / window) for n in c.values()) for c in counts), default=0)
+
+
+def test_window_entropy(spark):
+    rnd = random.Random(1)
+    values = ["".join(rnd.choice(secrets.ALPHABET if k % 3 else "0123456789abcdef") for _ in range(20 + rnd.randrange(60))) for k in range(60)]
+    rows = spark.createDataFrame([(v,) for v in values], "v string").select("v", secrets.window_entropy(F.col("v")).alias("e")).collect()
+    assert all(r["e"] == pytest.approx(brute_entropy(r["v"]), abs=1e-9) for r in rows)
+
+
+def test_secrets_very_long(spark):
+    """A run of 300,000 letters, one of 200,000 mixed characters, and 20,000 hits: seconds each, and all is masked."""
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choice("ghijklXYZ") for _ in range(300_000)), "".join(rnd.choice(secrets.ALPHABET) for _ in range(200_000)), " ".join(f"{rnd.randrange(16**30):030x}" for _ in range(20_000))]
+    masked = secrets.mask(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"))
+    got = {r["doc_id"]: r["text"] for r in masked.collect()}
+    assert got[0] == texts[0] and got[1] == "[SECRET]" and got[2] == " ".join(["[SECRET]"] * 20_000)
+
+
+def test_foreign_columns(spark, docs):
+    """Columns whose names an operator uses inside stay as they are."""
+    more = docs.withColumns({c: F.lit(7) for c in ("spans", "leak", "near", "r", "row", "late", "id", "packed")})
+    benchmark = spark.createDataFrame([(1, corpus()[10][1])], "item_id long, text string")
+    for out in (secrets.mask(more), decontamination.remove(more, benchmark), jaccard_join.one_of_each(more), bpe.encode(spark, more, PATH)):
+        assert set(more.columns) <= set(out.columns)
+        assert out.select(sum(F.col(c) for c in ("spans", "leak", "near", "r", "row", "late", "id", "packed")).alias("s")).distinct().collect()[0]["s"] == 56
+
+
 def test_decontamination(spark, docs, empty):
     items = [(1, corpus()[10][1]), (2, "W1 w2 w3"), (3, None), (4, ""), (5, corpus()[11][1])]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
