@@ -5,7 +5,9 @@ from __future__ import annotations
 import struct
 from decimal import Context, Decimal
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
@@ -52,23 +54,35 @@ def confluent_frame(schema_id: Column, body: Column) -> Column:
     return F.concat(F.unhex(F.lit("00")), big_endian(schema_id, 4), body)
 
 
-def double_of(b: Column) -> Column:
-    """A double of 8 sortable bytes."""
-
-    @F.pandas_udf("double")
-    def run(values: pd.Series) -> pd.Series:
-        def one(v):
-            if v is None:
-                return None
-            n = int.from_bytes(v, "big")
-            n = n ^ (1 << 63) if n >> 63 else n ^ ((1 << 64) - 1)
-            return struct.unpack(">d", n.to_bytes(8, "big"))[0]
+def _sortable(b: Column, size: int, to: str) -> Column:
+    """A floating-point number of sortable bytes: its bits plus one, the sign bit flipped, all bits of a negative one."""
 
-        return pd.Series([one(v) for v in values], dtype="float64")
+    @F.arrow_udf(to)
+    def run(values: pa.Array) -> pa.Array:
+        raw = values.drop_null().to_pylist()
+        if any(len(v) != size for v in raw):
+            raise ValueError(f"expected {size} bytes")
+        n = np.frombuffer(b"".join(raw), f">u{size}").astype(f"u{size}") - np.array(1, f"u{size}")
+        top = np.array(1 << (8 * size - 1), f"u{size}")
+        numbers = np.where(n & top, n ^ top, ~n).view(f"f{size}")
+        out = np.zeros(len(values), f"f{size}")
+        known = values.is_valid().to_numpy(zero_copy_only=False)
+        out[known] = numbers
+        return pa.array(out, mask=~known)
 
     return run(b)
 
 
+def double_of(b: Column) -> Column:
+    """A double of 8 sortable bytes; another length fails."""
+    return _sortable(b, 8, "double")
+
+
+def float_of(b: Column) -> Column:
+    """A float of 4 sortable bytes; another length fails."""
+    return _sortable(b, 4, "float")
+
+
 def _decimal(b: bytes) -> Decimal:
     """Digits to the base 100 after an exponent byte; of a negative number each byte runs the other way, with an end byte.
 

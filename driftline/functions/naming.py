@@ -60,3 +60,22 @@ def type_name(raw: str) -> str:
     elif m := re.fullmatch(r"ARRAY\s*<(.*)>", t):
         t = m[1] + " ARRAY"
     return " ".join(t.replace("_", " ").split()) or "VARCHAR"
+
+
+#: Names of payload formats that settings may use.
+FORMATS = {
+    "json_each_row": ("json_each_row", "json_each", "json"),
+    "avro_binary": ("avro_binary", "avro_bin", "avro", "binary"),
+    "avro_json": ("avro_json", "avrojson"),
+}
+
+
+def payload_format(raw: str | None, default: str = "json_each_row") -> str:
+    """A payload format by any of its names, whatever their case, with - for _ too; the default for others."""
+    name = (raw or "").strip().lower().replace("-", "_")
+    return next((k for k, names in FORMATS.items() if name in names), default)
+
+
+def avro_mode(raw: str | None, default: str = "generic") -> str:
+    name = (raw or "").strip().lower()
+    return name if name in ("generic", "confluent") else default

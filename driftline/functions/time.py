@@ -40,6 +40,17 @@ def from_text(s: Column) -> Column:
     return F.when(t.rlike(r"^\d{1,16}$"), from_epoch_any(F.when(t.rlike(r"^\d{1,16}$"), t).try_cast("long"))).otherwise(stamp)
 
 
+def utc_of_number(v: Column) -> Column:
+    """A number of seconds, fractions included, or of milliseconds if it is greater than 10**12."""
+    return from_epoch_us((F.when(v > 10**12, v * 1000).otherwise(v * 1_000_000)).cast("long"))
+
+
+def utc_of_text(s: Column) -> Column:
+    """A date and a time with a blank or a T between, a fraction of any length and a Z; anything else, other zones too: null."""
+    t = F.regexp_replace(F.replace(F.trim(s), F.lit("T"), F.lit(" ")), r"\.?Z?$", "")
+    return F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d+)?$"), t).try_cast("timestamp_ntz")
+
+
 def part_of(ts: Column) -> Column:
     """The day partition YYYYMMDD of a UTC timestamp."""
     return (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int")
@@ -81,6 +92,29 @@ def slices(spark: SparkSession, since: str, until: str, minutes: int, grid: bool
     return rows.select(from_epoch_us(F.greatest("s", lo)).alias("start"), from_epoch_us(F.least(F.col("s") + us, hi)).alias("end"))
 
 
+def ceil_slices(spark: SparkSession, since: str, until: str, minutes: int) -> DataFrame:
+    """start, end of slices of [since, until) that end on a grid of minutes which divide the day, the last one clipped.
+
+    A start on a minute of the grid with seconds stays off it: all its slices keep these seconds.
+    """
+    a, b = (F.to_timestamp_ntz(F.lit(x)) for x in (since, until))
+    us, lo, hi = minutes * 60_000_000, epoch_us(a), epoch_us(b)
+    minute = F.floor(lo / 60_000_000) * 60_000_000
+    first = F.when(minute % us == 0, lo + us).otherwise(F.ceil(minute / us) * us)
+    rows = spark.range(1).where(a < b).select(first.alias("first"))
+    later = F.when(F.col("first") < hi, F.sequence(F.col("first"), hi - 1, F.lit(us).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    starts = rows.select("first", F.explode(F.concat(F.array(lo), later)).alias("s"))
+    end = F.least(F.when(F.col("s") == lo, F.col("first")).otherwise(F.col("s") + us), hi)
+    return starts.select(from_epoch_us(F.col("s")).alias("start"), from_epoch_us(end).alias("end"))
+
+
+def overlapped(slices: DataFrame, minutes: int) -> DataFrame:
+    """start, end of slices, of which the first begins so many minutes earlier to read late rows again."""
+    first = F.broadcast(slices.agg(F.min("start").alias("first")))
+    both = slices.join(first, F.col("start") == F.col("first"), "left")
+    return both.select(F.when(F.col("first").isNotNull(), F.col("start") - F.make_dt_interval(mins=F.lit(minutes))).otherwise(F.col("start")).alias("start"), "end")
+
+
 def days_between(spark: SparkSession, since: str, until: str, zone: str) -> DataFrame:
     """part of each local day that [since, until) touches."""
     a, b = (F.to_timestamp_ntz(F.lit(x)) for x in (since, until))

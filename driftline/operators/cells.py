@@ -8,17 +8,18 @@ from pyspark.sql.column import Column
 ROW = ["entry_id", "rowkey"]
 
 
-def rows_of(cells: DataFrame, columns: list[str], families: list[str] | None = None, strict: bool = False) -> DataFrame:
+def rows_of(cells: DataFrame, columns: list[str], families: list[str] | None = None, strict: bool = False, more: list[Column] = ()) -> DataFrame:
     """entry_id, rowkey, the columns, _cells_total, _event_ts, _delete: one row for each key of an entry.
 
     The last cell of a column wins, by cell_index; delete markers count and carry a time, but no value. With
-    families a row passes if any of its cells is of one, with all its cells, or with strict only those.
+    families a row passes if any of its cells is of one, with all its cells, or with strict only those. `more` are
+    further aggregates of a row's cells.
     """
     if strict and families:
         cells = cells.where(F.col("family").isin(families))
     value = lambda q: F.max_by(F.col("value"), F.when((F.col("qualifier") == q) & ~F.col("is_delete") & F.col("value").isNotNull(), F.col("cell_index"))).alias(q)
     passes = F.bool_or(F.col("family").isin(families)) if families else F.bool_or(F.lit(True))
-    rows = cells.groupBy(*ROW).agg(*map(value, columns), F.count("*").alias("_cells_total"), F.max("cell_ts").alias("_event_ts"), F.bool_or("is_delete").alias("_delete"), passes.alias("_passes"))
+    rows = cells.groupBy(*ROW).agg(*map(value, columns), F.count("*").alias("_cells_total"), F.max("cell_ts").alias("_event_ts"), F.bool_or("is_delete").alias("_delete"), *more, passes.alias("_passes"))
     return rows.where("_passes").drop("_passes")
 
 

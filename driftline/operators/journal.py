@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.column import Column
 
+from driftline.functions.time import from_text
+
 #: Allowed changes of a run's status.
 NEXT = {"planned": ("running", "skipped"), "running": ("ok", "error")}
 
@@ -50,3 +52,49 @@ def expired_partitions(partitions: DataFrame, now: Column, days: int, last_clean
     """
     due = F.lit(True) if last_cleaned is None else F.coalesce(F.to_date(last_cleaned) < F.to_date(now), F.lit(True))
     return partitions.where(due & (F.col("part_end") < now - F.make_dt_interval(days=F.lit(days))))
+
+
+#: Statuses of a run that is not over.
+ACTIVE = ("planned", "running")
+_ENDED = {"planned": "skipped", "running": "error"}
+
+
+def watermarks(state: DataFrame, key: str = "process", last: str = "last_ok_end") -> DataFrame:
+    """key, watermark: the end of the last window that went well, in UTC without zone; null where there is none or it is no time.
+
+    `last` may be a timestamp, or text in ISO form with an optional zone.
+    """
+    at = from_text(F.col(last)) if state.schema[last].dataType.simpleString() == "string" else F.col(last)
+    return state.select(key, at.alias("watermark"))
+
+
+def _ended(runs: DataFrame, which: Column, now: Column) -> DataFrame:
+    """runs, of which those active and chosen end: planned ones are skipped, running ones fail at `now`."""
+    goes = which & F.col("ts_end").isNull() & F.col("status").isin(*ACTIVE)
+    status = F.when(goes, F.when(F.col("status") == "planned", _ENDED["planned"]).otherwise(_ENDED["running"])).otherwise(F.col("status"))
+    return runs.withColumns({"ts_end": F.when(goes & (F.col("status") == "running"), now).otherwise(F.col("ts_end")), "status": status})
+
+
+def without_conflicts(runs: DataFrame, process: str, since: Column, until: Column, now: Column, keep: int | None = None) -> DataFrame:
+    """runs after the active ones of one slice of a process ended, but for the run `keep`."""
+    same = (F.col("process") == process) & (F.col("slice_start") == since) & (F.col("slice_end") == until)
+    return _ended(runs, F.coalesce(same, F.lit(False)) & (F.lit(True) if keep is None else F.col("run_id") != keep), now)
+
+
+def one_active(runs: DataFrame, now: Column) -> DataFrame:
+    """runs with at most one active run a process: the latest by started_at, then run_id; the others end."""
+    last = latest_active(runs).select("process", F.col("run_id").alias("_latest"))
+    marked = runs.join(last, "process", "left")
+    return _ended(marked, F.coalesce(F.col("run_id") != F.col("_latest"), F.lit(False)), now).select(runs.columns)
+
+
+def latest_active(runs: DataFrame) -> DataFrame:
+    """process, run_id: the active run of each process that started last, of several the one with the greater run_id."""
+    active = runs.where(F.col("status").isin(*ACTIVE) & F.col("ts_end").isNull())
+    return active.groupBy("process").agg(F.max_by("run_id", F.struct("started_at", "run_id")).alias("run_id"))
+
+
+def merged(old: Column, new: Column) -> Column:
+    """Details (a map) with news: of a key in both the new value counts, null maps are empty."""
+    old, new = (F.coalesce(m, F.create_map().cast("map<string,string>")) for m in (old, new))
+    return F.map_concat(F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(new), k)), new)

@@ -43,3 +43,26 @@ def topic_plan(wanted: DataFrame, actual: DataFrame, increase: bool = True) -> D
     both = wanted.alias("w").join(actual.alias("a"), "topic", "left")
     action = F.when(F.col("a.partitions").isNull(), "create").when(F.lit(increase) & (F.col("w.partitions") > F.col("a.partitions")), "increase").otherwise("keep")
     return both.select("topic", action.alias("action"))
+
+
+def pending(waiting: DataFrame, found: DataFrame) -> DataFrame:
+    """part: all that wait to be published and all that were found in the window, each once."""
+    return waiting.select("part").unionByName(found.select("part")).distinct()
+
+
+def unpublished(waiting: DataFrame, published: DataFrame) -> DataFrame:
+    """part: those that still wait after some were published."""
+    return waiting.select("part").distinct().join(published.select("part"), "part", "left_anti")
+
+
+def interval_of(parts: DataFrame) -> DataFrame:
+    """since, until: from the first day of the parts to the end of the last one; null for no parts."""
+    day = lambda c: F.to_timestamp_ntz(c.cast("string"), F.lit("yyyyMMdd"))
+    ends = parts.agg(F.min("part").alias("a"), F.max("part").alias("b"))
+    return ends.select(day(F.col("a")).alias("since"), (day(F.col("b")) + F.make_dt_interval(days=F.lit(1))).alias("until"))
+
+
+def config_changes(wanted: DataFrame, actual: DataFrame) -> DataFrame:
+    """topic, name, old, value: the settings (topic, name, value) of topics that are missing or differ; others stay."""
+    old = actual.select("topic", "name", F.col("value").alias("old"))
+    return wanted.join(old, ["topic", "name"], "left").where(~F.col("value").eqNullSafe(F.col("old"))).select("topic", "name", "old", "value")

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.column import Column
 
 
-def json_line(df: DataFrame, columns: list[str]) -> Column:
-    """A JSON object and a line feed: nulls left out, NaN and the infinities written as null, bytes as arrays of signed numbers."""
+def json_line(df: DataFrame, columns: list[str], nulls: bool = False) -> Column:
+    """A JSON object and a line feed: nulls left out (or written, with nulls), NaN and the infinities written as null, bytes as arrays of signed numbers."""
 
     def field(c: str) -> Column:
         kind = df.schema[c].dataType.simpleString()
@@ -27,7 +27,7 @@ def json_line(df: DataFrame, columns: list[str]) -> Column:
         text = F.substr(inside, F.lit(2), F.length(inside) - 2)
         if kind in ("double", "float"):
             text = F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(f"{json.dumps(c)}:null")).otherwise(text)
-        return F.when(F.col(c).isNotNull(), text)
+        return F.when(F.col(c).isNotNull(), text).otherwise(F.lit(f"{json.dumps(c)}:null") if nulls else F.lit(None))
 
     return F.concat(F.lit("{"), F.concat_ws(",", *map(field, columns)), F.lit("}\n"))
 

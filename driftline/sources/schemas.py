@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import types as T
 
-_AVRO = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "float": T.FloatType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "bytes": T.BinaryType()}
+_AVRO = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "float": T.FloatType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "bytes": T.BinaryType(), "enum": T.StringType(), "fixed": T.BinaryType()}
 
 
 def _kind(avro) -> tuple[T.DataType, bool]:

@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from driftline.plans.queries import ORACLES, QUERIES
+from driftline.plans.everything import ORACLES, QUERIES
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
