@@ -30,7 +30,9 @@ from driftline.llm.hashing import FOLD, mix, run_hashes, word_hashes
 
 SHINGLE, LEAST = 4, 85
 #: Shingles a group, about, and the fewest and most groups of a point. Points of more groups fold to fewer by sums of neighbours.
-EACH_GROUP, FEWEST, MOST = 8, 16, 1024
+EACH_GROUP, FEWEST, MOST = 4, 16, 4096
+#: A count of a point that stands for so many or more, and so bounds nothing.
+FULL = 255
 #: Entries of a box of the R-tree.
 FANOUT = 64
 #: Pairs for each point of two boxes up to which the pairs themselves go on.
@@ -58,22 +60,22 @@ def encoded(texts: Iterable[str | None]) -> Iterator[bytes]:
 
 
 def group_counts(shingles: np.ndarray) -> bytes:
-    """The point of a set: how many of its shingles fall into each group, by the first bits of a hash; two bytes each."""
+    """The point of a set: how many of its shingles fall into each group, by the first bits of a hash; a byte each."""
     bits = min(MOST, max(FEWEST, len(shingles) // EACH_GROUP)).bit_length() - 1
     n = np.bincount((mix(shingles * _U(3) + _U(11)) >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(n, 65535).astype(np.uint16).tobytes()
+    return np.minimum(n, FULL).astype(np.uint8).tobytes()
 
 
 def folded(point: bytes, groups: int) -> np.ndarray:
-    """The counts of a point in fewer groups. 65535 stands for that many or more (a set of far over MOST * 65535 / 2 shingles)."""
-    return np.frombuffer(point, np.uint16).reshape(groups, -1).sum(1, dtype=np.int64)
+    """The counts of a point in fewer groups. FULL or more of them may stand for any number (a set of far over MOST * FULL / 2 shingles)."""
+    return np.frombuffer(point, np.uint8).reshape(groups, -1).sum(1, dtype=np.int64)
 
 
 def most_common(a: bytes, b: bytes) -> int:
     """A bound on the overlap of two sets, or of any two of two boxes: the sum of the minima of their counts."""
-    groups = min(len(a), len(b)) // 2
+    groups = min(len(a), len(b))
     x, y = folded(a, groups), folded(b, groups)
-    return int(np.minimum(x, y).sum()) if max(x.max(), y.max()) < 65535 else 1 << 62
+    return int(np.minimum(x, y).sum()) if max(x.max(), y.max()) < FULL else 1 << 62
 
 
 def needed(total, least: int = LEAST):
@@ -215,8 +217,8 @@ def boxed(entries: DataFrame) -> DataFrame:
     columns = ["hub", "parent", "item", "lo", "hi", "top", "c0", "c1"]
 
     def box(rows: list[tuple]) -> tuple:
-        groups = min(len(r[5]) for r in rows) // 2
-        top = np.minimum(np.max([folded(r[5], groups) for r in rows], 0), 65535).astype(np.uint16).tobytes()
+        groups = min(len(r[5]) for r in rows)
+        top = np.minimum(np.max([folded(r[5], groups) for r in rows], 0), FULL).astype(np.uint8).tobytes()
         return rows[0][0], None, rows[0][2], min(r[3] for r in rows), max(r[4] for r in rows), top, min(r[6] for r in rows), max(r[7] for r in rows)
 
     def sent(rows: list[tuple]) -> pd.DataFrame:
@@ -311,13 +313,13 @@ def tree_join(points: DataFrame, least: int) -> DataFrame:
 
 def may_link(xs: list[tuple], ys: list[tuple], same: bool, least: int) -> np.ndarray:
     """A matrix: whether the bound and the sizes let (n, point, component) of xs and ys link, in different components; of one box with itself each pair once."""
-    groups = min(len(p) for _, p, _ in [*xs, *ys]) // 2
+    groups = min(len(p) for _, p, _ in [*xs, *ys])
     px, py = (np.array([folded(p, groups) for _, p, _ in ps]) for ps in (xs, ys))
     n, m = (np.array([k for k, _, _ in ps]) for ps in (xs, ys))
     total = n[:, None] + m
     # Half the sum less half the distance is the sum of the minima.
     common = (px.sum(1)[:, None] + py.sum(1) - np.array([np.abs(py - row).sum(1) for row in px])) // 2
-    full = (px.max(1) >= 65535)[:, None] | (py.max(1) >= 65535)
+    full = (px.max(1) >= FULL)[:, None] | (py.max(1) >= FULL)
     may = (full | (common >= needed(total, least))) & (100 * np.minimum(n[:, None], m) >= least * np.maximum(n[:, None], m))
     may &= np.array([c for _, _, c in xs])[:, None] != np.array([c for _, _, c in ys])
     return np.triu(may, 1) if same else may
