@@ -375,19 +375,16 @@ def compare(members: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key
     return out
 
 
-def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key: str, star: bool, least: int) -> DataFrame:
+def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key: str, least: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by the exact overlap.
 
-    Pairs of one hub are compared together, so a text is sent once for many of them. A hub with many pairs is dealt
-    into cells by the hashes of both ends: a cell holds about BLOCK texts of each, whatever the size of the hub.
-    star says that all pairs of a hub have the same a. A task reads cell by cell, the texts of a cell before its pairs.
+    Pairs of one a are compared together, so its text is sent once for many of them. An a of many pairs is dealt into
+    cells by the hash of b: a cell holds about BLOCK texts, however many pairs there are. A task reads cell by cell, the
+    texts of a cell before its pairs.
     """
-    sizes = pairs.groupBy("hub").agg(F.count("*").alias("m"))
-    wide = F.ceil((F.col("m") if star else F.sqrt(F.col("m") * 2)) / BLOCK).cast("int")
-    end = lambda c: F.pmod(F.xxhash64(c), F.col("wide")).cast("int")
-    dealt = pairs.join(sizes.select("hub", wide.alias("wide")), "hub")
-    dealt = cut(dealt.select("hub", (F.lit(0) if star else end("a")).alias("x"), end("b").alias("y"), "a", "b"))
-    cell = ["hub", "x", "y"]
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("wide"))
+    dealt = cut(pairs.join(sizes, "a").select(F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("wide")).cast("int").alias("y"), "a", "b"))
+    cell = ["hub", "y"]
     wanted = cut(dealt.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(reps.select("sid", "row"), "sid"))
     texts = packed_texts(docs, wanted, key, text).select("row", "packed").join(wanted, "row").dropDuplicates(["sid"]).select("sid", "packed")
     ends = dealt.select(*cell, F.explode(F.array("a", "b")).alias("sid")).distinct()
@@ -402,9 +399,9 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key: s
                 packed = part["packed"]
                 new = shingle_sets(unpacked(packed[packed.notna()]))
                 out = []
-                for hub, x, y, a, c, data in part[[*cell, "a", "b", "packed"]].itertuples(index=False, name=None):
-                    if now != (hub, x, y):
-                        now, sets = (hub, x, y), {}
+                for hub, y, a, c, data in part[[*cell, "a", "b", "packed"]].itertuples(index=False, name=None):
+                    if now != (hub, y):
+                        now, sets = (hub, y), {}
                     if data is not None:
                         sets[a] = next(new)
                     elif len(np.intersect1d(sets[a], sets[c], assume_unique=True)) >= needed(len(sets[a]) + len(sets[c]), least):
@@ -456,7 +453,7 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int
     stars = members.join(ends("end_y"), F.col("sid") == F.col("end_y")).join(ends("end_x"), F.col("hub") == F.col("end_x"))
     stars = bounded(stars.where(fits("lo_x", "lo_y", least) & fits("lo_y", "lo_x", least)), ["hub", "sid"], least)
     stars = cut(stars.select(F.col("hub").alias("a"), F.col("sid").alias("b"), "hub"))
-    links = verify(stars, reps, docs, text, key, True, least)
+    links = verify(stars, reps, docs, text, key, least)
     spent(stars)
     known = cut(components(links))
 
@@ -467,10 +464,17 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int
     close = tree_join(points, least)
     spent(points, members)
     if not close.isEmpty():
-        # One pair may be in many hubs; it is compared in one of them.
-        a, b = F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")
-        sparse = cut(close.where("other is not null").groupBy(a, b).agg(F.min("hub").alias("hub")))
-        more = verify(sparse, reps, docs, text, key, False, least)
+        # One pair may be in many hubs; it is compared once, where its text of more pairs is.
+        ends = F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")
+        pairs = cut(close.where("other is not null").select(*ends).distinct())
+        degree = cut(pairs.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("d")))
+        both = pairs
+        for c in "ab":
+            both = both.join(degree.select(F.col("sid").alias(c), F.col("d").alias(f"d_{c}")), c)
+        swap = F.col("d_b") > F.col("d_a")
+        sparse = cut(both.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")))
+        more = verify(sparse, reps, docs, text, key, least)
+        spent(pairs, degree)
         spent(sparse)
         dense = close.where("other is null").drop("other")
         if not dense.isEmpty():
