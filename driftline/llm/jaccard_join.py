@@ -29,10 +29,14 @@ from driftline.llm.common import cut, identity, packed_texts, portions, row_of,
 from driftline.llm.hashing import FOLD, mix, run_hashes, word_hashes
 
 SHINGLE, LEAST = 4, 85
-#: Shingles a group, about, and the fewest and most groups of a point. Points of more groups fold to fewer by sums of neighbours.
-EACH_GROUP, FEWEST, MOST = 4, 16, 4096
-#: A count of a point that stands for so many or more, and so bounds nothing.
-FULL = 255
+#: Shingles a group, or up to twice as many, and the fewest and most groups of a point. Points of more groups fold to fewer by sums of neighbours.
+EACH_GROUP, FEWEST, MOST = 1, 32, 16384
+#: A count that stands for so many or more, and what it is taken for: more than any set holds, so that it bounds nothing.
+FULL, MANY = 255, 1 << 40
+#: A point whose counts are all less takes half a byte for each.
+HALF = 16
+#: Groups of a point for each group of a box of points: the greatest counts of many points say little in fine groups.
+COARSER = 4
 #: Entries of a box of the R-tree.
 FANOUT = 64
 #: Pairs for each point of two boxes up to which the pairs themselves go on.
@@ -59,23 +63,38 @@ def encoded(texts: Iterable[str | None]) -> Iterator[bytes]:
     return ((t or "").encode() for t in texts)
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Counts as bytes: 0 and half a byte for each, if all are less than HALF, else 1 and a byte for each."""
+    if counts.max() < HALF:
+        return b"\0" + (counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
+    return b"\1" + np.minimum(counts, FULL).astype(np.uint8).tobytes()
+
+
 def group_counts(shingles: np.ndarray) -> bytes:
-    """The point of a set: how many of its shingles fall into each group, by the first bits of a hash; a byte each."""
+    """The point of a set: how many of its shingles fall into each group, by the first bits of a hash."""
     bits = min(MOST, max(FEWEST, len(shingles) // EACH_GROUP)).bit_length() - 1
-    n = np.bincount((mix(shingles * _U(3) + _U(11)) >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(n, FULL).astype(np.uint8).tobytes()
+    return packed_counts(np.bincount((mix(shingles * _U(3) + _U(11)) >> _U(64 - bits)).astype(np.int64), minlength=1 << bits))
+
+
+def groups_of(point: bytes) -> int:
+    """How many groups a point or box has."""
+    return len(point) - 1 if point[0] else 2 * (len(point) - 1)
 
 
 def folded(point: bytes, groups: int) -> np.ndarray:
-    """The counts of a point in fewer groups. FULL or more of them may stand for any number (a set of far over MOST * FULL / 2 shingles)."""
-    return np.frombuffer(point, np.uint8).reshape(groups, -1).sum(1, dtype=np.int64)
+    """The counts of a point in as many groups or fewer, by sums of neighbours; FULL counts are MANY."""
+    raw = np.frombuffer(point, np.uint8, offset=1)
+    if point[0]:
+        counts = np.where(raw == FULL, MANY, raw.astype(np.int64))
+    else:
+        counts = np.stack((raw & 15, raw >> 4), 1).astype(np.int64)
+    return counts.reshape(groups, -1).sum(1)
 
 
 def most_common(a: bytes, b: bytes) -> int:
     """A bound on the overlap of two sets, or of any two of two boxes: the sum of the minima of their counts."""
-    groups = min(len(a), len(b))
-    x, y = folded(a, groups), folded(b, groups)
-    return int(np.minimum(x, y).sum()) if max(x.max(), y.max()) < FULL else 1 << 62
+    groups = min(groups_of(a), groups_of(b))
+    return int(np.minimum(folded(a, groups), folded(b, groups)).sum())
 
 
 def needed(total, least: int = LEAST):
@@ -195,6 +214,13 @@ def fits(n: str, m: str, least: int):
     return F.lit(100) * F.col(n) >= F.lit(least) * F.col(m)
 
 
+def with_peers(few: DataFrame, least: int) -> DataFrame:
+    """The sets (hub, sid, n) of hubs of FANOUT sets at most that may link with another one of their hub by their sizes: one of the next in size."""
+    size = Window.partitionBy("hub").orderBy("n", "sid")
+    both = few.withColumn("less", F.lag("n").over(size)).withColumn("more", F.lead("n").over(size))
+    return both.where(F.coalesce(fits("less", "n", least), F.lit(False)) | F.coalesce(fits("n", "more", least), F.lit(False))).drop("less", "more")
+
+
 def bounded(pairs: DataFrame, columns: list[str], least: int) -> DataFrame:
     """The rows of pairs whose points or boxes (lo_x, top_x, lo_y, top_y) may hold linked sets, by the bound."""
     kind = ", ".join(f"{c} long" for c in columns)
@@ -208,17 +234,18 @@ def bounded(pairs: DataFrame, columns: list[str], least: int) -> DataFrame:
     return pairs.select(*columns, "lo_x", "top_x", "lo_y", "top_y").mapInPandas(run, kind)
 
 
-def boxed(entries: DataFrame) -> DataFrame:
+def boxed(entries: DataFrame, coarser: int = 1) -> DataFrame:
     """Entries (hub, item, lo, hi, top, c0, c1) with `parent`, the box of FANOUT of them that each is in, and the boxes as
     entries of their own (parent null).
 
-    Entries are sorted by size and counts over all tasks, so that a hub of any size is dealt evenly.
+    Entries are sorted by size and counts over all tasks, so that a hub of any size is dealt evenly. A box has a group for
+    `coarser` ones of its entry of fewest groups.
     """
     columns = ["hub", "parent", "item", "lo", "hi", "top", "c0", "c1"]
 
     def box(rows: list[tuple]) -> tuple:
-        groups = min(len(r[5]) for r in rows)
-        top = np.minimum(np.max([folded(r[5], groups) for r in rows], 0), FULL).astype(np.uint8).tobytes()
+        groups = max(2, min(groups_of(r[5]) for r in rows) // coarser)
+        top = packed_counts(np.max([folded(r[5], groups) for r in rows], 0))
         return rows[0][0], None, rows[0][2], min(r[3] for r in rows), max(r[4] for r in rows), top, min(r[6] for r in rows), max(r[7] for r in rows)
 
     def sent(rows: list[tuple]) -> pd.DataFrame:
@@ -240,37 +267,13 @@ def boxed(entries: DataFrame) -> DataFrame:
         if held:
             yield sent([box(held)])
 
-    lead = F.substring("top", 1, 16)
+    lead = F.substring("top", 2, 16)
     dealt = entries.withColumn("parent", F.lit(0).cast("long")).select(columns).repartitionByRange("hub", "lo", lead, "item").sortWithinPartitions("hub", "lo", lead, "item")
     return dealt.mapInPandas(run, "hub long, parent long, item long, lo long, hi long, top binary, c0 long, c1 long")
 
 
-def tree_join(points: DataFrame, least: int) -> DataFrame:
-    """What may link, for each two boxes a and b of a hub (or one with itself): hub, a, b, sid, n, point, component, left, other.
-
-    If few pairs of points pass the bound and are not in one component yet (SPARSE for each point), a row is a pair (sid,
-    other; point is null). Else it is a point (other is null) that may link with one of the other box, so that a large
-    group of near copies does not become all its pairs.
-
-    points: hub, sid, n, point, component. Large hubs are boxed; their tree gets another level as long as one makes far
-    fewer boxes: a task packs its own rows, so each of the shuffle's partitions adds a box at most.
-    """
-    partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = points.select("hub", F.col("sid").alias("item"), F.col("n").alias("lo"), F.col("n").alias("hi"), F.col("point").alias("top"), F.col("component").alias("c0"), F.col("component").alias("c1"))
-    levels, held = [], []
-    while True:
-        sizes = top.groupBy("hub").agg(F.count("*").alias("m"))
-        large = cut(sizes.where(F.col("m") > FANOUT))
-        held.append(large)
-        entries = large.agg(F.sum("m")).first()[0] or 0
-        if entries == 0 or (levels and entries <= 4 * partitions):
-            levels.append(top.withColumn("parent", F.lit(0).cast("long")))
-            break
-        both = cut(boxed(top.join(large, "hub", "left_semi")))
-        held.append(both)
-        small = top.join(large, "hub", "left_anti")
-        levels.append(both.where("parent is not null").unionByName(small.withColumn("parent", F.lit(0).cast("long"))))
-        top = both.where("parent is null").drop("parent")
+def box_pairs(levels: list[DataFrame], least: int, held: list[DataFrame]) -> DataFrame:
+    """hub, a, b: the boxes of points that pass the bound, from the top of the trees down. What is written on the way joins `held`."""
     start = lambda level: level.where("parent = 0").select("hub").distinct().select("hub", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
     pairs = None
     for level in reversed(levels[1:]):
@@ -284,18 +287,61 @@ def tree_join(points: DataFrame, least: int) -> DataFrame:
         pairs = bounded(met, ["hub", "item_x", "item_y"], least).select("hub", F.col("item_x").alias("a"), F.col("item_y").alias("b"))
         pairs = cut(pairs)
         held.append(pairs)
-    pairs = start(levels[0]) if pairs is None else pairs.unionByName(start(levels[0]))
-    # A box holds FANOUT points at most, a hub that is not boxed as well.
+    return pairs
+
+
+def tree_join(points: DataFrame, least: int) -> DataFrame:
+    """What may link, for each two boxes a and b of a hub (or one with itself): hub, a, b, sid, n, point, component, left, other.
+
+    If few pairs of points pass the bound and are not in one component yet (SPARSE for each point), a row is a pair (sid,
+    other; point is null). Else it is a point (other is null) that may link with one of the other box, so that a large
+    group of near copies does not become all its pairs.
+
+    points: hub, sid, n, point, component. Large hubs are boxed; their tree gets another level as long as one makes far
+    fewer boxes: a task packs its own rows, so each of the shuffle's partitions adds a box at most.
+    """
+    partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = points.select("hub", F.col("sid").alias("item"), F.col("n").alias("lo"), F.col("n").alias("hi"), F.col("point").alias("top"), F.col("component").alias("c0"), F.col("component").alias("c1"))
+    held = []
+
+    def more_than_a_box(entries: DataFrame) -> tuple[DataFrame, int]:
+        large = cut(entries.groupBy("hub").agg(F.count("*").alias("m")).where(F.col("m") > FANOUT))
+        held.append(large)
+        return large, large.agg(F.sum("m")).first()[0] or 0
+
     member = F.struct(F.col("item").alias("sid"), F.col("lo").alias("n"), F.col("top").alias("point"), F.col("c0").alias("component"))
-    boxes = cut(levels[0].groupBy("hub", "parent").agg(F.collect_list(member).alias("points")))
-    held.append(boxes)
-    x, y = (boxes.select("hub", F.col("parent").alias(p), F.col("points").alias(f"points_{p}")) for p in "ab")
-    met = pairs.join(x, ["hub", "a"]).join(y, ["hub", "b"])
+    zero, nothing = F.lit(0).cast("long"), F.lit(None)
+    large, entries = more_than_a_box(top)
+    # A hub of one box meets itself where its points are gathered.
+    alone = top.join(large, "hub", "left_anti").groupBy("hub").agg(F.collect_list(member).alias("points_a"))
+    kind = alone.schema["points_a"].dataType
+    met = alone.select("hub", zero.alias("a"), zero.alias("b"), "points_a", nothing.cast(kind).alias("points_b"))
+    if entries:
+        both = cut(boxed(top.join(large, "hub", "left_semi"), COARSER))
+        held.append(both)
+        levels, top = [both.where("parent is not null")], both.where("parent is null").drop("parent")
+        while True:
+            large, entries = more_than_a_box(top)
+            if entries <= 4 * partitions:
+                levels.append(top.withColumn("parent", zero))
+                break
+            both = cut(boxed(top.join(large, "hub", "left_semi")))
+            held.append(both)
+            small = top.join(large, "hub", "left_anti")
+            levels.append(both.where("parent is not null").unionByName(small.withColumn("parent", zero)))
+            top = both.where("parent is null").drop("parent")
+        pairs = box_pairs(levels, least, held)
+        boxes = cut(levels[0].groupBy("hub", "parent").agg(F.collect_list(member).alias("points")))
+        held.append(boxes)
+        x, y = (boxes.select("hub", F.col("parent").alias(p), F.col("points").alias(f"points_{p}")) for p in "ab")
+        met = met.unionByName(pairs.where("a = b").join(x, ["hub", "a"]).withColumn("points_b", nothing.cast(kind)))
+        met = met.unionByName(pairs.where("a != b").join(x, ["hub", "a"]).join(y, ["hub", "b"]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for hub, first, second, xs, ys in b[["hub", "a", "b", "points_a", "points_b"]].itertuples(index=False, name=None):
+                ys = xs if first == second else ys
                 may = may_link([(p["n"], p["point"], p["component"]) for p in xs], [(p["n"], p["point"], p["component"]) for p in ys], first == second, least)
                 if may.sum() <= SPARSE * (len(xs) + len(ys)):
                     out += [(hub, first, second, xs[i]["sid"], 0, None, 0, True, ys[j]["sid"]) for i, j in np.argwhere(may)]
@@ -313,14 +359,13 @@ def tree_join(points: DataFrame, least: int) -> DataFrame:
 
 def may_link(xs: list[tuple], ys: list[tuple], same: bool, least: int) -> np.ndarray:
     """A matrix: whether the bound and the sizes let (n, point, component) of xs and ys link, in different components; of one box with itself each pair once."""
-    groups = min(len(p) for _, p, _ in [*xs, *ys])
+    groups = min(groups_of(p) for _, p, _ in [*xs, *ys])
     px, py = (np.array([folded(p, groups) for _, p, _ in ps]) for ps in (xs, ys))
     n, m = (np.array([k for k, _, _ in ps]) for ps in (xs, ys))
     total = n[:, None] + m
     # Half the sum less half the distance is the sum of the minima.
     common = (px.sum(1)[:, None] + py.sum(1) - np.array([np.abs(py - row).sum(1) for row in px])) // 2
-    full = (px.max(1) >= FULL)[:, None] | (py.max(1) >= FULL)
-    may = (full | (common >= needed(total, least))) & (100 * np.minimum(n[:, None], m) >= least * np.maximum(n[:, None], m))
+    may = (common >= needed(total, least)) & (100 * np.minimum(n[:, None], m) >= least * np.maximum(n[:, None], m))
     may &= np.array([c for _, _, c in xs])[:, None] != np.array([c for _, _, c in ys])
     return np.triu(may, 1) if same else may
 
@@ -445,13 +490,20 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int
     One row for each row of docs. Equal sets are one class, known by 128 bits, whose pairs stand for all of its rows;
     rows that share a key but not the text are linked by their own texts.
     """
-    each = cut(profiles(docs, hot_tokens(docs, docs.count(), text), text, key, least, bits))
-    each = told_apart(each)
+    made = cut(profiles(docs, hot_tokens(docs, docs.count(), text), text, key, least, bits))
+    each = told_apart(made)
     reps = cut(each.where("sid is not null").groupBy("sid").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("point").alias("point")))
     members = cut(leaves(each.select("sid", "short", "usual", "prefix")))
-    ends = lambda s: reps.select(F.col("sid").alias(s), F.col("n").alias(f"lo_{s[-1]}"), F.col("point").alias(f"top_{s[-1]}"))
-    stars = members.join(ends("end_y"), F.col("sid") == F.col("end_y")).join(ends("end_x"), F.col("hub") == F.col("end_x"))
-    stars = bounded(stars.where(fits("lo_x", "lo_y", least) & fits("lo_y", "lo_x", least)), ["hub", "sid"], least)
+    slim = cut(each.select("row", "late", "id", "n", "sid"))
+    spent(made, *([each] if each is not made else []))
+    # Sizes first, so that points are sent only for what they leave.
+    stars = members
+    for c, s in (("sid", "y"), ("hub", "x")):
+        stars = stars.join(reps.select(F.col("sid").alias(c), F.col("n").alias(f"lo_{s}")), c)
+    stars = stars.where(fits("lo_x", "lo_y", least) & fits("lo_y", "lo_x", least))
+    for c, s in (("sid", "y"), ("hub", "x")):
+        stars = stars.join(reps.select(F.col("sid").alias(c), F.col("point").alias(f"top_{s}")), c)
+    stars = bounded(stars, ["hub", "sid"], least)
     stars = cut(stars.select(F.col("hub").alias("a"), F.col("sid").alias("b"), "hub"))
     links = verify(stars, reps, docs, text, key, least)
     spent(stars)
@@ -459,8 +511,12 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int
 
     # In a hub whose sets are all in one component there is nothing left to find.
     own = members.join(known, F.col("sid") == F.col("node"), "left").select("hub", "sid", F.coalesce("component", "sid").alias("component"))
-    mixed = own.groupBy("hub").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1").select("hub")
-    points = cut(own.join(mixed, "hub", "left_semi").join(reps.select("sid", "n", "point"), "sid"))
+    mixed = own.groupBy("hub").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("m")).where("c0 != c1").select("hub", "m")
+    own = cut(own.join(mixed, "hub").join(reps.select("sid", "n"), "sid"))
+    few = with_peers(own.where(F.col("m") <= FANOUT), least)
+    points = own.where(F.col("m") > FANOUT).drop("m").unionByName(few.drop("m")).join(reps.select("sid", "point"), "sid")
+    points = cut(points.select("hub", "sid", "n", "point", "component"))
+    spent(own)
     close = tree_join(points, least)
     spent(points, members)
     if not close.isEmpty():
@@ -481,7 +537,7 @@ def grouped(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int
             more = more.unionByName(compare(dense, reps, docs, text, key, least))
         known = cut(components(links.unionByName(more)))
     spent(close, links)
-    return each.select("row", "late", "id", "n", "sid").join(known, F.col("sid") == F.col("node"), "left").select("row", "late", "id", "n", F.coalesce("component", "sid").alias("group"))
+    return slim.join(known, F.col("sid") == F.col("node"), "left").select("row", "late", "id", "n", F.coalesce("component", "sid").alias("group"))
 
 
 def link(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int = LEAST, bits: int = 64) -> DataFrame:
