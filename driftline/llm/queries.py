@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import bpe, chat, decontamination, edit_counts, jaccard_join, language, quality, secrets, substring_dedup, url_filter
+from driftline.llm import bpe, chat, decontamination, edit_counts, jaccard_join, language, quality, secrets, substring_dedup, token_files, url_filter
 from driftline.llm.common import table
+from driftline.sources.folders import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
+#: The id behind each document in files of ids.
+END = 2
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +66,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(spark, table(spark, sf_dir, "documents")).select("doc_id", "quality.*")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/driftline-ids-{uuid.uuid4().hex}"
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_TOKENIZER), END)
+    return token_files.checksums(spark, path)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,7 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_decontamination, op4_edit_counts, op5_language, op6_jaccard_join, op7_chat, op8_secrets, op9_url_filter, op10_quality, pipeline)
+    f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_decontamination, op4_edit_counts, op5_language, op6_jaccard_join, op7_chat, op8_secrets, op9_url_filter, op10_quality, op11_token_files, pipeline)
 }
 
 ORACLES: dict[str, str] = {
