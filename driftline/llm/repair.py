@@ -43,7 +43,19 @@ class Grammar:
         return symbols
 
     def ids(self) -> np.ndarray:
-        return self.expand(self.symbols)
+        """All ids. The rules are expanded once and copied from, unless their expansions are longer than the ids."""
+        ends = self.ends()
+        if not len(ends) or self.lengths.sum() > ends[-1]:
+            return self.expand(self.symbols)
+        flat = self.expand(np.arange(self.terminals, self.terminals + len(self.rules)).astype(self.symbols.dtype))
+        long = np.flatnonzero(self.symbols >= self.terminals)
+        rule = self.symbols[long].astype(np.int64) - self.terminals
+        size = self.lengths[rule]
+        out = np.repeat(self.symbols, np.diff(ends, prepend=0))
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        begin = np.cumsum(self.lengths) - self.lengths
+        out[np.repeat(ends[long] - size, size) + step] = flat[np.repeat(begin[rule], size) + step]
+        return out
 
     def stretch(self, first: int, end: int, ends: np.ndarray | None = None) -> np.ndarray:
         """The ids at first..end, from the symbols that cover them only."""

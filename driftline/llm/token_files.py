@@ -25,7 +25,7 @@ from driftline.llm.repair import Grammar, compress, kind
 #: Ids of a shard; a longer document is a shard of its own.
 SHARD = 1 << 20
 #: Stretches between white space that a worker remembers in a generation, and the longest of them in bytes.
-CACHE, CACHED_BYTES = 250_000, 40
+CACHE, CACHED_BYTES = 600_000, 40
 #: Marks that are tokens of their own behind a letter, and words of Latin letters (but for one whose lower case is two characters) with marks behind.
 MARKS = ".,;:!?)"
 LATIN = re.compile(rf"([A-Za-zªºÀ-ÖØ-öø-įı-ɏ]+)([{re.escape(MARKS)}]*)")
