@@ -13,7 +13,7 @@ import numpy as np
 #: Fewest uses that make a rule worth its bytes.
 LEAST = 8
 #: A round takes the pairs that occur at least this fraction of the most frequent one's count.
-SHARE = 8
+SHARE = 32
 
 
 @dataclass
@@ -99,7 +99,7 @@ class _Places:
         self.bits = 17
         slots = self._slot(chosen)
         order = np.argsort(counts, kind="stable")  # the most frequent is written last and stays
-        self.at = np.full(1 << self.bits, -1, np.int32)
+        self.at = np.full(1 << self.bits, -1, np.int16 if len(chosen) < 32768 else np.int32)
         self.at[slots[order]] = order
         self.chosen = chosen
 
@@ -111,8 +111,10 @@ class _Places:
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The places of keys that are chosen, and which one each is."""
         which = self.at[self._slot(keys)]
-        at = np.flatnonzero((which >= 0) & (self.chosen[which] == keys))
-        return at, which[at]
+        at = np.flatnonzero(which >= 0)
+        which = which[at].astype(np.int64)
+        right = self.chosen[which] == keys[at]
+        return at[right], which[right]
 
 
 def compress(ids: np.ndarray, terminals: int, least: int = LEAST) -> Grammar:
