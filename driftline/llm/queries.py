@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import bpe, chat, decontamination, edit_counts, jaccard_join, language, quality, secrets, substring_dedup, token_files, url_filter
+from driftline.llm import bpe, chat, collocations, decontamination, edit_counts, jaccard_join, language, quality, secrets, substring_dedup, token_files, url_filter
 from driftline.llm.common import table
 from driftline.sources.folders import shared_folder
 
@@ -72,6 +72,10 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(spark, path)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.best(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,7 +83,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_decontamination, op4_edit_counts, op5_language, op6_jaccard_join, op7_chat, op8_secrets, op9_url_filter, op10_quality, op11_token_files, pipeline)
+    f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_decontamination, op4_edit_counts, op5_language, op6_jaccard_join, op7_chat, op8_secrets, op9_url_filter, op10_quality, op11_token_files, op12_collocations, pipeline)
 }
 
 ORACLES: dict[str, str] = {
@@ -99,5 +103,34 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(text_chars + CASE WHEN before = role THEN 7 ELSE 16 + role_chars END) AS BIGINT) AS formatted_chars
 FROM r GROUP BY conv_id
+""",
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS words FROM pieces
+), sizes AS (
+  SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: words[i : i + k - 1])) AS p FROM w, range(1, 5) t(k)
+), f AS (
+  SELECT lang, k, p, count(*) AS a FROM grams GROUP BY lang, k, p HAVING count(*) >= 30
+), cuts AS (
+  SELECT c.lang, c.p, c.a, c.k, j, x.a AS l, y.a AS r, CAST((2000000::HUGEINT * c.a) // (x.a + y.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM f WHERE k > 1) c
+  JOIN f x ON x.lang = c.lang AND x.p = c.p[1 : j] JOIN f y ON y.lang = c.lang AND y.p = c.p[j + 1 : ]
+), inner_parts AS (
+  SELECT lang, part, max(a) AS longer FROM (
+    SELECT lang, a, unnest(list_transform(range(1, k - m + 2), lambda i: p[i : i + m - 1])) AS part FROM (SELECT *, unnest(range(2, k)) AS m FROM f WHERE k > 2)
+  ) GROUP BY lang, part
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank, array_to_string(p, ' ') AS phrase, a, l, r, n, score
+FROM lowest JOIN sizes USING (lang) LEFT JOIN inner_parts i ON i.lang = lowest.lang AND i.part = lowest.p
+WHERE longer IS NULL OR 100 * longer < 80 * a
+QUALIFY rank <= 2000
 """,
 }
