@@ -8,11 +8,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import bpe, chat, collocations, decontamination, edit_counts, jaccard_join, language, quality, secrets, substring_dedup, token_files, url_filter
+from driftline.llm import alignment, bpe, chat, collocations, decontamination, edit_counts, jaccard_join, language, quality, secrets, substring_dedup, token_files, url_filter
 from driftline.llm.common import table
 from driftline.sources.folders import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
 #: The id behind each document in files of ids.
 END = 2
@@ -76,6 +77,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.best(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECE_TOKENIZER))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_decontamination, op4_edit_counts, op5_language, op6_jaccard_join, op7_chat, op8_secrets, op9_url_filter, op10_quality, op11_token_files, op12_collocations, pipeline)
+    f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_decontamination, op4_edit_counts, op5_language, op6_jaccard_join, op7_chat, op8_secrets, op9_url_filter, op10_quality, op11_token_files, op12_collocations, op13_alignment, pipeline)
 }
 
 ORACLES: dict[str, str] = {

@@ -43,9 +43,9 @@ class Encoder(dict):
     that is the same for this tokenizer is tried out at the start. The memory is two generations of CACHE stretches.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, data: bytes) -> None:
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_buffer(data)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.model = self.tokenizer.model
@@ -56,7 +56,7 @@ class Encoder(dict):
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         for probe in ("a b", "It's 12\t\n(x).", "é\u000b\u000cß", *special):
             if self._plain(probe) != b"".join(self._plain(t) for t in probe.split()):
-                raise ValueError(f"{path}: white space is part of the ids of this tokenizer")
+                raise ValueError("white space is part of the ids of this tokenizer")
         self.direct = all(self._plain(w) == self._word(w) for w in ("Straße", "ÉTÉ", "abcDEF", "ıǅ", "the")) and all(
             self._plain(f"aÉ{m}") == self._word("aÉ") + self._plain(m) for m in (*MARKS, "!!", ".,)")
         )
@@ -99,14 +99,16 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, (text or "").encode().split()))  # bytes split at ASCII white space only
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[int, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(shared) -> Encoder:
+    """The encoder of this Python worker for a broadcast tokenizer file."""
+    key = id(shared.value)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(shared.value)
+    return _ENCODERS[key]
 
 
 def _binary(values: list[bytes]) -> pa.Array:
@@ -169,8 +171,11 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, key: str
     rows = docs.select(F.col(key).isNull().alias("late"), F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.repartitionByRange(*order[:3]).sortWithinPartitions(*order).select("key", "text")
 
+    with open(tokenizer_path, "rb") as f:
+        shared = spark.sparkContext.broadcast(f.read())  # one or two MB, whatever the corpus
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(shared)
         out, last = _Writer(enc.terminals, shard), np.array([end_id], enc.kind).tobytes()
         for b in batches:
             for k in range(0, b.num_rows, SLICE):
