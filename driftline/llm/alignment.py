@@ -9,6 +9,7 @@ block are counted there and merged in Spark; what they amount to comes back to t
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import duckdb
@@ -22,14 +23,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
 from driftline.llm.bpe import _PATTERN, byte_chars
-from driftline.llm.common import PORTION, cut, portions
+from driftline.llm.common import cut, portions
 
 #: Characters of text whose pairs are counted together before they leave a task.
-BLOCK = 1 << 23
+BLOCK = 1 << 22
+#: Characters of text that are joined in DuckDB at once; a longer text is a portion of its own.
+PORTION = 1 << 19
 #: Pre-tokens that a worker remembers in a generation, and the longest of them.
-CACHE, CACHED_CHARS = 400_000, 40
+CACHE, CACHED_CHARS = 200_000, 40
 #: What a worker's DuckDB may take for one portion.
-MEMORY = "1GB"
+MEMORY = "500MB"
 
 BLOCKS = (
     "block long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, "
@@ -57,8 +60,11 @@ class _ByteLevel(dict):
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            chars = "".join(map(self.char.__getitem__, word.encode()))
-            ids = np.array([t.id for t in self.model.tokenize(chars)], np.int32).tobytes()
+            if word.isascii() and word[1:].isalnum() and word[0] == " ":
+                chars = self.char[32] + word[1:]  # printable ASCII stands for itself
+            else:
+                chars = "".join(map(self.char.__getitem__, word.encode()))
+            ids = array("i", [t.id for t in self.model.tokenize(chars)]).tobytes()
         if len(word) <= CACHED_CHARS:
             if len(self) >= CACHE:
                 self.old = dict(self)
@@ -117,40 +123,35 @@ class Aligner:
             tables.append(pa.table(cells))
         return tables[0], tables[1]
 
-    def sql(self, query: str, **tables: pa.Table) -> dict[str, np.ndarray]:
+    def sql(self, query: str, **tables: pa.Table) -> pa.Table:
         for name, t in tables.items():
             self.db.register(name, t)
         try:
-            return self.db.sql(query).fetchnumpy()
+            return self.db.sql(query).to_arrow_table()
         finally:
             for name in tables:
                 self.db.unregister(name)
 
-    def grouped(self, a: pa.Table, b: pa.Table) -> dict[str, np.ndarray]:
-        """doc, g, side, id of all tokens, group by group: A's tokens, then B's.
+    def linked(self, a: pa.Table, b: pa.Table) -> pa.Table:
+        """doc, a, b, e of each link: tokens whose ranges end together at e; in the order of g, the group that ends there.
 
-        The group of an A token is the sum of the cuts before it; that of a B token is the one of the first cut at its end or behind.
+        Tokens have bytes, so no two of a side end together: the number of a group is the sum of the links before.
         """
-        return self.sql(
-            """
-            WITH flagged AS (
-              SELECT a.doc, a.i, a.id, a.e, b.e IS NOT NULL AS cut,
-                     coalesce(sum(CASE WHEN b.e IS NULL THEN 0 ELSE 1 END) OVER (ORDER BY a.i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS g
-              FROM a LEFT JOIN (SELECT DISTINCT e FROM b) b ON a.e = b.e
-            ), cuts AS (SELECT e, g FROM flagged WHERE cut)
-            SELECT doc, g, 0::TINYINT AS side, i, id FROM flagged
-            UNION ALL SELECT b.doc, c.g, 1::TINYINT, b.i, b.id FROM b ASOF JOIN cuts c ON b.e <= c.e
-            ORDER BY g, side, i
-            """,
-            a=a,
-            b=b,
-        )
-
-    def linked(self, a: pa.Table, b: pa.Table) -> dict[str, np.ndarray]:
-        """doc, a, b of each link: tokens whose ranges end together; in order of the texts."""
-        return self.sql("SELECT a.doc, a.id AS a, b.id AS b FROM a JOIN b ON a.e = b.e ORDER BY a.doc", a=a, b=b)
-
-    def overlapping(self, a: pa.Table, b: pa.Table) -> dict[str, np.ndarray]:
+        query = "SELECT a.doc, a.id AS a, b.id AS b, a.e, (sum(1) OVER (ORDER BY a.e ROWS UNBOUNDED PRECEDING) - 1)::INT AS g FROM a JOIN b ON a.e = b.e"
+        found = self.sql(query, a=a.select(["doc", "id", "e"]), b=b.select(["id", "e"]))
+        place = np.empty(found.num_rows, np.int64)
+        place[found["g"].to_numpy()] = np.arange(found.num_rows)
+        return found.take(pa.array(place))
+
+    def groups(self, tokens: pa.Table, links: pa.Table) -> np.ndarray:
+        """The group of each token: the one of the first cut at its end or behind it."""
+        query = "SELECT t.i, c.g FROM t ASOF JOIN c ON t.e <= c.e"
+        found = self.sql(query, t=tokens.select(["i", "e"]), c=links.select(["e", "g"]))
+        out = np.zeros(tokens.num_rows, np.int32)
+        out[found["i"].to_numpy()] = found["g"].to_numpy()
+        return out
+
+    def overlapping(self, a: pa.Table, b: pa.Table) -> pa.Table:
         """doc, a_i, a, b_i, b, bytes of each two tokens whose ranges overlap: a range of A tokens for each B token, found by two ASOF joins."""
         return self.sql(
             """
@@ -163,20 +164,29 @@ class Aligner:
             b=b,
         )
 
-    def digests(self, n: int, rows: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
-        """The digest of the groups of each of n texts ('' without tokens) and the number of groups."""
-        out, groups = [""] * n, np.zeros(n, np.int64)
-        doc, g, side = (np.asarray(rows[c]) for c in ("doc", "g", "side"))
-        if not len(doc):
-            return out, groups
-        new_group = np.diff(g) != 0
-        mark = np.append(np.where(np.diff(doc) != 0, 3, np.where(new_group, 2, np.where(np.diff(side) != 0, 1, 0))), 3)
-        cells = self.marked[mark, np.asarray(rows["id"])].tolist()
-        ends = np.flatnonzero(mark == 3) + 1
-        for first, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-            out[doc[first]] = hashlib.sha256(b"".join(cells[first:end])).hexdigest()
-        np.add.at(groups, doc[np.append(True, new_group)], 1)
-        return out, groups
+    def digests(self, n: int, a: pa.Table, b: pa.Table, links: pa.Table) -> list[str]:
+        """The digest of the groups of each of n texts; '' without tokens."""
+        out = [""] * n
+        if not links.num_rows:
+            return out
+        g_a, g_b = self.groups(a, links), self.groups(b, links)
+        in_a, in_b = np.bincount(g_a), np.bincount(g_b)
+        at_a = np.arange(len(g_a)) + (np.cumsum(in_b) - in_b)[g_a]  # behind the B tokens of the groups before
+        at_b = np.arange(len(g_b)) + np.cumsum(in_a)[g_b]  # behind the A tokens of the groups up to its own
+        ids, mark = np.empty(len(g_a) + len(g_b), np.int64), np.zeros(len(g_a) + len(g_b), np.int8)
+        ids[at_a], ids[at_b] = a["id"].to_numpy(), b["id"].to_numpy()
+        ends = np.cumsum(in_a + in_b)
+        mark[ends - in_b - 1] = 1
+        mark[ends - 1] = 2
+        doc = np.empty(len(ends), np.int64)
+        doc[g_a] = a["doc"].to_numpy()
+        last = np.append(np.diff(doc) != 0, True)
+        mark[ends[last] - 1] = 3
+        cells, first = self.marked[mark, ids].tolist(), 0
+        for k, end in zip(doc[last].tolist(), ends[last].tolist(), strict=True):
+            out[k] = hashlib.sha256(b"".join(cells[first:end])).hexdigest()
+            first = end
+        return out
 
 
 _ALIGNERS: dict[int, Aligner] = {}
@@ -229,13 +239,11 @@ def blocks(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str, key:
                     n = len(some)
                     a, b = al.tokens(list(some["text"]))
                     links = al.linked(a, b)
-                    digests, groups = al.digests(n, al.grouped(a, b))
-                    pairs.add(np.asarray(links["a"]), np.asarray(links["b"]))
+                    pairs.add(links["a"].to_numpy(), links["b"].to_numpy())
                     cells["doc_ids"] += [None if late else int(i) for late, i in zip(some["late"], some["id"], strict=True)]
-                    cells["groups_sha256"] += digests
-                    for name, doc in (("n_a", a["doc"].to_numpy()), ("n_b", b["doc"].to_numpy()), ("n_links", np.asarray(links["doc"]))):
-                        cells[name] += np.bincount(doc, minlength=n).tolist()
-                    cells["n_groups"] += groups.tolist()
+                    cells["groups_sha256"] += al.digests(n, a, b, links)
+                    for name, t in (("n_a", a), ("n_b", b), ("n_links", links), ("n_groups", links)):
+                        cells[name] += np.bincount(t["doc"].to_numpy(), minlength=n).tolist()
                 pair_a, pair_b, pair_n, places = pairs.close()
                 row = {"block": [part << 32 | seq]} | {c: [v] for c, v in cells.items()}
                 yield pd.DataFrame(row | {"pair_a": [pair_a], "pair_b": [pair_b], "pair_n": [pair_n], "links": [places]})
@@ -294,7 +302,7 @@ def overlaps(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str, key
         for batch in batches:
             for some in portions(batch, "text", PORTION):
                 a, b = al.tokens(list(some["text"]))
-                rows = pd.DataFrame(al.overlapping(a, b))
+                rows = al.overlapping(a, b).to_pandas()
                 for side, t in (("a_i", a), ("b_i", b)):
                     first = pd.Series(t["i"].to_numpy()).groupby(t["doc"].to_numpy()).min()
                     rows[side] = rows[side] - rows["doc"].map(first)

@@ -14,10 +14,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from driftline.llm.common import cut, portions, spent
+from driftline.llm.common import cut, spent
 
 #: Words of a phrase at most, least frequency, share of a longer phrase (in %) that makes a shorter one superfluous.
 LONGEST, LEAST, SHARE, TOP = 4, 30, 80, 2000
@@ -25,9 +26,15 @@ LONGEST, LEAST, SHARE, TOP = 4, 30, 80, 2000
 BREAKS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 #: Bits of the filter of frequent names: its size whatever the corpus; a fuller one only lets more candidates through.
 FILTER_BITS = 1 << 27
+#: Names of one part of the counts, about, and names that a task gathers before it sends them.
+PART, GATHERED = 1 << 22, 1 << 21
 #: Characters whose phrases are counted together before they leave a task.
-BLOCK = 1 << 24
+BLOCK = 1 << 22
 
+#: Rows that are taken out of an Arrow batch at once.
+SLICE = 256
+
+_TEXTS = pa.list_(pa.string())
 _PLAIN = bytes.maketrans(BREAKS + GAPS, b"\n" * len(BREAKS) + b" " * len(GAPS))
 
 
@@ -69,17 +76,22 @@ def blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
     """langs, words, counts (of the distinct words of a block of texts) and index, the texts as places in them."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text IS NOT NULL")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part in portions(b, "text", BLOCK):
+            ends = np.cumsum(pc.binary_length(b.column(1)).to_numpy()) // BLOCK
+            first = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), b.num_rows]
+            for k, end in zip(first, first[1:], strict=False):
                 block = Block()
-                for name, t in zip(part["lang"], part["text"], strict=True):
-                    block.add(name, t)
+                for at in range(k, end, SLICE):
+                    part = b.slice(at, min(SLICE, end - at))
+                    for name, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                        block.add(name, t)
                 index = block.index()
                 counts = np.bincount(index[index >= 0], minlength=len(block.words))
-                yield pd.DataFrame({"langs": [block.langs], "words": [block.words], "counts": [counts], "index": [index.tobytes()]})
+                cells = [pa.array([v], t) for v, t in ((block.langs, _TEXTS), (block.words, _TEXTS), (counts, pa.list_(pa.int64())), (index.tobytes(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(cells, ["langs", "words", "counts", "index"])
 
-    return rows.mapInPandas(run, "langs array<string>, words array<string>, counts array<long>, index binary")
+    return rows.mapInArrow(run, "langs array<string>, words array<string>, counts array<long>, index binary")
 
 
 def _mixed(hi: np.ndarray, lo: np.ndarray, hi2: np.ndarray, lo2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,22 +170,69 @@ class _Level:
         return _Level(*_mixed(*self._halves(found)), index)
 
 
-def _levels(found: DataFrame, filters: list, salt: int, emit, names: list[str]) -> DataFrame:
-    """What `emit` makes of each block, named up to the level of the last filter; names that a filter lacks end a run.
+def _levels(found: DataFrame, filters: list, salt: int, emit, schema: str) -> DataFrame:
+    """What `emit` makes of the blocks of a task, named up to the level of the last filter; names that a filter lacks end a run.
 
     A block holds its distinct words, so naming again is a hash for each of them and a sort of numbers for each level.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[_Level]:
         for b in batches:
             for k in range(b.num_rows):
                 langs, words, packed = (b.column(c)[k].as_py() for c in range(3))
                 level = _Level(*word_names(langs, words, salt), np.frombuffer(packed, np.int32)).without(filters[0].value)
                 for frequent in filters[1:]:
                     level = level.above().without(frequent.value)
-                yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in emit(level)], names)
+                yield level
+
+    return found.select("langs", "words", "index").mapInArrow(lambda batches: emit(each(batches)), schema)
+
+
+def _merged(names: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct names in order with the sums of their counts."""
+    names, counts = np.concatenate(names), np.concatenate(counts)
+    order = np.argsort(names)
+    names = names[order]
+    begins = np.flatnonzero(np.append(True, names[1:] != names[:-1])[: len(names)])
+    return names[begins], np.add.reduceat(counts[order], begins) if len(begins) else counts
 
-    return found.select("langs", "words", "index").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+def _sketch(found: DataFrame, filters: list, salt: int, least: int, parts: int) -> DataFrame:
+    """lo of the pairs of names that occur `least` times or share their lo with others so that together they do.
+
+    Names are sent in packed parts, by their first bits, so that a part is some PART of them whatever the corpus; a
+    pair that every block holds comes once from each gathering of a task.
+    """
+
+    def emit(levels: Iterator[_Level]) -> Iterator[pa.RecordBatch]:
+        names, counts, n = [], [], 0
+
+        def packed() -> pa.RecordBatch:
+            lo, of = _merged(names, counts)
+            part = ((lo >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            first = np.flatnonzero(np.diff(part, prepend=-1))
+            edges = [*first.tolist(), len(part)]
+            cells = [pa.array(part[first]), *(pa.array([v[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()) for v in (lo, of.astype(np.int32)))]
+            return pa.RecordBatch.from_arrays(cells, ["part", "names", "counts"])
+
+        for level in levels:
+            halves, k = level.pairs()
+            names.append(_mixed(*halves)[1])
+            counts.append(k)
+            n += len(k)
+            if n > GATHERED:
+                yield packed()
+                names, counts, n = [], [], 0
+        if n:
+            yield packed()
+
+    def merge(rows: pa.Table) -> pa.Table:
+        names = [np.frombuffer(v, np.uint64) for v in rows["names"].to_pylist()]
+        lo, n = _merged(names, [np.frombuffer(v, np.int32).astype(np.int64) for v in rows["counts"].to_pylist()])
+        return pa.table({"lo": lo[n >= least].view(np.int64)})
+
+    sent = _levels(found, filters, salt, emit, "part long, names binary, counts binary")
+    return sent.groupBy("part").applyInArrow(merge, "lo long")
 
 
 class Clash(Exception):
@@ -202,20 +261,20 @@ def _words(found: DataFrame, salt: int) -> DataFrame:
     return counted.withColumn("name", name("lang", "phrase")).select("lang", "phrase", "a", "name.*")
 
 
-def _pairs(found: DataFrame, filters: list, salt: int, least: int) -> DataFrame:
+def _pairs(found: DataFrame, filters: list, salt: int, least: int, parts: int) -> DataFrame:
     """left_hi, left_lo, right_hi, right_lo, a, hi, lo: the frequent pairs of names of the level below.
 
     First counts of 64 bits of each name, which are never too small, say which pairs may be frequent; those alone are
     counted by both halves. Every pair that a later level may see is among them, so that a name shared by two is found.
     """
-    sketch = _levels(found, filters, salt, lambda level: _sketched(*level.pairs()), ["lo", "n"])
-    may = cut(sketch.groupBy("lo").agg(F.sum("n").alias("a")).where(F.col("a") >= least).select("lo"))
+    may = cut(_sketch(found, filters, salt, least, parts))
     frequent = _shared(may)
 
-    def emit(level: _Level) -> list[np.ndarray]:
-        halves, n = level.pairs()
-        good = frequent.value.holds(_mixed(*halves)[1])
-        return [*(h[good] for h in halves), n[good]]
+    def emit(levels: Iterator[_Level]) -> Iterator[pa.RecordBatch]:
+        for level in levels:
+            both, n = level.pairs()
+            good = frequent.value.holds(_mixed(*both)[1])
+            yield pa.RecordBatch.from_arrays([*(pa.array(h[good].view(np.int64)) for h in both), pa.array(n[good])], [*halves, "n"])
 
     halves = ["left_hi", "left_lo", "right_hi", "right_lo"]
 
@@ -224,7 +283,7 @@ def _pairs(found: DataFrame, filters: list, salt: int, least: int) -> DataFrame:
         hi, lo = _mixed(*(np.ascontiguousarray(x.to_numpy(), np.int64).view(np.uint64) for x in (a, b, c, d)))
         return pd.DataFrame({"hi": hi.view(np.int64), "lo": lo.view(np.int64)})
 
-    counted = _levels(found, filters, salt, emit, [*halves, "n"]).groupBy(*halves).agg(F.sum("n").alias("a"))
+    counted = _levels(found, filters, salt, emit, ", ".join(f"{c} long" for c in (*halves, "n"))).groupBy(*halves).agg(F.sum("n").alias("a"))
     named = cut(counted.withColumn("name", name(*halves)).select(*halves, "a", "name.*"))
     spent(may)
     frequent.unpersist()
@@ -232,10 +291,6 @@ def _pairs(found: DataFrame, filters: list, salt: int, least: int) -> DataFrame:
     return named.where(F.col("a") >= least)
 
 
-def _sketched(halves: list[np.ndarray], n: np.ndarray) -> list[np.ndarray]:
-    return [_mixed(*halves)[1], n]
-
-
 def _table(pairs: DataFrame, below: DataFrame) -> DataFrame:
     """The table of a level: its pairs with language, phrase, last word and the counts of their first and last 1, 2, ... words."""
     left = below.select(F.col("hi").alias("left_hi"), F.col("lo").alias("left_lo"), "lang", F.col("phrase").alias("before"), "heads")
@@ -271,11 +326,12 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", longest: in
 def _phrases(found: DataFrame, salt: int, longest: int, least: int, share: int) -> tuple[DataFrame, DataFrame]:
     words = cut(_words(found, salt))
     _unique(words)
+    parts = 1 + (words.agg(F.sum("a")).first()[0] or 0) // PART
     first = words.where(F.col("a") >= least)
     filters = [_shared(first.select("lo"))]
     tables = [first.select("hi", "lo", "lang", "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails"))]
     for _ in range(2, longest + 1):
-        tables.append(cut(_table(_pairs(found, filters, salt, least), tables[-1])))
+        tables.append(cut(_table(_pairs(found, filters, salt, least, parts), tables[-1])))
         filters.append(_shared(tables[-1].select("lo")))
     out = []
     for k, level in enumerate(tables[1:], 1):
