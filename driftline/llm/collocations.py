@@ -41,14 +41,14 @@ _PLAIN = bytes.maketrans(BREAKS + GAPS, b"\n" * len(BREAKS) + b" " * len(GAPS))
 class _Places(dict):
     """The distinct words of one language in a block; a new one takes the next place of the block."""
 
-    def __init__(self, lang: str, block: Block) -> None:
+    def __init__(self, lang: str, words: list[str], langs: list[str]) -> None:
         super().__init__({b"\n": -1, b"": -2})
-        self.lang, self.block = lang, block
+        self.lang, self.words, self.langs = lang, words, langs
 
     def __missing__(self, word: bytes) -> int:
-        place = self[word] = len(self.block.words)
-        self.block.words.append(word.decode())
-        self.block.langs.append(self.lang)
+        place = self[word] = len(self.words)
+        self.words.append(word.decode())
+        self.langs.append(self.lang)
         return place
 
 
@@ -62,7 +62,7 @@ class Block:
         self.places: list[int] = []
 
     def add(self, lang: str, text: str) -> None:
-        known = self.of.get(lang) or self.of.setdefault(lang, _Places(lang, self))
+        known = self.of.get(lang) or self.of.setdefault(lang, _Places(lang, self.words, self.langs))
         plain = text.encode().lower().translate(_PLAIN)  # lower() of bytes is A-Z only
         self.places.extend(map(known.__getitem__, plain.replace(b"\n", b" \n ").split(b" ")))
         self.places.append(-1)
