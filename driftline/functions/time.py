@@ -8,6 +8,8 @@ from pyspark.sql.column import Column
 #: Greater numbers are milliseconds, not seconds.
 MS_FROM = 10_000_000_000
 ANCHOR_MONDAY = "1970-01-05"
+#: In microseconds.
+MINUTE, DAY = 60_000_000, 86_400_000_000
 
 
 def epoch_us(ts: Column) -> Column:
@@ -62,8 +64,9 @@ def local_date(ts: Column, zone: str) -> Column:
 
 
 def grid_slot(ts: Column, minutes: int) -> Column:
-    """The start of ts's slot in a grid of minutes that divide the day."""
-    return from_epoch_us(F.floor(epoch_us(ts) / (minutes * 60_000_000)) * (minutes * 60_000_000))
+    """The start of ts's slot in a grid of minutes that begins anew each midnight."""
+    us = epoch_us(ts)
+    return from_epoch_us(us - F.pmod(F.pmod(us, F.lit(DAY)), F.lit(minutes * MINUTE)))
 
 
 def floor_days(ts: Column, days: int) -> Column:
@@ -77,46 +80,75 @@ def normal_offset(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, r"([+-]\d{2})$", "$1:00"), r"([+-]\d{2})(\d{2})$", "$1:$2")
 
 
-def slices(spark: SparkSession, since: str, until: str, minutes: int, grid: bool = False) -> DataFrame:
-    """start, end of equal slices of [since, until), the last one clipped; with grid they begin at multiples of the step.
-
-    minutes <= 0 gives one slice; an empty window none.
-    """
-    a, b = (F.to_timestamp_ntz(F.lit(x)) for x in (since, until))
-    us, lo, hi = minutes * 60_000_000, epoch_us(a), epoch_us(b)
-    one = spark.range(1).where(a < b)
+def _inner_bounds(lo: Column, hi: Column, minutes: int, grid: str) -> Column:
+    """The bounds of slices between lo and hi (microseconds), in order, as an array."""
+    us, none = minutes * MINUTE, F.array().cast("array<bigint>")
+    run = lambda first, end: F.when(first < end, F.sequence(first, end - 1, F.lit(us).cast("long"))).otherwise(none)
     if minutes <= 0:
-        return one.select(a.alias("start"), b.alias("end"))
-    first = F.floor(lo / us) * us if grid else lo
-    rows = one.select(F.explode(F.sequence(first, hi - 1, F.lit(us).cast("long"))).alias("s"))
-    return rows.select(from_epoch_us(F.greatest("s", lo)).alias("start"), from_epoch_us(F.least(F.col("s") + us, hi)).alias("end"))
+        return none
+    if grid == "start":
+        return run(lo + us, hi)
+    midnight = lo - F.pmod(lo, F.lit(DAY))
+    if grid == "floor":
+        return run(lo - F.pmod(lo - midnight, F.lit(us)) + us, hi)
+    if minutes * MINUTE > DAY:
+        raise ValueError("a grid of ends needs a step of a day at most")
+    minute = lo - F.pmod(lo, F.lit(MINUTE))
+    behind = F.pmod(minute - midnight, F.lit(us))
+    first = F.when(behind == 0, lo + us).otherwise(minute - behind + us)
+    if DAY % us == 0:
+        return run(first, hi)
+    last = (DAY - MINUTE) // us * us  # the last bound of a full day; the step from it ends `carried` after midnight
+    next_day, carried = midnight + DAY, last + us - DAY
+    days = F.when(next_day < hi, F.sequence(next_day, hi - 1, F.lit(DAY))).otherwise(none)
+    of_day = lambda d: F.concat(F.when(d > next_day, F.array(d + carried)).otherwise(none), F.sequence(d + us, d + last, F.lit(us).cast("long")))
+    return F.filter(F.concat(run(first, next_day + us), F.flatten(F.transform(days, of_day))), lambda p: p < hi)
+
+
+def slices_of(windows: DataFrame, minutes: int, grid: str = "start", since: str = "since", until: str = "until") -> DataFrame:
+    """windows, a row for each slice of [since, until) with its start and end (timestamps without zone).
+
+    grid "start": equal steps from since. "floor": bounds are multiples of the step from the midnight before since.
+    "ceil": a slice ends at the next multiple of the step in its own day (at the next day's minutes where it passes
+    midnight; from there the next multiple counts again), and a since on a multiple with seconds keeps these seconds
+    until a bound is off the grid. The last slice is clipped. minutes <= 0 gives one slice; an empty or null window none.
+    """
+    lo, hi = epoch_us(F.col(since)), epoch_us(F.col(until))
+    inner = _inner_bounds(lo, hi, minutes, grid)
+    pairs = F.arrays_zip(F.concat(F.array(lo), inner).alias("a"), F.concat(inner, F.array(hi)).alias("b"))
+    rows = windows.where(F.col(since) < F.col(until)).select("*", F.explode(pairs).alias("_slice"))
+    return rows.select(*windows.columns, from_epoch_us(F.col("_slice.a")).alias("start"), from_epoch_us(F.col("_slice.b")).alias("end"))
+
+
+def _one_window(spark: SparkSession, since: str, until: str) -> DataFrame:
+    return spark.range(1).select(F.to_timestamp_ntz(F.lit(since)).alias("since"), F.to_timestamp_ntz(F.lit(until)).alias("until"))
+
+
+def slices(spark: SparkSession, since: str, until: str, minutes: int, grid: bool = False) -> DataFrame:
+    """start, end of the slices of one window, from since or (with grid) at multiples of the step from midnight; see slices_of()."""
+    return slices_of(_one_window(spark, since, until), minutes, "floor" if grid else "start").select("start", "end")
 
 
 def ceil_slices(spark: SparkSession, since: str, until: str, minutes: int) -> DataFrame:
-    """start, end of slices of [since, until) that end on a grid of minutes which divide the day, the last one clipped.
+    """start, end of the slices of one window that end on a grid; see slices_of()."""
+    return slices_of(_one_window(spark, since, until), minutes, "ceil").select("start", "end")
 
-    A start on a minute of the grid with seconds stays off it: all its slices keep these seconds.
-    """
-    a, b = (F.to_timestamp_ntz(F.lit(x)) for x in (since, until))
-    us, lo, hi = minutes * 60_000_000, epoch_us(a), epoch_us(b)
-    minute = F.floor(lo / 60_000_000) * 60_000_000
-    first = F.when(minute % us == 0, lo + us).otherwise(F.ceil(minute / us) * us)
-    rows = spark.range(1).where(a < b).select(first.alias("first"))
-    later = F.when(F.col("first") < hi, F.sequence(F.col("first"), hi - 1, F.lit(us).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    starts = rows.select("first", F.explode(F.concat(F.array(lo), later)).alias("s"))
-    end = F.least(F.when(F.col("s") == lo, F.col("first")).otherwise(F.col("s") + us), hi)
-    return starts.select(from_epoch_us(F.col("s")).alias("start"), from_epoch_us(end).alias("end"))
+
+def overlapped(slices: DataFrame, minutes: int, of: list[str] = ()) -> DataFrame:
+    """slices, of which the first (of each window, told by the columns `of`) begins so many minutes earlier to read late rows again."""
+    first = slices.groupBy(*of).agg(F.min("start").alias("_first"))
+    both = slices.join(first, list(of)) if of else slices.crossJoin(F.broadcast(first))  # one row without `of`
+    start = F.when(F.col("start") == F.col("_first"), F.col("start") - F.make_dt_interval(mins=F.lit(minutes))).otherwise(F.col("start"))
+    return both.withColumn("start", start).select(slices.columns)
 
 
-def overlapped(slices: DataFrame, minutes: int) -> DataFrame:
-    """start, end of slices, of which the first begins so many minutes earlier to read late rows again."""
-    first = F.broadcast(slices.agg(F.min("start").alias("first")))
-    both = slices.join(first, F.col("start") == F.col("first"), "left")
-    return both.select(F.when(F.col("first").isNotNull(), F.col("start") - F.make_dt_interval(mins=F.lit(minutes))).otherwise(F.col("start")).alias("start"), "end")
+def days_of(windows: DataFrame, zone: str, since: str = "since", until: str = "until") -> DataFrame:
+    """windows, a row for each local day that [since, until) touches, with its part."""
+    days = F.sequence(local_date(F.col(since), zone), local_date(F.col(until) - F.make_dt_interval(secs=F.lit(0.001)), zone))
+    rows = windows.where(F.col(since) < F.col(until)).select("*", F.explode(days).alias("_day"))
+    return rows.select(*windows.columns, part_of(F.col("_day")).alias("part"))
 
 
 def days_between(spark: SparkSession, since: str, until: str, zone: str) -> DataFrame:
-    """part of each local day that [since, until) touches."""
-    a, b = (F.to_timestamp_ntz(F.lit(x)) for x in (since, until))
-    days = F.sequence(local_date(a, zone), local_date(b - F.make_dt_interval(secs=F.lit(0.001)), zone))
-    return spark.range(1).where(a < b).select(F.explode(days).alias("d")).select(part_of(F.col("d")).alias("part"))
+    """part of each local day that one window touches."""
+    return days_of(_one_window(spark, since, until), zone).select("part")

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driftline.functions import time
 from driftline.operators import journal, publish
-from driftline.plans.queries import PART, events, query, table
+from driftline.plans.queries import PART, WINDOWS, events, query, table, windows
 from driftline.sources.folders import shared_folder
+from driftline.sources.sliced import database_window
 from driftline.sources.window import cast_columns
 from driftline.streaming.incremental import incremental
 
@@ -33,16 +34,30 @@ def cast_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_columns(raw, ["event_id", "stamp", "seconds", "number", "event_type", "missing"], {"stamp", "seconds"}, {"number"})
 
 
-@query("""SELECT s AS start, least(s + INTERVAL 20 MINUTES, TIMESTAMP '2024-01-01 05:30:00') AS end FROM (SELECT unnest(range(TIMESTAMP '2024-01-01 01:20:00', TIMESTAMP '2024-01-01 05:30:00', INTERVAL 20 MINUTES)) AS s)
-UNION ALL SELECT TIMESTAMP '2024-01-01 01:10:30', TIMESTAMP '2024-01-01 01:20:00'""")
+def ceil_sql(minutes: int) -> str:
+    """user_id, start, end: step by step to the next multiple of the minutes in a day."""
+    up = f"date_trunc('day', c) + INTERVAL 1 MINUTE * CAST(ceil((hour(c) * 60 + minute(c)) / {minutes}.0) * {minutes} AS INTEGER)"
+    return f"""WITH RECURSIVE r AS (
+  SELECT user_id, since AS c, until FROM ({WINDOWS}) WHERE since < until
+  UNION ALL SELECT user_id, CASE WHEN {up} <= c THEN c + INTERVAL {minutes} MINUTES ELSE {up} END AS n, until FROM r WHERE n < until
+) SELECT user_id, c AS start, coalesce(lead(c) OVER (PARTITION BY user_id ORDER BY c), until) AS end FROM r"""
+
+
+@query(ceil_sql(20))
 def slice_ceil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return time.ceil_slices(spark, "2024-01-01 01:10:30", "2024-01-01 05:30:00", 20)
+    return time.slices_of(windows(spark, sf_dir), 20, "ceil").select("user_id", "start", "end")
+
 
+@query(ceil_sql(420))
+def grid_any_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven hours do not divide the day."""
+    return time.slices_of(windows(spark, sf_dir), 420, "ceil").select("user_id", "start", "end")
 
-@query("SELECT CASE WHEN s = TIMESTAMP '2024-01-01 01:00:30' THEN s - INTERVAL 5 MINUTES ELSE s END AS start, least(s + INTERVAL 20 MINUTES, TIMESTAMP '2024-01-01 03:10:00') AS end FROM (SELECT unnest(range(TIMESTAMP '2024-01-01 01:00:30', TIMESTAMP '2024-01-01 03:10:00', INTERVAL 20 MINUTES)) AS s)")
+
+@query(f"SELECT user_id, CASE WHEN start = min(start) OVER (PARTITION BY user_id) THEN start - INTERVAL 5 MINUTES ELSE start END AS start, \"end\" FROM ({ceil_sql(60)})")
 def slice_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A start with seconds on a minute of the grid stays off it; only the first slice begins earlier."""
-    return time.overlapped(time.ceil_slices(spark, "2024-01-01 01:00:30", "2024-01-01 03:10:00", 20), 5)
+    """Only the first slice of a window begins earlier."""
+    return time.overlapped(time.slices_of(windows(spark, sf_dir), 60, "ceil").select("user_id", "start", "end"), 5, ["user_id"])
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,3 +141,14 @@ def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = events(spark, sf_dir).select("user_id", "event_type", "value", "ts", "event_id")
     incremental(source, slices, f"{folder}/raw", f"{folder}/clean", ["user_id", "event_type"], ["ts", "event_id"], "ts", overlap_minutes=30, every=2, least_new=5)
     return spark.read.parquet(f"{folder}/clean").select("part", "user_id", "event_type", "value")
+
+
+@query("SELECT event_id, ts, user_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-02 03:17:00' AND ts < TIMESTAMP '2024-01-25 11:00:00'")
+def database_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window of events behind a database driver; slices of 200 minutes, halved down to 10 minutes where they hold over 5000 rows."""
+    folder = f"{shared_folder(spark)}/slices-{uuid.uuid4().hex}"
+    events(spark, sf_dir).select("event_id", "ts", "user_id", "value").write.parquet(folder)
+    place = folder.removeprefix("file://").removeprefix("file:")
+    limits = {"minutes": 200, "least_minutes": 10, "depth": 5, "attempts": 1, "rows": 5000}
+    schema = "event_id long, ts timestamp_ntz, user_id long, value double"
+    return database_window(spark, schema, "2024-01-02 03:17:00", "2024-01-25 11:00:00", "ts", driver="duckdb", table=f"read_parquet('{place}/*.parquet')", **limits)

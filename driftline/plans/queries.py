@@ -80,14 +80,23 @@ def slice_grid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).groupBy(time.grid_slot(F.col("ts"), 10).alias("slot")).agg(F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("users"))
 
 
-@query("SELECT s AS start, least(s + INTERVAL 7 HOURS, TIMESTAMP '2024-01-03 05:30:00') AS end FROM (SELECT unnest(range(TIMESTAMP '2024-01-01 01:10:00', TIMESTAMP '2024-01-03 05:30:00', INTERVAL 7 HOURS)) AS s)")
+def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the first to the last event of each user."""
+    return events(spark, sf_dir).groupBy("user_id").agg(F.min("ts").alias("since"), F.max("ts").alias("until"))
+
+
+WINDOWS = "SELECT user_id, min(ts) AS since, max(ts) AS until FROM events GROUP BY 1"
+
+
+@query(f"SELECT user_id, s AS start, least(s + INTERVAL 7 HOURS, until) AS end FROM (SELECT *, unnest(range(since, until, INTERVAL 7 HOURS)) AS s FROM ({WINDOWS}))")
 def slice_tail_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return time.slices(spark, "2024-01-01 01:10:00", "2024-01-03 05:30:00", 420)
+    return time.slices_of(windows(spark, sf_dir), 420).select("user_id", "start", "end")
 
 
-@query("SELECT greatest(s, TIMESTAMP '2024-01-01 01:10:00') AS start, least(s + INTERVAL 20 MINUTES, TIMESTAMP '2024-01-01 05:30:00') AS end FROM (SELECT unnest(range(TIMESTAMP '2024-01-01 01:00:00', TIMESTAMP '2024-01-01 05:30:00', INTERVAL 20 MINUTES)) AS s)")
+@query(f"SELECT user_id, greatest(s, since) AS start, least(s + INTERVAL 7 HOURS, until) AS end FROM (SELECT *, unnest(range(date_trunc('day', since) + INTERVAL 7 HOURS * CAST(floor(hour(since) / 7) AS INTEGER), until, INTERVAL 7 HOURS)) AS s FROM ({WINDOWS}))")
 def slice_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return time.slices(spark, "2024-01-01 01:10:00", "2024-01-01 05:30:00", 20, grid=True)
+    """Seven hours do not divide the day: the grid is counted from the first midnight."""
+    return time.slices_of(windows(spark, sf_dir), 420, "floor").select("user_id", "start", "end")
 
 
 @query("SELECT event_id, CAST(DATE '1970-01-05' + CAST(floor((CAST(ts AS DATE) - DATE '1970-01-05') / 14.0) * 14 AS INTEGER) AS DATE) AS first_day FROM events")
@@ -115,9 +124,9 @@ def parse_ts_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select("event_id", time.from_text(s.otherwise(F.lit("no date"))).alias("stamp"))
 
 
-@query("SELECT event_id, CAST(ts + INTERVAL 6 HOURS AS DATE) AS local_day FROM events WHERE ts < TIMESTAMP '2024-02-01'")
+@query("SELECT event_id, CAST(ts + CASE WHEN ts < TIMESTAMP '2024-02-29 18:00:00' THEN INTERVAL 6 HOURS ELSE INTERVAL 5 HOURS END AS DATE) AS local_day FROM events")
 def local_date_almaty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).where(F.col("ts") < F.to_timestamp_ntz(F.lit("2024-02-01"))).select("event_id", time.local_date(F.col("ts"), "Asia/Almaty").alias("local_day"))
+    return events(spark, sf_dir).select("event_id", time.local_date(F.col("ts"), "Asia/Almaty").alias("local_day"))
 
 
 @query(f"SELECT {PART} AS part, count(*) AS n_rows FROM events WHERE event_type <> 'purchase' GROUP BY 1 HAVING count(*) >= 20")
@@ -126,9 +135,12 @@ def gated_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.gated(new, 20)
 
 
-@query("SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS part FROM (SELECT unnest(range(DATE '2024-01-02', DATE '2024-01-08', INTERVAL 1 DAY)) AS d)")
+LOCAL = "{0} + CASE WHEN {0} < TIMESTAMP '2024-02-29 18:00:00' THEN INTERVAL 6 HOURS ELSE INTERVAL 5 HOURS END"  # the zone's offset changed then
+
+
+@query(f"SELECT user_id, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS part FROM (SELECT user_id, unnest(range(CAST({LOCAL.format('since')} AS DATE), CAST({LOCAL.format('until')} - INTERVAL 1 MILLISECOND AS DATE) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM ({WINDOWS}) WHERE since < until)")
 def backfill_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return time.days_between(spark, "2024-01-02 01:00:00", "2024-01-07 18:00:00", "Asia/Almaty")
+    return time.days_of(windows(spark, sf_dir), "Asia/Almaty").select("user_id", "part")
 
 
 @query(f"WITH h AS ({HISTORY}) SELECT part, user_id, event_type, value FROM (SELECT part, user_id, event_type, arg_max(value, row(ts, event_id)) AS value FROM h WHERE event_id % 2 = 0 GROUP BY 1, 2, 3) WHERE part NOT BETWEEN 20240105 AND 20240107 UNION ALL SELECT part, user_id, event_type, arg_max(value, row(ts, event_id)) FROM h WHERE part BETWEEN 20240105 AND 20240107 GROUP BY 1, 2, 3")
