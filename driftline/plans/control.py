@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driftline.functions import time
 from driftline.operators import journal, publish
+from driftline.operators.runlog import RunLog
+from driftline.operators.snapshots import SnapshotTable
 from driftline.plans.queries import PART, WINDOWS, events, query, table, windows
 from driftline.sources.folders import shared_folder
 from driftline.sources.sliced import database_window
 from driftline.sources.window import cast_columns
-from driftline.streaming.incremental import incremental
+from driftline.streaming.incremental import catch_up, incremental
 
 NOW = "2024-01-15 00:00:00"
 
@@ -152,3 +155,25 @@ def database_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = {"minutes": 200, "least_minutes": 10, "depth": 5, "attempts": 1, "rows": 5000}
     schema = "event_id long, ts timestamp_ntz, user_id long, value double"
     return database_window(spark, schema, "2024-01-02 03:17:00", "2024-01-25 11:00:00", "ts", driver="duckdb", table=f"read_parquet('{place}/*.parquet')", **limits)
+
+
+@query(f"SELECT part, user_id, event_type, arg_max(value, row(ts, event_id)) AS value, arg_max(event_id, row(ts, event_id)) AS event_id FROM (SELECT *, {PART} AS part FROM events WHERE ts >= TIMESTAMP '2024-01-03 05:45:00' AND ts < TIMESTAMP '2024-01-09 12:00:00') GROUP BY 1, 2, 3")
+def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of one process; the second goes on at the watermark in the journal. The result is the last snapshot of CLEAN."""
+    folder = f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}"
+    clean, log = SnapshotTable(spark, f"{folder}/clean"), RunLog(spark, f"{folder}/journal")
+    source = events(spark, sf_dir).select("user_id", "event_type", "value", "ts", "event_id", F.col("ts").alias("at"), F.col("event_id").alias("no"))
+    for until in (datetime(2024, 1, 6, 9), datetime(2024, 1, 9, 12)):
+        catch_up(source, until, 1440, f"{folder}/raw", clean, log, "events", ["user_id", "event_type"], ["at", "no"], "ts", datetime(2024, 1, 3, 6), overlap_minutes=15, every=2)
+    return clean.read().select("part", "user_id", "event_type", "value", "event_id")
+
+
+@query(f"SELECT part, user_id, event_type, arg_max(value, row(ts, event_id)) AS value FROM (SELECT *, {PART} AS part FROM events) WHERE part BETWEEN 20240103 AND 20240120 AND NOT (part = 20240105) GROUP BY 1, 2, 3")
+def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days published at once, one of them emptied by a second publication, those before a border dropped by their names."""
+    clean = SnapshotTable(spark, f"{shared_folder(spark)}/snapshots-{uuid.uuid4().hex}")
+    e = events(spark, sf_dir).select("user_id", "event_type", "value", F.col("ts").alias("at"), F.col("event_id").alias("no"), time.part_of(F.col("ts")).alias("part"))
+    clean.publish(e, ["user_id", "event_type"], ["at", "no"], list(range(20240101, 20240121)))
+    clean.publish(e.where("part <> 20240105"), ["user_id", "event_type"], ["at", "no"], [20240105, 20240106])
+    clean.drop_before(20240103)
+    return clean.read().select("part", "user_id", "event_type", "value")
