@@ -39,7 +39,7 @@ def decoded(value: Column, kind: str, scale: int = 18) -> Column:
             return binary.decimal_of(value, scale)
         case "BOOLEAN" | "BOOL":
             return binary.unsigned(value, 1) == 1
-        case "VARCHAR ARRAY" | "STRING ARRAY" | "ARRAY":
+        case "VARCHAR ARRAY" | "STRING ARRAY" | "CHARACTER VARYING ARRAY" | "ARRAY":
             return binary.texts_of(value)
         case "VARBINARY" | "BINARY" | "BINARY VARYING":
             return value

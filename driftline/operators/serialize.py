@@ -9,25 +9,48 @@ from numbers import Integral
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.column import Column
 
 
+def _inside(value: Column) -> Column:
+    """A value as Spark writes it in JSON."""
+    text = F.to_json(F.struct(value.alias("v")))
+    return F.substr(text, F.lit(6), F.length(text) - 6)
+
+
+def json_text(value: Column, kind: T.DataType) -> Column:
+    """A value in JSON at any depth: NaN and the infinities as null, bytes as arrays of signed numbers; null for null.
+
+    Fields of a struct that are null are left out; items and values of maps are written as null.
+    """
+    or_null = lambda v, k: F.coalesce(json_text(v, k), F.lit("null"))
+    listed = lambda parts, ends: F.when(value.isNotNull(), F.concat(F.lit(ends[0]), F.array_join(parts, ","), F.lit(ends[1])))
+    match kind:
+        case T.DoubleType() | T.FloatType():
+            return F.when(F.isnan(value) | (F.abs(value) == float("inf")), "null").when(value.isNotNull(), _inside(value))
+        case T.BinaryType():
+            places = F.when(F.length(value) > 0, F.sequence(F.lit(1), F.length(value))).otherwise(F.array().cast("array<int>"))
+            byte = lambda i: F.conv(F.hex(F.substr(value, i, F.lit(1))), 16, 10).cast("int")
+            return listed(F.transform(places, lambda i: (byte(i) - F.when(byte(i) > 127, 256).otherwise(0)).cast("string")), "[]")
+        case T.ArrayType():
+            return listed(F.transform(value, lambda v: or_null(v, kind.elementType)), "[]")
+        case T.MapType():
+            pair = lambda e: F.concat(_inside(e["key"].cast("string")), F.lit(":"), or_null(e["value"], kind.valueType))
+            return listed(F.transform(F.map_entries(value), pair), "{}")
+        case T.StructType():
+            fields = [F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ":"), json_text(value[f.name], f.dataType)) for f in kind.fields]
+            return F.when(value.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")))
+    return F.when(value.isNotNull(), _inside(value))
+
+
 def json_line(df: DataFrame, columns: list[str], nulls: bool = False) -> Column:
-    """A JSON object and a line feed: nulls left out (or written, with nulls), NaN and the infinities written as null, bytes as arrays of signed numbers."""
+    """A JSON object and a line feed: columns that are null left out (or written, with nulls), values as json_text() writes them."""
 
     def field(c: str) -> Column:
-        kind = df.schema[c].dataType.simpleString()
-        value = F.col(c)
-        if kind == "binary":
-            byte = lambda i: F.conv(F.hex(F.substr(F.col(c), i, F.lit(1))), 16, 10).cast("int")
-            value = F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: byte(i) - F.when(byte(i) > 127, 256).otherwise(0))
-            value = F.when(F.length(c) > 0, value).when(F.col(c).isNotNull(), F.expr("cast(array() as array<int>)"))
-        inside = F.to_json(F.struct(value.alias(c)))
-        text = F.substr(inside, F.lit(2), F.length(inside) - 2)
-        if kind in ("double", "float"):
-            text = F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(f"{json.dumps(c)}:null")).otherwise(text)
-        return F.when(F.col(c).isNotNull(), text).otherwise(F.lit(f"{json.dumps(c)}:null") if nulls else F.lit(None))
+        name = json.dumps(c, ensure_ascii=False) + ":"
+        text = json_text(F.col(c), df.schema[c].dataType)
+        return F.concat(F.lit(name), F.coalesce(text, F.lit("null")) if nulls else text)
 
     return F.concat(F.lit("{"), F.concat_ws(",", *map(field, columns)), F.lit("}\n"))
 

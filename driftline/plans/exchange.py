@@ -83,9 +83,69 @@ def json_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("n_nationkey", serialize.json_line(rows, ["n_nationkey", "n_name"], nulls=True).alias("line"))
 
 
-@query("SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY (c_custkey + 200) % 256) AS place FROM customer WHERE c_custkey < 256")
+@query("SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey % 2 = 0, c_custkey) AS place FROM customer")
 def rowkey_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row keys in the order of their unsigned bytes."""
-    key = binary.big_endian((F.col("c_custkey") + 200) % 256, 1)
-    c = table(spark, sf_dir, "customer").where("c_custkey < 256").withColumn("key", key)
+    number = F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey") - (1 << 62)).otherwise(F.col("c_custkey"))  # the negative ones come last, as bytes
+    c = table(spark, sf_dir, "customer").withColumn("key", binary.big_endian(number, 8))
     return c.select("c_nationkey", "c_custkey", F.expr("row_number() OVER (PARTITION BY c_nationkey ORDER BY key)").cast("long").alias("place"))
+
+
+@query("""SELECT event_id, '{"event_id":' || event_id || ',"xs":[' || CASE event_id % 3 WHEN 0 THEN 'null,1.5' WHEN 1 THEN '2.5,null' ELSE 'null,null,0.5' END || '],"bs":[[1,-1],' || CASE WHEN event_id % 2 = 0 THEN '[]' ELSE 'null' END
+|| '],"m":{"a":' || CASE WHEN event_id % 2 = 0 THEN 'null' ELSE '3.5' END || ',"b":null},"s":{"t":"' || event_type || '"' || CASE WHEN event_id % 4 = 0 THEN ',"n":' || user_id ELSE '' END || '}}' || chr(10) AS line FROM events""")
+def json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN, infinities and bytes inside arrays, maps and structs are written as they are outside."""
+    k, nan, inf = F.col("event_id"), F.lit(float("nan")), F.lit(float("-inf"))
+    xs = F.when(k % 3 == 0, F.array(nan, F.lit(1.5))).when(k % 3 == 1, F.array(F.lit(2.5), inf)).otherwise(F.array(nan, F.lit(None).cast("double"), F.lit(0.5)))
+    bs = F.array(F.unhex(F.lit("01FF")), F.when(k % 2 == 0, F.unhex(F.lit(""))))
+    m = F.create_map(F.lit("a"), F.when(k % 2 == 0, inf).otherwise(F.lit(3.5)), F.lit("b"), F.lit(None).cast("double"))
+    rows = events(spark, sf_dir).select("event_id", xs.alias("xs"), bs.alias("bs"), m.alias("m"), F.struct(F.col("event_type").alias("t"), F.when(k % 4 == 0, F.col("user_id")).alias("n")).alias("s"))
+    return rows.select("event_id", serialize.json_line(rows, ["event_id", "xs", "bs", "m", "s"]).alias("line"))
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_id % 5 <> 0 UNION ALL SELECT -event_id, 'again' FROM events WHERE event_id % 3 = 0")
+def json_many_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of several lines; lines with something behind the object are left out, the others of the message stay."""
+    e = events(spark, sf_dir).select("event_id", "event_type")
+    first = serialize.json_line(e, ["event_id", "event_type"])
+    bad = F.concat(F.rtrim(F.translate(first, "\n", "")), F.when(F.col("event_id") % 2 == 0, " trash\n").otherwise(',{"event_id":1,"event_type":"x"}\n'))
+    again = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('\n{"event_id":-'), F.col("event_id").cast("string"), F.lit(',"event_type":"again"}'))).otherwise("")
+    sent = e.select(F.concat(F.when(F.col("event_id") % 5 == 0, bad).otherwise(first), again).alias("message"))
+    schema = T.StructType([T.StructField("event_id", T.LongType(), False), T.StructField("event_type", T.StringType(), False)])
+    return messages.json_rows(sent, "message", schema)
+
+
+def _record(*fields: tuple) -> dict:
+    return {"type": "record", "name": "event", "fields": [{"name": n, "type": t} | dict(more) for n, t, *more in fields]}
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(user_id AS DOUBLE) END AS customer, CASE event_id % 4 WHEN 0 THEN 'none' ELSE event_type END AS kind, event_id % 4 = 2 AS late FROM events WHERE event_id % 4 <> 3")
+def avro_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of three versions of a schema in one column, told by the id in their frames; a fourth id is unknown."""
+    e = events(spark, sf_dir).select("event_id", "event_type", F.col("user_id").cast("int").alias("user_id"), F.lit(True).alias("late"), F.lit("x").alias("gone"))
+    layouts = {
+        11: [("gone", "string", False), ("event_id", "int", False)],
+        12: [("event_id", "long", False), ("user_id", "int", True), ("event_type", "string", False)],
+        13: [("late", "boolean", False), ("event_type", "string", True), ("user_id", "long", False), ("event_id", "long", False), ("gone", "string", True)],
+        14: [("event_id", "long", False)],
+    }
+    k = F.col("event_id") % 4
+    frames = [e.where(k == i).select(binary.confluent_frame(F.lit(n), serialize.avro_record(fields)).alias("frame")) for i, (n, fields) in enumerate(layouts.items())]
+    sent = frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+    writers = {n: _record(*((f, ["null", t] if nullable else t) for f, t, nullable in layouts[n])) for n in (11, 12, 13)}
+    reader = _record(("event_id", "long"), ("customer", ["null", "double"], ("aliases", ["user_id"]), ("default", None)), ("kind", "string", ("aliases", ["event_type"]), ("default", "none")), ("late", "boolean", ("default", False)))
+    reader["fields"][2]["type"] = ["string", "null"]
+    return messages.avro_rows(sent, "frame", reader, skip=True, writers=writers)
+
+
+@query("SELECT event_id, user_id FROM events WHERE event_id % 6 = 0")
+def avro_bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number out of range, a branch that does not exist, something behind the record, one cut short, nulls without end: left out."""
+    k = F.col("event_id") % 6
+    good = serialize.avro_record([("event_id", "long", False), ("user_id", "long", True), ("small", "long", False)])
+    e = events(spark, sf_dir).select("event_id", "user_id", F.when(k == 1, F.lit(1 << 40)).otherwise(F.lit(5).cast("long")).alias("small"))
+    none, endless, branch = (F.unhex(F.lit(h)) for h in ("00", "FEFFFFFFFFFFFFFF7F", "01"))
+    body = F.when(k == 2, F.concat(good, none, none)).when(k == 3, F.concat(good, endless)).when(k == 4, F.concat(serialize.avro_record([("event_id", "long", False)]), branch)).when(k == 5, F.substr(good, F.lit(1), F.length(good) - 1)).otherwise(F.concat(good, none))
+    schema = _record(("event_id", "long"), ("user_id", ["null", "long"]), ("small", "int"), ("nothing", {"type": "array", "items": "null"}))
+    rows = messages.avro_rows(e.select(binary.confluent_frame(F.lit(1), body).alias("frame")), "frame", schema, skip=True)
+    return rows.select("event_id", "user_id")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import struct
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -12,6 +10,7 @@ from pyspark.sql.column import Column
 from pyspark.sql.pandas.types import to_arrow_type
 
 from driftline.functions.time import from_epoch_us
+from driftline.sources.avro import resolved, whole
 from driftline.sources.schemas import struct_of
 
 _BAD = "_not_json"
@@ -24,17 +23,21 @@ def timed(rows: DataFrame, millis: list[str]) -> DataFrame:
 
 
 def json_rows(messages: DataFrame, column: str, schema: T.StructType, millis: list[str] = ()) -> DataFrame:
-    """The typed rows of JSON lines; a line that is no object, does not fit the schema or lacks a required field is left out.
+    """The typed rows of JSON lines, of which a message may hold several.
 
-    Unknown fields are ignored; `millis` names the columns that hold milliseconds.
+    A line that is no single object, does not fit the schema or lacks a required field is left out, others of its
+    message stay. Unknown fields are ignored; `millis` names the columns that hold milliseconds.
     """
     loose = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema] + [T.StructField(_BAD, T.StringType())])
-    rows = messages.select(F.from_json(F.col(column).cast("string"), loose, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}).alias("r")).where(F.col("r").isNotNull())
-    whole = rows.select("r.*").where(F.col(_BAD).isNull())
+    lines = messages.select(F.explode(F.split(F.col(column).cast("string"), "\n")).alias("line"))
+    single = F.from_json(F.concat(F.lit("["), F.col("line"), F.lit("]")), "array<map<string,string>>")  # null where anything but objects stands
+    parsed = F.from_json(F.col("line"), loose, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+    rows = lines.where(F.size(single) == 1).select(parsed.alias("r")).where(F.col("r").isNotNull())
+    fits = rows.select("r.*").where(F.col(_BAD).isNull())
     for f in schema:
         if not f.nullable:
-            whole = whole.where(F.col(f.name).isNotNull())
-    return timed(whole.drop(_BAD), list(millis))
+            fits = fits.where(F.col(f.name).isNotNull())
+    return timed(fits.drop(_BAD), list(millis))
 
 
 def frame_id(b: Column) -> Column:
@@ -42,90 +45,48 @@ def frame_id(b: Column) -> Column:
     return F.when((F.length(b) >= 5) & (F.hex(F.substring(b, 1, 1)) == "00"), F.conv(F.hex(F.substring(b, 2, 4)), 16, 10).cast("long"))
 
 
-def _number(s: io.BytesIO) -> int:
-    n = shift = 0
-    while True:
-        byte = _bytes(s, 1)[0]
-        n |= (byte & 0x7F) << shift
-        shift += 7
-        if byte < 0x80:
-            return n >> 1 ^ -(n & 1)
-
-
-def _bytes(s: io.BytesIO, size: int) -> bytes:
-    b = s.read(size)
-    if len(b) != size:
-        raise ValueError("the message ends too early")
-    return b
-
-
-def _items(s: io.BytesIO, one: Callable) -> list:
-    out = []
-    while count := _number(s):
-        if count < 0:  # the block's size in bytes follows
-            count = -count
-            _number(s)
-        out += [one(s) for _ in range(count)]
-    return out
-
-
-def _reader(kind) -> Callable:
-    """A function that reads a value of this Avro type; made once of the schema."""
+def _used_branches(kind):
+    """A reader's type with each union cut to null and the branch that its column has the type of."""
     if isinstance(kind, list):
-        branches = [_reader(k) for k in kind]
-        return lambda s: branches[_number(s)](s)
-    name = kind["type"] if isinstance(kind, dict) else kind
-    if isinstance(name, (dict, list)):
-        return _reader(name)
-    match name:
-        case "null":
-            return lambda s: None
-        case "string":
-            return lambda s: _bytes(s, _number(s)).decode()
-        case "bytes":
-            return lambda s: _bytes(s, _number(s))
-        case "int" | "long":
-            return _number
-        case "float":
-            return lambda s: struct.unpack("<f", _bytes(s, 4))[0]
-        case "double":
-            return lambda s: struct.unpack("<d", _bytes(s, 8))[0]
-        case "boolean":
-            return lambda s: _bytes(s, 1) == b"\1"
-        case "enum":
-            return lambda s: kind["symbols"][_number(s)]
-        case "fixed":
-            return lambda s: _bytes(s, kind["size"])
-        case "array":
-            one = _reader(kind["items"])
-            return lambda s: _items(s, one)
-        case "map":
-            value = _reader(kind["values"])
-            return lambda s: _items(s, lambda s: (_bytes(s, _number(s)).decode(), value(s)))
-        case "record":
-            fields = [(f["name"], _reader(f["type"])) for f in kind["fields"]]
-            return lambda s: {n: read(s) for n, read in fields}
-    raise ValueError(f"not an Avro type: {kind}")
-
-
-def avro_rows(messages: DataFrame, column: str, schema: dict, millis: list[str] = (), skip: bool = False) -> DataFrame:
-    """The typed rows of Avro records in frames (a zero byte, the schema's id, the record), written with this schema.
-
-    A broken message fails; with skip it is left out.
+        rest = [x for x in kind if x != "null"]
+        return [_used_branches(x) for x in kind if x == "null" or x is rest[0]]
+    if isinstance(kind, dict):
+        inner = {k: _used_branches(v) for k, v in kind.items() if k in ("items", "values") or (k == "type" and isinstance(v, (dict, list)))}
+        fields = {"fields": [f | {"type": _used_branches(f["type"])} for f in kind["fields"]]} if kind.get("type") == "record" else {}
+        return kind | inner | fields
+    return kind
+
+
+def avro_rows(messages: DataFrame, column: str, schema: dict, millis: list[str] = (), skip: bool = False, writers: dict[int, dict] | None = None) -> DataFrame:
+    """The typed rows of Avro records in frames (a zero byte, the schema's id, the record).
+
+    Without `writers` all are written with this schema, whatever their id. With writers (id: schema) each is read with
+    the one its frame names and resolved to this one. A broken message fails; with skip it is left out: no frame, an
+    unknown id, a record that ends early or late, a number out of range, a branch or symbol that does not exist, a
+    value that this schema can't take. Of a union the column has the type of the first branch that is not null.
     """
-    made = struct_of(schema)
+    made = struct_of(schema, properties=False)
     arrow = to_arrow_type(made)
+    reader = _used_branches({"type": "record", "name": schema.get("name", "row"), "fields": schema["fields"]})
 
     @F.arrow_udf(made)
     def run(frames: pa.Array) -> pa.Array:
-        read = _reader({"type": "record", "fields": schema["fields"]})
+        known: dict[int, Callable] = {}
+
+        def of(number: int) -> Callable:
+            if number not in known:
+                if writers is not None and number not in writers:
+                    raise ValueError(f"no schema {number}")
+                writer = schema if writers is None else writers[number]
+                known[number] = resolved({"type": "record", "name": writer.get("name", "row"), "fields": writer["fields"]}, reader)
+            return known[number]
 
         def one(frame: bytes | None) -> dict | None:
             try:
                 if frame is None or len(frame) < 5 or frame[0] != 0:
                     raise ValueError("not a frame")
-                return read(io.BytesIO(frame[5:]))
-            except (ValueError, IndexError):
+                return whole(of(int.from_bytes(frame[1:5], "big") if writers is not None else -1), frame[5:])
+            except ValueError:
                 if skip:
                     return None
                 raise

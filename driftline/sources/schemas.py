@@ -7,30 +7,30 @@ from pathlib import Path
 
 from pyspark.sql import types as T
 
-_AVRO = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "float": T.FloatType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "bytes": T.BinaryType(), "enum": T.StringType(), "fixed": T.BinaryType()}
+_AVRO = {"null": T.NullType(), "string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "float": T.FloatType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "bytes": T.BinaryType(), "enum": T.StringType(), "fixed": T.BinaryType()}
 
 
-def _kind(avro) -> tuple[T.DataType, bool]:
+def _kind(avro, properties: bool) -> tuple[T.DataType, bool]:
     if isinstance(avro, list):
         rest = [x for x in avro if x != "null"]
-        return _kind(rest[0])[0], "null" in avro
+        return _kind(rest[0], properties)[0], "null" in avro
     if isinstance(avro, dict):
         if avro["type"] == "array":
-            return T.ArrayType(_kind(avro["items"])[0]), False
+            return T.ArrayType(_kind(avro["items"], properties)[0]), False
         if avro["type"] == "map":
-            return T.MapType(T.StringType(), _kind(avro["values"])[0]), False
+            return T.MapType(T.StringType(), _kind(avro["values"], properties)[0]), False
         if avro["type"] == "record":
-            return struct_of(avro), False
-        return _kind(avro["type"])
+            return struct_of(avro, properties), False
+        return _kind(avro["type"], properties)
     return _AVRO[avro], False
 
 
-def struct_of(avro: dict) -> T.StructType:
-    """A record schema as a StructType; other properties of a field are its metadata."""
+def struct_of(avro: dict, properties: bool = True) -> T.StructType:
+    """A record schema as a StructType; other properties of a field are its metadata, if they are wanted."""
     fields = []
     for f in avro["fields"]:
-        kind, nullable = _kind(f["type"])
-        fields.append(T.StructField(f["name"], kind, nullable, {k: v for k, v in f.items() if k not in ("name", "type") and isinstance(v, (str, int, float, bool))}))
+        kind, nullable = _kind(f["type"], properties)
+        fields.append(T.StructField(f["name"], kind, nullable, {k: v for k, v in f.items() if properties and k not in ("name", "type") and isinstance(v, (str, int, float, bool))}))
     return T.StructType(fields)
 
 
