@@ -16,6 +16,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import sentencepiece
 from pyspark import TaskContext
@@ -28,11 +29,11 @@ from driftline.llm.common import cut, portions
 #: Characters of text whose pairs are counted together before they leave a task.
 BLOCK = 1 << 22
 #: Characters of text that are joined in DuckDB at once; a longer text is a portion of its own.
-PORTION = 1 << 19
+PORTION = 1 << 18
 #: Pre-tokens that a worker remembers in a generation, and the longest of them.
-CACHE, CACHED_CHARS = 200_000, 40
-#: What a worker's DuckDB may take for one portion.
-MEMORY = "500MB"
+CACHE, CACHED_CHARS = 150_000, 40
+#: What a worker's DuckDB may take for one portion, at most; a usual one takes some 50 MB.
+MEMORY = "2GB"
 
 BLOCKS = (
     "block long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, "
@@ -229,28 +230,40 @@ def blocks(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str, key:
     """BLOCKS: texts of about BLOCK characters each, with their counts, the distinct linked pairs and all links as places among those."""
     shared = _broadcast(spark, a_path, b_path)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = {"doc_ids": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups_sha256": pa.string(), "pair_a": pa.int32(), "pair_b": pa.int32(), "pair_n": pa.int64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         al, seq, part = aligner(shared), 0, TaskContext.get().partitionId()
         for batch in batches:
-            for big in portions(batch, "text", BLOCK):
+            for big in _cut_up(batch, BLOCK):
                 cells: dict[str, list] = {c: [] for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
                 pairs = _Pairs()
-                for some in portions(big, "text", PORTION):
-                    n = len(some)
-                    a, b = al.tokens(list(some["text"]))
+                for some in _cut_up(big, PORTION):
+                    n = some.num_rows
+                    a, b = al.tokens(some.column(1).to_pylist())
                     links = al.linked(a, b)
                     pairs.add(links["a"].to_numpy(), links["b"].to_numpy())
-                    cells["doc_ids"] += [None if late else int(i) for late, i in zip(some["late"], some["id"], strict=True)]
+                    cells["doc_ids"] += some.column(0).to_pylist()
                     cells["groups_sha256"] += al.digests(n, a, b, links)
                     for name, t in (("n_a", a), ("n_b", b), ("n_links", links), ("n_groups", links)):
                         cells[name] += np.bincount(t["doc"].to_numpy(), minlength=n).tolist()
                 pair_a, pair_b, pair_n, places = pairs.close()
-                row = {"block": [part << 32 | seq]} | {c: [v] for c, v in cells.items()}
-                yield pd.DataFrame(row | {"pair_a": [pair_a], "pair_b": [pair_b], "pair_n": [pair_n], "links": [places]})
+                row = cells | {"pair_a": pair_a, "pair_b": pair_b, "pair_n": pair_n}
+                columns = [pa.array([part << 32 | seq]), *(pa.array([row[c]], pa.list_(t)) for c, t in kinds.items()), pa.array([places], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["block", *kinds, "links"])
                 seq += 1
+                pa.default_memory_pool().release_unused()
 
-    rows = docs.select(F.col(key).isNull().alias("late"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, BLOCKS)
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, BLOCKS)
+
+
+def _cut_up(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about `most` bytes of text, the second column; a longer text is a slice of its own."""
+    portion = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // most
+    edges = [0, *(np.flatnonzero(np.diff(portion)) + 1).tolist(), batch.num_rows]
+    for first, end in zip(edges, edges[1:], strict=False):
+        if end > first:
+            yield batch.slice(first, end - first)
 
 
 def pair_counts(found: DataFrame) -> DataFrame:
