@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from driftline.plans.everything import QUERIES
 
-HEADLINE = ("window_scan", "dedup_argmax", "dedup_ties", "slice_grid_counts", "publish_overwrite", "cells_to_rows", "cf_any_filter", "rowkey_pk_decode", "typed_value_decode", "confluent_frame", "journal_transitions", "sanitize_stale", "stream_publish")
+HEADLINE = ("window_scan", "dedup_argmax", "dedup_ties", "slice_grid_counts", "publish_overwrite", "cells_to_rows", "cf_any_filter", "rowkey_pk_decode", "typed_value_decode", "confluent_frame", "journal_transitions", "sanitize_stale", "json_parse", "avro_parse", "rowkey_typed_decode", "stream_publish")
 
 
 def main() -> None:
