@@ -284,23 +284,25 @@ def align(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str, key: s
     found = cut(blocks(spark, docs, a_path, b_path, key, text))
     counts = cut(pair_counts(found))
     places = found.select("block", F.posexplode(F.arrays_zip("pair_a", "pair_b")).alias("at", "p")).select("block", "at", F.col("p.pair_a").alias("a"), F.col("p.pair_b").alias("b"))
-    known = places.join(counts, ["a", "b"]).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "count", "best"))).alias("known"))
-    rows = found.select("block", "doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links").join(known, "block", "left")
+    known = places.join(counts, ["a", "b"]).select(F.col("block").alias("of"), "at", "count", "best")
+    rows = found.select("block", "doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                one = b.slice(k, 1)
-                flat = {c: one.column(c).flatten() for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
-                links, sizes = np.frombuffer(one.column("links")[0].as_py(), np.int32), flat["n_links"].to_numpy()
-                pairs = one.column("known").flatten()
-                count, best = (pairs.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("count", "best"))
-                ends = np.cumsum(sizes)
-                total = lambda v, ends=ends, sizes=sizes, links=links: np.diff(np.append(0, np.cumsum(v[links]))[np.append(0, ends)])
-                columns = [*(flat[c] for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_links")), pa.array(total(best)), pa.array(total(count)), flat["groups_sha256"]]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
-
-    return rows.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+    def run(block: pa.Table, pairs: pa.Table) -> pa.Table:
+        _ALIGNERS.clear()  # what this worker has tokenized with before is not needed any more
+        flat = {c: block.column(c).combine_chunks().flatten() for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
+        links, sizes = np.frombuffer(block.column("links")[0].as_py(), np.int32), flat["n_links"].to_numpy()
+        ends, at = np.append(0, np.cumsum(sizes)), pairs["at"].to_numpy()
+
+        def total(column: str) -> pa.Array:
+            by_place = np.zeros(pairs.num_rows, np.int64)
+            by_place[at] = pairs[column].to_numpy()
+            return pa.array(np.diff(np.append(0, np.cumsum(by_place[links]))[ends]))
+
+        columns = [*(flat[c] for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_links")), total("best"), total("count"), flat["groups_sha256"]]
+        return pa.table(columns, ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+
+    schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+    return rows.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(run, schema)
 
 
 def overlaps(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
