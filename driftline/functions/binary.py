@@ -1,4 +1,4 @@
-"""Row keys, typed bytes and frames. Fixed-width numbers stay Spark expressions; what has no expression is an Arrow UDF."""
+"""Row keys, typed bytes and frames. Row keys and fixed-width numbers stay Spark expressions; what has no expression is an Arrow UDF."""
 
 from __future__ import annotations
 
@@ -174,51 +174,30 @@ def texts_of(b: Column) -> Column:
     return run(b)
 
 
-def _segments(key: bytes, salt: int, kinds: list[tuple[str, int]]) -> list[bytes | None]:
-    """The bytes of each key column: (kind, width), width 0 for delimited text; None from the first that can't be cut."""
-    out, at = [], salt
-    for k, (_, width) in enumerate(kinds):
-        if width:
-            if at + width > len(key):
-                break
-            out.append(key[at : at + width])
-            at += width
-            continue
-        end = at
-        while end < len(key) and not (key[end] == 0 and (end == at or key[end - 1] != 0xFF)):
-            end += 1
-        last = k == len(kinds) - 1
-        if last:
-            end = len(key)
-        elif end >= len(key):
-            break
-        out.append(key[at:end])
-        at = end + 1
-    return out + [None] * (len(kinds) - len(out))
-
-
-def _unescaped(b: bytes) -> bytes:
-    out, k = bytearray(), 0
-    while k < len(b):
-        pair = b[k : k + 2]
-        if pair in (b"\xff\x00", b"\xff\xff"):
-            out.append(0 if pair[1] == 0 else 0xFF)
-            k += 2
-        else:
-            out.append(b[k])
-            k += 1
-    return bytes(out)
+#: A text of a key up to the zero byte that ends it, in characters that stand for a byte each; what is taken is never given back.
+_TEXT = r"(?:[^\x00\xFF]++|\xFF\x00?+)*+"
+_BYTES = "ISO-8859-1"
 
 
 def key_parts(key: Column, kinds: list[tuple[str, int]], salt: int = 0) -> Column:
-    """array<binary>: the columns of a row key, unescaped; null from the first that can't be cut off.
+    """array<binary>: the columns (kind, width) of a row key, unescaped; null from the first that can't be cut off.
 
-    Text columns (width 0) end at a zero byte that no 0xFF precedes, the last one at the end of the key.
+    Text columns (width 0) end at a zero byte that no 0xFF of theirs precedes, the last one at the end of the key; in
+    them FF00 stands for a zero byte and FFFF for 0xFF. What precedes the first text lies at fixed places; the rest is
+    found by patterns over the key with a character for each byte. A null key has null columns.
     """
-
-    @F.pandas_udf("array<binary>")
-    def run(keys: pd.Series) -> pd.Series:
-        cut = lambda key: [p if p is None or w else _unescaped(p) for p, (_, w) in zip(_segments(key, salt, kinds), kinds, strict=True)]
-        return pd.Series([None if key is None else cut(bytes(key)) for key in keys], dtype=object)
-
-    return run(key)
+    text, before, at, out = F.decode(key, _BYTES), f"(?s)^.{{{salt}}}", salt, []
+    # No match gives an empty list, of which element 1 is null; each pattern runs once a row, as nothing here is conditional.
+    found = lambda body: F.try_element_at(F.regexp_extract_all(text, F.lit(f"{before}({body})"), F.lit(1)), F.lit(1))
+    for k, (_, width) in enumerate(kinds):
+        if width and at is not None:
+            out.append(F.when(F.length(key) >= at + width, F.substring(key, at + 1, width)))
+            at += width
+        elif width:
+            out.append(F.encode(found(f".{{{width}}}"), _BYTES))
+        else:
+            escaped = found(".*" if k == len(kinds) - 1 else _TEXT + r"(?=\x00)")
+            out.append(F.encode(F.regexp_replace(escaped, r"\xFF([\x00\xFF])", "$1"), _BYTES))
+            at = None
+        before += f".{{{width}}}" if width else _TEXT + r"\x00"
+    return F.array(*out)

@@ -1,6 +1,7 @@
 """Functions that no query reaches, at their edges."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -70,6 +71,46 @@ def test_row_keys(spark):
     assert one(spark, binary.key_parts(raw("0102 61 00 62"), [("n", 2), ("t", 0)])) == [b"\1\2", b"a\0b"]
 
 
+def _cut_by_hand(key, widths, salt):
+    """The columns of a key, byte by byte."""
+    out, at = [], salt
+    for k, width in enumerate(widths):
+        end = at + width if width else at
+        if not width and k == len(widths) - 1:
+            end = max(at, len(key))
+        while not width and k < len(widths) - 1 and end < len(key) and (key[end] or (end > at and key[end - 1] == 255)):
+            end += 1
+        if end > len(key) or at > len(key) or (not width and k < len(widths) - 1 and end == len(key)):
+            break
+        part, plain, k2 = key[at:end], bytearray(), 0
+        while not width and k2 < len(part):
+            escaped = part[k2] == 255 and part[k2 + 1 : k2 + 2] in (b"\0", b"\xff")
+            plain.append(part[k2 + 1] if escaped else part[k2])
+            k2 += 2 if escaped else 1
+        out.append(part if width else bytes(plain))
+        at = end if width else end + 1
+    return out + [None] * (len(widths) - len(out))
+
+
+@pytest.mark.parametrize("widths, salt", [((0, 2), 0), ((1, 0, 0, 2, 0), 1), ((2, 0), 2), ((0,), 1), ((0, 0, 0), 0), ((3, 1), 1)])
+def test_random_row_keys(spark, widths, salt):
+    """20,000 keys of few different bytes, so that zero bytes, escapes and ends meet in all ways; no Python in the plan."""
+    rng = random.Random(repr((widths, salt)))
+    keys = [bytes(rng.choices(b"\0\xff\x0aa\x80", k=rng.randrange(12))) for _ in range(20_000)]
+    rows = spark.createDataFrame([(k, key) for k, key in enumerate(keys)], "k int, key binary")
+    got = rows.select("k", binary.key_parts(F.col("key"), [("", w) for w in widths], salt).alias("p"))
+    assert "Python" not in got._jdf.queryExecution().toString().replace("PythonRDD", "")
+    for r in got.collect():
+        assert [p if p is None else bytes(p) for p in r.p] == _cut_by_hand(keys[r.k], widths, salt), keys[r.k]
+
+
+def test_very_long_row_key(spark):
+    key = F.concat(F.repeat(F.lit("ab"), 500_000).cast("binary"), raw("FF00FFFF62 00 0102"))
+    got = one(spark, binary.key_parts(key, [("", 0), ("", 2)]))
+    assert got == [b"ab" * 500_000 + b"\0\xffb", b"\1\2"]
+    assert one(spark, binary.key_parts(F.lit(None).cast("binary"), [("", 0), ("", 2), ("", 0)])) == [None, None, None]
+
+
 def test_schemas(tmp_path):
     (tmp_path / "t.avsc").write_text('{"type":"record","name":"t","fields":[{"name":"a","type":["null","long"],"pk":1},{"name":"b","type":{"type":"array","items":"string"}},{"name":"c","type":{"type":"map","values":"int"}},{"name":"d","type":{"type":"enum","symbols":["x"]}}]}')
     got = schemas.avro_schema(str(tmp_path), "T")
