@@ -23,6 +23,30 @@ def rows_of(cells: DataFrame, columns: list[str], families: list[str] | None = N
     return rows.where("_passes").drop("_passes")
 
 
+def row_maps(cells: DataFrame) -> DataFrame:
+    """entry_id, rowkey, values, _cells_total, _event_ts, _delete: one row for each key of an entry, whatever its columns.
+
+    `values` maps each qualifier to the value of its last cell, as in rows_of(), in the order in which the row's columns
+    first got a value; cells without one leave no key. Cells are dealt by row once; both aggregations use that.
+    """
+    has = ~F.col("is_delete") & F.col("value").isNotNull()
+    columns = cells.repartition(*ROW).groupBy(*ROW, "qualifier").agg(
+        F.min(F.when(has, F.col("cell_index"))).alias("first"),
+        F.max_by("value", F.when(has, F.col("cell_index"))).alias("value"),
+        F.count("*").alias("n"),
+        F.max("cell_ts").alias("ts"),
+        F.bool_or("is_delete").alias("gone"),
+    )
+    listed = F.sort_array(F.collect_list(F.when(F.col("first").isNotNull(), F.struct("first", "qualifier", "value"))))
+    pairs = F.transform(listed, lambda c: F.struct(c["qualifier"], c["value"]))
+    return columns.groupBy(*ROW).agg(
+        F.map_from_entries(pairs).alias("values"),
+        F.sum("n").alias("_cells_total"),
+        F.max("ts").alias("_event_ts"),
+        F.bool_or("gone").alias("_delete"),
+    )
+
+
 def metrics(cells: DataFrame, families: list[str]) -> DataFrame:
     """entries, rows, cells, filtered_rows of a batch; rows counts those sent and those filtered."""
     passes: Column = F.bool_or(F.col("family").isin(families))

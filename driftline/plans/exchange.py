@@ -57,6 +57,16 @@ def payload_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload.payload(rows, "ns", "ev", ["k"], ["value", "props"], families="m", rowkey="hex", salt=1)
 
 
+@query(f"""SELECT entry_id, rowkey, coalesce('{{' || string_agg(CAST(to_json(qualifier) AS VARCHAR) || ':' || CAST(to_json(value) AS VARCHAR), ',' ORDER BY first) || '}}', '{{}}') AS line,
+CAST(sum(n) AS BIGINT) AS _cells_total, max(ts) AS _event_ts, bool_or(gone) AS _delete
+FROM (SELECT entry_id, rowkey, qualifier, min(cell_index) FILTER (value IS NOT NULL AND NOT is_delete) AS first, arg_max(value, cell_index) FILTER (value IS NOT NULL AND NOT is_delete) AS value,
+count(*) AS n, max(cell_ts) AS ts, bool_or(is_delete) AS gone FROM ({CELLS}) GROUP BY 1, 2, 3) GROUP BY 1, 2""")
+def cells_to_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose columns nobody listed, as JSON with the columns in the order in which they first got a value."""
+    rows = cells.row_maps(event_cells(spark, sf_dir)).withColumn("rowkey", F.col("rowkey").cast("string"))
+    return rows.withColumn("line", serialize.json_text(F.col("values"), rows.schema["values"].dataType)).drop("values")
+
+
 @query("SELECT event_id, event_type, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts FROM events WHERE event_id % 13 <> 0 AND event_id % 17 <> 0")
 def json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines written from events and read back; lines cut short and lines without a required field are left out."""

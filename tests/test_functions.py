@@ -111,6 +111,18 @@ def test_very_long_row_key(spark):
     assert one(spark, binary.key_parts(F.lit(None).cast("binary"), [("", 0), ("", 2), ("", 0)])) == [None, None, None]
 
 
+def test_rows_of_any_columns(spark):
+    """First-seen order, the last value, deleted and null cells, a row without values, an empty table; one exchange."""
+    layout = "entry_id long, rowkey binary, cell_index long, cell_ts long, family string, qualifier string, value string, is_delete boolean, values string"
+    cell = lambda row, i, q, v, gone=False: (1, row, i, 10 + i, "d", q, v, gone, "clash")
+    rows = [cell(b"a", 0, "z", None), cell(b"a", 1, "b", "1"), cell(b"a", 2, "z", "2"), cell(b"a", 3, "b", "3"), cell(b"a", 4, "b", "4", True), cell(b"b", 5, "x", None), cell(None, 6, "y", "")]
+    got = cells.row_maps(spark.createDataFrame(rows, layout))
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    found = {r.rowkey and bytes(r.rowkey): (list(r["values"].items()), r._cells_total, r._event_ts, r._delete) for r in got.collect()}
+    assert found == {b"a": ([("b", "3"), ("z", "2")], 5, 14, True), b"b": ([], 1, 15, False), None: ([("y", "")], 1, 16, False)}
+    assert cells.row_maps(spark.createDataFrame([], layout)).count() == 0
+
+
 def test_schemas(tmp_path):
     (tmp_path / "t.avsc").write_text('{"type":"record","name":"t","fields":[{"name":"a","type":["null","long"],"pk":1},{"name":"b","type":{"type":"array","items":"string"}},{"name":"c","type":{"type":"map","values":"int"}},{"name":"d","type":{"type":"enum","symbols":["x"]}}]}')
     got = schemas.avro_schema(str(tmp_path), "T")
