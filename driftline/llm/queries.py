@@ -33,8 +33,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = edit_counts.sample_edits(table(spark, sf_dir, "documents"))
-    return edit_counts.count_after_edits(spark, docs, public_tokenizers.path(TOKENIZER))
+    """Trees of all documents are kept; the edit step reads their table and nothing of documents."""
+    tokenizer, path = public_tokenizers.path(TOKENIZER), f"{shared_folder(spark)}/driftline-trees-{uuid.uuid4().hex}"
+    trees = edit_counts.keep(edit_counts.build(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer), path)
+    return edit_counts.count_after_edits(spark, edit_counts.sample_edits(trees, F.col("tree.n_chars")), tokenizer)
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,27 +71,82 @@ def test_encode_odd_strings():
         assert e.decode(ids) == s
 
 
-def test_edit_counts(spark, docs, empty):
+def changed(text, changes):
+    for c in changes or []:
+        if c is not None:
+            at = max(0, min(c["start"] or 0, len(text)))
+            text = text[:at] + (c["new"] or "") + text[at + (c["length"] or 0) :]
+    return text
+
+
+def test_edit_counts():
+    """Random edits against the library, with leaves that grow, shrink and empty."""
     t, e, rnd = Tokenizer.from_file(PATH), bpe.Encoder(bpe.Bpe(PATH)), random.Random(2)
     parts = ["a", "'s", " ", "  ", "\n", "é", "<|endoftext|>", "<|endo", "12", "!?", "word "]
-    for _ in range(200):
-        tree = edit_counts.CountTree("".join(rnd.choice(parts) for _ in range(rnd.randrange(300))), e)
-        for _ in range(4):
-            text, start, length = tree.text(), rnd.randrange(320), rnd.randrange(20)
-            new = "".join(rnd.choice(parts) for _ in range(rnd.randrange(5)))
+    for k in range(300):
+        tree = edit_counts.CountTree("".join(rnd.choice(parts) for _ in range(rnd.randrange(900 if k % 3 else 60))), e)
+        for _ in range(5):
+            text, start, length = tree.text(), rnd.randrange(tree.n_chars + 20), rnd.choice([0, 1, 5, 20, 700])
+            new = "".join(rnd.choice(parts) for _ in range(rnd.choice([0, 1, 4, 600])))
             tree.edit(start, length, new)
             assert tree.text() == text[:start] + new + text[start + length :]
             assert tree.n_tokens == len(t.encode(tree.text(), add_special_tokens=False).ids)
-    rows = edit_counts.count_after_edits(spark, edit_counts.sample_edits(docs), PATH).collect()
-    assert len(rows) == len(corpus())
-    edits = {r["doc_id"]: (r["text"] or "", r["edits"]) for r in edit_counts.sample_edits(docs).collect()}
-    for r in rows:
-        text, changes = edits[r["doc_id"]]
-        for c in changes:
-            at = min(c["start"], len(text))
-            text = text[:at] + c["new"] + text[at + c["length"] :]
-        assert (r["n_tokens_after"], r["n_chars_after"]) == (len(t.encode(text, add_special_tokens=False).ids), len(text))
-    assert edit_counts.count_after_edits(spark, edit_counts.sample_edits(empty), PATH).count() == 0
+            assert tree.n_chars == len(tree.text()) and len(tree.chars) == len(tree.tokens) == 2 * tree.width
+
+
+def test_edits_stay_local():
+    """An edit of a long text opens a few leaves and encodes a few pre-tokens; one over a huge pre-token ends soon."""
+    t, e = Tokenizer.from_file(PATH), bpe.Encoder(bpe.Bpe(PATH))
+    tree = edit_counts.CountTree("some plain words in a row, " * 20000, e)
+    tree.edit(270_003, 4, "new")
+    assert tree.opened <= 3 and tree.reencoded <= 12
+    assert tree.n_tokens == len(t.encode(tree.text(), add_special_tokens=False).ids)
+    tree = edit_counts.CountTree("1 " * 50_000, e)
+    tree.edit(0, 0, "word")
+    assert tree.opened <= 3
+    tree.edit(50_000, 0, "x" * 20_000)
+    assert tree.n_tokens == len(t.encode(tree.text(), add_special_tokens=False).ids)
+    assert [edit_counts.unpack(edit_counts.pack(v)) for v in ([], [1, 255], [1, 256, 70000])] == [[], [1, 255], [1, 256, 70000]]
+
+
+def test_kept_trees(spark, empty, tmp_path):
+    """Two rounds of edits, each on the trees the last one wrote: null, empty, long and repeated rows, null keys, foreign columns."""
+    t = Tokenizer.from_file(PATH)
+    rows = [*corpus(), (None, "no key", *corpus()[0][2:]), corpus()[5], corpus()[5], (7, "a b " * 60_000, *corpus()[0][2:])]
+    texts = {k: r[1] or "" for k, r in enumerate(rows)}
+    numbered = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "at long, " + SCHEMA).withColumnsRenamed({"source": "counts", "token": "leaves"})
+    trees = edit_counts.keep(edit_counts.build(spark, numbered, PATH), f"{tmp_path}/0")
+    assert "text" not in trees.columns
+    for version in (1, 2):
+        work = edit_counts.sample_edits(trees, F.col("tree.n_chars"))
+        work = work.withColumn("edits", F.when(F.col("at") % 5 == 4, None).otherwise(F.concat("edits", F.array(F.lit(None).cast("struct<start int, length int, new string>"), F.struct(F.lit(-3).alias("start"), F.lit(None).cast("int").alias("length"), F.lit(None).cast("string").alias("new"))))))
+        edits = {r["at"]: r["edits"] for r in work.select("at", "edits").collect()}
+        out = edit_counts.edit(spark, work, PATH)
+        trees = edit_counts.keep(out.drop("counted"), f"{tmp_path}/{version}")
+        got = {r["at"]: r for r in out.select("at", "doc_id", "counts", "leaves", "counted").collect()}
+        assert got.keys() == texts.keys()
+        for k, before in texts.items():
+            texts[k] = changed(before, edits[k])
+            c = got[k]["counted"]
+            assert (c["n_tokens_before"], c["n_tokens_after"]) == tuple(len(t.encode(x, add_special_tokens=False).ids) for x in (before, texts[k]))
+            assert c["n_chars_after"] == len(texts[k]) and (got[k]["doc_id"], got[k]["counts"], got[k]["leaves"]) == (rows[k][0], "src0", "y")
+            assert (c["n_reencoded"] == 0) == (k % 5 == 4)
+        assert {r["at"]: "".join(x["text"] for x in r["tree"]["leaves"]) for r in trees.select("at", "tree").collect()} == texts
+    nothing = edit_counts.build(spark, empty, PATH)
+    assert edit_counts.count_after_edits(spark, edit_counts.sample_edits(nothing, F.col("tree.n_chars")), PATH).count() == 0
+    lost = trees.withColumn("tree", F.when(F.col("at") > 3, F.col("tree"))).withColumn("edits", F.lit(None).cast("array<struct<start int, length int, new string>>"))
+    assert edit_counts.edit(spark, lost, PATH).where("tree IS NULL AND counted IS NULL").count() == 4
+
+
+def test_edit_step_reads_no_text(spark):
+    """op4 against the library on the whole small table; the plan of its edit step reads the kept trees only."""
+    t, out = Tokenizer.from_file(PATH), QUERIES["op4_edit_counts"](spark, DATA)
+    plan = out._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "documents.parquet" not in plan and "driftline-trees-" in plan
+    docs = edit_counts.sample_edits(spark.read.parquet(f"{DATA}/documents.parquet"), F.length(F.coalesce("text", F.lit(""))).cast("long"))
+    size = lambda s: len(t.encode(s, add_special_tokens=False).ids)
+    want = sorted((r["doc_id"], size(r["text"] or ""), size(s := changed(r["text"] or "", r["edits"])), len(s)) for r in docs.collect())
+    assert sorted(tuple(r)[:4] for r in out.collect()) == want
 
 
 def brute_repeats(rows):
