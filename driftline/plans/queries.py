@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from driftline.functions import binary, naming, time
 from driftline.operators import cells, journal, publish, serialize
 from driftline.operators.dedup import latest_values
+from driftline.operators.snapshots import SnapshotTable
+from driftline.sources.commits import CommitLog
 from driftline.sources.folders import shared_folder
 from driftline.sources.window import window
+from driftline.streaming.cells import counted, ingest_cells
 from driftline.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -331,3 +334,32 @@ def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream.select("user_id", "event_type", "value", "ts", "event_id")
     ingest(rows, f"{at}/raw", f"{at}/clean", f"{at}/state", ["user_id", "event_type"], ["ts", "event_id"], "ts").awaitTermination()
     return spark.read.parquet(f"{at}/clean").select("part", "user_id", "event_type", "value")
+
+
+def _cell_stream(spark: SparkSession, sf_dir: str) -> tuple[SnapshotTable, CommitLog]:
+    """The cells of events, whole entries in a file, as a stream into RAW and CLEAN; the clean table and the counters."""
+    at = f"{shared_folder(spark)}/cells-{uuid.uuid4().hex}"
+    found = event_cells(spark, sf_dir)
+    found.repartition(8, "entry_id").write.parquet(f"{at}/cells")
+    stream = spark.readStream.schema(found.schema).option("maxFilesPerTrigger", 3).parquet(f"{at}/cells")
+    clean, counters = SnapshotTable(spark, f"{at}/clean"), CommitLog(spark, f"{at}/counters")
+    text = lambda rows: rows.withColumn("rowkey", F.col("rowkey").cast("string"))
+    run = ingest_cells(stream, ["value", "props"], f"{at}/raw", clean, f"{at}/state", counters, ["rowkey"], ["_event_ts", "entry_id"], ["m"], shape=text)
+    run.awaitTermination()
+    return clean, counters
+
+
+@query(f"""SELECT CAST(strftime(make_timestamp(_event_ts * 1000), '%Y%m%d') AS INTEGER) AS part, rowkey, arg_max(value, row(_event_ts, entry_id)) AS value, arg_max(props, row(_event_ts, entry_id)) AS props
+FROM ({ROWS} FROM ({CELLS}) GROUP BY 1, 2 HAVING bool_or(family = 'm')) GROUP BY 1, 2""")
+def stream_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells as a stream, put together to rows, filtered by family, published by day."""
+    clean, _ = _cell_stream(spark, sf_dir)
+    return clean.read().select("part", "rowkey", "value", "props")
+
+
+@query(f"""SELECT CAST(sum(_cells_total) AS BIGINT) AS cells, count(*) AS rows, count(*) FILTER (NOT sent) AS filtered_rows, count(*) FILTER (_delete) AS deletes
+FROM ({ROWS}, bool_or(family = 'm') AS sent FROM ({CELLS}) GROUP BY 1, 2)""")
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the same stream counted while it wrote."""
+    _, counters = _cell_stream(spark, sf_dir)
+    return counted(spark, counters).agg(*(F.sum(c).alias(c) for c in ["cells", "rows", "filtered_rows", "deletes"]))
