@@ -7,13 +7,15 @@ that table alone, opens the leaves it touches, re-encodes the pre-tokens that ca
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.column import Column
 
-from driftline.llm.bpe import SLICE, Bpe, Encoder, encoder
+from driftline.llm.bpe import CACHE, CACHED_CHARS, SLICE, Bpe, Encoder, byte_chars
 from driftline.llm.common import unused
 
 #: Pre-tokens in a leaf when the tree is built.
@@ -37,16 +39,55 @@ def unpack(packed: bytes) -> list[int]:
     return np.frombuffer(packed, "<u4", offset=1).tolist() if packed[:1] == b"\0" else list(packed)
 
 
+class Vocabulary(Bpe):
+    """The vocabulary with the text of its file, of which a worker makes the library's model."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        self.spec = Path(path).read_text("utf-8")
+
+
+class Counter(Encoder):
+    """Cuts texts as the encoder does; a pre-token that was not met before is counted by the library's model."""
+
+    def __init__(self, bpe: Vocabulary) -> None:
+        super().__init__(bpe)
+        model, char = tokenizers.Tokenizer.from_str(bpe.spec).model, {b: c for c, b in byte_chars().items()}
+
+        class Counts(dict):
+            def __missing__(self, text: str) -> int:
+                n = 1 if text in bpe.special else len(model.tokenize(text.encode().decode("latin-1").translate(char)))
+                if len(text) <= CACHED_CHARS:
+                    if len(self) >= CACHE:
+                        self.clear()
+                    self[text] = n
+                return n
+
+        self.counts = Counts()
+
+
+_COUNTERS: dict[int, Counter] = {}
+
+
+def counter(shared) -> Counter:
+    """The counter of this Python worker for a broadcast vocabulary."""
+    key = id(shared.value)
+    if key not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[key] = Counter(shared.value)
+    return _COUNTERS[key]
+
+
 class CountTree:
     """Leaves hold runs of pre-tokens with their counts; inner nodes hold sums of characters and tokens."""
 
-    def __init__(self, text: str, enc: Encoder) -> None:
+    def __init__(self, text: str, enc: Counter) -> None:
         self._use(enc)
         pieces = self._split(text)
         self._plant(*self._deal(pieces, list(map(self.count, pieces)), -(-len(pieces) // LEAF)))
 
     @classmethod
-    def kept(cls, enc: Encoder, chars: list[int], tokens: list[int], leaves: list[int], stored: tuple[pa.Array, ...]) -> CountTree:
+    def kept(cls, enc: Counter, chars: list[int], tokens: list[int], leaves: list[int], stored: tuple[pa.Array, ...]) -> CountTree:
         """A tree from its table: `leaves` are places in the stored columns of leaves, read when an edit touches them."""
         tree = cls.__new__(cls)
         tree._use(enc)
@@ -54,7 +95,7 @@ class CountTree:
         tree.width = len(chars) // 2
         return tree
 
-    def _use(self, enc: Encoder) -> None:
+    def _use(self, enc: Counter) -> None:
         self.enc, self.count = enc, enc.counts.__getitem__
         self.reencoded, self.opened = 0, 0
         #: A pre-token depends on its own characters and two after it; a special token on its length.
@@ -223,12 +264,12 @@ def build(spark: SparkSession, docs: DataFrame, tokenizer_path: str, text: str =
     A null text counts as empty and has a tree of one empty leaf. Repeated rows and null keys have a tree each; other
     columns pass unchanged, an existing column named `tree` is replaced. A text of any length is one row, as in docs.
     """
-    shared = spark.sparkContext.broadcast(Bpe(tokenizer_path))
+    shared = spark.sparkContext.broadcast(Vocabulary(tokenizer_path))
     rest = docs.drop(tree, text)
     whole = docs.select(*(docs[c] for c in rest.columns), docs[text].alias(unused(rest, "text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(shared)
+        enc = counter(shared)
         for b in _slices(batches):
             trees = [CountTree(t or "", enc) for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], _table(trees)], [*b.schema.names[:-1], tree])
@@ -252,14 +293,14 @@ def edit(
     clipped to it. n_reencoded counts the pre-tokens encoded again; all other counts come from the kept leaves and sums.
     Without `grown` the new trees are left out. A row whose tree is null gives null counts.
     """
-    shared = spark.sparkContext.broadcast(Bpe(tokenizer_path))
+    shared = spark.sparkContext.broadcast(Vocabulary(tokenizer_path))
     rest = trees.drop(edits, tree, counted)
     rows = trees.select(*(trees[c] for c in rest.columns), trees[edits].alias("edits"), trees[tree].alias("tree"))
     counts_type = T._parse_datatype_string(COUNTS_TYPE)
     fields = [*rest.schema.fields, *([trees.schema[tree]] if grown else []), T.StructField(counted, counts_type)]
     names = [f.name for f in fields]
 
-    def after(b: pa.RecordBatch, enc: Encoder) -> list[CountTree | None]:
+    def after(b: pa.RecordBatch, enc: Counter) -> list[CountTree | None]:
         column = b.column(b.num_columns - 1)
         chars, tokens, leaves = (column.field(name) for name in ("chars", "tokens", "leaves"))
         stored, ends = tuple(leaves.values.field(k) for k in range(3)), leaves.offsets.to_pylist()
@@ -277,7 +318,7 @@ def edit(
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(shared)
+        enc = counter(shared)
         for b in _slices(batches):
             done = after(b, enc)
             kind = pa.struct([(f.name, pa.int64()) for f in counts_type.fields])

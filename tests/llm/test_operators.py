@@ -81,7 +81,7 @@ def changed(text, changes):
 
 def test_edit_counts():
     """Random edits against the library, with leaves that grow, shrink and empty."""
-    t, e, rnd = Tokenizer.from_file(PATH), bpe.Encoder(bpe.Bpe(PATH)), random.Random(2)
+    t, e, rnd = Tokenizer.from_file(PATH), edit_counts.Counter(edit_counts.Vocabulary(PATH)), random.Random(2)
     parts = ["a", "'s", " ", "  ", "\n", "é", "<|endoftext|>", "<|endo", "12", "!?", "word "]
     for k in range(300):
         tree = edit_counts.CountTree("".join(rnd.choice(parts) for _ in range(rnd.randrange(900 if k % 3 else 60))), e)
@@ -96,7 +96,7 @@ def test_edit_counts():
 
 def test_edits_stay_local():
     """An edit of a long text opens a few leaves and encodes a few pre-tokens; one over a huge pre-token ends soon."""
-    t, e = Tokenizer.from_file(PATH), bpe.Encoder(bpe.Bpe(PATH))
+    t, e = Tokenizer.from_file(PATH), edit_counts.Counter(edit_counts.Vocabulary(PATH))
     tree = edit_counts.CountTree("some plain words in a row, " * 20000, e)
     tree.edit(270_003, 4, "new")
     assert tree.opened <= 3 and tree.reencoded <= 12
