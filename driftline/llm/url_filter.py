@@ -16,7 +16,7 @@ from driftline.llm.common import constant
 RULES = (
     ("com", "/en/", "block"),
     ("example.com", "/en/7", "allow"),
-    ("net", "/de/", "block"),
+    ("net", "/de/", "allow"),
     ("example.net", "/de/8", "block"),
     ("org", "/es/", "block"),
 )
