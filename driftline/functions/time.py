@@ -105,17 +105,27 @@ def _inner_bounds(lo: Column, hi: Column, minutes: int, grid: str) -> Column:
     return F.filter(F.concat(run(first, next_day + us), F.flatten(F.transform(days, of_day))), lambda p: p < hi)
 
 
-def slices_of(windows: DataFrame, minutes: int, grid: str = "start", since: str = "since", until: str = "until") -> DataFrame:
+def _dealt(windows: DataFrame) -> DataFrame:
+    """windows over as many tasks as a shuffle has: a table of few bytes is left in one task, but each window makes many rows."""
+    return windows.repartition(int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def slices_of(windows: DataFrame, minutes: int, grid: str = "start", since: str = "since", until: str = "until", earlier: int = 0) -> DataFrame:
     """windows, a row for each slice of [since, until) with its start and end (timestamps without zone).
 
     grid "start": equal steps from since. "floor": bounds are multiples of the step from the midnight before since.
     "ceil": a slice ends at the next multiple of the step in its own day (at the next day's minutes where it passes
     midnight; from there the next multiple counts again), and a since on a multiple with seconds keeps these seconds
     until a bound is off the grid. The last slice is clipped. minutes <= 0 gives one slice; an empty or null window none.
+    The first slice of each window begins `earlier` minutes before since, to read late rows again.
     """
+    return _slices_of(_dealt(windows), minutes, grid, since, until, earlier)
+
+
+def _slices_of(windows: DataFrame, minutes: int, grid: str, since: str = "since", until: str = "until", earlier: int = 0) -> DataFrame:
     lo, hi = epoch_us(F.col(since)), epoch_us(F.col(until))
     inner = _inner_bounds(lo, hi, minutes, grid)
-    pairs = F.arrays_zip(F.concat(F.array(lo), inner).alias("a"), F.concat(inner, F.array(hi)).alias("b"))
+    pairs = F.arrays_zip(F.concat(F.array(lo - F.lit(earlier * MINUTE)), inner).alias("a"), F.concat(inner, F.array(hi)).alias("b"))
     rows = windows.where(F.col(since) < F.col(until)).select("*", F.explode(pairs).alias("_slice"))
     return rows.select(*windows.columns, from_epoch_us(F.col("_slice.a")).alias("start"), from_epoch_us(F.col("_slice.b")).alias("end"))
 
@@ -126,12 +136,12 @@ def _one_window(spark: SparkSession, since: str, until: str) -> DataFrame:
 
 def slices(spark: SparkSession, since: str, until: str, minutes: int, grid: bool = False) -> DataFrame:
     """start, end of the slices of one window, from since or (with grid) at multiples of the step from midnight; see slices_of()."""
-    return slices_of(_one_window(spark, since, until), minutes, "floor" if grid else "start").select("start", "end")
+    return _slices_of(_one_window(spark, since, until), minutes, "floor" if grid else "start").select("start", "end")
 
 
 def ceil_slices(spark: SparkSession, since: str, until: str, minutes: int) -> DataFrame:
     """start, end of the slices of one window that end on a grid; see slices_of()."""
-    return slices_of(_one_window(spark, since, until), minutes, "ceil").select("start", "end")
+    return _slices_of(_one_window(spark, since, until), minutes, "ceil").select("start", "end")
 
 
 def overlapped(slices: DataFrame, minutes: int, of: list[str] = ()) -> DataFrame:
@@ -144,6 +154,10 @@ def overlapped(slices: DataFrame, minutes: int, of: list[str] = ()) -> DataFrame
 
 def days_of(windows: DataFrame, zone: str, since: str = "since", until: str = "until") -> DataFrame:
     """windows, a row for each local day that [since, until) touches, with its part."""
+    return _days_of(_dealt(windows), zone, since, until)
+
+
+def _days_of(windows: DataFrame, zone: str, since: str = "since", until: str = "until") -> DataFrame:
     days = F.sequence(local_date(F.col(since), zone), local_date(F.col(until) - F.make_dt_interval(secs=F.lit(0.001)), zone))
     rows = windows.where(F.col(since) < F.col(until)).select("*", F.explode(days).alias("_day"))
     return rows.select(*windows.columns, part_of(F.col("_day")).alias("part"))
@@ -151,4 +165,4 @@ def days_of(windows: DataFrame, zone: str, since: str = "since", until: str = "u
 
 def days_between(spark: SparkSession, since: str, until: str, zone: str) -> DataFrame:
     """part of each local day that one window touches."""
-    return days_of(_one_window(spark, since, until), zone).select("part")
+    return _days_of(_one_window(spark, since, until), zone).select("part")

@@ -60,7 +60,7 @@ def grid_any_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT user_id, CASE WHEN start = min(start) OVER (PARTITION BY user_id) THEN start - INTERVAL 5 MINUTES ELSE start END AS start, \"end\" FROM ({ceil_sql(60)})")
 def slice_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the first slice of a window begins earlier."""
-    return time.overlapped(time.slices_of(windows(spark, sf_dir), 60, "ceil").select("user_id", "start", "end"), 5, ["user_id"])
+    return time.slices_of(windows(spark, sf_dir), 60, "ceil", earlier=5).select("user_id", "start", "end")
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.functions import time
+from driftline.plans.everything import QUERIES
 from driftline.sources import sliced
 
 LO = [datetime(2024, 1, 1, 23, 50), datetime(2024, 1, 1, 1, 10, 30), datetime(2024, 1, 1, 1, 0, 30, 5), datetime(2024, 1, 1), datetime(2023, 12, 31, 23, 59, 59)]
@@ -34,6 +35,23 @@ def test_grids_begin_at_midnight(spark):
     assert time.slices_of(empty, 5, "ceil").count() == 0
 
 
+def test_slices_of_grouped_windows_are_made_in_several_tasks(spark):
+    """A table of few windows is left in one task by Spark; its slices are not, and nothing behind them gathers them again."""
+    query = QUERIES["slice_overlap"](spark, "/root/testdata/sf0.01")
+    rows = query.groupBy(F.spark_partition_id()).count().collect()
+    assert len(rows) == 4 and max(r["count"] for r in rows) < 0.5 * sum(r["count"] for r in rows)
+    plan = query._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("grid", ["start", "floor", "ceil"])
+def test_the_first_slice_of_each_window_begins_earlier(spark, grid):
+    windows = spark.createDataFrame([(k, lo, lo + timedelta(hours=k)) for k, lo in enumerate(LO)], "k int, since timestamp_ntz, until timestamp_ntz")
+    got = time.slices_of(windows, 60, grid, earlier=5).select("k", "start", "end").collect()
+    assert sorted(got) == sorted(time.overlapped(time.slices_of(windows, 60, grid).select("k", "start", "end"), 5, ["k"]).collect())
+    assert {r.k: r.end for r in got if r.start == LO[r.k] - timedelta(minutes=5)}.keys() == set(range(1, len(LO)))
+
+
 def refusing(most: timedelta, fails: int = 0):
     tried = []
 
