@@ -93,5 +93,6 @@ def avro_rows(messages: DataFrame, column: str, schema: dict, millis: list[str]
 
         return pa.array([one(f) for f in frames.to_pylist()], arrow)
 
-    rows = messages.select(run(F.col(column)).alias("r")).where(F.col("r").isNotNull())
+    # Not deterministic for Spark: else it decodes each message once for the filter and again for the columns.
+    rows = messages.select(run.asNondeterministic()(F.col(column)).alias("r")).where(F.col("r").isNotNull())
     return timed(rows.select("r.*"), list(millis))
