@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import tempfile
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import sentencepiece
 from pyspark.sql import Row
 from tokenizers import Tokenizer
@@ -246,3 +249,18 @@ def test_words_with_marks_behind_are_taken_apart():
     got = np.frombuffer(encoder.ids(text), encoder.kind).tolist()
     assert got == Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids
     assert whole == ["&&&", "$$$", "###", ".***", "<>", "|#", "don't&&", "12%%", "a<\u0338"]
+
+
+def test_pre_tokens_of_one_plane_are_the_pattern_s():
+    """Every character of the plane alone and among others, and texts beyond it; the regex library is asked for these only."""
+    find, want, rnd = alignment._splitter(), regex.compile(alignment._PATTERN).findall, random.Random(3)
+    plane = [chr(k) for k in range(0x10000)]
+    often = ["", " ", "'s", "'", "\n", "\x1c", "\x85", "\xa0", "\u3000", "a", "É", "1", "٣", "$", "\u0301", "😀", "𝒳"]
+    texts = ["".join(plane), " ".join(plane), "a".join(plane), *("".join(rnd.choice(often if rnd.random() < 0.7 else plane) for _ in range(rnd.randrange(20))) for _ in range(5000))]
+    assert all(find(t) == want(t) for t in texts)
+    asked = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(alignment.regex, "compile", lambda p: SimpleNamespace(findall=lambda t: asked.append(t) or []))
+        find = alignment._splitter()
+    assert find(texts[1]) == want(texts[1]) and not asked
+    assert find("😀") == [] and asked == ["😀"]
