@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import sentencepiece
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
@@ -28,7 +29,9 @@ from driftline.llm.bpe import _PATTERN, byte_chars
 from driftline.llm.common import cut, portions
 
 #: Characters of text whose pairs are counted together before they leave a task.
-BLOCK = 1 << 22
+BLOCK = 1 << 21
+#: Bytes of blocks that Spark writes, and so reads, at once; left to itself it gathers 100 blocks before it looks.
+GATHERED = 1 << 22
 #: Characters of text that are joined in DuckDB at once; a longer text is a portion of its own.
 PORTION = 1 << 18
 #: Pre-tokens that a worker remembers in a generation, and the longest of them.
@@ -232,15 +235,28 @@ class _Pairs:
     """Numbers for the pairs of a block and how often each is linked."""
 
     def __init__(self) -> None:
-        self.keys, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.links: list[np.ndarray] = []
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
         self.links.append(a.astype(np.int64) << 32 | b)
 
     def close(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
-        keys, places, n = np.unique(np.concatenate(self.links) if self.links else np.zeros(0, np.int64), return_inverse=True, return_counts=True)
-        return (keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32), n, places.astype(np.int32).tobytes()
+        places, keys = pd.factorize(np.concatenate(self.links) if self.links else np.zeros(0, np.int64))
+        n = np.bincount(places, minlength=len(keys))
+        return (keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32), n, _packed(places, len(keys))
+
+
+def _kind(n: int) -> type:
+    """The numbers that n places need."""
+    return np.uint16 if n <= 1 << 16 else np.int32
+
+
+def _packed(places: np.ndarray, n: int) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(places.astype(_kind(n)))
+
+
+def _places(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), _kind(n))
 
 
 def blocks(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -298,7 +314,7 @@ def align(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str, key: s
     tokens: zeros and ''. Null keys stay null; repeated rows count each; an empty table gives no rows; other columns
     are ignored. A block goes back to its documents with the counts of its own distinct pairs only.
     """
-    found = cut(blocks(spark, docs, a_path, b_path, key, text))
+    found = cut(blocks(spark, docs, a_path, b_path, key, text), GATHERED)
     counts = cut(pair_counts(found))
     places = found.select("block", F.posexplode(F.arrays_zip("pair_a", "pair_b")).alias("at", "p")).select("block", "at", F.col("p.pair_a").alias("a"), F.col("p.pair_b").alias("b"))
     known = places.join(counts, ["a", "b"]).select(F.col("block").alias("of"), "at", "count", "best")
@@ -307,7 +323,7 @@ def align(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str, key: s
     def run(block: pa.Table, pairs: pa.Table) -> pa.Table:
         _ALIGNERS.clear()  # what this worker has tokenized with before is not needed any more
         flat = {c: block.column(c).combine_chunks().flatten() for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
-        links, sizes = np.frombuffer(block.column("links")[0].as_py(), np.int32), flat["n_links"].to_numpy()
+        links, sizes = _places(block.column("links")[0].as_py(), pairs.num_rows), flat["n_links"].to_numpy()
         ends, at = np.append(0, np.cumsum(sizes)), pairs["at"].to_numpy()
 
         def total(column: str) -> pa.Array:

@@ -54,10 +54,15 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the shared folder as Parquet and read again: what builds on it survives lost executors without recomputing it."""
+def cut(df: DataFrame, gathered: int | None = None) -> DataFrame:
+    """df written to the shared folder as Parquet and read again: what builds on it survives lost executors without recomputing it.
+
+    For large rows: `gathered` is about how many bytes make a row group, which is held in memory whole; its size is
+    looked at after each row, not after 100.
+    """
     path = f"{shared_folder(df.sparkSession)}/driftline-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    often = {"parquet.block.size": gathered, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 1}
+    df.write.options(**(often if gathered else {})).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out

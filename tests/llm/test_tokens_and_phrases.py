@@ -7,14 +7,16 @@ import random
 import tempfile
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import regex
 import sentencepiece
-from pyspark.sql import Row
+from pyspark.sql import Row, functions as F
 from tokenizers import Tokenizer
 
 from driftline.llm import alignment, collocations, queries, repair, token_files
@@ -174,6 +176,33 @@ def test_alignment_of_whole_documents(spark, sf_dir):
     assert alignment.align(spark, frame(spark, []), BYTES, PIECES).count() == 0
 
 
+def test_blocks_are_written_in_small_pieces(spark, monkeypatch):
+    """A task's blocks are no single row group, which would be read whole, and a link takes less than two bytes."""
+    monkeypatch.setattr(alignment, "BLOCK", 20_000)
+    monkeypatch.setattr(alignment, "GATHERED", 1 << 15, raising=False)
+    kept, cut = [], alignment.cut
+    monkeypatch.setattr(alignment, "cut", lambda *a: kept.append(cut(*a)) or kept[-1])
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300).coalesce(1)
+    got = alignment.align(spark, docs, BYTES, PIECES).collect()
+    files = [pq.ParquetFile(p).metadata for p in Path(kept[0].cut_path.removeprefix("file:")).glob("*.parquet")]
+    sizes = [m.row_group(g).total_byte_size for m in files for g in range(m.num_row_groups)]
+    assert len(got) == 300 and sum(m.num_rows for m in files) > 20
+    assert len(sizes) > 5 and max(sizes) < 1 << 17
+    assert kept[0].agg(F.sum(F.length("links"))).first()[0] < 2 * sum(r.n_links for r in got)
+
+
+@pytest.mark.parametrize("n", [0, 1, 1 << 16, (1 << 16) + 1])
+def test_places_of_any_number_of_pairs(n):
+    keys, pairs = np.random.default_rng(n).permutation(n), alignment._Pairs()
+    keys = np.concatenate([keys, keys[: n // 3]])
+    for half in (keys[: n // 2], keys[n // 2 :]):
+        pairs.add((half + 7).astype(np.int32), (half % 1000).astype(np.int32))
+    a, b, count, packed = pairs.close()
+    places = alignment._places(packed, len(a))
+    assert len(a) == n and (a[places] == keys + 7).all() and (b[places] == keys % 1000).all()
+    assert (np.bincount(places, minlength=n) == count).all()
+
+
 def test_overlaps_share_their_bytes(spark):
     docs = frame(spark, [(4, "héllo wörld", None, 0, "", 0, 0), (None, "日本 a", None, 0, "", 0, 0), (6, None, None, 0, "", 0, 0)])
     got = alignment.overlaps(spark, docs, BYTES, PIECES).collect()
