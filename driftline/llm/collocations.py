@@ -9,13 +9,14 @@ cuts, and the two pointers say which shorter phrases a phrase contains.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from driftline.llm.common import cut, spent
@@ -26,10 +27,12 @@ LONGEST, LEAST, SHARE, TOP = 4, 30, 80, 2000
 BREAKS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 #: Bits of the filter of frequent names: its size whatever the corpus; a fuller one only lets more candidates through.
 FILTER_BITS = 1 << 27
-#: Names of one part of the counts, about, and names that a task gathers before it sends them.
-PART, GATHERED = 1 << 22, 1 << 21
-#: Characters whose phrases are counted together before they leave a task.
-BLOCK = 1 << 22
+#: Names of one part of the counts, about, names that a task gathers before it sends them, and names that it sends at once.
+PART, GATHERED, SENT = 1 << 21, 1 << 21, 1 << 18
+#: Bytes of text of one language whose phrases are counted together before they leave a task; of all languages, a task holds OPEN times as many.
+BLOCK, OPEN = 1 << 22, 4
+#: Bytes of blocks that Spark writes, and so reads, at once; left to itself it gathers 100 blocks before it looks.
+WRITTEN = 1 << 22
 
 #: Rows that are taken out of an Arrow batch at once.
 SLICE = 256
@@ -39,59 +42,75 @@ _PLAIN = bytes.maketrans(BREAKS + GAPS, b"\n" * len(BREAKS) + b" " * len(GAPS))
 
 
 class _Places(dict):
-    """The distinct words of one language in a block; a new one takes the next place of the block."""
+    """The distinct words of a block; a new one takes the next place."""
 
-    def __init__(self, lang: str, words: list[str], langs: list[str]) -> None:
+    def __init__(self) -> None:
         super().__init__({b"\n": -1, b"": -2})
-        self.lang, self.words, self.langs = lang, words, langs
 
     def __missing__(self, word: bytes) -> int:
-        place = self[word] = len(self.words)
-        self.words.append(word.decode())
-        self.langs.append(self.lang)
+        place = self[word] = len(self) - 2
         return place
 
 
 class Block:
-    """The words of some texts as places in the list of distinct ones; -1 where a piece or a text ends."""
+    """The words of some texts of one language as places in the list of distinct ones; -1 where a piece or a text ends."""
 
     def __init__(self) -> None:
-        self.words: list[str] = []
-        self.langs: list[str] = []
-        self.of: dict[str, _Places] = {}
-        self.places: list[int] = []
+        self.known, self.places, self.size = _Places(), array("i"), 0
 
-    def add(self, lang: str, text: str) -> None:
-        known = self.of.get(lang) or self.of.setdefault(lang, _Places(lang, self.words, self.langs))
+    def add(self, text: str) -> int:
+        """The bytes that the block has more now."""
         plain = text.encode().lower().translate(_PLAIN)  # lower() of bytes is A-Z only
-        self.places.extend(map(known.__getitem__, plain.replace(b"\n", b" \n ").split(b" ")))
+        self.places.extend(map(self.known.__getitem__, plain.replace(b"\n", b" \n ").split(b" ")))
         self.places.append(-1)
+        self.size += len(plain) + 1
+        return len(plain) + 1
+
+    def row(self, lang: str, salt: int) -> pa.RecordBatch:
+        words, index = list(self.known)[2:], np.frombuffer(self.places, np.int32)
+        index = index[index > -2]
+        counts = np.bincount(index[index >= 0], minlength=len(words))
+        names = np.stack(word_names([lang], words, salt)).tobytes()
+        cells = [pa.array([lang]), pa.ListArray.from_arrays([0, len(words)], pa.array(words, pa.binary()).cast(pa.string())), pa.array([counts], pa.list_(pa.int64())), pa.array([names], pa.binary()), pa.array([_packed(index, len(words))], pa.binary())]
+        return pa.RecordBatch.from_arrays(cells, ["lang", "words", "counts", "names", "index"])
+
+
+def _kind(n: int) -> type:
+    """The numbers that n places and -1 need, one up."""
+    return np.uint16 if n < 1 << 16 else np.uint32
+
+
+def _packed(index: np.ndarray, n: int) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress((index + 1).astype(_kind(n)))
+
 
-    def index(self) -> np.ndarray:
-        found = np.array(self.places, np.int32)
-        return found[found > -2]
+def _index(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), _kind(n)).astype(np.int32) - 1
 
 
-def blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """langs, words, counts (of the distinct words of a block of texts) and index, the texts as places in them."""
+def blocks(docs: DataFrame, salt: int = 0, text: str = "text", lang: str = "lang") -> DataFrame:
+    """lang, words, counts and names (of the distinct words of a block of texts of one language) and index, the texts as places in them, packed."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened: dict[str, Block] = {}
+        held = 0
         for b in batches:
-            ends = np.cumsum(pc.binary_length(b.column(1)).to_numpy()) // BLOCK
-            first = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), b.num_rows]
-            for k, end in zip(first, first[1:], strict=False):
-                block = Block()
-                for at in range(k, end, SLICE):
-                    part = b.slice(at, min(SLICE, end - at))
-                    for name, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                        block.add(name, t)
-                index = block.index()
-                counts = np.bincount(index[index >= 0], minlength=len(block.words))
-                cells = [pa.array([v], t) for v, t in ((block.langs, _TEXTS), (block.words, _TEXTS), (counts, pa.list_(pa.int64())), (index.tobytes(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays(cells, ["langs", "words", "counts", "index"])
-
-    return rows.mapInArrow(run, "langs array<string>, words array<string>, counts array<long>, index binary")
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                for name, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    block = opened.get(name) or opened.setdefault(name, Block())
+                    held += block.add(t)
+                    if block.size >= BLOCK or held >= OPEN * BLOCK:
+                        largest = max(opened, key=lambda x: opened[x].size)
+                        block = opened.pop(largest)
+                        held -= block.size
+                        yield block.row(largest, salt)
+        while opened:
+            name, block = opened.popitem()
+            yield block.row(name, salt)
+
+    return rows.mapInArrow(run, "lang string, words array<string>, counts array<long>, names binary, index binary")
 
 
 def _mixed(hi: np.ndarray, lo: np.ndarray, hi2: np.ndarray, lo2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,9 +126,10 @@ def _mixed(hi: np.ndarray, lo: np.ndarray, hi2: np.ndarray, lo2: np.ndarray) ->
     return rounds(a + b * np.uint64(3)), rounds(b ^ (a * np.uint64(0x165667B19E3779F9)))
 
 
-def word_names(langs: list[str], words: list[str], salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """The names of words, in two halves."""
-    named = [xxhash.xxh3_128_digest(f"{len(lang)} {lang}{w}".encode(), salt) for lang, w in zip(langs, words, strict=True)]
+def word_names(langs: list[str], words: list[bytes], salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """The names of words, in two halves; one language for all of them, or one each."""
+    before = {lang: f"{len(lang)} {lang}".encode() for lang in set(langs)}
+    named = [xxhash.xxh3_128_digest(before[lang] + w, salt) for lang, w in zip(langs * len(words) if len(langs) == 1 else langs, words, strict=True)]
     both = np.frombuffer(b"".join(named), np.uint64).reshape(-1, 2)
     return both[:, 0].copy(), both[:, 1].copy()
 
@@ -170,22 +190,22 @@ class _Level:
         return _Level(*_mixed(*self._halves(found)), index)
 
 
-def _levels(found: DataFrame, filters: list, salt: int, emit, schema: str) -> DataFrame:
+def _levels(found: DataFrame, filters: list, emit, schema: str) -> DataFrame:
     """What `emit` makes of the blocks of a task, named up to the level of the last filter; names that a filter lacks end a run.
 
-    A block holds its distinct words, so naming again is a hash for each of them and a sort of numbers for each level.
+    A block holds the names of its words, so naming again is a sort of numbers for each level.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[_Level]:
         for b in batches:
             for k in range(b.num_rows):
-                langs, words, packed = (b.column(c)[k].as_py() for c in range(3))
-                level = _Level(*word_names(langs, words, salt), np.frombuffer(packed, np.int32)).without(filters[0].value)
+                hi, lo = np.frombuffer(b.column(0)[k].as_py(), np.uint64).reshape(2, -1)
+                level = _Level(hi, lo, _index(b.column(1)[k].as_py(), len(lo))).without(filters[0].value)
                 for frequent in filters[1:]:
                     level = level.above().without(frequent.value)
                 yield level
 
-    return found.select("langs", "words", "index").mapInArrow(lambda batches: emit(each(batches)), schema)
+    return found.select("names", "index").mapInArrow(lambda batches: emit(each(batches)), schema)
 
 
 def _merged(names: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +217,7 @@ def _merged(names: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return names[begins], np.add.reduceat(counts[order], begins) if len(begins) else counts
 
 
-def _sketch(found: DataFrame, filters: list, salt: int, least: int, parts: int) -> DataFrame:
+def _sketch(found: DataFrame, filters: list, least: int, parts: int) -> DataFrame:
     """lo of the pairs of names that occur `least` times or share their lo with others so that together they do.
 
     Names are sent in packed parts, by their first bits, so that a part is some PART of them whatever the corpus; a
@@ -207,13 +227,15 @@ def _sketch(found: DataFrame, filters: list, salt: int, least: int, parts: int)
     def emit(levels: Iterator[_Level]) -> Iterator[pa.RecordBatch]:
         names, counts, n = [], [], 0
 
-        def packed() -> pa.RecordBatch:
-            lo, of = _merged(names, counts)
-            part = ((lo >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            first = np.flatnonzero(np.diff(part, prepend=-1))
-            edges = [*first.tolist(), len(part)]
-            cells = [pa.array(part[first]), *(pa.array([v[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()) for v in (lo, of.astype(np.int32)))]
-            return pa.RecordBatch.from_arrays(cells, ["part", "names", "counts"])
+        def packed() -> Iterator[pa.RecordBatch]:
+            every, sums = _merged(names, counts)
+            for at in range(0, len(every), SENT):  # a part may go in two rows
+                lo, of = every[at : at + SENT], sums[at : at + SENT]
+                part = ((lo >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+                first = np.flatnonzero(np.diff(part, prepend=-1))
+                edges = [*first.tolist(), len(part)]
+                cells = [pa.array(part[first]), *(pa.array([v[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()) for v in (lo, of.astype(np.int32)))]
+                yield pa.RecordBatch.from_arrays(cells, ["part", "names", "counts"])
 
         for level in levels:
             halves, k = level.pairs()
@@ -221,17 +243,17 @@ def _sketch(found: DataFrame, filters: list, salt: int, least: int, parts: int)
             counts.append(k)
             n += len(k)
             if n > GATHERED:
-                yield packed()
+                yield from packed()
                 names, counts, n = [], [], 0
         if n:
-            yield packed()
+            yield from packed()
 
     def merge(rows: pa.Table) -> pa.Table:
         names = [np.frombuffer(v, np.uint64) for v in rows["names"].to_pylist()]
         lo, n = _merged(names, [np.frombuffer(v, np.int32).astype(np.int64) for v in rows["counts"].to_pylist()])
         return pa.table({"lo": lo[n >= least].view(np.int64)})
 
-    sent = _levels(found, filters, salt, emit, "part long, names binary, counts binary")
+    sent = _levels(found, filters, emit, "part long, names binary, counts binary")
     return sent.groupBy("part").applyInArrow(merge, "lo long")
 
 
@@ -253,21 +275,21 @@ def _words(found: DataFrame, salt: int) -> DataFrame:
 
     @F.pandas_udf("hi long, lo long")
     def name(langs: pd.Series, words: pd.Series) -> pd.DataFrame:
-        hi, lo = word_names(list(langs), list(words), salt)
+        hi, lo = word_names(list(langs), [w.encode() for w in words], salt)
         return pd.DataFrame({"hi": hi.view(np.int64), "lo": lo.view(np.int64)})
 
-    each = found.select(F.explode(F.arrays_zip("langs", "words", "counts")).alias("w")).select("w.*")
-    counted = each.groupBy(F.col("langs").alias("lang"), F.col("words").alias("phrase")).agg(F.sum("counts").alias("a"))
+    each = found.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", "w.*")
+    counted = each.groupBy("lang", F.col("words").alias("phrase")).agg(F.sum("counts").alias("a"))
     return counted.withColumn("name", name("lang", "phrase")).select("lang", "phrase", "a", "name.*")
 
 
-def _pairs(found: DataFrame, filters: list, salt: int, least: int, parts: int) -> DataFrame:
+def _pairs(found: DataFrame, filters: list, least: int, parts: int) -> DataFrame:
     """left_hi, left_lo, right_hi, right_lo, a, hi, lo: the frequent pairs of names of the level below.
 
     First counts of 64 bits of each name, which are never too small, say which pairs may be frequent; those alone are
     counted by both halves. Every pair that a later level may see is among them, so that a name shared by two is found.
     """
-    may = cut(_sketch(found, filters, salt, least, parts))
+    may = cut(_sketch(found, filters, least, parts))
     frequent = _shared(may)
 
     def emit(levels: Iterator[_Level]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +305,7 @@ def _pairs(found: DataFrame, filters: list, salt: int, least: int, parts: int) -
         hi, lo = _mixed(*(np.ascontiguousarray(x.to_numpy(), np.int64).view(np.uint64) for x in (a, b, c, d)))
         return pd.DataFrame({"hi": hi.view(np.int64), "lo": lo.view(np.int64)})
 
-    counted = _levels(found, filters, salt, emit, ", ".join(f"{c} long" for c in (*halves, "n"))).groupBy(*halves).agg(F.sum("n").alias("a"))
+    counted = _levels(found, filters, emit, ", ".join(f"{c} long" for c in (*halves, "n"))).groupBy(*halves).agg(F.sum("n").alias("a"))
     named = cut(counted.withColumn("name", name(*halves)).select(*halves, "a", "name.*"))
     spent(may)
     frequent.unpersist()
@@ -314,12 +336,12 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", longest: in
     to a longer one, the pairs that point to it tell. Null texts count as empty, a null language is `und`; repeated
     rows count each; texts without words and empty tables give nothing. Other columns are ignored.
     """
-    found = cut(blocks(docs, text, lang))
     for salt in range(8):
+        found = cut(blocks(docs, salt, text, lang), WRITTEN)
         try:
             return _phrases(found, salt, longest, least, share)
         except Clash:
-            continue
+            spent(found)
     raise Clash("eight salts in a row")
 
 
@@ -331,7 +353,7 @@ def _phrases(found: DataFrame, salt: int, longest: int, least: int, share: int)
     filters = [_shared(first.select("lo"))]
     tables = [first.select("hi", "lo", "lang", "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails"))]
     for _ in range(2, longest + 1):
-        tables.append(cut(_table(_pairs(found, filters, salt, least, parts), tables[-1])))
+        tables.append(cut(_table(_pairs(found, filters, least, parts), tables[-1])))
         filters.append(_shared(tables[-1].select("lo")))
     out = []
     for k, level in enumerate(tables[1:], 1):

@@ -253,6 +253,34 @@ def test_phrases_of_small_blocks_and_parts(spark, sf_dir, monkeypatch):
     assert sorted(map(tuple, collocations.best(docs, top=500).collect())) == whole
 
 
+def test_blocks_of_words_are_written_in_small_pieces(spark, monkeypatch):
+    """A task's blocks are no single row group, which would be read whole, and a place takes about two bytes at most."""
+    monkeypatch.setattr(collocations, "BLOCK", 20_000)
+    monkeypatch.setattr(collocations, "WRITTEN", 1 << 15, raising=False)
+    kept, cut = [], collocations.cut
+    monkeypatch.setattr(collocations, "cut", lambda *a: kept.append(cut(*a)) or kept[-1])
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300).coalesce(1)
+    collocations.phrases(docs)
+    files = [pq.ParquetFile(p).metadata for p in Path(kept[0].cut_path.removeprefix("file:")).glob("*.parquet")]
+    sizes = [m.row_group(g).total_byte_size for m in files for g in range(m.num_row_groups)]
+    assert sum(m.num_rows for m in files) > 10 and len(sizes) > 5 and max(sizes) < 1 << 17
+    held = kept[0].agg(F.sum(F.length("index")), F.sum(F.expr("aggregate(counts, 0L, (x, y) -> x + y)"))).first()
+    assert held[0] < 2.2 * held[1]
+
+
+def test_blocks_of_many_languages_are_closed(spark, monkeypatch):
+    """A task with more languages than it holds blocks of still sends them, and no word is lost or counted for another language."""
+    monkeypatch.setattr(collocations, "BLOCK", 1_000)
+    rows = [(k, f"w{k % 7} é same " * 8, f"l{k % 50}", 0, "", 0, 0) for k in range(400)]
+    found = collocations.blocks(frame(spark, rows).coalesce(1)).select("lang", "words", "counts").collect()
+    got, want = Counter(), Counter()
+    for r in found:
+        got.update({(r.lang, w): n for w, n in zip(r.words, r.counts, strict=True)})
+    for _, t, lang, *_ in rows:
+        want.update((lang, w) for w in t.split())
+    assert got == want and len(found) > 50
+
+
 def test_names_shared_by_two_words_give_another_salt(spark, monkeypatch):
     real, salts = collocations._unique, []
 
