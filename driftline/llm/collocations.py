@@ -29,6 +29,8 @@ BREAKS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 FILTER_BITS = 1 << 27
 #: Names of one part of the counts, about, names that a task gathers before it sends them, and names that it sends at once.
 PART, GATHERED, SENT = 1 << 21, 1 << 21, 1 << 18
+#: Bits of a name by which pairs are counted at first; more than those of the filter.
+SHORT = 48
 #: Bytes of text of one language whose phrases are counted together before they leave a task; of all languages, a task holds OPEN times as many.
 BLOCK, OPEN = 1 << 22, 4
 #: Bytes of blocks that Spark writes, and so reads, at once; left to itself it gathers 100 blocks before it looks.
@@ -217,11 +219,21 @@ def _merged(names: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return names[begins], np.add.reduceat(counts[order], begins) if len(begins) else counts
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Packed with the first bytes of all numbers first, then the second ones: the last are mostly zero."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T))
+
+
+def _numbers(packed: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind)[:, 0]
+
+
 def _sketch(found: DataFrame, filters: list, least: int, parts: int) -> DataFrame:
-    """lo of the pairs of names that occur `least` times or share their lo with others so that together they do.
+    """The last SHORT bits of lo of the pairs of names that occur `least` times or share these bits with others so that together they do.
 
-    Names are sent in packed parts, by their first bits, so that a part is some PART of them whatever the corpus; a
-    pair that every block holds comes once from each gathering of a task.
+    Names are sent in packed parts, by their first bits, so that a part is some PART of them whatever the corpus, in
+    order, as differences; a pair that every block holds comes once from each gathering of a task.
     """
 
     def emit(levels: Iterator[_Level]) -> Iterator[pa.RecordBatch]:
@@ -231,15 +243,16 @@ def _sketch(found: DataFrame, filters: list, least: int, parts: int) -> DataFram
             every, sums = _merged(names, counts)
             for at in range(0, len(every), SENT):  # a part may go in two rows
                 lo, of = every[at : at + SENT], sums[at : at + SENT]
-                part = ((lo >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+                part = ((lo >> np.uint64(SHORT - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
                 first = np.flatnonzero(np.diff(part, prepend=-1))
                 edges = [*first.tolist(), len(part)]
-                cells = [pa.array(part[first]), *(pa.array([v[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()) for v in (lo, of.astype(np.int32)))]
+                rows = [(_planes(np.diff(lo[a:b], prepend=np.uint64(0))), _planes(of[a:b].astype(np.int32))) for a, b in zip(edges, edges[1:], strict=False)]
+                cells = [pa.array(part[first]), *(pa.array(v, pa.binary()) for v in zip(*rows, strict=True))]
                 yield pa.RecordBatch.from_arrays(cells, ["part", "names", "counts"])
 
         for level in levels:
             halves, k = level.pairs()
-            names.append(_mixed(*halves)[1])
+            names.append(_mixed(*halves)[1] & np.uint64((1 << SHORT) - 1))
             counts.append(k)
             n += len(k)
             if n > GATHERED:
@@ -249,8 +262,8 @@ def _sketch(found: DataFrame, filters: list, least: int, parts: int) -> DataFram
             yield from packed()
 
     def merge(rows: pa.Table) -> pa.Table:
-        names = [np.frombuffer(v, np.uint64) for v in rows["names"].to_pylist()]
-        lo, n = _merged(names, [np.frombuffer(v, np.int32).astype(np.int64) for v in rows["counts"].to_pylist()])
+        names = [np.cumsum(_numbers(v, np.uint64)) for v in rows["names"].to_pylist()]
+        lo, n = _merged(names, [_numbers(v, np.int32).astype(np.int64) for v in rows["counts"].to_pylist()])
         return pa.table({"lo": lo[n >= least].view(np.int64)})
 
     sent = _levels(found, filters, emit, "part long, names binary, counts binary")
@@ -286,7 +299,7 @@ def _words(found: DataFrame, salt: int) -> DataFrame:
 def _pairs(found: DataFrame, filters: list, least: int, parts: int) -> DataFrame:
     """left_hi, left_lo, right_hi, right_lo, a, hi, lo: the frequent pairs of names of the level below.
 
-    First counts of 64 bits of each name, which are never too small, say which pairs may be frequent; those alone are
+    First counts of SHORT bits of each name, which are never too small, say which pairs may be frequent; those alone are
     counted by both halves. Every pair that a later level may see is among them, so that a name shared by two is found.
     """
     may = cut(_sketch(found, filters, least, parts))

@@ -268,6 +268,16 @@ def test_blocks_of_words_are_written_in_small_pieces(spark, monkeypatch):
     assert held[0] < 2.2 * held[1]
 
 
+@pytest.mark.parametrize("n", [1, 100_000])
+def test_names_in_order_take_few_bytes(n):
+    names = np.sort(np.random.default_rng(n).integers(0, 1 << collocations.SHORT, n, np.uint64))
+    names[-1] = (1 << collocations.SHORT) - 1
+    packed = collocations._planes(np.diff(names, prepend=np.uint64(0)))
+    assert (np.cumsum(collocations._numbers(packed, np.uint64)) == names).all() and len(packed) < 5 * n + 100
+    counts = np.arange(n, dtype=np.int32) ** 2
+    assert (collocations._numbers(collocations._planes(counts), np.int32) == counts).all()
+
+
 def test_blocks_of_many_languages_are_closed(spark, monkeypatch):
     """A task with more languages than it holds blocks of still sends them, and no word is lost or counted for another language."""
     monkeypatch.setattr(collocations, "BLOCK", 1_000)
