@@ -1,6 +1,6 @@
 """Operator 12: phrases of up to four words that stand together, by names of pairs.
 
-A word has a name (128 bits of a hash of language and word, checked to be its own in the whole corpus). A phrase of k
+A word has a name (64 bits of a hash of language and word, checked to be its own in the whole corpus). A phrase of k
 words is the pair of its first and its last k - 1 words, and its name is made of their names: replacing neighbouring
 frequent names by the name of their pair, level after level, names every phrase whose parts are all frequent. The
 table of a level is joined with the one below through both names, which gives the frequencies of all parts for the
@@ -31,6 +31,8 @@ FILTER_BITS = 1 << 27
 PART, GATHERED, SENT = 1 << 21, 1 << 21, 1 << 18
 #: Bits of a name by which pairs are counted at first; more than those of the filter.
 SHORT = 48
+#: The first of the bits of a name that give its second place in the filter; with those of FILTER_BITS no more than SHORT.
+SECOND = 20
 #: Bytes of text of one language whose phrases are counted together before they leave a task; of all languages, a task holds OPEN times as many.
 BLOCK, OPEN = 1 << 22, 4
 #: Bytes of blocks that Spark writes, and so reads, at once; left to itself it gathers 100 blocks before it looks.
@@ -72,7 +74,7 @@ class Block:
         words, index = list(self.known)[2:], np.frombuffer(self.places, np.int32)
         index = index[index > -2]
         counts = np.bincount(index[index >= 0], minlength=len(words))
-        names = np.stack(word_names([lang], words, salt)).tobytes()
+        names = word_names([lang], words, salt).tobytes()
         cells = [pa.array([lang]), pa.ListArray.from_arrays([0, len(words)], pa.array(words, pa.binary()).cast(pa.string())), pa.array([counts], pa.list_(pa.int64())), pa.array([names], pa.binary()), pa.array([_packed(index, len(words))], pa.binary())]
         return pa.RecordBatch.from_arrays(cells, ["lang", "words", "counts", "names", "index"])
 
@@ -115,7 +117,7 @@ def blocks(docs: DataFrame, salt: int = 0, text: str = "text", lang: str = "lang
     return rows.mapInArrow(run, "lang string, words array<string>, counts array<long>, names binary, index binary")
 
 
-def _mixed(hi: np.ndarray, lo: np.ndarray, hi2: np.ndarray, lo2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The names of pairs of names."""
 
     def rounds(x: np.ndarray) -> np.ndarray:
@@ -123,24 +125,24 @@ def _mixed(hi: np.ndarray, lo: np.ndarray, hi2: np.ndarray, lo2: np.ndarray) ->
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
         return x ^ (x >> np.uint64(32))
 
-    a = rounds(hi + np.uint64(1) + rounds(lo ^ np.uint64(0x9E3779B97F4A7C15)))
-    b = rounds(lo2 + np.uint64(7) + rounds(hi2 ^ np.uint64(0xC2B2AE3D27D4EB4F)))
-    return rounds(a + b * np.uint64(3)), rounds(b ^ (a * np.uint64(0x165667B19E3779F9)))
+    a = rounds(left + np.uint64(0x9E3779B97F4A7C15))
+    b = rounds(right ^ np.uint64(0xC2B2AE3D27D4EB4F))
+    return rounds(b ^ (a * np.uint64(0x165667B19E3779F9)))
 
 
-def word_names(langs: list[str], words: list[bytes], salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """The names of words, in two halves; one language for all of them, or one each."""
+def word_names(langs: list[str], words: list[bytes], salt: int) -> np.ndarray:
+    """The names of words; one language for all of them, or one each."""
     before = {lang: f"{len(lang)} {lang}".encode() for lang in set(langs)}
-    named = [xxhash.xxh3_128_digest(before[lang] + w, salt) for lang, w in zip(langs * len(words) if len(langs) == 1 else langs, words, strict=True)]
-    both = np.frombuffer(b"".join(named), np.uint64).reshape(-1, 2)
-    return both[:, 0].copy(), both[:, 1].copy()
+    named = [xxhash.xxh3_64_digest(before[lang] + w, salt) for lang, w in zip(langs * len(words) if len(langs) == 1 else langs, words, strict=True)]
+    return np.frombuffer(b"".join(named), np.uint64)
 
 
 class Filter:
-    """A bitmap of frequent names; what it holds none of is surely not frequent."""
+    """A bitmap of frequent names, two bits each; what it holds not both of is surely not frequent."""
 
     def __init__(self, rows: DataFrame, bits: int = FILTER_BITS) -> None:
         self.bits = min(bits, 1 << max(12, (rows.count() * 16).bit_length()))
+        rows = rows.select(F.explode(F.array("lo", F.shiftright("lo", SECOND))).alias("lo"))
         place = F.pmod(F.col("lo"), F.lit(self.bits))
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
         found = rows.groupBy(F.floor(place / 64).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
@@ -148,8 +150,11 @@ class Filter:
         self.table[found["at"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
 
     def holds(self, lo: np.ndarray) -> np.ndarray:
-        place = lo & np.uint64(self.bits - 1)
-        return (self.table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        def bit(of: np.ndarray) -> np.ndarray:
+            place = of & np.uint64(self.bits - 1)
+            return (self.table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+        return bit(lo) & bit(lo >> np.uint64(SECOND))
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,26 +166,26 @@ def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class _Level:
     """Names of the phrases of one length in a block, and where they stand."""
 
-    def __init__(self, hi: np.ndarray, lo: np.ndarray, index: np.ndarray) -> None:
-        self.hi, self.lo, self.index = hi, lo, index
+    def __init__(self, names: np.ndarray, index: np.ndarray) -> None:
+        self.names, self.index = names, index
 
     def without(self, frequent: Filter) -> _Level:
         """Without the names that surely are not frequent."""
-        good = np.append(frequent.holds(self.lo), False)  # a place of -1 is the last one
-        return _Level(self.hi, self.lo, np.where(good[self.index], self.index, -1))
+        good = np.append(frequent.holds(self.names), False)  # a place of -1 is the last one
+        return _Level(self.names, np.where(good[self.index], self.index, -1))
 
     def _keys(self) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero((self.index[:-1] >= 0) & (self.index[1:] >= 0))
-        return at, self.index[at].astype(np.int64) * max(len(self.lo), 1) + self.index[at + 1]
+        return at, self.index[at].astype(np.int64) * max(len(self.names), 1) + self.index[at + 1]
 
-    def _halves(self, keys: np.ndarray) -> list[np.ndarray]:
-        left, right = np.divmod(keys, max(len(self.lo), 1))
-        return [self.hi[left], self.lo[left], self.hi[right], self.lo[right]]
+    def _halves(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        left, right = np.divmod(keys, max(len(self.names), 1))
+        return self.names[left], self.names[right]
 
-    def pairs(self) -> tuple[list[np.ndarray], np.ndarray]:
-        """The halves of the names of the distinct pairs of neighbours, and their counts."""
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The two names of each distinct pair of neighbours, and its count."""
         keys, n = _counted(np.sort(self._keys()[1]))
-        return self._halves(keys), n
+        return *self._halves(keys), n
 
     def above(self) -> _Level:
         """Each two neighbours replaced by the name of their pair."""
@@ -189,7 +194,7 @@ class _Level:
         found, n = _counted(keys[order])
         index = np.full(len(self.index), -1, np.int32)
         index[at[order]] = np.repeat(np.arange(len(found)), n)
-        return _Level(*_mixed(*self._halves(found)), index)
+        return _Level(_mixed(*self._halves(found)), index)
 
 
 def _levels(found: DataFrame, filters: list, emit, schema: str) -> DataFrame:
@@ -201,8 +206,8 @@ def _levels(found: DataFrame, filters: list, emit, schema: str) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[_Level]:
         for b in batches:
             for k in range(b.num_rows):
-                hi, lo = np.frombuffer(b.column(0)[k].as_py(), np.uint64).reshape(2, -1)
-                level = _Level(hi, lo, _index(b.column(1)[k].as_py(), len(lo))).without(filters[0].value)
+                names = np.frombuffer(b.column(0)[k].as_py(), np.uint64)
+                level = _Level(names, _index(b.column(1)[k].as_py(), len(names))).without(filters[0].value)
                 for frequent in filters[1:]:
                     level = level.above().without(frequent.value)
                 yield level
@@ -210,13 +215,13 @@ def _levels(found: DataFrame, filters: list, emit, schema: str) -> DataFrame:
     return found.select("names", "index").mapInArrow(lambda batches: emit(each(batches)), schema)
 
 
-def _merged(names: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct names in order with the sums of their counts."""
-    names, counts = np.concatenate(names), np.concatenate(counts)
-    order = np.argsort(names)
-    names = names[order]
-    begins = np.flatnonzero(np.append(True, names[1:] != names[:-1])[: len(names)])
-    return names[begins], np.add.reduceat(counts[order], begins) if len(begins) else counts
+def _merged(*columns: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows of all columns but the last in order, with the sums of the last, their counts."""
+    *keys, counts = columns
+    order = np.lexsort(keys[::-1])
+    keys = [k[order] for k in keys]
+    begins = np.flatnonzero(np.logical_or.reduce([np.append(True, k[1:] != k[:-1])[: len(k)] for k in keys]))
+    return [*(k[begins] for k in keys), np.add.reduceat(counts[order], begins) if len(begins) else counts]
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -229,41 +234,54 @@ def _numbers(packed: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind)[:, 0]
 
 
+def _part(lo: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each name: by the first of its last SHORT bits."""
+    return (((lo & np.uint64((1 << SHORT) - 1)) >> np.uint64(SHORT - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _sent(part: np.ndarray, names: list[str], columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """A row for each part, in which its numbers are packed: the first column, which is in order, as differences."""
+    for at in range(0, len(part), SENT):  # a part may go in two rows
+        of = part[at : at + SENT]
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        edges = [*(at + first).tolist(), at + len(of)]
+        cells = [pa.array([_planes(np.diff(c[a:b], prepend=c.dtype.type(0)) if c is columns[0] else c[a:b]) for a, b in zip(edges, edges[1:], strict=False)], pa.binary()) for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array(of[first]), *cells], ["part", *names])
+
+
+def _received(rows: pa.Table, names: list[str]) -> list[np.ndarray]:
+    """The columns of _sent() of all rows; those of names are unsigned, counts, the last, signed."""
+    columns = [[_numbers(v, np.int64 if c == names[-1] else np.uint64) for v in rows[c].to_pylist()] for c in names]
+    return [np.concatenate([np.cumsum(v) for v in columns[0]]), *map(np.concatenate, columns[1:])]
+
+
 def _sketch(found: DataFrame, filters: list, least: int, parts: int) -> DataFrame:
     """The last SHORT bits of lo of the pairs of names that occur `least` times or share these bits with others so that together they do.
 
     Names are sent in packed parts, by their first bits, so that a part is some PART of them whatever the corpus, in
     order, as differences; a pair that every block holds comes once from each gathering of a task.
     """
+    columns = ["names", "counts"]
 
     def emit(levels: Iterator[_Level]) -> Iterator[pa.RecordBatch]:
-        names, counts, n = [], [], 0
+        gathered, n = [], 0
 
         def packed() -> Iterator[pa.RecordBatch]:
-            every, sums = _merged(names, counts)
-            for at in range(0, len(every), SENT):  # a part may go in two rows
-                lo, of = every[at : at + SENT], sums[at : at + SENT]
-                part = ((lo >> np.uint64(SHORT - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-                first = np.flatnonzero(np.diff(part, prepend=-1))
-                edges = [*first.tolist(), len(part)]
-                rows = [(_planes(np.diff(lo[a:b], prepend=np.uint64(0))), _planes(of[a:b].astype(np.int32))) for a, b in zip(edges, edges[1:], strict=False)]
-                cells = [pa.array(part[first]), *(pa.array(v, pa.binary()) for v in zip(*rows, strict=True))]
-                yield pa.RecordBatch.from_arrays(cells, ["part", "names", "counts"])
+            lo, counts = _merged(*map(np.concatenate, zip(*gathered, strict=True)))
+            yield from _sent(_part(lo, parts), columns, [lo, counts])
 
         for level in levels:
-            halves, k = level.pairs()
-            names.append(_mixed(*halves)[1] & np.uint64((1 << SHORT) - 1))
-            counts.append(k)
+            left, right, k = level.pairs()
+            gathered.append((_mixed(left, right) & np.uint64((1 << SHORT) - 1), k))
             n += len(k)
             if n > GATHERED:
                 yield from packed()
-                names, counts, n = [], [], 0
+                gathered, n = [], 0
         if n:
             yield from packed()
 
     def merge(rows: pa.Table) -> pa.Table:
-        names = [np.cumsum(_numbers(v, np.uint64)) for v in rows["names"].to_pylist()]
-        lo, n = _merged(names, [_numbers(v, np.int32).astype(np.int64) for v in rows["counts"].to_pylist()])
+        lo, n = _merged(*_received(rows, columns))
         return pa.table({"lo": lo[n >= least].view(np.int64)})
 
     sent = _levels(found, filters, emit, "part long, names binary, counts binary")
@@ -275,7 +293,7 @@ class Clash(Exception):
 
 
 def _unique(named: DataFrame) -> None:
-    if not named.groupBy("hi", "lo").agg(F.count("*").alias("k")).where("k > 1").isEmpty():
+    if not named.groupBy("lo").agg(F.count("*").alias("k")).where("k > 1").isEmpty():
         raise Clash
 
 
@@ -284,42 +302,56 @@ def _shared(rows: DataFrame):
 
 
 def _words(found: DataFrame, salt: int) -> DataFrame:
-    """lang, phrase, a, hi, lo of each word of the corpus."""
+    """lang, phrase, a and lo, the name, of each word of the corpus."""
 
-    @F.pandas_udf("hi long, lo long")
-    def name(langs: pd.Series, words: pd.Series) -> pd.DataFrame:
-        hi, lo = word_names(list(langs), [w.encode() for w in words], salt)
-        return pd.DataFrame({"hi": hi.view(np.int64), "lo": lo.view(np.int64)})
+    @F.pandas_udf("long")
+    def name(langs: pd.Series, words: pd.Series) -> pd.Series:
+        return pd.Series(word_names(list(langs), [w.encode() for w in words], salt).view(np.int64))
 
     each = found.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", "w.*")
     counted = each.groupBy("lang", F.col("words").alias("phrase")).agg(F.sum("counts").alias("a"))
-    return counted.withColumn("name", name("lang", "phrase")).select("lang", "phrase", "a", "name.*")
+    return counted.withColumn("lo", name("lang", "phrase"))
 
 
 def _pairs(found: DataFrame, filters: list, least: int, parts: int) -> DataFrame:
-    """left_hi, left_lo, right_hi, right_lo, a, hi, lo: the frequent pairs of names of the level below.
+    """left_lo, right_lo, a, lo: the frequent pairs of names of the level below, their counts and names.
 
     First counts of SHORT bits of each name, which are never too small, say which pairs may be frequent; those alone are
-    counted by both halves. Every pair that a later level may see is among them, so that a name shared by two is found.
+    counted by both halves, gathered and sent like the sketch, so that Spark has one row for each pair of the corpus and
+    not one for each block that holds it. All pairs that share a name meet in a part, whether frequent or not.
     """
     may = cut(_sketch(found, filters, least, parts))
     frequent = _shared(may)
+    columns = ["left", "right", "counts"]
 
     def emit(levels: Iterator[_Level]) -> Iterator[pa.RecordBatch]:
-        for level in levels:
-            both, n = level.pairs()
-            good = frequent.value.holds(_mixed(*both)[1])
-            yield pa.RecordBatch.from_arrays([*(pa.array(h[good].view(np.int64)) for h in both), pa.array(n[good])], [*halves, "n"])
+        gathered, n = [], 0
 
-    halves = ["left_hi", "left_lo", "right_hi", "right_lo"]
+        def packed() -> Iterator[pa.RecordBatch]:
+            part, *halves, counts = _merged(*map(np.concatenate, zip(*gathered, strict=True)))
+            yield from _sent(part, columns, [*halves, counts])
 
-    @F.pandas_udf("hi long, lo long")
-    def name(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.DataFrame:
-        hi, lo = _mixed(*(np.ascontiguousarray(x.to_numpy(), np.int64).view(np.uint64) for x in (a, b, c, d)))
-        return pd.DataFrame({"hi": hi.view(np.int64), "lo": lo.view(np.int64)})
+        for level in levels:
+            left, right, k = level.pairs()
+            lo = _mixed(left, right)
+            good = frequent.value.holds(lo)
+            gathered.append((_part(lo[good], parts), left[good], right[good], k[good]))
+            n += len(gathered[-1][0])
+            if n > GATHERED // 2:  # a pair takes twice the room of a name of the sketch
+                yield from packed()
+                gathered, n = [], 0
+        if n:
+            yield from packed()
 
-    counted = _levels(found, filters, emit, ", ".join(f"{c} long" for c in (*halves, "n"))).groupBy(*halves).agg(F.sum("n").alias("a"))
-    named = cut(counted.withColumn("name", name(*halves)).select(*halves, "a", "name.*"))
+    def merge(rows: pa.Table) -> pa.Table:
+        left, right, n = _merged(*_received(rows, columns))
+        lo = _mixed(left, right)
+        names, k = np.unique(lo, return_counts=True)
+        good = (n >= least) | np.isin(lo, names[k > 1])  # those that share a name are for _unique()
+        return pa.table({"left_lo": left[good].view(np.int64), "right_lo": right[good].view(np.int64), "a": n[good], "lo": lo[good].view(np.int64)})
+
+    sent = _levels(found, filters, emit, "part long, left binary, right binary, counts binary")
+    named = cut(sent.groupBy("part").applyInArrow(merge, "left_lo long, right_lo long, a long, lo long"))
     spent(may)
     frequent.unpersist()
     _unique(named)
@@ -328,11 +360,11 @@ def _pairs(found: DataFrame, filters: list, least: int, parts: int) -> DataFrame
 
 def _table(pairs: DataFrame, below: DataFrame) -> DataFrame:
     """The table of a level: its pairs with language, phrase, last word and the counts of their first and last 1, 2, ... words."""
-    left = below.select(F.col("hi").alias("left_hi"), F.col("lo").alias("left_lo"), "lang", F.col("phrase").alias("before"), "heads")
-    right = below.select(F.col("hi").alias("right_hi"), F.col("lo").alias("right_lo"), "last", "tails")
-    both = pairs.join(left, ["left_hi", "left_lo"]).join(right, ["right_hi", "right_lo"])
+    left = below.select(F.col("lo").alias("left_lo"), "lang", F.col("phrase").alias("before"), "heads")
+    right = below.select(F.col("lo").alias("right_lo"), "last", "tails")
+    both = pairs.join(left, "left_lo").join(right, "right_lo")
     longer = lambda c: F.concat(F.col(c), F.array("a")).alias(c)
-    return both.select("hi", "lo", "left_hi", "left_lo", "right_hi", "right_lo", "lang", F.concat_ws(" ", "before", "last").alias("phrase"), "last", "a", longer("heads"), longer("tails"))
+    return both.select("lo", "left_lo", "right_lo", "lang", F.concat_ws(" ", "before", "last").alias("phrase"), "last", "a", longer("heads"), longer("tails"))
 
 
 #: The lowest cut of a phrase: exact whole numbers (decimals of 38 digits), ties to the shortest first part.
@@ -364,17 +396,17 @@ def _phrases(found: DataFrame, salt: int, longest: int, least: int, share: int)
     parts = 1 + (words.agg(F.sum("a")).first()[0] or 0) // PART
     first = words.where(F.col("a") >= least)
     filters = [_shared(first.select("lo"))]
-    tables = [first.select("hi", "lo", "lang", "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails"))]
+    tables = [first.select("lo", "lang", "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("heads"), F.array("a").alias("tails"))]
     for _ in range(2, longest + 1):
         tables.append(cut(_table(_pairs(found, filters, least, parts), tables[-1])))
         filters.append(_shared(tables[-1].select("lo")))
     out = []
     for k, level in enumerate(tables[1:], 1):
-        scored = level.select("hi", "lo", "lang", "phrase", "a", F.expr(_CUT).alias("cut"))
+        scored = level.select("lo", "lang", "phrase", "a", F.expr(_CUT).alias("cut"))
         if k + 1 < len(tables):
-            inner = lambda side: tables[k + 1].select(F.col(f"{side}_hi").alias("hi"), F.col(f"{side}_lo").alias("lo"), F.col("a").alias("longer"))  # noqa: B023, E731
-            above = inner("left").unionAll(inner("right")).groupBy("hi", "lo").agg(F.max("longer").alias("longer"))
-            scored = scored.join(above, ["hi", "lo"], "left").where(F.expr(f"longer IS NULL OR 100 * longer < {share} * a"))
+            inner = lambda side: tables[k + 1].select(F.col(f"{side}_lo").alias("lo"), F.col("a").alias("longer"))  # noqa: B023, E731
+            above = inner("left").unionAll(inner("right")).groupBy("lo").agg(F.max("longer").alias("longer"))
+            scored = scored.join(above, "lo", "left").where(F.expr(f"longer IS NULL OR 100 * longer < {share} * a"))
         out.append(scored.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"))
     every = out[0]
     for more in out[1:]:

@@ -268,6 +268,29 @@ def test_blocks_of_words_are_written_in_small_pieces(spark, monkeypatch):
     assert held[0] < 2.2 * held[1]
 
 
+def test_a_pair_leaves_a_task_once_for_all_its_blocks(spark, monkeypatch):
+    """Neither Spark's rows nor the pairs in them grow with the number of blocks that hold a pair."""
+    monkeypatch.setattr(collocations, "BLOCK", 100)
+    sent, levels = [], collocations._levels
+    monkeypatch.setattr(collocations, "_levels", lambda *a: sent.append(levels(*a)) or sent[-1])
+    rows = [(" ".join(f"w{k % 20}" for k in range(40)), "en")] * 60
+    docs = frame(spark, [(k, *row, 0, "", 0, 0) for k, row in enumerate(rows)]).coalesce(1)
+    assert collocations.blocks(docs).count() == 60
+    found, sizes = collocations.phrases(docs)
+    assert {tuple(r) for r in found.join(sizes, "lang").select("lang", "phrase", "a", "l", "r", "n", "score").collect()} == phrases_by_hand(rows, 30)
+    for k in (1, 3, 5):
+        packed = sent[k].collect()
+        assert len(packed) == 1 and len(collocations._numbers(packed[0].counts, np.int64)) == 20
+
+
+def test_a_rare_pair_with_the_name_of_a_frequent_one_is_found(spark, monkeypatch):
+    docs = frame(spark, [(k, t, "en", 0, "", 0, 0) for k, t in enumerate(["one two"] * 5 + ["two one"])])
+    assert [r.phrase for r in collocations.phrases(docs, least=5)[0].collect()] == ["one two"]
+    monkeypatch.setattr(collocations, "_mixed", lambda left, right: np.zeros(len(left), np.uint64))
+    with pytest.raises(collocations.Clash):
+        collocations.phrases(docs, least=5)
+
+
 @pytest.mark.parametrize("n", [1, 100_000])
 def test_names_in_order_take_few_bytes(n):
     names = np.sort(np.random.default_rng(n).integers(0, 1 << collocations.SHORT, n, np.uint64))
